@@ -106,7 +106,7 @@ def epoch_ms_date(c: Column | str, tz: str = "UTC") -> Column:
     """
     raw = _c(c)
     ms = raw.try_cast("bigint")
-    utc = F.timestampadd("MILLISECOND", ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    utc = F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     local = utc if tz.upper() == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
     return F.when(ms.isNotNull(), _ymd(local)).otherwise(F.substring(raw.cast("string"), 1, 10))
 

@@ -139,3 +139,15 @@ def drop_system_pages(df: DataFrame, system_ids: DataFrame, key: str = "id") ->
     """Remove ids listed as system pages (F8); the list is a tiny broadcast side."""
     return df.join(F.broadcast(system_ids.select(F.col(system_ids.columns[0]).alias(key))),
                    on=key, how="left_anti")
+
+
+def nonblank_title(c: Column | str = "title") -> Column:
+    """Title that is not blank once trimmed."""
+    return F.trim(F.lower(F.coalesce(_c(c), F.lit("")))) != ""
+
+
+def recent(df: DataFrame, years: list[str], lastmod: str = "lastmod", date: str = "date") -> DataFrame:
+    """Items whose year (of lastmod, else of date) is in ``years``."""
+    from vitrina.functions.text import blank_to_null
+    y = F.substring(F.coalesce(blank_to_null(lastmod), F.coalesce(F.col(date), F.lit(""))), 1, 4)
+    return df.filter(y.isin(*years))
