@@ -316,15 +316,42 @@ def series_api_url(flow: Column | str, dim_codes: Column | str, base: str = SERI
     return F.concat(F.lit(base), _c(flow), F.lit("/"), path)
 
 
+_SCI = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+
+
 def py_number(c: Column | str) -> Column:
-    """Render a double as Python's ``str(float)`` would for ordinary values.
+    """Render a number the way the reference's texts show a JSON number.
 
-    Integer-valued doubles keep one ``.0`` (Python prints ``2.0``); null prints
-    ``None``.  Used by the summary texts of X25.
+    Integer-valued numbers print without ``.0`` (JSON integers stay integers);
+    other values follow Python's ``repr``: plain notation from 1e-4 up to
+    1e16, exponent form (``1e-05``, ``1.5e+16``) outside.  Java's
+    ``Double.toString`` already gives the shortest round-trip digits; only the
+    notation is rewritten.  Null prints ``None``.
     """
-    v = _c(c)
-    as_text = v.cast("string")
-    return F.when(v.isNull(), F.lit("None")).otherwise(as_text)
+    v = _c(c).cast("double")
+    s = v.cast("string")
+    sign, d0, frac = (F.regexp_extract(s, _SCI, i) for i in (1, 2, 3))
+    exp = F.regexp_extract(s, _SCI, 4).try_cast("int")
+    frac_t = F.when(frac == "0", F.lit("")).otherwise(frac)
+    digits = F.concat(d0, frac_t)
+    big = F.when(F.length(digits) <= exp + 1,
+                 F.concat(sign, F.rpad(digits, exp + 1, "0"), F.lit(".0"))) \
+        .otherwise(F.concat(sign, F.substring(digits, F.lit(1), exp + 1), F.lit("."),
+                            F.substring(digits, exp + 2, F.lit(400))))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    sci = F.concat(sign, d0, F.when(frac_t == "", F.lit("")).otherwise(F.concat(F.lit("."), frac_t)),
+                   F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.lpad(F.abs(exp).cast("string"), 2, "0"))
+    a = F.abs(v)
+    return (F.when(v.isNull(), F.lit("None"))
+            .when(F.isnan(v), F.lit("nan"))
+            .when(v == float("inf"), F.lit("inf"))
+            .when(v == float("-inf"), F.lit("-inf"))
+            .when((v == F.floor(v)) & (a < 1e16), v.cast("bigint").cast("string"))
+            .when(~s.contains("E"), s)
+            .when((a >= 1e16) | (a < 1e-4), sci)
+            .when(a >= 1e7, big)
+            .otherwise(small))
 
 
 def series_description(label: Column, name: Column, last_value: Column, count: Column,

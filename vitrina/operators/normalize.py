@@ -155,21 +155,33 @@ def normalize_datasets(ops: DataFrame, tables: DataFrame, bundles: DataFrame,
     )
 
 
+def last_observation(series: DataFrame) -> DataFrame:
+    """Add ``last_period`` / ``last_value`` / ``count`` from an ``observations`` array."""
+    obs = F.coalesce(F.col("observations"), F.array().cast("array<struct<period:string,value:double>>"))
+    last = F.try_element_at(obs, F.lit(-1))
+    return series.withColumn("last_period", last["period"]) \
+        .withColumn("last_value", last["value"]) \
+        .withColumn("count", F.size(obs).cast("bigint"))
+
+
 def normalize_series(series: DataFrame, labels: dict[str, str] | None = None,
                      source: str = SERIES_SOURCE, prefix: str = SERIES_PREFIX) -> DataFrame:
-    """Series (N4): decoded series rows (one per series, with ``flow`` and
-    ``position`` = 0-based place of the series in its flow, W2) to catalogue rows.
+    """Series (N4): one row per series to one catalogue row.
+
+    Input columns: ``flow``, ``position`` (0-based place of the series in its
+    flow, W2), ``name``, ``dimensions``, ``dim_codes``, ``dimension_names`` and
+    the last observation as ``last_period`` / ``last_value`` / ``count``
+    (``last_observation`` derives them from an ``observations`` array).
     """
     lab = labels or FLOW_LABELS
     label_map = F.create_map(*[x for k, v in lab.items() for x in (F.lit(k), F.lit(v))])
     label = F.coalesce(F.try_element_at(label_map, F.col("flow")), F.col("flow"))
-    obs = F.coalesce(F.col("observations"), F.array().cast("array<struct<period:string,value:double>>"))
-    last = F.try_element_at(obs, F.lit(-1))
-    date_iso = F.when(F.size(obs) > 0, F.substring(last["period"], 1, 10)).otherwise(F.lit(""))
+    count = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
+    has_obs = F.col("last_period").isNotNull() & (count > 0)
+    date_iso = F.when(has_obs, F.substring("last_period", 1, 10)).otherwise(F.lit(""))
     name = F.coalesce(F.col("name"), F.concat(F.col("flow"), F.lit(" series "),
                                               F.col("position").cast("string")))
     dims = F.coalesce(F.col("dimensions"), F.create_map().cast("map<string,string>"))
-    count = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
     return series.select(
         F.concat(F.lit(prefix + "-"), F.col("flow"), F.lit("-"),
                  F.format_string("%04d", F.col("position"))).alias("id"),
@@ -182,7 +194,7 @@ def normalize_series(series: DataFrame, labels: dict[str, str] | None = None,
         X.series_api_url(F.col("flow"), F.col("dim_codes")).alias("url"),
         F.lit("time_series").alias("type"),
         F.col("last_value"),
-        F.when(F.size(obs) > 0, F.concat(last["period"], F.lit(": "), X.py_number(last["value"])))
+        F.when(has_obs, F.concat(F.col("last_period"), F.lit(": "), X.py_number("last_value")))
         .otherwise(F.lit("")).alias("last_observation"),
         count.alias("count"),
         dims.alias("dimensions"),

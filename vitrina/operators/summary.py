@@ -81,14 +81,19 @@ def last_modified(tables: DataFrame, op_col: str, mod_col: Column | str,
     return tables.where(mod.isNotNull()).groupBy(op_col).agg(agg.alias("last_modified"))
 
 
-def series_totals(series: DataFrame, op_col: str, values_col: str = "Data") -> DataFrame:
+def series_totals(series: DataFrame, op_col: str, values: Column | str = "Data") -> DataFrame:
     """Series and values per operation plus a grand total row.
 
-    ``rollup`` adds the total with a null operation key; ``is_total`` marks it.
+    One input row per series; ``values`` is its nested value array (counted
+    with ``size``) or a column holding its value count.  ``rollup`` adds the
+    total with a null operation key; ``is_total`` marks it.
     """
+    v = F.col(values) if isinstance(values, str) else values
+    if isinstance(values, str) and dict(series.dtypes).get(values, "").startswith("array"):
+        v = F.size(v)
     return (series.rollup(op_col)
             .agg(F.count(F.lit(1)).alias("n_series"),
-                 F.sum(F.coalesce(F.size(F.col(values_col)), F.lit(0))).cast("bigint").alias("n_values"),
+                 F.sum(F.coalesce(v, F.lit(0))).cast("bigint").alias("n_values"),
                  F.grouping(op_col).cast("boolean").alias("is_total")))
 
 

@@ -1 +1,240 @@
-"""Queries (filled in below)."""
+"""Series queries: SDMX decoding, positions, last values, totals."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from vitrina.operators import dedupe as W
+from vitrina.operators import nested as M
+from vitrina.operators import normalize as N
+from vitrina.operators import summary as A
+from vitrina.plans.registry import register
+from vitrina.sources.tables import table
+
+FLOW = "ORD"
+
+
+def sdmx_message(spark, sf) -> DataFrame:
+    """Stand-in input for S6: one SDMX-JSON message as text, built from the tables.
+
+    Series dimensions: REF_AREA (nations) and REGION (regions); observation
+    dimension TIME_PERIOD (order months); one series per nation with the
+    monthly order totals of its customers.  Every list in the message is
+    bounded by the number of codes (nations, regions, months), not by rows.
+    """
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf, "nation")
+    region = table(spark, sf, "region")
+    agg = (orders.join(cust, orders.o_custkey == cust.c_custkey)
+           .groupBy(F.col("c_nationkey").alias("nk"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+           .agg(F.round(F.sum("o_totalprice"), 2).alias("total")))
+    n_idx = nation.select("n_nationkey", "n_name", "n_regionkey",
+                          (F.row_number().over(Window.orderBy("n_nationkey")) - 1).alias("ni"))
+    r_idx = region.select("r_regionkey", "r_name",
+                          (F.row_number().over(Window.orderBy("r_regionkey")) - 1).alias("ri"))
+    months = agg.select("month").distinct()
+    m_idx = months.select("month", (F.row_number().over(Window.orderBy("month")) - 1).alias("mi"))
+
+    def code_list(df, idx, code, name):
+        return df.agg(F.transform(F.array_sort(F.collect_list(F.struct(idx, code, name))),
+                                  lambda s: F.struct(s[code].alias("id"), s[name].alias("name"))).alias("v"))
+
+    area_vals = code_list(n_idx.select("ni", F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("c"),
+                                       F.col("n_name").alias("nm")), "ni", "c", "nm")
+    reg_vals = code_list(r_idx.select("ri", F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("c"),
+                                      F.col("r_name").alias("nm")), "ri", "c", "nm")
+    time_vals = code_list(m_idx.select("mi", F.col("month").alias("c"), F.col("month").alias("nm")),
+                          "mi", "c", "nm")
+    obs = (agg.join(m_idx, "month").join(n_idx, agg.nk == n_idx.n_nationkey)
+           .join(r_idx, n_idx.n_regionkey == r_idx.r_regionkey)
+           .groupBy("ni", "ri")
+           .agg(F.map_from_entries(F.collect_list(F.struct(F.col("mi").cast("string"),
+                                                           F.array(F.col("total"))))).alias("o")))
+    series_map = obs.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat(F.col("ni").cast("string"), F.lit(":"), F.col("ri").cast("string")),
+        F.struct(F.col("o").alias("observations"))))).alias("series"))
+    # one-row aggregates assembled with scalar subqueries (no join without keys)
+    msg = series_map.select("series", area_vals.scalar().alias("area"), reg_vals.scalar().alias("reg"),
+                            time_vals.scalar().alias("times"))
+    message = F.struct(
+        F.struct(F.struct(
+            F.array(F.struct(F.lit("REF_AREA").alias("id"), F.col("area").alias("values")),
+                    F.struct(F.lit("REGION").alias("id"), F.col("reg").alias("values"))).alias("series"),
+            F.array(F.struct(F.lit("TIME_PERIOD").alias("id"), F.col("times").alias("values")))
+            .alias("observation")).alias("dimensions")).alias("structure"),
+        F.array(F.struct(F.col("series").alias("series"))).alias("dataSets"))
+    return msg.select(F.lit(FLOW).alias("flow"), F.lit(False).alias("has_es"),
+                      F.to_json(message).alias("text"))
+
+
+def decoded(spark, sf) -> DataFrame:
+    msg = sdmx_message(spark, sf).select("flow", "has_es", M.parse_sdmx("text").alias("msg"))
+    d = M.decode_series(msg, "msg", keep=["flow", "has_es"])
+    return M.area_filter(d, "has_es")
+
+
+_SDMX_SQL = """
+WITH agg AS (
+  SELECT c_nationkey AS nk, strftime(o_orderdate, '%Y-%m') AS month, round(sum(o_totalprice), 2) AS total
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+n AS (SELECT n_nationkey, n_name, n_regionkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS ni FROM nation),
+r AS (SELECT r_regionkey, r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS ri FROM region),
+s AS (
+  SELECT 'ORD' AS flow, CAST(ni AS VARCHAR) || ':' || CAST(ri AS VARCHAR) AS series_key,
+         'N' || CAST(n_nationkey AS VARCHAR) || '.R' || CAST(r_regionkey AS VARCHAR) AS dim_codes,
+         'REF_AREA=' || n_name || ' | REGION=' || r_name AS name,
+         string_agg(month || '=' || printf('%.2f', total), ';' ORDER BY month) AS observations,
+         arg_max(total, month) AS last_value, count(*) AS count
+  FROM agg JOIN n ON nk = n_nationkey JOIN r ON n_regionkey = r_regionkey
+  GROUP BY ni, ri, n_nationkey, r_regionkey, n_name, r_name)
+"""
+
+
+@register("sdmx_decode", _SDMX_SQL + "SELECT * FROM s")
+def sdmx_decode(spark, sf):
+    d = decoded(spark, sf)
+    obs = F.array_join(F.transform("observations", lambda o: F.concat(
+        o["period"], F.lit("="), F.format_string("%.2f", o["value"]))), ";")
+    return d.select("flow", "series_key", F.array_join("dim_codes", ".").alias("dim_codes"), "name",
+                    obs.alias("observations"), "last_value", "count")
+
+
+@register("sdmx_labels", """
+WITH c AS (SELECT 'REF_AREA' AS dim_id, 'N' || CAST(c_nationkey AS VARCHAR) AS code, count(*) AS n
+           FROM customer GROUP BY 1, 2
+           UNION ALL SELECT 'REF_AREA', 'N999', 0)
+SELECT c.dim_id, c.code, coalesce(n.n_name, c.code) AS label, c.n
+FROM c LEFT JOIN nation n ON c.code = 'N' || CAST(n.n_nationkey AS VARCHAR)""")
+def sdmx_labels(spark, sf):
+    # Customer nation codes labelled from the message's code lists; one
+    # unknown code shows the fallback to the code itself.
+    msg = sdmx_message(spark, sf).select(M.parse_sdmx("text").alias("msg"))
+    dims = M.explode_dimensions(msg)
+    cust = table(spark, sf, "customer")
+    codes = (cust.groupBy(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("code"))
+             .agg(F.count(F.lit(1)).alias("n")).withColumn("dim_id", F.lit("REF_AREA")))
+    unknown = cust.sparkSession.createDataFrame([("REF_AREA", "N999", 0)], "dim_id string, code string, n bigint")
+    labelled = M.label_codes(codes.unionByName(unknown), dims)
+    return labelled.select("dim_id", "code", "label", "n")
+
+
+def event_series(spark, sf) -> DataFrame:
+    """Stand-in input for N4/W2: one decoded series per (event_type, user_id).
+
+    The last observation is an aggregate (``max_by`` on time, then event id),
+    so no series is ever gathered into one row.
+    """
+    ev = table(spark, sf, "events")
+    g = ev.groupBy("event_type", "user_id").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.max_by(F.struct("ts", "value"), F.struct("ts", "event_id")).alias("_last"))
+    uid = F.col("user_id").cast("string")
+    return g.select(
+        F.col("event_type").alias("flow"), "user_id",
+        F.concat(F.lit("USER="), uid).alias("name"),
+        F.array(F.lit("D"), F.concat(F.lit("U"), uid)).alias("dim_codes"),
+        F.create_map(F.lit("FREQ"), F.lit("D"), F.lit("REF_AREA"), F.concat(F.lit("U"), uid)).alias("dimensions"),
+        F.array(F.lit("FREQ=D"), F.concat(F.lit("REF_AREA=U"), uid)).alias("dimension_names"),
+        F.date_format(F.col("_last")["ts"], "yyyy-MM-dd'T'HH:mm:ss").alias("last_period"),
+        F.col("_last")["value"].alias("last_value"), "count")
+
+
+_POS_SQL = """
+p AS (SELECT event_type, user_id,
+             CAST(row_number() OVER (PARTITION BY event_type ORDER BY 'USER=' || CAST(user_id AS VARCHAR),
+                                     'D' || '.' || 'U' || CAST(user_id AS VARCHAR)) - 1 AS BIGINT) AS position
+      FROM (SELECT DISTINCT event_type, user_id FROM events))"""
+
+
+@register("series_ids", "WITH" + _POS_SQL + """
+SELECT event_type, user_id, position, 'ev-' || event_type || '-' || lpad(CAST(position AS VARCHAR), 4, '0') AS series_id
+FROM p""")
+def series_ids(spark, sf):
+    s = event_series(spark, sf).withColumn("_codes", F.array_join("dim_codes", "."))
+    p = W.ordinal_within(s, ["flow"], ["name", "_codes"])
+    return p.select(F.col("flow").alias("event_type"), "user_id", "position",
+                    F.concat(F.lit("ev-"), F.col("flow"), F.lit("-"), F.format_string("%04d", "position"))
+                    .alias("series_id"))
+
+
+@register("normalize_series", "WITH" + _POS_SQL + """,
+l AS (SELECT event_type, user_id, count(*) AS count,
+             arg_max(value, (ts, event_id)) AS last_value, arg_max(ts, (ts, event_id)) AS last_ts
+      FROM events GROUP BY 1, 2)
+SELECT 'ecb-' || l.event_type || '-' || lpad(CAST(position AS VARCHAR), 4, '0') AS id,
+       '[ECB] ' || l.event_type || ': USER=' || CAST(l.user_id AS VARCHAR) AS title,
+       strftime(last_ts, '%Y-%m-%d') AS date_iso,
+       'ECB ' || l.event_type || ' | USER=' || CAST(l.user_id AS VARCHAR) || ' | Valor: '
+         || CASE WHEN last_value = floor(last_value) THEN CAST(CAST(last_value AS BIGINT) AS VARCHAR)
+                 ELSE CAST(last_value AS VARCHAR) END
+         || ' | Obs: ' || CAST(count AS VARCHAR) || ' (' || strftime(last_ts, '%Y-%m-%d') || ')' AS description,
+       'ECB|' || l.event_type || CASE WHEN 'U' || CAST(l.user_id AS VARCHAR) IN ('ES', 'U2') THEN ''
+                                      ELSE '|u' || CAST(l.user_id AS VARCHAR) END AS tags,
+       'https://data-api.ecb.europa.eu/service/data/' || l.event_type || '/D.U' || CAST(l.user_id AS VARCHAR) AS url,
+       strftime(last_ts, '%Y-%m-%dT%H:%M:%S') || ': '
+         || CASE WHEN last_value = floor(last_value) THEN CAST(CAST(last_value AS BIGINT) AS VARCHAR)
+                 ELSE CAST(last_value AS VARCHAR) END AS last_observation,
+       count
+FROM l JOIN p USING (event_type, user_id)""")
+def normalize_series(spark, sf):
+    s = event_series(spark, sf).withColumn("_codes", F.array_join("dim_codes", "."))
+    p = W.ordinal_within(s, ["flow"], ["name", "_codes"])
+    n = N.normalize_series(p)
+    return n.select("id", "title", "date_iso", "description", F.array_join("tags", "|").alias("tags"),
+                    "url", "last_observation", "count")
+
+
+@register("series_last", """
+SELECT event_type, user_id, count(*) AS count, arg_max(value, (ts, event_id)) AS last_value
+FROM events GROUP BY 1, 2""")
+def series_last(spark, sf):
+    ev = table(spark, sf, "events").withColumn("_ord", F.struct("ts", "event_id"))
+    return A.series_stats(ev, ["event_type", "user_id"], "_ord", "value")
+
+
+@register("series_last_n", """
+SELECT event_type, user_id, event_id, value,
+       CAST(row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rn
+FROM events QUALIFY rn <= 3""")
+def series_last_n(spark, sf):
+    ev = table(spark, sf, "events").withColumn("_ord", F.struct("ts", "event_id"))
+    last = M.last_n(ev, ["event_type", "user_id"], "_ord", 3)
+    w = Window.partitionBy("event_type", "user_id").orderBy(F.col("_ord").desc())
+    return last.select("event_type", "user_id", "event_id", "value", F.row_number().over(w).alias("rn"))
+
+
+@register("series_totals", """
+SELECT event_type, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_values,
+       grouping(event_type) = 1 AS is_total
+FROM (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2)
+GROUP BY ROLLUP (event_type)""")
+def series_totals(spark, sf):
+    per_series = table(spark, sf, "events").groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return A.series_totals(per_series, "event_type", "n")
+
+
+@register("series_values", """
+WITH t AS (SELECT * FROM events WHERE event_type = 'click'
+           AND replace(strftime(ts, '%Y-%m-%d'), '-', '') >= '20240105'
+           AND replace(strftime(ts, '%Y-%m-%d'), '-', '') <= '20240120'),
+k AS (SELECT DISTINCT user_id FROM t ORDER BY user_id LIMIT 5)
+SELECT user_id, event_id, strftime(ts, '%Y-%m-%d') AS fecha, value AS valor FROM t
+WHERE user_id IN (SELECT user_id FROM k)
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 3""")
+def series_values(spark, sf):
+    ev = table(spark, sf, "events").select(
+        "event_type", "user_id", "event_id", "value",
+        F.date_format("ts", "yyyy-MM-dd").alias("fecha"), F.struct("ts", "event_id").alias("_ord"))
+    out = M.series_values(ev, "event_type", "click", "user_id", "fecha", "_ord",
+                          desde="2024-01-05", hasta="20240120", max_series=5, max_values=3)
+    return out.select("user_id", "event_id", "fecha", F.col("value").alias("valor"))
+
+
+@register("first_series", """
+SELECT user_id, count(*) AS n FROM events
+WHERE user_id IN (SELECT DISTINCT user_id FROM events ORDER BY user_id LIMIT 5) GROUP BY 1""")
+def first_series(spark, sf):
+    ev = table(spark, sf, "events").select("user_id")
+    return M.first_n_series(ev, "user_id", 5).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
