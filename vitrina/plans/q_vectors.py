@@ -1 +1,135 @@
-"""Queries (filled in below)."""
+"""Vector queries over ``embeddings`` and ``documents``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vitrina.operators import vectors as V
+from vitrina.plans.catalog import papers_from_documents
+from vitrina.plans.registry import register
+from vitrina.sources.tables import table
+
+
+def vectors(spark, sf) -> DataFrame:
+    """Stored vectors keyed like catalogue items: ``doc-{vec_id}``."""
+    e = table(spark, sf, "embeddings")
+    return e.select(F.concat(F.lit("doc-"), F.col("vec_id").cast("string")).alias("id"),
+                    F.col("embedding").alias("vector"), "label", "vec_id")
+
+
+def centroids(spark, sf) -> DataFrame:
+    """One query vector per label: the mean embedding (aggregated per label and position)."""
+    e = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("_i", "_x"))
+    m = e.groupBy("label", "_i").agg(F.avg("_x").alias("_m"))
+    return m.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_m"))),
+                                              lambda s: s["_m"]).alias("q"))
+
+
+_Q = """
+q AS (SELECT list(m ORDER BY i) AS q FROM (
+        SELECT i, avg(e) AS m FROM (
+          SELECT unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i
+          FROM embeddings WHERE label = {label}) GROUP BY i)),
+s AS (SELECT 'doc-' || CAST(vec_id AS VARCHAR) AS id,
+             list_dot_product(CAST(embedding AS DOUBLE[]), q)
+               / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))
+                  * sqrt(list_dot_product(q, q)) + 1e-10) AS score
+      FROM embeddings, q),
+d AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS id, substr(text, 1, 80) AS title, source,
+             '' AS date_iso, substr(text, 1, 150) AS description,
+             'https://docs.example/' || CAST(doc_id AS VARCHAR) AS url FROM documents)"""
+
+
+@register("semantic_topk", "WITH" + _Q.format(label=3) + """
+SELECT d.id, title, source, date_iso, description, url, round(score, 4) AS score
+FROM s JOIN d USING (id) WHERE score >= 0.0
+ORDER BY s.score DESC, d.id LIMIT 10""")
+def semantic_topk(spark, sf):
+    vec = vectors(spark, sf)
+    q = V.mean_vector(vec.filter(F.col("label") == 3), "vector")
+    cat = papers_from_documents(table(spark, sf, "documents"))
+    return V.semantic_search(vec, cat, q, k=10, min_score=0.0)
+
+
+@register("semantic_view", "WITH" + _Q.format(label=7) + """
+SELECT d.id, title, source, date_iso, description, url, round(score, 4) AS score
+FROM s JOIN d USING (id) WHERE score >= 0.3""")
+def semantic_view(spark, sf):
+    vec = vectors(spark, sf)
+    q = V.mean_vector(vec.filter(F.col("label") == 7), "vector")
+    scored = V.score_against(vec.select("id", "vector"), q).filter(F.col("score") >= 0.3)
+    cat = papers_from_documents(table(spark, sf, "documents"))
+    return V.semantic_view(V.hits_to_items(scored.select("id", "score"), cat))
+
+
+@register("semantic_batch", """
+WITH c AS (SELECT label, list(m ORDER BY i) AS q FROM (
+             SELECT label, i, avg(e) AS m FROM (
+               SELECT label, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings)
+             GROUP BY label, i) GROUP BY label),
+s AS (SELECT c.label, CAST(vec_id AS VARCHAR) AS vec_id,
+             list_dot_product(CAST(embedding AS DOUBLE[]), q)
+               / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))
+                  * sqrt(list_dot_product(q, q)) + 1e-10) AS score
+      FROM c, embeddings e)
+SELECT CAST(label AS VARCHAR) AS label, vec_id, round(score, 6) AS score,
+       CAST(row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s QUALIFY rank <= 5""")
+def semantic_batch(spark, sf):
+    # Top-5 vectors for each label centroid, exact, blockwise
+    e = table(spark, sf, "embeddings")
+    t = V.topk_join(centroids(spark, sf), e, 5, "label", "q", "vec_id", "embedding", block_rows=128)
+    return t.select(F.col("q_id").alias("label"), F.col("c_id").alias("vec_id"),
+                    F.round("score", 6).alias("score"), "rank")
+
+
+@register("semantic_cross", """
+WITH s AS (
+  SELECT a.label, CAST(a.vec_id AS VARCHAR) AS vec_id, CAST(b.vec_id AS VARCHAR) AS match_id,
+         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
+           / (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])))
+              * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) + 1e-10)
+           AS score
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id)
+SELECT label, vec_id, match_id, round(score, 6) AS score FROM s
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, match_id) = 1""")
+def semantic_cross(spark, sf):
+    # Every vector's best match among the other vectors of its label
+    e = table(spark, sf, "embeddings")
+    t = V.topk_join(e, e, 1, "vec_id", "embedding", "vec_id", "embedding", group="label",
+                    exclude_self=True, block_rows=64)
+    return t.select("label", F.col("q_id").alias("vec_id"), F.col("c_id").alias("match_id"),
+                    F.round("score", 6).alias("score"))
+
+
+def _text_items(spark, sf) -> DataFrame:
+    docs = papers_from_documents(table(spark, sf, "documents"))
+    labels = table(spark, sf, "labels").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("id"), "quality", "toxic")
+    j = docs.join(labels, "id", "left")
+    tags = F.concat(F.col("tags"), F.when(F.col("toxic") == 1, F.array(F.lit("toxic")))
+                    .otherwise(F.array().cast("array<string>")))
+    return j.select("id", "title", "description", tags.alias("tags"))
+
+
+@register("embedding_text", """
+WITH j AS (SELECT 'doc-' || CAST(d.doc_id AS VARCHAR) AS id, substr(text, 1, 80) AS title, text AS description,
+                  CASE WHEN toxic = 1 THEN [lang, source, 'toxic'] ELSE [lang, source] END AS tags
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+t AS (SELECT id, regexp_replace(array_to_string(list_filter([coalesce(title, ''), coalesce(description, ''),
+                                                              array_to_string(tags, ' ')], lambda p: p <> ''), ' | '),
+                               '^\\s+|\\s+$', '', 'g') AS txt FROM j)
+SELECT id, CASE WHEN txt = '' THEN id ELSE txt END AS text FROM t""")
+def embedding_text(spark, sf):
+    it = _text_items(spark, sf)
+    return it.select("id", V.embedding_text().alias("text"))
+
+
+@register("embed_hashing")
+def embed_hashing(spark, sf):
+    # V3 with the offline hashing embedder; no SQL oracle (unit tests fix vectors)
+    it = _text_items(spark, sf).select("id", "title", V.embedding_text().alias("text"))
+    out = V.embed(it, V.hashing_embedder(64), text_col="text", batch=50)
+    return out.select("id", "model", "ok", F.size("vector").alias("dim"),
+                      F.round(V.norm("vector"), 3).alias("norm"))
