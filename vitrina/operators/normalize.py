@@ -76,13 +76,17 @@ def normalize_papers(raw: DataFrame, bundles: DataFrame, source: str = PAPER_SOU
     )
 
 
-def normalize_reports(raw: DataFrame, bundles: DataFrame, system_pages: list[str] | None = None,
+def normalize_reports(raw: DataFrame, bundles: DataFrame, system_pages: list[str] | DataFrame | None = None,
                       source: str = REPORT_SOURCE, prefix: str = REPORT_PREFIX,
                       url_base: str = X.REPORT_URL_BASE) -> DataFrame:
     """Reports (N2): system pages dropped, url fallback, geography from the slug."""
     spark = raw.sparkSession
-    sys_ids = spark.createDataFrame([(s,) for s in (system_pages or SYSTEM_PAGES)], "id string")
-    kept = raw.join(F.broadcast(sys_ids), "id", "left_anti")  # F8; fixed 6-row list
+    if isinstance(system_pages, DataFrame):
+        # a system-page table of unknown size: the join strategy is AQE's
+        kept = raw.join(system_pages.select(F.col(system_pages.columns[0]).alias("id")), "id", "left_anti")
+    else:
+        sys_ids = spark.createDataFrame([(s,) for s in (system_pages or SYSTEM_PAGES)], "id string")
+        kept = raw.join(F.broadcast(sys_ids), "id", "left_anti")  # F8; fixed list of 6 ids
     j = with_bundle(kept, bundles)
     content = F.col("_content")
     geo = X.geography_from_slug("id")
@@ -220,3 +224,12 @@ def build_catalog(*dfs: DataFrame, conform: bool = False) -> DataFrame:
                         .cast(f.dataType).alias(f.name))
         out = out.select(*cols)
     return out
+
+
+def code_map(pages: DataFrame, md_col: str = "md") -> DataFrame:
+    """Code-to-name pairs from Markdown table rows ``| **CODE** | name |``."""
+    pat = r"\|\s*\*\*(\w+)\*\*\s*\|\s*([^|]+?)\s*\|"
+    codes = F.regexp_extract_all(F.col(md_col), F.lit(pat), 1)
+    names = F.regexp_extract_all(F.col(md_col), F.lit(pat), 2)
+    z = pages.select(F.explode(F.arrays_zip(codes.alias("code"), names.alias("name"))).alias("_z"))
+    return z.select(F.col("_z")["code"].alias("code"), X.strip_ws(F.col("_z")["name"]).alias("name"))

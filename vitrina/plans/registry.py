@@ -31,5 +31,5 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load_all() -> None:
     """Import every query module so their ``register`` calls run."""
     from vitrina.plans import (  # noqa: F401
-        q_catalog, q_text, q_series, q_quality, q_vectors, q_lookup, q_incremental, q_io,
+        q_catalog, q_text, q_series, q_quality, q_vectors, q_lookup, q_normalize, q_incremental, q_io,
     )
