@@ -26,6 +26,8 @@ CATALOG_EXTENSIONS = [
 ]
 CATALOG = T.StructType(CATALOG_COMMON + CATALOG_EXTENSIONS)
 CATALOG_FIELDS = [f.name for f in CATALOG.fields]
+# As stored by the catalogue sink: plus the folded search text of F5.
+CATALOG_STORED = T.StructType(CATALOG.fields + [_f("text_folded", S)])
 
 PAPER_RAW = T.StructType([
     _f("id", S), _f("url", S), _f("lastmod", S), _f("title", S), _f("author_raw", S),
