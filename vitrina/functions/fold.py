@@ -62,8 +62,12 @@ def fold(c: Column | str) -> Column:
     """Accent-fold a string column with native expressions only."""
     col = F.col(c) if isinstance(c, str) else c
     matching, replace, expansions = fold_tables()
+    expanded = col
     for src, dst in expansions:
-        col = F.replace(col, F.lit(src), F.lit(dst))
+        expanded = F.replace(expanded, F.lit(src), F.lit(dst))
+    # the replace chain only runs on the rare text that holds such a character
+    klass = "[" + "".join(ch for ch, _ in expansions) + "]"
+    col = F.when(col.rlike(klass), expanded).otherwise(col)
     return F.translate(col, matching, replace)
 
 

@@ -42,9 +42,14 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# ASCII whitespace, the set of Java's and RE2's ``\s`` (Python's ``strip``
+# also removes Unicode spaces such as U+00A0; see README, known deviations).
+WHITESPACE = " \t\n\x0b\x0c\r"
+
+
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()``: drop leading/trailing whitespace incl. newlines."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """``str.strip()`` on ASCII whitespace, newlines included (a char trim, no regex)."""
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -60,11 +65,15 @@ def or_else(*cols: Column | str) -> Column:
 # ---------------------------------------------------------------------------
 # X1 / X2 dates
 # ---------------------------------------------------------------------------
+# English month names, the only ones ``%B`` accepts in the C locale.
+C_LOCALE_MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august",
+                   "september", "october", "november", "december"]
+_M = "(?i:" + "|".join(C_LOCALE_MONTHS) + ")"
 _ISO_DT = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)?$"
 _ISO_D = r"^\d{4}-\d{1,2}-\d{1,2}$"
-_D_MONTH_Y = r"^\d{1,2} [A-Za-z]+ \d{4}$"
-_D_DE_MONTH_DE_Y = r"^\d{1,2} de [A-Za-z]+ de \d{4}$"
-_MONTH_Y = r"^[A-Za-z]+ \d{4}$"
+_D_MONTH_Y = r"^\d{1,2} " + _M + r" \d{4}$"
+_D_DE_MONTH_DE_Y = r"^\d{1,2} de " + _M + r" de \d{4}$"
+_MONTH_Y = "^" + _M + r" \d{4}$"
 
 
 def _ymd(ts: Column) -> Column:
@@ -80,6 +89,10 @@ def parse_date_iso(c: Column | str) -> Column:
     ``YYYY`` (Jan 1).  Month names are English, as in the C locale.  Then the
     first four-digit run anywhere, then the first 10 characters.  Null and
     ``''`` give ``''``.
+
+    Each parse is guarded by a regular expression of its exact shape (month
+    names spelled out), so ``try_to_timestamp`` runs only on text it almost
+    always accepts: a failing parse is far dearer than a regex test.
     """
     raw = _c(c)
     s = strip_ws(raw)

@@ -219,6 +219,15 @@ def _with_keys(fn, a: pd.DataFrame, b: pd.DataFrame, g: str) -> pd.DataFrame:
 # ---------------------------------------------------------------------------
 _TOKEN = re.compile(r"\w+", re.UNICODE)
 
+try:  # a fast C hash when installed; the same 64-bit value family either way is not required
+    import xxhash
+
+    def _hash64(tok: str) -> int:
+        return xxhash.xxh64_intdigest(tok.encode("utf-8"))
+except ImportError:  # pragma: no cover
+    def _hash64(tok: str) -> int:
+        return int.from_bytes(hashlib.blake2b(tok.encode("utf-8"), digest_size=8).digest(), "little")
+
 
 def hashing_embedder(dim: int = 256) -> Callable[[list[str]], list[list[float]]]:
     """Offline default embedder: signed feature hashing of lower-case word
@@ -228,7 +237,7 @@ def hashing_embedder(dim: int = 256) -> Callable[[list[str]], list[list[float]]]
         for t in texts:
             v = np.zeros(dim, dtype=np.float64)
             for tok in _TOKEN.findall((t or "").lower()):
-                h = int.from_bytes(hashlib.blake2b(tok.encode("utf-8"), digest_size=8).digest(), "little")
+                h = _hash64(tok)
                 v[h % dim] += 1.0 if (h >> 63) & 1 else -1.0
             n = np.linalg.norm(v)
             out.append((v / n if n > 0 else v).astype(np.float32).tolist())
