@@ -58,6 +58,19 @@ def fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(pairs_from) + "".join(deleted), "".join(pairs_to), tuple(expansions)
 
 
+def _char_class(cps: list[int]) -> str:
+    """A regex character class with consecutive code points merged into ranges."""
+    cps = sorted(set(cps))
+    parts, start = [], None
+    for i, cp in enumerate(cps):
+        if start is None:
+            start = cp
+        if i + 1 == len(cps) or cps[i + 1] != cp + 1:
+            parts.append(chr(start) if start == cp else f"{chr(start)}-{chr(cp)}")
+            start = None
+    return "[" + "".join(parts) + "]"
+
+
 def fold(c: Column | str) -> Column:
     """Accent-fold a string column with native expressions only."""
     col = F.col(c) if isinstance(c, str) else c
@@ -65,9 +78,16 @@ def fold(c: Column | str) -> Column:
     expanded = col
     for src, dst in expansions:
         expanded = F.replace(expanded, F.lit(src), F.lit(dst))
-    # the replace chain only runs on the rare text that holds such a character
-    klass = "[" + "".join(ch for ch, _ in expansions) + "]"
-    col = F.when(col.rlike(klass), expanded).otherwise(col)
+    # The replace chain runs only on the rare text holding such a character.
+    # A scan for a scattered character class is slow on long texts, so a
+    # cheap superset test (one contiguous range, exits at the first hit)
+    # comes first and the exact class is tested only on what passes it.
+    cps = sorted(ord(ch) for ch, _ in expansions)
+    low = [cp for cp in cps if cp < 0x500]
+    wide = _char_class(list(range(low[0], low[-1] + 1)) + [cp for cp in cps if cp >= 0x500]) if low \
+        else _char_class(cps)
+    exact = _char_class(cps)
+    col = F.when(col.rlike(wide), F.when(col.rlike(exact), expanded).otherwise(col)).otherwise(col)
     return F.translate(col, matching, replace)
 
 
