@@ -60,9 +60,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, quarantine:
 
 
 def quarantined(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Only the malformed lines of a JSON-lines input, with their file."""
+    """Only the malformed lines of a JSON-lines input, with their file.
+
+    The first schema field is kept beside the raw line: Spark refuses a scan
+    that references nothing but the corrupt-record column.
+    """
     df = read_jsonl(spark, path, schema, quarantine=True)
-    return df.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_path").alias("file"), CORRUPT)
+    first = schema.fieldNames()[0]
+    return df.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_path").alias("file"), first, CORRUPT)
 
 
 def read_tables(spark: SparkSession, path: str) -> DataFrame:
@@ -105,7 +110,7 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 def bad_series_files(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.schema(_with_corrupt(SC.SERIES_FILE)).option("multiLine", True)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return raw.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_path").alias("file"))
+    return raw.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_path").alias("file"), "flow")
 
 
 def read_stat_series(spark: SparkSession, path: str) -> DataFrame:
