@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "vitrina") -> SparkSession:
+              app_name: str = "vitrina", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
     On a cluster the master and the shuffle width come from spark-submit; the
@@ -32,6 +32,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # only effective before the JVM starts (local mode)
+        builder = builder.config("spark.driver.memory", driver_memory)
     return builder.getOrCreate()
 
 
