@@ -135,3 +135,28 @@ def test_series_api_url(spark):
 def test_source_of_id(spark):
     assert one(spark, X.source_of_id(F.lit("bbva-espa-a"), ["funcas", "bbva", "ine"])) == "bbva"
     assert one(spark, X.source_of_id(F.lit("ecb-ICP-0001"), ["funcas", "bbva", "ine"])) is None
+
+
+def test_report_listing_blocks(spark):
+    from vitrina.operators.lines import report_listing
+    md = ("Intro line\n### España | La inflación baja\n13 Noviembre 2020 texto\n"
+          "ver https://www.bbvaresearch.com/publicaciones/la-inflacion/ y mas\n"
+          "## Global | Big data\nCon técnicas Big Data\n01 march 2021\n### \n")
+    df = spark.createDataFrame([("p1", md)], "page string, md string")
+    rows = {r["block"]: r for r in report_listing(df, "page", "md", "www.bbvaresearch.com").collect()}
+    a, b = rows[1], rows[2]
+    assert (a["title"], a["date_raw"], a["geography"]) == ("España | La inflación baja", "13 noviembre 2020", "España")
+    assert a["url"] == "https://www.bbvaresearch.com/publicaciones/la-inflacion/" and a["technique"] is None
+    assert (b["title"], b["date_raw"], b["technique"]) == ("Global | Big data", "01 march 2021", "big-data")
+    assert 3 not in rows  # a heading without title is not a block
+
+
+def test_paper_listing_blocks(spark):
+    from vitrina.operators.lines import paper_listing
+    md = ("# Publicaciones\n## [Primer documento](https://p.example/a/)\nAna Uno, Luis Dos\nFecha: Junio 2010\n"
+          "Descarga el PDF\n## [Segundo](https://p.example/b/)\n**Fecha:** 3 marzo 2021\n")
+    df = spark.createDataFrame([("l", md)], "page string, md string")
+    rows = {r["block"]: r for r in paper_listing(df, "page", "md").collect()}
+    assert (rows[1]["title"], rows[1]["url"], rows[1]["date"], rows[1]["author_raw"]) == \
+        ("Primer documento", "https://p.example/a/", "Junio 2010", "Ana Uno, Luis Dos")
+    assert (rows[2]["date"], rows[2]["author_raw"]) == ("Marzo 2021", None)

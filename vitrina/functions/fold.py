@@ -87,8 +87,11 @@ def fold(c: Column | str) -> Column:
     wide = _char_class(list(range(low[0], low[-1] + 1)) + [cp for cp in cps if cp >= 0x500]) if low \
         else _char_class(cps)
     exact = _char_class(cps)
+    col0 = col
     col = F.when(col.rlike(wide), F.when(col.rlike(exact), expanded).otherwise(col)).otherwise(col)
-    return F.translate(col, matching, replace)
+    # pure ASCII text folds to itself: skip the work (the test stops at the
+    # first non-ASCII character, so it is cheap on accented text too)
+    return F.when(col0.rlike("[^\\x00-\\x7f]"), F.translate(col, matching, replace)).otherwise(col0)
 
 
 @F.pandas_udf(T.StringType())

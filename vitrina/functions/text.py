@@ -95,21 +95,29 @@ def parse_date_iso(c: Column | str) -> Column:
     always accepts: a failing parse is far dearer than a regex test.
     """
     raw = _c(c)
-    s = strip_ws(raw)
-    s1 = F.regexp_replace(s, r"\s+", " ")  # strptime matches any whitespace run
-    stamp = F.regexp_replace(s, r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)$", "")
-    attempts = [
-        F.when(s.rlike(_ISO_DT), _ymd(F.try_to_timestamp(stamp, F.lit("yyyy-M-d'T'H:m:s")))),
-        F.when(s.rlike(_ISO_D), _ymd(F.try_to_timestamp(s, F.lit("yyyy-M-d")))),
-        F.when(s1.rlike(_D_MONTH_Y), _ymd(F.try_to_timestamp(s1, F.lit("d MMMM yyyy")))),
-        F.when(s1.rlike(_D_DE_MONTH_DE_Y),
-               _ymd(F.try_to_timestamp(s1, F.lit("d 'de' MMMM 'de' yyyy")))),
-        F.when(s1.rlike(_MONTH_Y), _ymd(F.try_to_timestamp(s1, F.lit("MMMM yyyy")))),
-        F.when(s.rlike(r"^\d{4}$") & (s != "0000"), F.concat(s, F.lit("-01-01"))),
-        blank_to_null(F.regexp_extract(raw, r"(\d{4})", 1)),
-    ]
-    return F.when(raw.isNull() | (raw == ""), F.lit("")).otherwise(
-        F.coalesce(*attempts, F.substring(raw, 1, 10)))
+    stripped = strip_ws(raw)
+    # the stripped and the space-collapsed texts are bound once per row (a
+    # lambda variable) instead of being recomputed inside every branch
+    bound = F.struct(raw.alias("raw"), stripped.alias("s"),
+                     F.regexp_replace(stripped, r"\s+", " ").alias("s1"))  # strptime: any whitespace run
+
+    def parse(v):
+        r, s, s1 = v["raw"], v["s"], v["s1"]
+        stamp = F.regexp_replace(s, r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)$", "")
+        attempts = [
+            F.when(s.rlike(_ISO_DT), _ymd(F.try_to_timestamp(stamp, F.lit("yyyy-M-d'T'H:m:s")))),
+            F.when(s.rlike(_ISO_D), _ymd(F.try_to_timestamp(s, F.lit("yyyy-M-d")))),
+            F.when(s1.rlike(_D_MONTH_Y), _ymd(F.try_to_timestamp(s1, F.lit("d MMMM yyyy")))),
+            F.when(s1.rlike(_D_DE_MONTH_DE_Y),
+                   _ymd(F.try_to_timestamp(s1, F.lit("d 'de' MMMM 'de' yyyy")))),
+            F.when(s1.rlike(_MONTH_Y), _ymd(F.try_to_timestamp(s1, F.lit("MMMM yyyy")))),
+            F.when(s.rlike(r"^\d{4}$") & (s != "0000"), F.concat(s, F.lit("-01-01"))),
+            blank_to_null(F.regexp_extract(r, r"(\d{4})", 1)),
+        ]
+        return F.coalesce(*attempts, F.substring(r, 1, 10))
+
+    parsed = F.element_at(F.transform(F.array(bound), parse), 1)
+    return F.when(raw.isNull() | (raw == ""), F.lit("")).otherwise(parsed)
 
 
 def epoch_ms_date(c: Column | str, tz: str = "UTC") -> Column:

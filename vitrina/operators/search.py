@@ -66,8 +66,11 @@ def text_matches(t: str, title: Column | str = "title", description: Column | st
     from vitrina.functions.fold import fold_py
     t_plain = fold_py(t_lower)
     h = haystack(title, description)
-    hf = _c(folded) if folded is not None else fold(h)
-    return h.contains(t_lower) | hf.contains(t_plain)
+    if folded is not None:
+        return h.contains(t_lower) | _c(folded).contains(t_plain)
+    # bind the (long) haystack once per row: the fold refers to it several
+    # times inside conditional branches, which are not de-duplicated
+    return F.exists(F.array(h), lambda x: x.contains(t_lower) | fold(x).contains(t_plain))
 
 
 def has_all_tags(c: Column | str, tags: list[str]) -> Column:

@@ -154,3 +154,17 @@ def catalog_order(spark, sf):
     from pyspark.sql import Window
     w = Window.orderBy(F.col("date_iso").desc(), F.col("id"))
     return top.select("id", "date_iso", F.row_number().over(w).cast("bigint").alias("rank"))
+
+
+@register("json_results", WITH + f"""
+SELECT id, title, array_to_string(tags, '|') AS tags, date_iso FROM cat
+WHERE list_has_all(list_transform(tags, lambda x: lower(x)), ['o', '1-urgent'])
+ORDER BY date_iso DESC, id LIMIT 25""")
+def json_results(spark, sf):
+    # M6: search results rendered as JSON text, then read back field by field
+    from vitrina.operators.nested import to_json_result
+    hits = S.search(virtual_catalog(spark, sf), limit=25, tags=["O", "1-URGENT"])
+    js = to_json_result(hits, ["id", "title", "date_iso", "tags"])
+    parsed = F.from_json("json", "id string, title string, date_iso string, tags array<string>")
+    return js.select(parsed.alias("r")).select("r.id", "r.title", F.array_join("r.tags", "|").alias("tags"),
+                                               "r.date_iso")
