@@ -124,9 +124,16 @@ def semantic_search(vectors: DataFrame, catalog: DataFrame, q: Column, k: int =
     negative cosines; zero vectors score 0 and pass); ties go to the lower id.
     """
     scored = score_against(vectors.select(key, vec_col), q, vec_col).filter(F.col("score") >= min_score)
-    items = hits_to_items(scored.select(key, "score"), catalog, key)
-    top = items.orderBy(F.col("score").desc(), F.col(key).asc()).limit(k)
-    return semantic_view(top)
+    # Only the id column of the catalogue takes part in ranking: hits without
+    # an item drop out (semi-join on distinct ids) before the top-k, so they
+    # never use up k.  Item details are then fetched for the k winners only,
+    # through a broadcast of at most k ids.
+    ids = catalog.select(key).distinct()
+    top = (scored.select(key, "score").join(ids, key, "left_semi")
+           .orderBy(F.col("score").desc(), F.col(key).asc()).limit(k))
+    wanted = catalog.join(F.broadcast(top.select(key)), key, "left_semi")
+    items = hits_to_items(top, wanted, key)
+    return semantic_view(items.orderBy(F.col("score").desc(), F.col(key).asc()))
 
 
 # ---------------------------------------------------------------------------
