@@ -43,17 +43,23 @@ def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     partitioned on (group, order), so a hot group spans many partitions;
     each row's position is its index inside its partition plus the number of
     rows of its group in earlier partitions (a table of one row per
-    partition and group).  Both branches read the same range exchange
-    (Spark reuses it), and the sort inside each partition is total, so
-    indices are identical on recomputation after a lost executor.
+    partition and group).  The tagged rows are checkpointed to the shared
+    checkpoint folder, so both branches (and any recomputation after a lost
+    executor) read the same partition ids and indices.
     """
+    from vitrina.session import checkpoint_dir
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
+    checkpoint_dir(spark)
+    # The partition id and in-partition index are materialised once (a
+    # reliable checkpoint in the shared folder): AQE may coalesce a shuffle
+    # differently for each reader, so both branches must read stored values.
     tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+              .checkpoint(eager=True))
     counts = tagged.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
                                                      F.min("_local").alias("_first"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,7 +98,9 @@ def concat_listings(listings: dict[str, DataFrame], url_col: str = "source_url")
 def prefer_first(dfs: list[DataFrame], key: list[str]) -> DataFrame:
     """Per key, rows from the first frame that has the key.
 
-    Union with a priority column, then ``min_by`` per key (partial aggregate).
+    Union with a priority column, the least priority per key (a partial
+    aggregate), then a join keeps the rows of that frame; AQE splits a hot
+    key of the join.
     """
     tagged = [df.withColumn("_prio", F.lit(i)) for i, df in enumerate(dfs)]
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)

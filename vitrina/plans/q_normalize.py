@@ -164,7 +164,7 @@ rr AS (
                              '[^a-z0-9]+', '-', 'g'), '-') AS id,
          regexp_extract(url, '^[a-z]+://[^/?#]+/([A-Za-z]{2})(?:[/?#]|$)', 1) AS geography FROM pages),
 rb AS (
-  SELECT id, '---' || chr(10) || 'okf_version: "1.0.0"' || chr(10) || 'title: "' || replace(title, '"', '''') || '"'
+  SELECT id, geography AS geo_page, '---' || chr(10) || 'okf_version: "1.0.0"' || chr(10) || 'title: "' || replace(title, '"', '''') || '"'
     || chr(10) || 'description: ""' || chr(10) || 'source: "BBVA Research"' || chr(10) || 'type: "informe"' || chr(10)
     || 'geography: "' || geography || '"' || chr(10) || 'technique: ""' || chr(10) || 'date: ""' || chr(10)
     || 'url: "' || url || '"' || chr(10) || 'pdf_url: ""' || chr(10)
@@ -187,7 +187,7 @@ def report_bundle(spark, sf):
 @register("normalize_reports", "WITH" + _REPORT_SQL + r""",
 raw AS (SELECT id, title, CASE WHEN geography = 'en' THEN url ELSE '' END AS url FROM rr),
 sys AS (SELECT DISTINCT id FROM rr WHERE contains(url, 'spam-farm')),
-b AS (SELECT * FROM rb WHERE id IN (SELECT id FROM rr WHERE geography = 'es')),
+b AS (SELECT id, content FROM rb WHERE geo_page = 'es'),
 j AS (SELECT raw.*, b.content FROM raw LEFT JOIN b USING (id) WHERE raw.id NOT IN (SELECT id FROM sys)),
 k AS (SELECT *, CASE WHEN contains(lower(id), 'espana') OR contains(lower(id), 'españa')
                           OR contains(lower(id), 'espa-a') THEN 'España'
