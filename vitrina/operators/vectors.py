@@ -88,16 +88,19 @@ def hits_to_items(hits: DataFrame, catalog: DataFrame, key: str = "id",
                   order: Column | str | None = None) -> DataFrame:
     """Inner join of scored hits to catalogue items, first item per duplicate id.
 
-    The catalogue is deduplicated with a ``min``-based aggregate (partial,
-    skew-safe) before the join; hits without an item drop out before any
-    limit, so they never use up k.
+    Catalogue rows of the hit ids are deduplicated with a ``min``-based
+    aggregate (partial, skew-safe) before the join; hits without an item drop
+    out before any limit, so they never use up k.
     """
     cols = [c for c in catalog.columns if c != key]
     if order is None:
         pick = F.min(F.struct(*cols))  # deterministic: the least whole row
     else:
         pick = F.min_by(F.struct(*cols), _c(order))
-    first = catalog.groupBy(key).agg(pick.alias("_it"))
+    # only catalogue rows whose id was hit are deduplicated; the semi-join,
+    # the aggregate and the final join all use the same id partitioning
+    wanted = catalog.join(hits.select(key).distinct(), key, "left_semi")
+    first = wanted.groupBy(key).agg(pick.alias("_it"))
     first = first.select(key, *[F.col("_it")[c].alias(c) for c in cols])
     return hits.join(first, key, "inner")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrina import schemas as SC
 from vitrina.plans.catalog import CATALOG_SQL, virtual_catalog
-from vitrina.plans.q_normalize import _PAPER_SQL, op_tables, paper_bundles
+from vitrina.plans.q_normalize import _PAPER_SQL, paper_bundles
 from vitrina.plans.registry import register
 from vitrina.session import scratch_path
 from vitrina.sources import readers as RD
@@ -31,12 +31,19 @@ def roundtrip_jsonl(spark, sf):
 
 
 @register("roundtrip_tables", """
-SELECT o_custkey AS op_id, o_orderkey AS Id, 'Order ' || CAST(o_orderkey AS VARCHAR) AS Nombre,
+SELECT CAST(year(o_orderdate) AS BIGINT) AS op_id, o_orderkey AS Id, 'Order ' || CAST(o_orderkey AS VARCHAR) AS Nombre,
        epoch_ms(o_orderdate) AS Ultima_Modificacion FROM orders""")
 def roundtrip_tables(spark, sf):
-    t = op_tables(spark, sf)
+    # S2 layout: one folder per operation (here: order year, a handful of
+    # operations as in the statistics catalogue), op id read back from the path
+    o = table(spark, sf, "orders")
+    t = o.select(
+        F.year("o_orderdate").cast("bigint").alias("op_id"), F.col("o_orderkey").alias("Id"),
+        F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("Nombre"),
+        F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                         F.col("o_orderdate")).alias("Ultima_Modificacion"))
     path = _dir(spark, "tables")
-    t.write.mode("overwrite").partitionBy("op_id").json(path)
+    SK.write_partitioned(t, path, "op_id", "json")
     back = RD.read_tables(spark, path)
     return back.select("op_id", "Id", "Nombre", "Ultima_Modificacion")
 
