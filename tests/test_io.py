@@ -37,9 +37,9 @@ def test_tables_op_id_from_file_name(spark, tmp_dir):
 def test_bundles_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([("a-1", "---\ntitle: \"x\"\n---\n"), ("b", "línea 1\nlínea 2\n")],
                                "id string, content string")
-    rep = SK.write_bundles(df, f"{tmp_dir}/okf").collect()
+    rep = SK.write_bundles(df, f"{tmp_dir}/bundles").collect()
     assert sorted(r["id"] for r in rep) == ["a-1", "b"]
-    back = {r["id"]: r["content"] for r in RD.read_bundles(spark, f"{tmp_dir}/okf/*.md").collect()}
+    back = {r["id"]: r["content"] for r in RD.read_bundles(spark, f"{tmp_dir}/bundles/*.md").collect()}
     assert back == {r["id"]: r["content"] for r in df.collect()}
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vitrina.functions import text as X
 
 # Bundle format constants.
-OKF_VERSION = "1.0.0"
+BUNDLE_FORMAT_VERSION = "1.0.0"
 NO_AUTHORS = "No especificado"
 PAPER_BODY_NOTE = "Documento de investigación económica publicado por Funcas."
 DATASET_LICENSE = "CC BY-SA 4.0"
@@ -71,7 +71,7 @@ def render_paper_bundle(df: DataFrame) -> DataFrame:
     authors_txt = F.when(F.size(authors) > 0, F.array_join(authors, ", ")).otherwise(F.lit(NO_AUTHORS))
     url, pdf = F.coalesce(F.col("url"), F.lit("")), F.coalesce(F.col("pdf_url"), F.lit(""))
     content = _lines(
-        '---\nokf_version: "', OKF_VERSION, '"\ntitle: "', title, '"\ndescription: "',
+        '---\nokf_version: "', BUNDLE_FORMAT_VERSION, '"\ntitle: "', title, '"\ndescription: "',
         F.substring(desc, 1, 500), '"\nsource: "Funcas"\ntype: "', dtype, '"\nauthors: ', json_list(authors),
         '\ndate: "', F.coalesce(F.col("date_iso"), F.lit("")), '"\npublished: "',
         F.coalesce(F.col("published"), F.lit("")), '"\nlang: "es"\nurl: "', url, '"\npdf_url: "', pdf,
@@ -99,7 +99,7 @@ def render_report_bundle(df: DataFrame) -> DataFrame:
     url = F.coalesce(F.col("url"), F.lit(""))
     date_raw = F.coalesce(F.col("date_raw"), F.lit(""))
     content = _lines(
-        '---\nokf_version: "', OKF_VERSION, '"\ntitle: "', title, '"\ndescription: "', F.substring(desc, 1, 500),
+        '---\nokf_version: "', BUNDLE_FORMAT_VERSION, '"\ntitle: "', title, '"\ndescription: "', F.substring(desc, 1, 500),
         '"\nsource: "BBVA Research"\ntype: "', F.coalesce(F.col("type"), F.lit("informe")),
         '"\ngeography: "', geo, '"\ntechnique: "', tech, '"\ndate: "', date_raw, '"\nurl: "', url,
         '"\npdf_url: "', F.coalesce(F.col("pdf_url"), F.lit("")), '"\ntags: ', json_list(tags),
@@ -142,7 +142,7 @@ def render_dataset_bundle(ops: DataFrame, tables: DataFrame, series_counts: Data
         r["Id"].cast("string"), F.lit(") (id="), r["Id"].cast("string"), F.lit(")\n"))), "")
     ns, nv = F.coalesce(F.col("n_series"), F.lit(0)).cast("string"), F.coalesce(F.col("n_values"), F.lit(0)).cast("string")
     content = _lines(
-        '---\nokf_version: "', OKF_VERSION, '"\ntitle: "', name, '"\ndescription: "Operación estadística del INE: ',
+        '---\nokf_version: "', BUNDLE_FORMAT_VERSION, '"\ntitle: "', name, '"\ndescription: "Operación estadística del INE: ',
         name, ". ", n, " tablas disponibles con ", ns, " series y ", nv, ' valores."\nsource: "INE"\ntype: "dataset"\n'
         "operation_id: ", oid, '\noperation_code: "', code, '"\ntables_count: ', n, "\nseries_count: ", ns,
         "\nvalues_count: ", nv, "\ntags: ", json_list(kw), '\nlicense: "', DATASET_LICENSE, '"\nurl: "', DATASET_URL,
