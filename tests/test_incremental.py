@@ -45,3 +45,18 @@ def test_stream_refresh_processes_only_new_files(spark):
     I.stream_refresh(spark, f"{base}/in", sch, f"{base}/out", f"{base}/ckpt", "id", "ts")
     out = sorted(r["id"] for r in spark.read.parquet(f"{base}/out").collect())
     assert out == [1, 2, 3]  # old files not re-read; id 1 deduplicated within the watermark
+
+
+def test_stream_upsert_versions(spark):
+    base = scratch_path(spark, f"t-upsert-{uuid.uuid4().hex}")
+    schema = "id string, lastmod string"
+    spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01")], schema).write.parquet(f"{base}/in")
+    sch = spark.read.parquet(f"{base}/in").schema
+    I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod")
+    first = I.current_version(spark, f"{base}/t")
+    spark.createDataFrame([("a", "2024-02-01"), ("b", "2023-01-01"), ("c", "2024-01-03")], schema) \
+        .write.mode("append").parquet(f"{base}/in")
+    I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod")
+    assert I.current_version(spark, f"{base}/t") != first
+    got = {r["id"]: r["lastmod"] for r in I.read_upserted(spark, f"{base}/t", sch).collect()}
+    assert got == {"a": "2024-02-01", "b": "2024-01-01", "c": "2024-01-03"}

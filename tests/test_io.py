@@ -107,3 +107,14 @@ def test_ref_tables(spark):
     assert RD.ref_table(spark, "high_value_datasets").count() == 17
     assert RD.ref_table(spark, "flow_labels").count() == 7
     assert RD.ref_table(spark, "system_pages").count() == 6
+
+
+def test_write_partitioned_splits_hot_key(spark, tmp_dir):
+    rows = [(1, i) for i in range(2500)] + [(2, 1), (3, 2)]
+    df = spark.createDataFrame(rows, "op_id bigint, Id bigint")
+    SK.write_partitioned(df, f"{tmp_dir}/t", "op_id", "json", rows_per_file=1000)
+    files = {k: [f for f in os.listdir(f"{tmp_dir}/t/op_id={k}") if f.startswith("part-")] for k in (1, 2, 3)}
+    assert len(files[2]) == 1 and len(files[3]) == 1
+    assert 1 < len(files[1]) <= 3  # ceil(2500 / 1000) salts for the hot key
+    back = RD.read_tables(spark, f"{tmp_dir}/t")
+    assert back.count() == len(rows) and back.filter("op_id = 1").count() == 2500

@@ -107,3 +107,22 @@ def stream_refresh(spark, sf):
     out = spark.read.schema(ev.schema).parquet(sink)
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
                                          F.countDistinct("event_id").alias("n_ids"))
+
+
+@register("stream_upsert", "WITH" + _SNAP + """,
+u AS (SELECT o_orderkey, lastmod, 0 AS prio FROM state UNION ALL SELECT o_orderkey, lastmod, 1 FROM cur)
+SELECT o_orderkey, lastmod FROM u
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY lastmod DESC, prio DESC) = 1""")
+def stream_upsert(spark, sf):
+    """T5 on a stream: the stored snapshot arrives first, the current crawl
+    second; each micro-batch is merged so the latest lastmod per order wins."""
+    state, cur = snapshots(spark, sf)
+    base = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
+    src, table_dir, ckpt = f"{base}/incoming", f"{base}/table", f"{base}/checkpoint"
+    cols = ["o_orderkey", "lastmod"]
+    state.select(*cols).write.mode("append").parquet(src)
+    schema = state.select(*cols).schema
+    I.stream_upsert(spark, src, schema, table_dir, ckpt, "o_orderkey", "lastmod")
+    cur.select(*cols).write.mode("append").parquet(src)
+    I.stream_upsert(spark, src, schema, table_dir, ckpt, "o_orderkey", "lastmod")
+    return I.read_upserted(spark, table_dir, schema)
