@@ -48,15 +48,14 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, quarantine: bool = False) -> DataFrame:
     """JSON lines with a fixed schema.
 
-    Blank lines are skipped by the JSON source; malformed lines land in
-    ``_corrupt_record`` (PERMISSIVE).  ``quarantine=True`` returns them too
-    (as rows with the column set); otherwise they are dropped.
+    Blank lines are skipped by the JSON source and malformed lines are dropped
+    (``DROPMALFORMED``); ``quarantined`` lists them.  ``quarantine=True``
+    instead returns every line with a ``_corrupt_record`` column (PERMISSIVE).
     """
-    df = (spark.read.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    if quarantine:
-        return df
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    if not quarantine:
+        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return (spark.read.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def quarantined(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

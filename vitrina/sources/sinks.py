@@ -30,17 +30,13 @@ def write_partitioned(df: DataFrame, path: str, key: str, fmt: str = "json",
                       rows_per_file: int = 1_000_000, mode: str = "overwrite") -> None:
     """One folder per ``key`` value with few, full files (S2 layout, K1).
 
-    A plain ``partitionBy`` makes up to (tasks x keys) small files.  Here rows
-    are shuffled by (key, salt): a key gets ``ceil(rows / rows_per_file)``
-    salts, so a small key is written by one task into one file and a hot key
-    is spread over several tasks instead of one.  The per-key counts are one
-    small aggregate.
+    A plain ``partitionBy`` makes up to (tasks x keys) small files.  The
+    ``rebalance`` hint shuffles rows by key so a key's rows meet in one task,
+    and lets AQE split a skewed key over several tasks and merge small ones
+    (advisory partition size); ``maxRecordsPerFile`` caps any single file.
     """
-    counts = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("_salts"))
-    salted = df.join(counts, key).withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salts")))
-    out = salted.repartition(key, "_salt").drop("_salts", "_salt")
-    w = out.write.mode(mode).partitionBy(key)
+    out = df.hint("rebalance", key)
+    w = out.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(key)
     (w.option("ignoreNullFields", False).json(path) if fmt == "json" else w.parquet(path))
 
 
