@@ -7,8 +7,8 @@ import __spark_entry__ as E
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["id", "source", "title", "date_iso", "description", "url", "tags", "type"]
-    assert df.count() >= 0
+    assert df.columns == ["source", "n", "first_id"]
+    assert df.count() > 0
 
 
 def test_registry_consistent():

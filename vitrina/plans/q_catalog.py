@@ -168,3 +168,16 @@ def json_results(spark, sf):
     parsed = F.from_json("json", "id string, title string, date_iso string, tags array<string>")
     return js.select(parsed.alias("r")).select("r.id", "r.title", F.array_join("r.tags", "|").alias("tags"),
                                                "r.date_iso")
+
+
+@register("flagship_by_source", WITH + f"""
+SELECT source, count(*) AS n, min(id) AS first_id FROM cat
+WHERE lower(type) = 'working_paper'
+  AND (contains({PLAIN}, 'tion') OR contains({FOLDED}, 'tion'))
+  AND list_has_all(list_transform(tags, lambda x: lower(x)), ['en'])
+GROUP BY source""")
+def flagship_by_source(spark, sf):
+    """Working papers in English that mention a term (plain or accent-folded), by source."""
+    cat = virtual_catalog(spark, sf)
+    hits = cat.filter(S.search_predicate(cat, tipo="working_paper", texto="tión", tags=["EN"]))
+    return hits.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
