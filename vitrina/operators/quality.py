@@ -49,11 +49,16 @@ def fanout_report(a: DataFrame, b: DataFrame, result: DataFrame, keys: list[str]
     missing = [k for k in keys if k not in result.columns]
     if missing:
         return _verdict_only(spark, f"key {missing[0]!r} not found in the result")
-    parts = [_metric(a, "n_a", F.count(F.lit(1))), _metric(b, "n_b", F.count(F.lit(1))),
-             _metric(result, "n_result", F.count(F.lit(1)))]
+    parts = [_metric(a, "n_a", F.count(F.lit(1))), _metric(b, "n_b", F.count(F.lit(1)))]
     if expected == "1:1":
-        dups = (result.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").limit(1))
-        parts.append(_metric(dups, "dup", F.count(F.lit(1))))
+        # one pass over the result: rows per key give both the size and the duplicates
+        per_key = result.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+        stats = per_key.agg(F.sum("c").alias("n"), F.max("c").alias("mx"))
+        parts.append(stats.select(F.lit("n_result").alias("m"), F.coalesce("n", F.lit(0)).cast("bigint").alias("v")))
+        parts.append(stats.select(F.lit("dup").alias("m"),
+                                  (F.coalesce("mx", F.lit(0)) > 1).cast("bigint").alias("v")))
+    else:
+        parts.append(_metric(result, "n_result", F.count(F.lit(1))))
     stacked = reduce(DataFrame.unionByName, parts)
     row = stacked.agg(*[F.max(F.when(F.col("m") == m, F.col("v"))).alias(m)
                         for m in ["n_a", "n_b", "n_result", "dup"]])
@@ -141,12 +146,13 @@ def file_hashes(spark: SparkSession, path_glob: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Q4-Q8
 # ---------------------------------------------------------------------------
-def id_collisions(df: DataFrame, id_col: str = "id", order_col: str | None = None) -> DataFrame:
-    """Ids shared by more than one item (Q4, D2/D14), with the count."""
+def id_collisions(df: DataFrame, id_col: str = "id", order_col: str | None = None,
+                  first_name: str | None = None) -> DataFrame:
+    """Ids shared by more than one item (Q4, D2/D14), with the count and,
+    given an order column, its least value (as ``first_name``)."""
     aggs = [F.count(F.lit(1)).alias("n")]
     if order_col:
-        aggs.append(F.min(order_col).alias(f"first_{order_col.split('_')[0]}"
-                                           if order_col != "page_id" else "first_page"))
+        aggs.append(F.min(order_col).alias(first_name or f"first_{order_col}"))
     return df.groupBy(id_col).agg(*aggs).filter(F.col("n") > 1)
 
 

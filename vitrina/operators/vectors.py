@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,10 +133,16 @@ def semantic_search(vectors: DataFrame, catalog: DataFrame, q: Column, k: int =
     # never use up k.  Item details are then fetched for the k winners only,
     # through a broadcast of at most k ids.
     ids = catalog.select(key).distinct()
+    # the k winners are kept (memory, spilling to disk; recomputed from
+    # lineage if lost) so the ranking runs once for its two readers
     top = (scored.select(key, "score").join(ids, key, "left_semi")
-           .orderBy(F.col("score").desc(), F.col(key).asc()).limit(k))
+           .orderBy(F.col("score").desc(), F.col(key).asc()).limit(k)
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    cols = [c for c in catalog.columns if c != key]
     wanted = catalog.join(F.broadcast(top.select(key)), key, "left_semi")
-    items = hits_to_items(top, wanted, key)
+    first = wanted.groupBy(key).agg(F.min(F.struct(*cols)).alias("_it"))
+    first = first.select(key, *[F.col("_it")[c].alias(c) for c in cols])
+    items = top.join(F.broadcast(first), key, "inner")
     return semantic_view(items.orderBy(F.col("score").desc(), F.col(key).asc()))
 
 
@@ -189,16 +196,22 @@ def topk_join(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_ve
                         F.col(q_id).cast("string").alias("q_id"), F.col(q_vec).alias("q_vec"))
     cd = candidates.select((F.col(group) if group else F.lit(0)).alias(g),
                            F.col(c_id).cast("string").alias("c_id"), F.col(c_vec).alias("c_vec"))
-    # blocks per group from the group sizes (one row per group)
-    qn = qd.groupBy(g).agg(F.count(F.lit(1)).alias("_nq"))
-    cn = cd.groupBy(g).agg(F.count(F.lit(1)).alias("_nc"))
-    nb = qn.join(cn, g).select(g, F.ceil(F.col("_nq") / block_rows).cast("int").alias("_bq"),
-                               F.ceil(F.col("_nc") / block_rows).cast("int").alias("_bc"))
-    qb = (qd.join(nb, g)
-          .withColumn("_iq", F.pmod(F.xxhash64("q_id"), F.col("_bq")).cast("int"))
+    if group:
+        # blocks per group from the group sizes (one row per group, an equi-join)
+        qn = qd.groupBy(g).agg(F.count(F.lit(1)).alias("_nq"))
+        cn = cd.groupBy(g).agg(F.count(F.lit(1)).alias("_nc"))
+        nb = qn.join(cn, g).select(g, F.ceil(F.col("_nq") / block_rows).cast("int").alias("_bq"),
+                                   F.ceil(F.col("_nc") / block_rows).cast("int").alias("_bc"))
+        qd, cd = qd.join(nb, g), cd.join(nb, g)
+    else:
+        # one group: the block counts are two scalar subqueries (no join on a constant)
+        bq = F.ceil(qd.agg(F.count(F.lit(1))).scalar() / block_rows).cast("int")
+        bc = F.ceil(cd.agg(F.count(F.lit(1))).scalar() / block_rows).cast("int")
+        qd = qd.withColumn("_bq", bq).withColumn("_bc", bc)
+        cd = cd.withColumn("_bq", bq).withColumn("_bc", bc)
+    qb = (qd.withColumn("_iq", F.pmod(F.xxhash64("q_id"), F.col("_bq")).cast("int"))
           .withColumn("_ic", F.explode(F.sequence(F.lit(0), F.col("_bc") - 1))))
-    cb = (cd.join(nb, g)
-          .withColumn("_ic", F.pmod(F.xxhash64("c_id"), F.col("_bc")).cast("int"))
+    cb = (cd.withColumn("_ic", F.pmod(F.xxhash64("c_id"), F.col("_bc")).cast("int"))
           .withColumn("_iq", F.explode(F.sequence(F.lit(0), F.col("_bq") - 1))))
     keys = [g, "_iq", "_ic"]
     fn = _topk_block(k, exclude_self)

@@ -123,7 +123,7 @@ SELECT slug, count(*) AS n, min(page_id) AS first_page FROM (
 def id_collisions(spark, sf):
     from vitrina.operators.quality import id_collisions as collisions
     p = table(spark, sf, "pages").select("page_id", X.url_slug("url").alias("slug"))
-    return collisions(p, "slug", "page_id")
+    return collisions(p, "slug", "page_id", first_name="first_page")
 
 
 @register("authors_split", r"""
