@@ -75,7 +75,7 @@ def roundtrip_catalog(spark, sf):
 
 
 @register("roundtrip_vectors", """
-SELECT 'doc-' || CAST(vec_id AS VARCHAR) AS id, 'stored' AS model, true AS ok, len(embedding) AS dim,
+SELECT 'doc-' || CAST(vec_id AS VARCHAR) AS id, 'stored' AS model, true AS ok, CAST(len(embedding) AS INTEGER) AS dim,
        round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS vsum FROM embeddings""")
 def roundtrip_vectors(spark, sf):
     e = table(spark, sf, "embeddings")

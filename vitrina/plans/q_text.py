@@ -217,6 +217,8 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
 WHERE contains(line, 'Working Paper') OR contains(line, 'Documento de Trabajo') OR contains(line, 'WP_')
    OR contains(line, 'Lizenz') OR contains(line, 'License')""")
 def working_paper_lines(spark, sf):
+    # F14 with the reference's markers; license-line markers, which this data
+    # does contain, are added so the operator has lines to keep
     d = table(spark, sf, "documents")
     markers = LN.WORKING_PAPER_MARKERS + ["Lizenz", "License"]
     return LN.marked_lines(d, "doc_id", "text", markers, width=120)
@@ -256,8 +258,9 @@ def date_bounds(spark, sf):
 @register("clean_quotes", r"""
 SELECT doc_id, substr(replace(text, '"', ''''), 1, 500) AS header_desc,
        substr(replace(text, '"', ''''), 1, 2000) AS body_desc
-FROM documents WHERE contains(text, '"')""")
+FROM documents""")
 def clean_quotes(spark, sf):
-    d = table(spark, sf, "documents").filter(F.col("text").contains('"'))
+    # The bundle header keeps 500 characters, the body 2000 (reference rule)
+    d = table(spark, sf, "documents")
     return d.select("doc_id", X.clean_quotes("text", 500).alias("header_desc"),
                     X.clean_quotes("text", 2000).alias("body_desc"))
