@@ -109,3 +109,22 @@ def test_dataset_bundle_lists_first_ten(spark):
     assert b["id"] == "ipv"
     assert b["content"].count("](https://servicios.ine.es/wstempus/js/ES/DATOS_TABLA/") == 10
     assert 'tags: ["INE", "econom\\u00eda espa\\u00f1ola", "datos abiertos", "precio", "vivienda"]' in b["content"]
+
+
+def test_list_index_variants(spark):
+    from vitrina.sources.readers import ref_table
+    hv = ref_table(spark, "high_value_datasets").withColumn("ordinal", F.col("cap"))
+    lines = [r["line"] for r in R.render_list_index(hv, "high_value").orderBy("k3").collect()]
+    assert len(lines) == 17 and lines[0] == "- **Producción industrial** (IPI) — `c=11078`"
+    reps = spark.createDataFrame([("España | x", "espa-a-x", "13 noviembre 2020", "España", 1)],
+                                 "title string, id string, date_raw string, geography string, ordinal int")
+    assert R.render_list_index(reps, "reports").first()["line"] == \
+        "- [España | x](conceptos/espa-a-x.md) — 13 noviembre 2020 España"
+    ops = spark.createDataFrame([(25, "Índice de precios de consumo " + "x" * 80, "IPC", 1), (7, "Otra", "", 2)],
+                                "Id bigint, Nombre string, Codigo string, ordinal int")
+    key = spark.createDataFrame([(25,)], "op_id bigint")
+    out = {(r["k1"], r["k3"]): r["line"] for r in R.render_list_index(ops, "operations", key_ids=key).collect()}
+    assert out[("2", "2")] == "- [](conceptos/op7.md) — Otra"
+    assert len(out[("2", "1")].split(" — ", 1)[1]) == 80
+    assert out[("1", "1")].startswith("\n### [Índice de precios de consumo")
+    assert out[("1", "")] == "## Operaciones Económicas"

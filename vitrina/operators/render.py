@@ -183,9 +183,15 @@ def render_list_index(items: DataFrame, kind: str = "operations", key_ids: DataF
 
     ``operations``: a key-operations section (semi-join with ``key_ids``) and
     an all-operations list with names cut at 80.  ``reports``: one bullet per
-    report with date and geography.
+    report with date and geography.  ``high_value``: one bullet per dataset
+    of the high-value table (``cap, name, code``).
     """
     k3 = F.col(order_col).cast("string")
+    if kind == "high_value":
+        # one bullet per high-value dataset: name, code and its download key
+        return items.select(F.lit("1").alias("k1"), F.lit(1).cast("bigint").alias("k2"), k3.alias("k3"),
+                            F.concat(F.lit("- **"), F.col("name"), F.lit("** ("), F.col("code"),
+                                     F.lit(") — `c="), F.col("cap").cast("string"), F.lit("`")).alias("line"))
     if kind == "reports":
         return items.select(F.lit("1").alias("k1"), F.lit(1).cast("bigint").alias("k2"), k3.alias("k3"),
                             F.concat(F.lit("- ["), F.coalesce(F.col("title"), F.lit("?")), F.lit("](conceptos/"),
