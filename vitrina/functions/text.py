@@ -387,3 +387,10 @@ def capitalize(c: Column | str) -> Column:
     """Python ``str.capitalize()``: first character upper, the rest lower."""
     col = _c(c)
     return F.concat(F.upper(F.substring(col, 1, 1)), F.lower(F.substring(col, 2, 1 << 30)))
+
+
+def md_links(c: Column | str) -> Column:
+    """All Markdown links ``[text](url)`` of a text as an array of (text, url) structs."""
+    pat = r"\[(.*?)\]\((.+?)\)"
+    return F.arrays_zip(F.regexp_extract_all(_c(c), F.lit(pat), 1).alias("text"),
+                        F.regexp_extract_all(_c(c), F.lit(pat), 2).alias("url"))

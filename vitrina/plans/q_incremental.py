@@ -126,3 +126,22 @@ def stream_upsert(spark, sf):
     cur.select(*cols).write.mode("append").parquet(src)
     I.stream_upsert(spark, src, schema, table_dir, ckpt, "o_orderkey", "lastmod")
     return I.read_upserted(spark, table_dir, schema)
+
+
+@register("sitemap_diff", "WITH" + _SNAP + """
+SELECT 'https://orders.example/' || CAST(c.o_orderkey AS VARCHAR) AS url, c.lastmod
+FROM cur c LEFT JOIN state s USING (o_orderkey) WHERE s.lastmod IS NULL OR c.lastmod > s.lastmod""")
+def sitemap_diff(spark, sf):
+    """T2 end to end: two crawls written as sitemap XML, read back with the
+    sitemap reader (S7), entries new or with a later lastmod kept."""
+    from vitrina.sources.readers import read_sitemap
+    state, cur = snapshots(spark, sf)
+    base = scratch_path(spark, f"sitemap-{uuid.uuid4().hex}")
+    for name, snap in (("old", state), ("new", cur)):
+        (snap.select(F.concat(F.lit("https://orders.example/"), F.col("o_orderkey").cast("string")).alias("loc"),
+                     "lastmod")
+         .write.format("xml").option("rowTag", "url").option("rootTag", "urlset").mode("overwrite")
+         .save(f"{base}/{name}"))
+    old = read_sitemap(spark, f"{base}/old")
+    new = read_sitemap(spark, f"{base}/new")
+    return I.changed_items(new, old, "url", "lastmod")

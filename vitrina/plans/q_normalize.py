@@ -379,3 +379,16 @@ def listing_blocks(spark, sf):
                     F.lit("](https://docs.example/doc"), F.col("doc_id").cast("string"), F.lit(")\n"))
     pages = d.select("doc_id", F.concat(head, F.col("text")).alias("md"))
     return LN.paper_listing(pages, "doc_id", "md")
+
+
+@register("md_links", "WITH" + _PAPER_SQL + r"""
+SELECT id, CAST(len(regexp_extract_all(content, '\[(.*?)\]\((.+?)\)', 2)) AS INTEGER) AS n_links,
+       array_to_string(regexp_extract_all(content, '\[(.*?)\]\((.+?)\)', 1), '|') AS texts,
+       array_to_string(regexp_extract_all(content, '\[(.*?)\]\((.+?)\)', 2), '|') AS urls
+FROM bundles""")
+def md_links(spark, sf):
+    # X8 over rendered bundles: every Markdown link, in text order
+    b = paper_bundles(spark, sf).select("id", X.md_links("content").alias("links"))
+    return b.select("id", F.size("links").alias("n_links"),
+                    F.array_join(F.transform("links", lambda l: l["text"]), "|").alias("texts"),
+                    F.array_join(F.transform("links", lambda l: l["url"]), "|").alias("urls"))
