@@ -57,8 +57,11 @@ def test_topk_join_matches_brute_force(spark):
     groups[:150] = 0  # a hot group
     rows = [(int(i), int(g), v.tolist()) for i, (g, v) in enumerate(zip(groups, vecs))]
     df = spark.createDataFrame(rows, "vid bigint, g int, v array<float>")
-    got = V.topk_join(df, df, 3, "vid", "v", "vid", "v", group="g", exclude_self=True, block_rows=40)
-    got = {(int(r["q_id"]), r["rank"]): int(r["c_id"]) for r in got.collect()}
+    blocked = V.topk_join(df, df, 3, "vid", "v", "vid", "v", group="g", exclude_self=True, block_rows=40,
+                          strategy="blocked")
+    bcast = V.topk_join(df, df, 3, "vid", "v", "vid", "v", group="g", exclude_self=True, strategy="broadcast")
+    got = {(int(r["q_id"]), r["rank"]): int(r["c_id"]) for r in blocked.collect()}
+    assert got == {(int(r["q_id"]), r["rank"]): int(r["c_id"]) for r in bcast.collect()}
     v64 = vecs.astype(np.float64)
     norms = np.linalg.norm(v64, axis=1)
     for i in range(n):
@@ -87,3 +90,12 @@ def test_hashing_embedder_deterministic():
     a, b = e(["La inflación sube", ""])
     assert a == e(["La inflación sube"])[0]
     assert abs(np.linalg.norm(a) - 1.0) < 1e-6 and not any(b)
+
+
+def test_topk_auto_picks_by_size(spark):
+    q = spark.createDataFrame([("q", [1.0, 0.0])], "id string, v array<float>")
+    c = spark.createDataFrame([("a", [1.0, 0.1]), ("b", [0.0, 1.0])], "id string, v array<float>")
+    small = V.topk_join(q, c, 1, "id", "v", "id", "v")
+    big = V.topk_join(q, c, 1, "id", "v", "id", "v", broadcast_bytes=1)  # forces the blocked path
+    assert [(r["q_id"], r["c_id"]) for r in small.collect()] == [("q", "a")] == \
+        [(r["q_id"], r["c_id"]) for r in big.collect()]

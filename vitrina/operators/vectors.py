@@ -183,14 +183,93 @@ def _topk_block(k: int, exclude_self: bool) -> Callable[[pd.DataFrame, pd.DataFr
     return run
 
 
+BROADCAST_QUERY_BYTES = 64 * 1024 * 1024  # query matrices up to this size are broadcast
+
+
 def topk_join(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_vec: str,
               c_id: str, c_vec: str, group: str | None = None, exclude_self: bool = False,
-              block_rows: int = 4096, min_score: float | None = None) -> DataFrame:
-    """Exact top-k candidates per query by cosine (W3, J9), blockwise.
+              block_rows: int = 4096, min_score: float | None = None, strategy: str = "auto",
+              broadcast_bytes: int = BROADCAST_QUERY_BYTES) -> DataFrame:
+    """Exact top-k candidates per query by cosine.
 
     Returns ``(group?, q_id, c_id, score, rank)`` with rank 1..k, ties broken by
     candidate id.  ``group`` restricts matches to equal group values.
+
+    ``strategy="auto"`` counts the queries (one small job) and, when the
+    query matrix fits ``broadcast_bytes``, broadcasts it: candidates are
+    scored where they are stored and only k rows per query per batch are
+    shuffled.  Otherwise both sides are cut into blocks (``"blocked"``).
     """
+    if strategy not in ("auto", "broadcast", "blocked"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy != "blocked":
+        stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(q_vec)).alias("d")).first()
+        n, d = stats["n"] or 0, stats["d"] or 0
+        if strategy == "broadcast" or n * max(d, 1) * 8 <= broadcast_bytes:
+            return _topk_broadcast(queries, candidates, k, q_id, q_vec, c_id, c_vec, group,
+                                   exclude_self, min_score)
+    return _topk_blocked(queries, candidates, k, q_id, q_vec, c_id, c_vec, group, exclude_self,
+                         block_rows, min_score)
+
+
+def _topk_broadcast(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_vec: str,
+                    c_id: str, c_vec: str, group: str | None, exclude_self: bool,
+                    min_score: float | None) -> DataFrame:
+    """Broadcast query matrix (size checked by the caller), scan candidates once."""
+    spark = queries.sparkSession
+    g = group or "_g"
+    qsel = [(F.col(group) if group else F.lit(0)).alias("g"), F.col(q_id).cast("string").alias("q_id"),
+            F.col(q_vec).alias("v")]
+    rows = queries.select(*qsel).collect()  # bounded: checked against broadcast_bytes
+    q_ids = np.array([r["q_id"] for r in rows], dtype=object)
+    q_groups = np.array([r["g"] for r in rows], dtype=object)
+    q_mat = np.array([r["v"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
+    q_norm = np.linalg.norm(q_mat, axis=1) if rows else np.zeros(0)
+    bc = spark.sparkContext.broadcast((q_ids, q_groups, q_mat, q_norm))
+    gtype = _dtype(queries, group) if group else "int"
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, groups, qm, qn = bc.value
+        for pdf in it:
+            if pdf.empty or len(ids) == 0:
+                continue
+            cm = np.vstack(pdf["c_vec"].to_numpy()).astype(np.float64)
+            cn = np.linalg.norm(cm, axis=1)
+            sims = (qm @ cm.T) / (np.outer(qn, cn) + EPS)
+            cids = pdf["c_id"].to_numpy()
+            sims = np.where(groups[:, None] == pdf["g"].to_numpy()[None, :], sims, -np.inf)
+            if exclude_self:
+                sims = np.where(ids[:, None] == cids[None, :], -np.inf, sims)
+            kk = min(k, sims.shape[1])
+            thr = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+            out_q, out_c, out_s = [], [], []
+            for r in range(sims.shape[0]):
+                if not np.isfinite(thr[r]):
+                    cand = np.nonzero(np.isfinite(sims[r]))[0]
+                else:
+                    cand = np.nonzero(sims[r] >= thr[r])[0]
+                if len(cand) > kk:
+                    cand = cand[np.lexsort((cids[cand].astype(str), -sims[r, cand]))][:kk]
+                out_q.extend([r] * len(cand))
+                out_c.extend(cand.tolist())
+                out_s.extend(sims[r, cand].tolist())
+            if out_q:
+                yield pd.DataFrame({g: groups[out_q], "q_id": ids[out_q], "c_id": cids[out_c], "score": out_s})
+
+    cd = candidates.select((F.col(group) if group else F.lit(0)).alias("g"),
+                           F.col(c_id).cast("string").alias("c_id"), F.col(c_vec).alias("c_vec"))
+    part = cd.mapInPandas(run, f"{g} {gtype}, q_id string, c_id string, score double")
+    if min_score is not None:
+        part = part.filter(F.col("score") >= min_score)
+    w = Window.partitionBy(g, "q_id").orderBy(F.col("score").desc(), F.col("c_id").asc())
+    ranked = part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked if group else ranked.drop(g)
+
+
+def _topk_blocked(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_vec: str,
+                  c_id: str, c_vec: str, group: str | None, exclude_self: bool, block_rows: int,
+                  min_score: float | None) -> DataFrame:
+    """Both sides in blocks; each query block meets each candidate block of its group once."""
     g = group or "_g"
     qd = queries.select((F.col(group) if group else F.lit(0)).alias(g),
                         F.col(q_id).cast("string").alias("q_id"), F.col(q_vec).alias("q_vec"))
