@@ -18,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.functions.text import _c
-
 _FULL_SLUG = lambda c: F.element_at(F.split(F.regexp_replace(c, r"/+$", ""), "/"), -1)
 
 

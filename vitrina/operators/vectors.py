@@ -17,7 +17,6 @@ group gets more blocks, and the output is at most k rows per query per block.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -408,10 +407,3 @@ def check_model(vectors: DataFrame, model: str) -> Column:
     """True when every stored vector was made by ``model``."""
     return vectors.agg(F.bool_and(F.col("model") == model).alias("same")).scalar()
 
-
-def vector_bytes(n_rows: int, dim: int) -> int:
-    return int(n_rows) * int(dim) * 4
-
-
-def blocks_for(n_rows: int, block_rows: int) -> int:
-    return max(1, math.ceil(n_rows / block_rows))

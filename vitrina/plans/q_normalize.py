@@ -19,13 +19,6 @@ from vitrina.plans.catalog import GEO_PATTERN, virtual_catalog
 from vitrina.plans.registry import register
 from vitrina.sources.tables import table
 
-STRIP = "regexp_replace({e}, '^\\s+|\\s+$', '', 'g')"
-
-
-def _strip(e: str) -> str:
-    return STRIP.format(e=e)
-
-
 def sql_json_string(e: str) -> str:
     s = f"coalesce({e}, '')"
     s = f"replace({s}, '\\', '\\\\')"
