@@ -128,3 +128,21 @@ def test_list_index_variants(spark):
     assert len(out[("2", "1")].split(" — ", 1)[1]) == 80
     assert out[("1", "1")].startswith("\n### [Índice de precios de consumo")
     assert out[("1", "")] == "## Operaciones Económicas"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=6), min_size=1, max_size=4))
+def test_union_keeps_counts(spark, sizes):
+    frames = []
+    for i, n in enumerate(sizes):
+        cols = "id string, source string" + (", tables_count bigint" if i % 2 else ", flow string")
+        rows = [(f"{i}-{j}", f"s{i}", j if i % 2 else f"f{j}") for j in range(n)]
+        frames.append(spark.createDataFrame(rows, cols))
+    u = N.build_catalog(*frames)
+    assert u.count() == sum(sizes)
+    by = {r["source"]: r["count"] for r in u.groupBy("source").count().collect()}
+    assert all(by.get(f"s{i}", 0) == n for i, n in enumerate(sizes))
