@@ -40,12 +40,15 @@ def date_between(c: Column | str, desde: str | None = None, hasta: str | None =
     ``''`` (undated) fails any lower bound and passes any upper bound; ``2024``
     fails ``desde='2024-01-01'``: comparison is on text, as the reference does.
     """
-    d = F.coalesce(_c(c), F.lit(""))
+    # Written so Parquet can take both bounds (no coalesce around the column):
+    # a missing date counts as '', which is below any non-empty bound, so it
+    # fails ``desde`` (null >= x is not true) and passes ``hasta`` (IS NULL).
+    d = _c(c)
     conds = []
     if desde:
         conds.append(d >= desde)
     if hasta:
-        conds.append(d <= hasta)
+        conds.append(d.isNull() | (d <= hasta))
     return reduce(lambda a, b: a & b, conds, F.lit(True))
 
 

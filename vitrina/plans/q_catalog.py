@@ -181,3 +181,24 @@ def flagship_by_source(spark, sf):
     cat = virtual_catalog(spark, sf)
     hits = cat.filter(S.search_predicate(cat, tipo="working_paper", texto="tión", tags=["EN"]))
     return hits.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+
+
+@register("search_stored", WITH + f"""
+SELECT {FLAT_COLS} FROM cat
+WHERE lower(type) = 'dataset' AND coalesce(date_iso, '') >= '1998-02' AND coalesce(date_iso, '') <= '1998-02-28'
+  AND (contains({PLAIN}, 'urgent') OR contains({FOLDED}, 'urgent'))
+ORDER BY date_iso DESC, id LIMIT 40""")
+def search_stored(spark, sf):
+    """Search on the stored catalogue: written once by the catalogue sink
+    (K2, folded text stored), read back (S8); the type and date filters are
+    pushed into the Parquet scan and the text test reads the stored folded
+    column instead of folding at query time."""
+    import uuid
+
+    from vitrina.session import scratch_path
+    from vitrina.sources.readers import load_catalog
+    from vitrina.sources.sinks import write_catalog
+    path = scratch_path(spark, f"catalog-{uuid.uuid4().hex}")
+    write_catalog(virtual_catalog(spark, sf), path)
+    cat = load_catalog(spark, path)
+    return flat(S.search(cat, limit=40, type="dataset", desde="1998-02", hasta="1998-02-28", texto="URGENT"))
