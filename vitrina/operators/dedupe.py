@@ -49,13 +49,13 @@ def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     """
     from vitrina.session import checkpoint_dir
     spark = df.sparkSession
-    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     checkpoint_dir(spark)
     # The partition id and in-partition index are materialised once (a
     # reliable checkpoint in the shared folder): AQE may coalesce a shuffle
     # differently for each reader, so both branches must read stored values.
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(n_parts, *keys) if n_parts else df.repartitionByRange(*keys)
+    tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))

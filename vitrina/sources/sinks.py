@@ -18,8 +18,12 @@ from vitrina.operators.search import catalog_order
 
 def write_clean(df: DataFrame, path: str, fmt: str = "json", partition_col: str = "source",
                 mode: str = "overwrite") -> None:
-    """Per-source clean records (K1): one folder per source value."""
-    w = df.write.mode(mode).partitionBy(partition_col)
+    """Per-source clean records (K1): one folder per source value.
+
+    The ``rebalance`` hint lets AQE size the write tasks (a hot source is
+    split, small ones merged) instead of every task writing every source.
+    """
+    w = df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col)
     if fmt == "json":
         w.option("ignoreNullFields", False).json(path)
     else:
@@ -50,10 +54,11 @@ def write_catalog(df: DataFrame, path: str, fmt: str = "parquet", partitions: in
     """
     from vitrina.functions.fold import fold
     from vitrina.operators.search import haystack
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df.withColumn("text_folded", fold(haystack()))
     order = catalog_order(out)
-    out = out.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count AQE sizes the range partitions from the data
+    ranged = out.repartitionByRange(partitions, *order) if partitions else out.repartitionByRange(*order)
+    out = ranged.sortWithinPartitions(*order)
     (out.write.mode(mode).parquet(path) if fmt == "parquet"
      else out.write.mode(mode).option("ignoreNullFields", False).json(path))
 
@@ -87,10 +92,9 @@ def write_lines(lines: DataFrame, path: str, order: list | None = None, partitio
     Range partitioning by the sort keys keeps the order across part files;
     read the parts in name order to get the document.
     """
-    n = partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = order or [F.col("k1"), F.col("k2"), F.col("k3")]
-    (lines.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .select("line").write.mode("overwrite").text(path))
+    ranged = lines.repartitionByRange(partitions, *order) if partitions else lines.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
 
 def write_bundles(df: DataFrame, root: str, id_col: str = "id", content_col: str = "content",
