@@ -42,13 +42,14 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# ASCII whitespace, the set of Java's and RE2's ``\s`` (Python's ``strip``
-# also removes Unicode spaces such as U+00A0; see README, known deviations).
-WHITESPACE = " \t\n\x0b\x0c\r"
+# Python's whitespace (``str.isspace``: ASCII blanks, U+001C-U+001F, U+0085,
+# U+00A0, U+1680, U+2000-U+200A, U+2028/9, U+202F, U+205F, U+3000), derived
+# by that rule so ``strip_ws`` equals ``str.strip()``.
+WHITESPACE = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 
 
 def strip_ws(c: Column | str) -> Column:
-    """``str.strip()`` on ASCII whitespace, newlines included (a char trim, no regex)."""
+    """``str.strip()``: drop leading and trailing whitespace (a character trim, no regex)."""
     return F.btrim(_c(c), F.lit(WHITESPACE))
 
 

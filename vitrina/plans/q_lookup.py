@@ -85,7 +85,7 @@ def bundle_lookup(spark, sf):
 @register("dedupe_title", r"""
 SELECT doc_id, title FROM (
   SELECT doc_id, substr(text, 1, 80) AS title,
-         lower(regexp_replace(substr(text, 1, 80), '^\s+|\s+$', '', 'g')) AS k FROM documents)
+         lower(regexp_replace(substr(text, 1, 80), '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) AS k FROM documents)
 WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id) = 1""")
 def dedupe_title(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 80).alias("title"))
@@ -124,8 +124,8 @@ WITH p AS (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS ti
 u AS (SELECT page_id, title, 'https://listing.example/' || geo AS source_url,
              list_position(['en', 'es', 'fr', 'de'], geo) - 1 AS li FROM p WHERE geo IN ('en', 'es', 'fr', 'de'))
 SELECT page_id, title, source_url FROM u
-WHERE lower(regexp_replace(title, '^\s+|\s+$', '', 'g')) <> ''
-QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(title, '^\s+|\s+$', '', 'g')) ORDER BY li, page_id) = 1""")
+WHERE lower(regexp_replace(title, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) <> ''
+QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(title, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) ORDER BY li, page_id) = 1""")
 def concat_listings(spark, sf):
     p = table(spark, sf, "pages").select(
         "page_id", F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),

@@ -59,7 +59,7 @@ _PAPER_SQL = r"""
 pr AS (
   SELECT doc_id, lang, n_chars, 'doc' || CAST(doc_id AS VARCHAR) AS id, substr(text, 1, 80) AS title, text AS abstract,
          list_filter(list_transform(string_split(split_part(text, chr(10), 1), ','),
-                                    lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS authors,
+                                    lambda x: regexp_replace(x, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')), lambda x: x <> '') AS authors,
          'https://docs.example/doc' || CAST(doc_id AS VARCHAR) AS url FROM documents),
 pb AS (
   SELECT id, replace(title, '"', '''') AS t, replace(abstract, '"', '''') AS d, authors, url FROM pr WHERE lang = 'en'),
@@ -118,10 +118,10 @@ SELECT 'funcas-' || id AS id,
        coalesce(nullif(regexp_extract(content, '(?m)^description:\s*"(.+)"$', 1), ''),
                 CASE WHEN regexp_matches(content, '(?s)## Resumen[ \t]*(\n|$)')
                      THEN substr(regexp_replace(regexp_extract(content, '(?s)## Resumen[ \t]*\n(.*?)(?:\n##|$)', 1),
-                                                '^\s+|\s+$', '', 'g'), 1, 500) END, '') AS description,
+                                                '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g'), 1, 500) END, '') AS description,
        coalesce(nullif(url, ''), nullif(regexp_extract(content, '\*\*URL:\*\*\s*\[.+?\]\((.+?)\)', 1), ''), '') AS url,
        array_to_string(list_filter(list_transform(string_split(author_raw, ','),
-                                                  lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')),
+                                                  lambda x: regexp_replace(x, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')),
                                    lambda x: x <> ''), '|') AS authors,
        '' AS date_raw, 'working_paper' AS type
 FROM j""")
@@ -350,19 +350,19 @@ l AS (SELECT doc_id, unnest(string_split(md, chr(10))) AS line,
 b AS (SELECT *, regexp_matches(line, '^## \[(.+?)\]\((.+?)\)') AS is_head,
              sum(CASE WHEN regexp_matches(line, '^## \[(.+?)\]\((.+?)\)') THEN 1 ELSE 0 END)
                OVER (PARTITION BY doc_id ORDER BY ln ROWS UNBOUNDED PRECEDING) AS block FROM l),
-c AS (SELECT *, regexp_replace(line, '^\s+|\s+$', '', 'g') AS st,
-             NOT is_head AND NOT contains(line, 'Fecha:') AND regexp_replace(line, '^\s+|\s+$', '', 'g') <> ''
+c AS (SELECT *, regexp_replace(line, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS st,
+             NOT is_head AND NOT contains(line, 'Fecha:') AND regexp_replace(line, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') <> ''
              AND NOT (starts_with(line, '#') OR starts_with(line, '[') OR starts_with(line, '!') OR starts_with(line, '*'))
-             AND length(regexp_replace(line, '^\s+|\s+$', '', 'g')) < 100 AND NOT starts_with(line, 'http')
+             AND length(regexp_replace(line, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) < 100 AND NOT starts_with(line, 'http')
              AND NOT (contains(lower(line), 'fecha') OR contains(lower(line), 'versión') OR contains(lower(line), 'download')
                       OR contains(lower(line), 'pdf') OR contains(lower(line), 'política')
                       OR contains(lower(line), 'funcas') OR contains(lower(line), 'publicaciones')) AS is_author
       FROM b WHERE block > 0)
 SELECT doc_id, CAST(block AS INTEGER) AS block,
        regexp_replace(arg_max(regexp_extract(line, '^## \[(.+?)\]\((.+?)\)', 1), ln) FILTER (WHERE is_head),
-                      '^\s+|\s+$', '', 'g') AS title,
+                      '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS title,
        regexp_replace(arg_max(regexp_extract(line, '^## \[(.+?)\]\((.+?)\)', 2), ln) FILTER (WHERE is_head),
-                      '^\s+|\s+$', '', 'g') AS url,
+                      '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS url,
        CAST(NULL AS VARCHAR) AS date,
        arg_max(st, ln) FILTER (WHERE is_author) AS author_raw
 FROM c GROUP BY doc_id, block""")

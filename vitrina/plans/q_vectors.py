@@ -119,7 +119,7 @@ WITH j AS (SELECT 'doc-' || CAST(d.doc_id AS VARCHAR) AS id, substr(text, 1, 80)
            FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 t AS (SELECT id, regexp_replace(array_to_string(list_filter([coalesce(title, ''), coalesce(description, ''),
                                                               array_to_string(tags, ' ')], lambda p: p <> ''), ' | '),
-                               '^\\s+|\\s+$', '', 'g') AS txt FROM j)
+                               '^[\\t\\n\\x{0b}\\f\\r\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+|[\\t\\n\\x{0b}\\f\\r\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+$', '', 'g') AS txt FROM j)
 SELECT id, CASE WHEN txt = '' THEN id ELSE txt END AS text FROM t""")
 def embedding_text(spark, sf):
     it = _text_items(spark, sf)
