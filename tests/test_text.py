@@ -160,3 +160,9 @@ def test_paper_listing_blocks(spark):
     assert (rows[1]["title"], rows[1]["url"], rows[1]["date"], rows[1]["author_raw"]) == \
         ("Primer documento", "https://p.example/a/", "Junio 2010", "Ana Uno, Luis Dos")
     assert (rows[2]["date"], rows[2]["author_raw"]) == ("Marzo 2021", None)
+
+
+def test_strip_matches_python(spark):
+    vals = ["  Ana Uno　", "\t\x1cdos\x85\n", " tres ", "", "  "]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    assert [r["s"] for r in df.select(X.strip_ws("v").alias("s")).collect()] == [v.strip() for v in vals]
