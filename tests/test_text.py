@@ -163,6 +163,6 @@ def test_paper_listing_blocks(spark):
 
 
 def test_strip_matches_python(spark):
-    vals = ["  Ana Uno　", "\t\x1cdos\x85\n", " tres ", "", "  "]
+    vals = ["\xa0 Ana Uno\u3000", "\t\x1cdos\x85\n", "\u2007tres\u2009", "", " \xa0"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     assert [r["s"] for r in df.select(X.strip_ws("v").alias("s")).collect()] == [v.strip() for v in vals]
