@@ -90,3 +90,10 @@ def test_search_is_subset(spark, texto, desde):
     found = set(ids(S.search(c, None, texto=texto, desde=desde)))
     assert found <= {r[0] for r in ROWS}
     assert found == set(ids(S.search(c, None, texto=texto))) & set(ids(S.search(c, None, desde=desde)))
+
+
+def test_drop_system_pages(spark):
+    df = spark.createDataFrame([("a",), ("lista-de-cookies",), ("b",)], "id string")
+    assert ids(S.drop_system_pages(df, ["lista-de-cookies"])) == ["a", "b"]
+    sys_df = spark.createDataFrame([("b",)], "x string")
+    assert ids(S.drop_system_pages(df, sys_df)) == ["a", "lista-de-cookies"]

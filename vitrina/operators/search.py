@@ -141,10 +141,16 @@ def search_counts(df: DataFrame, limit: int = 20, **criteria) -> DataFrame:
                     .alias("shown")))
 
 
-def drop_system_pages(df: DataFrame, system_ids: DataFrame, key: str = "id") -> DataFrame:
-    """Remove ids listed as system pages (F8); the list is a tiny broadcast side."""
-    return df.join(F.broadcast(system_ids.select(F.col(system_ids.columns[0]).alias(key))),
-                   on=key, how="left_anti")
+def drop_system_pages(df: DataFrame, system_ids: DataFrame | list[str], key: str = "id") -> DataFrame:
+    """Remove ids listed as system pages (F8).
+
+    A literal id list is broadcast (its size is known); a DataFrame of ids is
+    joined without a hint, so AQE broadcasts it only if its runtime size is small.
+    """
+    if isinstance(system_ids, list):
+        ids = df.sparkSession.createDataFrame([(i,) for i in system_ids], f"{key} string")
+        return df.join(F.broadcast(ids), on=key, how="left_anti")
+    return df.join(system_ids.select(F.col(system_ids.columns[0]).alias(key)), on=key, how="left_anti")
 
 
 def nonblank_title(c: Column | str = "title") -> Column:
