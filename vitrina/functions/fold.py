@@ -96,10 +96,20 @@ def fold(c: Column | str) -> Column:
 
 @F.pandas_udf(T.StringType())
 def _fold_exact_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else fold_py(v))
+    import unicodedata as ud  # self-contained: no module globals on the worker
+
+    def one(v):
+        return None if v is None else "".join(ch for ch in ud.normalize("NFKD", v) if not ud.combining(ch))
+    return s.map(one)
 
 
 def fold_exact(c: Column | str) -> Column:
     """Exact NFKD folding for any script, as an Arrow-batched pandas UDF."""
+    from pyspark.sql import SparkSession
+
+    from vitrina.session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)  # the UDF lives in this module: workers must import it
     col = F.col(c) if isinstance(c, str) else c
     return _fold_exact_udf(col)

@@ -16,8 +16,6 @@ group gets more blocks, and the output is at most k rows per query per block.
 
 from __future__ import annotations
 
-import hashlib
-import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -225,6 +223,8 @@ def _topk_broadcast(queries: DataFrame, candidates: DataFrame, k: int, q_id: str
     q_mat = np.array([r["v"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
     q_norm = np.linalg.norm(q_mat, axis=1) if rows else np.zeros(0)
     bc = spark.sparkContext.broadcast((q_ids, q_groups, q_mat, q_norm))
+    from vitrina.session import ship_package
+    ship_package(spark)
     gtype = _dtype(queries, group) if group else "int"
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -293,10 +293,18 @@ def _topk_blocked(queries: DataFrame, candidates: DataFrame, k: int, q_id: str,
           .withColumn("_iq", F.explode(F.sequence(F.lit(0), F.col("_bq") - 1))))
     keys = [g, "_iq", "_ic"]
     fn = _topk_block(k, exclude_self)
+
+    def per_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        gv = a[g].iloc[0] if len(a) else (b[g].iloc[0] if len(b) else None)
+        out = fn(a, b)
+        out.insert(0, g, gv)
+        return out
+
+    from vitrina.session import ship_package
+    ship_package(queries.sparkSession)
     blocks = (qb.select(*keys, "q_id", "q_vec").groupBy(*keys)
               .cogroup(cb.select(*keys, "c_id", "c_vec").groupBy(*keys))
-              .applyInPandas(lambda a, b: _with_keys(fn, a, b, g),
-                             schema=f"{g} {_dtype(qd, g)}, q_id string, c_id string, score double"))
+              .applyInPandas(per_block, schema=f"{g} {_dtype(qd, g)}, q_id string, c_id string, score double"))
     if min_score is not None:
         blocks = blocks.filter(F.col("score") >= min_score)
     w = Window.partitionBy(g, "q_id").orderBy(F.col("score").desc(), F.col("c_id").asc())
@@ -308,37 +316,34 @@ def _dtype(df: DataFrame, col: str) -> str:
     return dict(df.dtypes)[col]
 
 
-def _with_keys(fn, a: pd.DataFrame, b: pd.DataFrame, g: str) -> pd.DataFrame:
-    gv = a[g].iloc[0] if len(a) else (b[g].iloc[0] if len(b) else None)
-    out = fn(a, b)
-    out.insert(0, g, gv)
-    return out
-
-
 # ---------------------------------------------------------------------------
 # V3 embedding
 # ---------------------------------------------------------------------------
-_TOKEN = re.compile(r"\w+", re.UNICODE)
-
-try:  # a fast C hash when installed; the same 64-bit value family either way is not required
-    import xxhash
-
-    def _hash64(tok: str) -> int:
-        return xxhash.xxh64_intdigest(tok.encode("utf-8"))
-except ImportError:  # pragma: no cover
-    def _hash64(tok: str) -> int:
-        return int.from_bytes(hashlib.blake2b(tok.encode("utf-8"), digest_size=8).digest(), "little")
-
-
 def hashing_embedder(dim: int = 256) -> Callable[[list[str]], list[list[float]]]:
     """Offline default embedder: signed feature hashing of lower-case word
-    tokens into ``dim`` buckets, L2-normalised.  Deterministic across runs."""
+    tokens into ``dim`` buckets, L2-normalised.  Deterministic across runs.
+    Self-contained (no module globals), so it pickles by value to workers."""
     def embed(texts: list[str]) -> list[list[float]]:
+        import re as _re
+
+        import numpy as _np
+        try:
+            import xxhash as _xx
+
+            def h64(tok):
+                return _xx.xxh64_intdigest(tok.encode("utf-8"))
+        except ImportError:  # pragma: no cover
+            import hashlib as _hl
+
+            def h64(tok):
+                return int.from_bytes(_hl.blake2b(tok.encode("utf-8"), digest_size=8).digest(), "little")
+        token = _re.compile(r"\w+", _re.UNICODE)
+        np = _np  # noqa: N806 - local alias keeps the body readable
         out = []
         for t in texts:
             v = np.zeros(dim, dtype=np.float64)
-            for tok in _TOKEN.findall((t or "").lower()):
-                h = _hash64(tok)
+            for tok in token.findall((t or "").lower()):
+                h = h64(tok)
                 v[h % dim] += 1.0 if (h >> 63) & 1 else -1.0
             n = np.linalg.norm(v)
             out.append((v / n if n > 0 else v).astype(np.float32).tolist())
@@ -400,6 +405,8 @@ def embed(df: DataFrame, embedder: Callable[[list[str]], list[list[float]]] | No
                            T.StructField("model", T.StringType()),
                            T.StructField("vector", T.ArrayType(T.FloatType())),
                            T.StructField("ok", T.BooleanType())])
+    from vitrina.session import ship_package
+    ship_package(df.sparkSession)
     return df.select(*cols).mapInPandas(run, schema)
 
 

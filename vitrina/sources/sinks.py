@@ -122,4 +122,6 @@ def write_bundles(df: DataFrame, root: str, id_col: str = "id", content_col: str
                 sizes.append(len(data))
             yield pd.DataFrame({"id": pdf[id_col].to_numpy(), "path": paths, "bytes": sizes})
 
+    from vitrina.session import ship_package
+    ship_package(df.sparkSession)
     return df.select(id_col, content_col).mapInPandas(run, "id string, path string, bytes long")
