@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,18 +38,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return builder.getOrCreate()
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is read from the session.  Only
-    when it is unset (local runs, tests) is a fresh scratch folder made and set.
+    A cluster names a shared folder there; it is read from the session.  When
+    it is unset, a local master (tests) gets one scratch folder per
+    application, and any other master is an error: a folder of one machine
+    would be out of the others' reach.
     """
-    conf = spark.sparkContext.getConf()
-    path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="vitrina-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if sc.applicationId not in _SCRATCH:
+            _SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="vitrina-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        path = _SCRATCH[sc.applicationId]
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
