@@ -49,3 +49,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
         on = on & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
     joined = left.join(other, on, how)
     return joined.drop(*[f"__r_{c}" for c in keys])
+
+
+def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+    """Whole rows of ``docs`` in one struct ``row``, beside the ``columns`` that an operator needs.
+
+    Whatever other columns a table has, their names can then not meet those of
+    the operator; ``select("row.*")`` brings them back.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)

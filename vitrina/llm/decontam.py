@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrina.llm.common import wrapped
+
 #: Kept token positions of each seed.  All keep the first two, on which windows are filtered before they are hashed.
 SEEDS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 4, 5, 7), (0, 1, 3, 5, 6, 7))
 SPAN = 8
@@ -97,4 +99,4 @@ def without_leaks(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
     A document with a null id is judged like any other.
     """
     bad = leaks(docs, items, **params).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["leak_id"]), "left_anti")
+    return wrapped(docs, "doc_id").join(bad, F.col("doc_id").eqNullSafe(F.col("leak_id")), "left_anti").select("row.*")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import checkpointed, n_words
+from vitrina.llm.common import checkpointed, n_words, wrapped
 
 #: Hex digits of the seeded hash that name a bucket: 4,096 buckets a source.
 BUCKET_DIGITS = 3
@@ -133,9 +133,9 @@ def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, share: fl
     mix repeats each row ``mix_repeats`` times.
     """
     _, plan = mix_plan(docs, weights, share, max_epochs, seed)
-    p = plan.select(F.col("source").alias("__source"), "whole", "last_h")
-    kept = docs.join(p, F.col("source").eqNullSafe(F.col("__source"))).withColumn("mix_repeats", repeats(seeded_hash(F.col("doc_id"), seed)))
-    return kept.where("mix_repeats > 0").select(*docs.columns, "mix_repeats")
+    p = plan.select(F.col("source").alias("p_source"), "whole", "last_h")
+    rows = wrapped(docs, "doc_id", "source").join(p, F.col("source").eqNullSafe(F.col("p_source")))
+    return rows.withColumn("mix_repeats", repeats(seeded_hash(F.col("doc_id"), seed))).where("mix_repeats > 0").select("row.*", "mix_repeats")
 
 
 #: DuckDB SQL of ``mix_sources(documents)`` with the default parameters.

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import SPACE_CHARS, checkpointed, null_safe_join, word_array
+from vitrina.llm.common import SPACE_CHARS, checkpointed, null_safe_join, word_array, wrapped
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -212,6 +212,5 @@ def keep_good(docs: DataFrame, **params) -> DataFrame:
     The texts are read twice, once for the estimates and once for the verdicts,
     and never shuffled.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text", "lang", "source")
-    measured = _measured(rows, "__row")
-    return judged(measured, measured.where(~F.col("base_failed")).drop("__row"), **params).where("kept").select("__row.*")
+    measured = _measured(wrapped(docs, "text", "lang", "source"), "row")
+    return judged(measured, measured.where(~F.col("base_failed")).drop("row"), **params).where("kept").select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm import decontam, mixing, quality, urls
+from vitrina.llm import decontam, jaccard, lines, mixing, pii, quality, quotes, suffix_tree, urls, warc
 from vitrina.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,12 +23,60 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document with a suffix tree learned from those that are not held out."""
+    return suffix_tree.score_documents(read(spark, sf_dir, "documents"))
+
+
 @query(mixing.MIX_SQL)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: source weights 1, 2, 3, repeating, share the whole budget, three passes at most."""
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+@query(r"""
+WITH c AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+t AS (
+  SELECT payload_digest AS d, max(page_id) AS target FROM c WHERE payload_bytes >= 1000 GROUP BY payload_digest),
+r AS (
+  SELECT c.*, CASE WHEN t.target <> c.page_id THEN t.target END AS refers_to,
+         regexp_replace(coalesce(url, ''), '^.*?://', '', 's') AS rest
+  FROM c LEFT JOIN t ON c.payload_digest = t.d AND c.payload_bytes >= 1000)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to,
+       array_to_string(list_reverse(string_split(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.')), ',')
+         || ')' || regexp_replace(rest, '^[^/?#]*', '') AS url_key
+FROM r
+""")
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive every page, a minute apart, and read the merged index back."""
+    pages = read(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", F.timestamp_seconds(F.lit(1_700_000_000) + 60 * F.col("page_id")).alias("captured"), F.col("html").alias("payload"))
+    return warc.archive_round_trip(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key")
+
+
+@query()
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents that repeats an earlier one, exactly or within one word."""
+    return lines.repeated_lines(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rebuilt from mail whose replies quote what they answer."""
+    return quotes.conversations_from_quotes(quotes.quoting_messages(read(spark, sf_dir, "conversations")))
+
+
+@query()
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the strict spans, and all spans."""
+    found = pii.find_pii(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[pii.count_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 @query()
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality statistics and verdict of every document."""
@@ -42,6 +90,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, urls.labelled_by_rules(pages)).withColumn("score", F.round("score", 6))
 
 
+@query()
+def op9_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingle sets are 90 % alike."""
+    return jaccard.jaccard_groups(read(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 @query()
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) whose texts overlap."""
