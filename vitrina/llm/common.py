@@ -51,7 +51,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return joined.drop(*[f"__r_{c}" for c in keys])
 
 
-def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+def wrapped(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """Whole rows of ``docs`` in one struct ``row``, beside the ``columns`` that an operator needs.
 
     Whatever other columns a table has, their names can then not meet those of

@@ -31,6 +31,8 @@ MAX_REPEAT_PERCENT = 50
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
 FLOORS = (0.10, 0.15, 0.16, 0.16)
 UNIT = 10_000  # statistics are integers in ten-thousandths
+#: Rejected rows (two numbers each) that are broadcast at most; beyond, the same join is a shuffle.
+MAX_BROADCAST_ROWS = 1_000_000
 #: A group needs this many documents for an estimate of its own; below, the language's is used, then that of all.
 MIN_GROUP = 100
 SUPPORT = 0.75
@@ -209,8 +211,16 @@ def quality_rules(docs: DataFrame, **params) -> DataFrame:
 def keep_good(docs: DataFrame, **params) -> DataFrame:
     """``docs`` without the documents that the rules reject; all columns stay as they are.
 
-    The texts are read twice, once for the estimates and once for the verdicts,
-    and never shuffled.
+    Statistics are taken once and kept as slim rows; the rejected (id, text
+    hash) pairs are then taken out of ``docs`` by an anti join, broadcast if
+    their number is within ``MAX_BROADCAST_ROWS``.  Rows that share id and text share the verdict,
+    and go if one of them is rejected.
     """
-    measured = _measured(wrapped(docs, "text", "lang", "source"), "row")
-    return judged(measured, measured.where(~F.col("base_failed")).drop("row"), **params).where("kept").select("row.*")
+    text_key = F.xxhash64(F.coalesce("text", F.lit("")))
+    measured = checkpointed(_measured(docs.select("doc_id", "text", "lang", "source", text_key.alias("text_key")), "doc_id", "text_key"))
+    bad = (judged(measured, measured.where(~F.col("base_failed")), **params).where("NOT kept")
+           .select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct())
+    bad = checkpointed(bad)
+    few = bad.count() <= MAX_BROADCAST_ROWS
+    rows = wrapped(docs, "doc_id", text_key.alias("text_key"))
+    return rows.join(F.broadcast(bad) if few else bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("text_key") == F.col("bad_key")), "left_anti").select("row.*")
