@@ -13,10 +13,10 @@ differ in more than a few shingles, and that bound gives keys that it must share
 The size at which the second way takes over is chosen by cost from the histogram
 of set sizes.  Lists are scanned after one shuffle by key.  A list of few
 members gives all its pairs; a long one gives pairs with its smallest member
-only, and if one of these turns out not to link, the list's members that are not
-yet connected are compared in a second round.  So a group of near copies costs
-a number of pairs in proportion to its size, and no link between different texts is lost.
-Every pair is verified on the whole sets.
+only, and if one of these turns out not to link, the list's members are compared
+in a second round, by inverted lists of their rarest shingles, unless they are connected by then.
+So a group of near copies costs a number of pairs in proportion to its size, and
+no link between different texts is lost.  Every pair is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import checkpointed, wrapped
@@ -156,8 +156,11 @@ def keys_of(ids: np.ndarray, bounds: np.ndarray, h: np.ndarray, small: int, num:
     return np.concatenate(out_id) if out_id else np.zeros(0, np.int64), np.concatenate(out_key) if out_key else np.zeros(0, np.uint64)
 
 
-def _postings(k: int, small: int, num: int, den: int, only: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (key, a, b): b is null for a posting; where a piece has many sets under one key, one posting and pairs with it."""
+def _postings(k: int, small: int, num: int, den: int, only: np.ndarray | None, gather: bool = True) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, a, b): b is null for a posting; where a piece has many sets under one key, one posting and pairs with it.
+
+    With ``only`` (ascending keys) or without ``gather`` all rows are postings.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +177,7 @@ def _postings(k: int, small: int, num: int, den: int, only: np.ndarray | None) -
                 new = np.r_[True, (key[1:] != key[:-1]) | (a[1:] != a[:-1])] if len(key) else np.zeros(0, bool)
                 a, key = a[new], key[new]
                 b, none = np.zeros(len(a), np.int64), np.ones(len(a), bool)
-                if only is None and len(key):
+                if only is None and gather and len(key):
                     begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
                     size = np.diff(np.r_[begin, len(key)])
                     for s, z in zip(begin[size > SHORT], size[size > SHORT], strict=True):
@@ -247,6 +250,16 @@ def _sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return run
 
 
+def _items(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for first, bounds, h in shingle_sets(batch.column(1).to_pylist(), k):
+                n = np.diff(bounds)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.repeat(ids[first : first + len(n)], n)), pa.array(np.repeat(n, n).astype(np.int32))], ["g", "id", "n"])
+    return run
+
+
 def _summaries(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(doc_id, size, two sums over the set that stand for its content)."""
 
@@ -296,6 +309,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     return checkpointed(both.mapInArrow(_links(num, den), "a long, b long, ok boolean"))
 
 
+def _prefix_pairs(ids: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b) among the documents ``ids (m_id)``, by inverted lists of their rarest shingles.
+
+    In ascending order of how many of these documents have a shingle, two sets that link
+    share one among the first ``b - least overlap with any smaller partner + 1`` of the larger and the first
+    ``a - least overlap with its own size + 1`` of the smaller set.  Near copies of one text that
+    differ too much to link have shingles of their own in front, so they do not meet.
+    """
+    items = (_only(texts, ids, F.col("doc_id") == F.col("m_id")).mapInArrow(_items(k), "g long, id long, n int").distinct())
+    items = checkpointed(items)
+    shared = items.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
+    met = items.join(shared, "g")
+    # shingles that no other document has stand first in their set
+    place = F.row_number().over(Window.partitionBy("id").orderBy("c", "g")) + F.col("n") - F.count("*").over(Window.partitionBy("id"))
+    n = F.col("n").cast("long")
+    probe = n - F.ceil(n * num / F.lit(den)) + 1
+    index = n - F.ceil(2 * n * num / F.lit(num + den)) + 1
+    first = checkpointed(met.withColumn("place", place).where(F.col("place") <= probe).select("g", "id", "n", (F.col("place") <= index).alias("indexed")))
+    x = first.where("indexed").select("g", F.col("id").alias("x"), F.col("n").alias("x_n"))
+    y = first.select("g", F.col("id").alias("y"), F.col("n").alias("y_n"))
+    met = x.join(y, "g").where((F.struct("x_n", "x") < F.struct("y_n", "y")) & (F.lit(den) * F.col("x_n") >= F.lit(num) * F.col("y_n")))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of documents that are linked, over any number of steps, by ``k``-word shingle sets of similarity ``num/den`` or more.
 
@@ -336,7 +373,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     links = checked.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(copies)
     comp = checkpointed(components(links))
 
-    # long lists in which a pair with the pivot does not link: compare their members across components
+    # long lists in which a pair with the pivot does not link: their members are compared across components
     open_keys = checkpointed(found.where("key IS NOT NULL").join(checked.where("NOT ok"), ["a", "b"]).select("key").distinct())
     n_open = open_keys.count()
     if n_open:
@@ -344,15 +381,13 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
             only = np.sort(np.array([r[0] for r in open_keys.collect()], np.int64).view(np.uint64))
             again = known.mapInArrow(_postings(k, small, num, den, only), "key long, a long, b long")
         else:
-            again = known.mapInArrow(_postings(k, small, num, den, np.zeros(0, np.uint64)), "key long, a long, b long").join(open_keys, "key", "left_semi")
-        members = again.select("key", "a").join(named, F.col("a") == F.col("copy"), "left").select("key", F.coalesce("rep", "a").alias("a")).distinct()
-        size = slim.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("n").alias("n"))
-        members = checkpointed(members.join(comp, F.col("a") == F.col("node"), "left").select("key", "a", F.coalesce("component", "a").alias("c"))
-                               .join(size, F.col("a") == F.col("doc_id")).select("key", "a", "c", "n"))
-        other = members.select("key", F.col("a").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"))
-        cross = (members.join(other, "key").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("c_b"))
-                                                  & (den * F.least("n", "n_b") >= num * F.greatest("n", "n_b"))).select("a", "b").distinct()
-                 .join(checked, ["a", "b"], "left_anti"))
+            again = known.mapInArrow(_postings(k, small, num, den, None, False), "key long, a long, b long").join(open_keys, "key", "left_semi")
+        members = again.select("a").distinct().join(named, F.col("a") == F.col("copy"), "left").select(F.coalesce("rep", "a").alias("m_id")).distinct()
+        cross = _prefix_pairs(checkpointed(members), texts, k, num, den)
+        of = comp.select(F.col("node"), "component")
+        for c in ("a", "b"):
+            cross = cross.join(of, F.col(c) == F.col("node"), "left").withColumn(f"{c}_c", F.coalesce("component", c)).drop("node", "component")
+        cross = cross.where("a_c <> b_c").select("a", "b").join(checked, ["a", "b"], "left_anti")
         more = _verified(checkpointed(cross), texts, k, num, den).where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
         comp = checkpointed(components(links.unionByName(more)))
     return (slim.join(comp, F.col("doc_id") == F.col("node"), "left")
