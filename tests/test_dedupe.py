@@ -39,3 +39,13 @@ def test_concat_and_prefer_first(spark):
                                                                      ("z", "http://b")]
     got = sorted((r["k"], r["v"]) for r in W.prefer_first([a, b], ["k"]).collect())
     assert got == [(1, "x"), (2, "z")]
+
+
+def test_null_keys_and_maps(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 1)], "g string, o int")
+    got = sorted((r["g"] or "", r["o"], r["position"]) for r in W.ordinal_within(df, ["g"], ["o"]).collect())
+    assert got == [("", 1, 0), ("", 2, 1), ("a", 1, 0)]
+    second = spark.createDataFrame([(None, 9), ("b", 9)], "g string, o int")
+    assert sorted((r["g"] or "", r["o"]) for r in W.prefer_first([df, second], ["g"]).collect()) == [("", 1), ("", 2), ("a", 1), ("b", 9)]
+    m = spark.createDataFrame([("T ", {"x": "1"}, 2), ("t", {"x": "2"}, 1), ("\t", {}, 0)], "title string, dims map<string,string>, o int")
+    assert [tuple(r) for r in W.dedupe_by_title(m, "o").collect()] == [("t", {"x": "2"}, 1)]

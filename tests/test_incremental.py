@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from vitrina.session import scratch_path
@@ -44,7 +45,7 @@ def test_stream_refresh_processes_only_new_files(spark):
     second.write.mode("append").parquet(f"{base}/in")
     I.stream_refresh(spark, f"{base}/in", sch, f"{base}/out", f"{base}/ckpt", "id", "ts")
     out = sorted(r["id"] for r in spark.read.parquet(f"{base}/out").collect())
-    assert out == [1, 2, 3]  # old files not re-read; id 1 deduplicated within the watermark
+    assert out == [1, 2, 3]  # old files not re-read; id 1 is stored already
 
 
 def test_stream_upsert_versions(spark):
@@ -53,10 +54,48 @@ def test_stream_upsert_versions(spark):
     spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01")], schema).write.parquet(f"{base}/in")
     sch = spark.read.parquet(f"{base}/in").schema
     I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod")
-    first = I.current_version(spark, f"{base}/t")
+    first = I._versions(spark, f"{base}/t")
     spark.createDataFrame([("a", "2024-02-01"), ("b", "2023-01-01"), ("c", "2024-01-03")], schema) \
         .write.mode("append").parquet(f"{base}/in")
     I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod")
-    assert I.current_version(spark, f"{base}/t") != first
+    assert I._versions(spark, f"{base}/t")[:-1] == first
     got = {r["id"]: r["lastmod"] for r in I.read_upserted(spark, f"{base}/t", sch).collect()}
     assert got == {"a": "2024-02-01", "b": "2024-01-01", "c": "2024-01-03"}
+
+
+def test_stream_refresh_keeps_late_and_keyless_rows(spark):
+    base = scratch_path(spark, f"t-late-{uuid.uuid4().hex}")
+    schema = "id string, ts timestamp_ntz"
+    rows = lambda day, *ids: spark.createDataFrame([(i,) for i in ids], "id string").withColumn("ts", F.lit(f"2024-{day} 00:00:00").cast("timestamp_ntz"))
+    sch = rows("02-01", "x").schema
+    assert sch.simpleString() == f"struct<{schema.replace(' ', ':').replace(',:', ',')}>"
+    for day, ids in (("02-01", ("a", None)), ("01-01", ("b", "a", None, "b")), ("01-15", ("c", "b"))):
+        rows(day, *ids).write.mode("append").parquet(f"{base}/in")
+        I.stream_refresh(spark, f"{base}/in", sch, f"{base}/out", f"{base}/ckpt", "id", "ts")
+    got = sorted((r["id"] or "", str(r["ts"])[:10]) for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == [("", "2024-01-01"), ("", "2024-02-01"), ("a", "2024-02-01"), ("b", "2024-01-01"), ("c", "2024-01-15")]
+
+
+def test_stream_upsert_survives_a_stop_at_the_marker(spark, monkeypatch):
+    base = scratch_path(spark, f"t-stop-{uuid.uuid4().hex}")
+    schema = "id string, lastmod string"
+    run = lambda: I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod", buckets=4)
+    spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01")], schema).write.parquet(f"{base}/in")
+    sch = spark.read.parquet(f"{base}/in").schema
+    run()
+    spark.createDataFrame([("c", "2024-01-03"), ("a", "2024-03-01")], schema).write.mode("append").parquet(f"{base}/in")
+    with monkeypatch.context() as m:
+        m.setattr(I, "_mark_complete", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(Exception, match="stopped"):
+            run()
+    stored = lambda: {r["id"]: r["lastmod"] for r in I.read_upserted(spark, f"{base}/t", sch).collect()}
+    assert stored() == {"a": "2024-01-01", "b": "2024-01-01"}
+    run()
+    assert stored() == {"a": "2024-03-01", "b": "2024-01-01", "c": "2024-01-03"}
+    marks = I._names(spark, f"{base}/t/_versions")
+    jpath, fs = I._fs(spark, f"{base}/t/_versions")
+    fs.delete(jpath, True)
+    spark.createDataFrame([("d", "2024-01-03")], schema).write.mode("append").parquet(f"{base}/in")
+    assert marks
+    with pytest.raises(Exception, match="no complete version"):
+        run()

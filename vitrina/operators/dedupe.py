@@ -13,22 +13,46 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrina.functions.text import strip_ws
 
 
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared; maps cannot."""
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def row_order(df: DataFrame) -> list[Column]:
+    """Columns that put the rows of any schema in one order: what can be compared, then a hash of the rest."""
+    rest = [f.name for f in df.schema.fields if not orderable(f.dataType)]
+    return [F.col(f.name) for f in df.schema.fields if orderable(f.dataType)] + (
+        [F.xxhash64(F.to_json(F.struct(*rest)))] if rest else [])
+
+
 def first_by(df: DataFrame, key: list[Column | str], order: list[Column | str]) -> DataFrame:
-    """One row per ``key``: the row with the least ``order`` (ties: whole row)."""
+    """One row per ``key``: the row with the least ``order`` (ties: ``row_order``)."""
     cols = df.columns
     key_cols = [F.col(k) if isinstance(k, str) else k for k in key]
     ord_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    rank = [c.alias(f"_o{i}") for i, c in enumerate([*ord_cols, *row_order(df)])]
     tagged = df.select(*[k.alias(f"_k{i}") for i, k in enumerate(key_cols)],
-                       F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(ord_cols)],
-                                *[F.col(c) for c in cols]).alias("_row"))
-    g = tagged.groupBy(*[f"_k{i}" for i in range(len(key_cols))]).agg(F.min("_row").alias("_row"))
+                       F.struct(*rank).alias("_rank"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
+    g = tagged.groupBy(*[f"_k{i}" for i in range(len(key_cols))]).agg(F.min_by("_row", "_rank").alias("_row"))
     return g.select(*[F.col("_row")[c].alias(c) for c in cols])
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; the right side's keys are dropped."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(other, on).drop(*[f"_r_{k}" for k in keys])
+
+
 def dedupe_by_title(df: DataFrame, order_col: str, title_col: str = "title") -> DataFrame:
     """Keep the first item per trimmed lower-case title; blank titles dropped."""
     key = F.lower(strip_ws(F.coalesce(F.col(title_col), F.lit(""))))
@@ -64,8 +88,7 @@ def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
                                                      F.min("_local").alias("_first"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    j = tagged.join(offsets.select("_pid", *group_cols, "_before", "_first"),
-                    on=["_pid", *group_cols], how="inner")
+    j = null_safe_join(tagged, offsets.select("_pid", *group_cols, "_before", "_first"), ["_pid", *group_cols])
     pos = (F.col("_before") + F.col("_local") - F.col("_first")).cast("bigint")
     return j.withColumn(out, pos).drop("_pid", "_local", "_before", "_first")
 
@@ -105,4 +128,4 @@ def prefer_first(dfs: list[DataFrame], key: list[str]) -> DataFrame:
     tagged = [df.withColumn("_prio", F.lit(i)) for i, df in enumerate(dfs)]
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     best = u.groupBy(*key).agg(F.min("_prio").alias("_best"))
-    return u.join(best, on=key).filter(F.col("_prio") == F.col("_best")).drop("_best")
+    return null_safe_join(u, best, key).filter(F.col("_prio") == F.col("_best")).drop("_best")

@@ -8,9 +8,9 @@ planner would turn into a nested loop.  Here each is a union of equi-joins:
   (``min_by`` aggregates, partial and skew-safe), so each join is N:1 and a
   slug shared by many entries cannot multiply rows; the best of the two
   candidates per sitemap url is another ``min_by``.
-* J6: "a contains b" over short keys (ids and file stems are cut to 40-50
-  characters by the publishers) is exact as an equi-join on the substrings of
-  the containing side: at most L(L+1)/2 rows per distinct key.
+* J6: "a contains b" is an equi-join on one short substring of b, the one that
+  fewest candidates have, verified on the whole keys: the containing side has
+  at most three rows per character.
 """
 
 from __future__ import annotations
@@ -41,43 +41,61 @@ def match_listing(sitemap: DataFrame, listing: DataFrame, url: str = "url", ordi
                       F.col("_e")["listing_url"].alias("match_url"))
 
 
-def substrings(df: DataFrame, col: str, out: str = "sub") -> DataFrame:
-    """Every non-empty substring of ``col`` as a row (keeps the other columns)."""
-    n = F.length(F.col(col))
-    starts = df.withColumn("_i", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))))
-    ends = starts.withColumn("_j", F.explode(F.sequence(F.col("_i"), F.greatest(n, F.lit(1)))))
-    return ends.filter(n > 0).withColumn(out, F.substring(F.col(col), F.col("_i"), F.col("_j") - F.col("_i") + 1)) \
-        .drop("_i", "_j")
+GRAM = 3  # characters of a substring key
+
+
+def grams(df: DataFrame, col: str, out: str = "gram") -> DataFrame:
+    """The distinct substrings of ``col`` of 1 to ``GRAM`` characters as rows: at most ``GRAM`` times its length."""
+    text = F.col(col)
+    of_len = lambda n: F.when(F.length(text) >= n, F.transform(
+        F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return df.withColumn(out, F.explode(F.array_distinct(F.concat(*[of_len(n) for n in range(1, GRAM + 1)]))))
+
+
+def containing(needles: DataFrame, hays: DataFrame) -> DataFrame:
+    """Pairs ``(source, needle, hay)`` where a ``hay`` of the same source contains the ``needle``.
+
+    Each needle is looked up under one of its grams of ``GRAM`` characters (or
+    under the whole needle, if shorter), the one that fewest hays have, and verified.
+    """
+    posted = grams(hays, "hay").select("source", "hay", "gram")
+    often = posted.groupBy("source", "gram").agg(F.count(F.lit(1)).alias("n"))
+    own = grams(needles, "needle").filter(F.length("gram") == F.least(F.length("needle"), F.lit(GRAM)))
+    rare = (own.join(often, ["source", "gram"], "left")
+            .groupBy("source", "needle").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), F.col("gram"))).alias("gram")))
+    return rare.join(posted, ["source", "gram"]).filter(F.contains("hay", "needle")).select("source", "needle", "hay")
 
 
 def find_bundle(ids: DataFrame, bundles: DataFrame, id_col: str = "id", source: Column | None = None,
                 stem_col: str = "stem") -> DataFrame:
-    """Resolve item ids to bundle stems.
+    """Resolve item ids to bundle stems of their source.
 
-    Tier 1: stem equals the id; tier 2: stem equals the id without its
-    ``source-`` prefix; tier 3 (only for ids unresolved so far): the slug
-    contains the stem or the stem contains the slug.  Within a tier the least
-    stem wins.  Output: the ids columns plus ``stem`` and ``how``.
+    ``bundles`` has the stems and, in ``source``, the folder of each; an id
+    looks only in the folder of its own source and finds nothing without one.
+    Bundles without a ``source`` column are one folder for all ids.  Tier 1:
+    stem equals the id; tier 2: stem equals the id without its ``source-``
+    prefix; tier 3 (only for ids unresolved so far): the slug contains the
+    stem or the stem contains the slug.  Within a tier the least stem wins.
+    Output: the ids columns plus ``stem`` and ``how``.
     """
     src = source if source is not None else F.lit(None).cast("string")
+    foldered = "source" in bundles.columns
     look = ids.withColumn("_src", src).withColumn(
         "_slug", F.when(F.col("_src").isNotNull() & F.col(id_col).startswith(F.concat(F.col("_src"), F.lit("-"))),
                         F.expr(f"substring({id_col}, length(_src) + 2)")).otherwise(F.col(id_col)))
-    stems = bundles.select(F.col(stem_col).alias("_stem")).distinct()
-    keys = look.select(id_col, "_slug").distinct()
-    t1 = keys.join(stems, keys[id_col] == stems["_stem"]).select(id_col, "_stem", F.lit(1).alias("_tier"))
-    t2 = keys.join(stems, keys["_slug"] == stems["_stem"]).select(id_col, "_stem", F.lit(2).alias("_tier"))
-    resolved = t1.unionByName(t2).select(id_col).distinct()
-    left = keys.join(resolved, id_col, "left_anti")
-    # tier 3a: stem inside the slug -> substrings of the (short) slugs
-    a = substrings(left, "_slug", "_sub").join(stems, F.col("_sub") == F.col("_stem")) \
-        .select(id_col, "_stem", F.lit(3).alias("_tier"))
-    # tier 3b: slug inside the stem -> substrings of the (short) stems
-    sub_st = substrings(stems, "_stem", "_sub")
-    b = left.join(sub_st, left["_slug"] == sub_st["_sub"]).select(id_col, "_stem", F.lit(3).alias("_tier"))
-    allm = t1.unionByName(t2).unionByName(a).unionByName(b)
-    best = allm.groupBy(id_col).agg(F.min(F.struct("_tier", "_stem")).alias("_b"))
-    tier = F.col("_b")["_tier"]
-    how = F.when(tier == 1, F.lit("exact")).when(tier == 2, F.lit("slug")).when(tier == 3, F.lit("partial"))
-    out = look.join(best, id_col, "left")
-    return out.select(*ids.columns, F.col("_b")["_stem"].alias("stem"), how.alias("how"))
+    folder = F.col("_src") if foldered else F.lit("")
+    stems = bundles.select((F.col("source") if foldered else F.lit("")).alias("source"), F.col(stem_col).alias("_stem")).distinct()
+    keys = look.select(folder.alias("source"), id_col, "_slug").distinct()
+    tier = lambda on, n: keys.join(stems, (keys["source"] == stems["source"]) & (keys[on] == stems["_stem"])).select(
+        keys["source"], keys[id_col], "_stem", F.lit(n).alias("_tier"))
+    near = tier(id_col, 1).unionByName(tier("_slug", 2))
+    left = keys.join(near.select("source", id_col).distinct(), ["source", id_col], "left_anti").filter((F.col("_slug") != "") & F.col("source").isNotNull())
+    short, long_ = left.select("source", F.col("_slug").alias("t")).distinct(), stems.filter("_stem <> ''").select("source", F.col("_stem").alias("t"))
+    as_needle, as_hay = (lambda df: df.withColumnRenamed("t", "needle")), (lambda df: df.withColumnRenamed("t", "hay"))
+    inside = containing(as_needle(long_), as_hay(short)).select("source", F.col("hay").alias("_slug"), F.col("needle").alias("_stem"))
+    around = containing(as_needle(short), as_hay(long_)).select("source", F.col("needle").alias("_slug"), F.col("hay").alias("_stem"))
+    part = left.join(inside.unionByName(around), ["source", "_slug"]).select("source", id_col, "_stem", F.lit(3).alias("_tier"))
+    best = near.unionByName(part).groupBy(id_col).agg(F.min(F.struct("_tier", "_stem")).alias("_b"))
+    rank = F.col("_b")["_tier"]
+    how = F.when(rank == 1, F.lit("exact")).when(rank == 2, F.lit("slug")).when(rank == 3, F.lit("partial"))
+    return look.join(best, id_col, "left").select(*ids.columns, F.col("_b")["_stem"].alias("stem"), how.alias("how"))

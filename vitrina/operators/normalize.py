@@ -43,7 +43,9 @@ SYSTEM_PAGES = [
 
 
 def _bundles(bundles: DataFrame) -> DataFrame:
-    return bundles.select(F.col("id").alias("_bid"), F.col("content").alias("_content"))
+    """One bundle per id, as one file per id holds: the last written (``ordinal``, if given), else the greatest text."""
+    last = F.max_by("content", F.struct("ordinal", "content")) if "ordinal" in bundles.columns else F.max("content")
+    return bundles.groupBy(F.col("id").alias("_bid")).agg(last.alias("_content"))
 
 
 def with_bundle(raw: DataFrame, bundles: DataFrame, key: Column | str = "id") -> DataFrame:
@@ -133,7 +135,9 @@ def normalize_datasets(ops: DataFrame, tables: DataFrame, bundles: DataFrame,
     agg = table_aggregates(tables)
     j = ops.join(agg, ops["Id"] == agg["op_id"], "left")
     if code_map is not None:
-        cm = code_map.select(F.col("code").alias("_code"), F.col("name").alias("_map_name"))
+        # a code that is listed again takes its last name (``ordinal``, if given)
+        last = F.max_by("name", F.struct("ordinal", "name")) if "ordinal" in code_map.columns else F.max("name")
+        cm = code_map.groupBy(F.col("code").alias("_code")).agg(last.alias("_map_name"))
         j = j.join(cm, j["Codigo"] == cm["_code"], "left")  # J3
     else:
         j = j.withColumn("_map_name", F.lit(None).cast("string"))

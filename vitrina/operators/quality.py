@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,15 +52,49 @@ def fanout_report(a: DataFrame, b: DataFrame, result: DataFrame, keys: list[str]
     if expected == "1:1":
         # one pass over the result: rows per key give both the size and the duplicates
         per_key = result.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
-        stats = per_key.agg(F.sum("c").alias("n"), F.max("c").alias("mx"))
-        parts.append(stats.select(F.lit("n_result").alias("m"), F.coalesce("n", F.lit(0)).cast("bigint").alias("v")))
-        parts.append(stats.select(F.lit("dup").alias("m"),
-                                  (F.coalesce("mx", F.lit(0)) > 1).cast("bigint").alias("v")))
+        stats = per_key.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.coalesce(F.max("c"), F.lit(0)).alias("mx"))
+        parts.append(stats.select(F.explode(F.array(
+            F.struct(F.lit("n_result").alias("m"), F.col("n").cast("bigint").alias("v")),
+            F.struct(F.lit("dup").alias("m"), (F.col("mx") > 1).cast("bigint").alias("v")))).alias("x")).select("x.m", "x.v"))
     else:
         parts.append(_metric(result, "n_result", F.count(F.lit(1))))
     stacked = reduce(DataFrame.unionByName, parts)
     row = stacked.agg(*[F.max(F.when(F.col("m") == m, F.col("v"))).alias(m)
                         for m in ["n_a", "n_b", "n_result", "dup"]])
+    return _judged(row, how, expected, tol)
+
+
+def crossing_report(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner", expected: str = "1:1",
+                    tol: float = DEFAULT_TOLERANCE) -> DataFrame:
+    """The review of ``fanout_report`` for a crossing that has not been run (Q1).
+
+    The result's size and duplicates follow from how often each key occurs on
+    either side: one aggregate over the keys of both inputs, each read once.  A
+    key with a null part matches nothing.
+    """
+    if not keys:
+        return _verdict_only(a.sparkSession, "no explicit join keys: cartesian product blocked")
+    for side in (a, b):
+        missing = [k for k in keys if k not in side.columns]
+        if missing:
+            return _verdict_only(a.sparkSession, f"key {missing[0]!r} not found in the result")
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unknown join {how!r}")
+    side = lambda df, x, y: df.select(*keys, F.lit(x).alias("x"), F.lit(y).alias("y"))
+    counts = side(a, 1, 0).unionByName(side(b, 0, 1)).groupBy(*keys).agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
+    whole = reduce(lambda p, q: p & q, [F.col(k).isNotNull() for k in keys])
+    x, y = F.col("x").cast("decimal(18,0)"), F.col("y").cast("decimal(18,0)")
+    met = F.when(whole & (F.col("x") > 0) & (F.col("y") > 0), x * y)
+    alone = {"inner": F.lit(0), "left": x, "right": y, "full": x + y}[how]
+    rows = F.coalesce(met, alone.cast("decimal(37,0)"))
+    row = counts.agg(F.coalesce(F.sum("x"), F.lit(0)).cast("bigint").alias("n_a"), F.coalesce(F.sum("y"), F.lit(0)).cast("bigint").alias("n_b"),
+                     F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("n_result"),
+                     F.coalesce(F.max(rows) > 1, F.lit(False)).cast("bigint").alias("dup"))
+    return _judged(row if expected == "1:1" else row.withColumn("dup", F.lit(None).cast("bigint")), how, expected, tol)
+
+
+def _judged(row: DataFrame, how: str, expected: str, tol: float) -> DataFrame:
+    """Verdict on the four numbers of a crossing."""
     na, nb, nr = F.col("n_a"), F.col("n_b"), F.col("n_result")
     dup = F.coalesce(F.col("dup"), F.lit(0)) > 0
     limit_1n = F.floor(F.greatest(na, nb) * F.lit(tol)).cast("bigint")
@@ -90,21 +123,21 @@ def _verdict_only(spark: SparkSession, reason: str) -> DataFrame:
     return spark.createDataFrame([(None, None, None, None, None, False, reason)], schema)
 
 
-def checked_join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner",
-                 expected: str = "1:1", tol: float = DEFAULT_TOLERANCE) -> DataFrame:
-    """Join on explicit keys and review it (J7); raise ``FanoutError`` on failure.
-
-    The result is persisted (memory and disk; lost blocks are recomputed from
-    lineage) so the review and the caller read it once.
-    """
+def check_crossing(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner",
+                   expected: str = "1:1", tol: float = DEFAULT_TOLERANCE) -> None:
+    """Raise ``FanoutError`` if a crossing would fail its review (J7); the crossing itself is not run."""
     if not keys:
         raise ValueError("no explicit join keys: cartesian product blocked")
-    result = a.join(b, on=keys, how=how).persist(StorageLevel.MEMORY_AND_DISK)
-    verdict = fanout_report(a, b, result, keys, how, expected, tol).first()
+    verdict = crossing_report(a, b, keys, how, expected, tol).first()
     if not verdict["passed"]:
-        result.unpersist()
         raise FanoutError(verdict["reason"])
-    return result
+
+
+def checked_join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner",
+                 expected: str = "1:1", tol: float = DEFAULT_TOLERANCE) -> DataFrame:
+    """Join on explicit keys after its review passed (J7): an exploding join is refused before it runs."""
+    check_crossing(a, b, keys, how, expected, tol)
+    return a.join(b, on=keys, how=how)
 
 
 def year_key(c: Column | str) -> Column:
@@ -159,19 +192,16 @@ def id_collisions(df: DataFrame, id_col: str = "id", order_col: str | None = Non
 def validate_catalog(df: DataFrame, allowed: list[str] | None = None, min_items: int = 0,
                      max_items: int | None = None, required_sources: list[str] | None = None
                      ) -> DataFrame:
-    """Contract violations as rows ``(rule, id, detail)`` (Q5)."""
+    """Contract violations as rows ``(rule, id, detail)`` (Q5): every rule that a row breaks, then those of the whole."""
     spark = df.sparkSession
     allowed = allowed or ALLOWED_SOURCES
     blank = lambda c: F.col(c).isNull() | (F.col(c) == "")
-    row_rules = (
-        F.when(blank("id"), F.lit("missing_id"))
-        .when(blank("title"), F.lit("missing_title"))
-        .when(blank("source"), F.lit("missing_source"))
-        .when(~F.col("source").isin(*allowed), F.lit("source_not_allowed"))
-    )
-    per_row = df.select(row_rules.alias("rule"), F.col("id"),
-                        F.coalesce(F.col("source"), F.lit("")).alias("detail")) \
-        .filter(F.col("rule").isNotNull())
+    rule = lambda cond, name: F.when(cond, F.lit(name))
+    broken = F.array_compact(F.array(
+        rule(blank("id"), "missing_id"), rule(blank("title"), "missing_title"), rule(blank("source"), "missing_source"),
+        rule(~blank("source") & ~F.col("source").isin(*allowed), "source_not_allowed")))
+    per_row = df.select(F.explode(broken).alias("rule"), F.col("id"),
+                        F.coalesce(F.col("source"), F.lit("")).alias("detail"))
     n = df.agg(F.count(F.lit(1)).alias("n"))
     upper = F.lit(max_items) if max_items is not None else F.lit(None).cast("bigint")
     count_rule = n.select(
@@ -209,6 +239,29 @@ def schema_drift(spark: SparkSession, actual: T.StructType, expected: T.StructTy
     return spark.createDataFrame(rows, "column string, kind string, expected string, actual string")
 
 
+def record_drift(records: DataFrame, json_col: str, expected: dict[str, str]) -> DataFrame:
+    """Fields of JSON records against expected types (Q6), from the records themselves.
+
+    ``expected`` maps a field to its type in SQL (``BIGINT``, ``STRING``, ...).
+    Returns ``column, kind, expected, actual, n``: ``extra`` and ``type_changed``
+    per observed type with the number of records, ``missing`` with the number of
+    records that lack the field (a record that is no object lacks all).
+    """
+    spark = records.sparkSession
+    parsed = records.select(F.from_json(json_col, "map<string,variant>").alias("m"))
+    want = spark.createDataFrame(list(expected.items()), "column string, expected string")  # a schema: as many rows as fields
+    seen = (parsed.select(F.explode("m").alias("column", "v")).groupBy("column", F.schema_of_variant("v").alias("actual"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    j = seen.join(want, "column", "left")
+    changed = j.filter(F.col("expected").isNull() | (F.col("expected") != F.col("actual"))).select(
+        "column", F.when(F.col("expected").isNull(), "extra").otherwise("type_changed").alias("kind"), "expected", "actual", "n")
+    lacking = parsed.agg(*[F.count_if(~F.coalesce(F.map_contains_key("m", F.lit(c)), F.lit(False))).alias(c) for c in expected])
+    rows = lacking.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit("missing").alias("kind"), F.lit(t).alias("expected"),
+                                                       F.lit(None).cast("string").alias("actual"), F.col(f"`{c}`").alias("n"))
+                                              for c, t in expected.items()])).alias("x")).select("x.*")
+    return changed.unionByName(rows.filter("n > 0"))
+
+
 def size_class(descr: Column | str, n_rows: Column | str, has_pii: Column | str) -> Column:
     """Crossing size S / M / L (Q7)."""
     d = F.coalesce(_c(descr), F.lit(""))

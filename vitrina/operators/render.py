@@ -108,30 +108,32 @@ def render_report_bundle(df: DataFrame) -> DataFrame:
         F.when(geo != "", geo).otherwise(F.lit("No especificada")), "\n- **Técnica:** ",
         F.coalesce(F.col("technique"), F.lit("Convencional")), "\n- **Fecha:** ", date_raw,
         "\n- **URL:** [", url, "](", url, ")\n")
-    return df.select(F.col("id"), content.alias("content"))
+    return df.select(F.col("id"), content.alias("content"), *[c for c in df.columns if c == "ordinal"])
 
 
-def render_dataset_bundle(ops: DataFrame, tables: DataFrame, series_counts: DataFrame | None = None
-                          ) -> DataFrame:
-    """Dataset bundle (K5): one per operation, listing its first 10 tables.
+def render_dataset_bundle(ops: DataFrame, tables: DataFrame, series_counts: DataFrame | None = None,
+                          listed: int = BUNDLE_TABLES) -> DataFrame:
+    """Dataset bundle (K5): one per operation, with its table count and its first tables.
 
     ``ops``: Id, Nombre, Codigo.  ``tables``: op_id, Id, Nombre (listed in
-    ``Id`` order).  ``series_counts``: op_id, n_series, n_values (0 if absent,
-    D10: counts come from stored data).  The first-10 pick is a
-    ``row_number() <= 10`` (partial per task), so only 10 rows per operation
-    are gathered into its bundle.
+    ``Id`` order, ``listed`` of them; the count is of all, D13).
+    ``series_counts``: op_id, n_series, n_values (0 if absent, D10: counts
+    come from stored data).  The pick is a ``row_number() <= listed`` (partial
+    per task), so only that many rows per operation are gathered into its bundle.
     """
     w = Window.partitionBy("op_id").orderBy("Id")
-    first = (tables.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= BUNDLE_TABLES))
+    first = (tables.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= listed))
+    counts = tables.groupBy("op_id").agg(F.count(F.lit(1)).alias("_n"))
     bullets = first.groupBy("op_id").agg(
         F.array_sort(F.collect_list(F.struct("_rn", "Id", "Nombre"))).alias("_t"))
     j = ops.join(bullets, ops["Id"] == bullets["op_id"], "left").drop("op_id")
+    j = j.join(counts, j["Id"] == counts["op_id"], "left").drop("op_id")
     if series_counts is not None:
         j = j.join(series_counts, j["Id"] == series_counts["op_id"], "left").drop("op_id")
     else:
         j = j.withColumn("n_series", F.lit(0)).withColumn("n_values", F.lit(0))
     t = F.coalesce(F.col("_t"), F.array())
-    n = F.size(t).cast("string")
+    n = F.coalesce("_n", F.lit(0)).cast("string")
     name = F.coalesce(F.col("Nombre"), F.lit("Sin nombre"))
     code = F.coalesce(F.col("Codigo"), F.lit(""))
     oid = F.col("Id").cast("string")
@@ -155,66 +157,88 @@ def render_dataset_bundle(ops: DataFrame, tables: DataFrame, series_counts: Data
     return j.select(stem.alias("id"), content.alias("content"))
 
 
-def render_year_index(papers: DataFrame, order_col: str = "ordinal") -> DataFrame:
-    """Paper index by year (K6) as ordered lines ``(k1, k2, k3, line)``.
+# Front matter and headings of the four index documents ({n}: number of items, {at}: when they were read).
+INDEX_HEADS = {
+    "years": ["---", 'okf_version: "1.0.0"', 'title: "Funcas - Documentos de Trabajo y Notas Técnicas"',
+              'description: "Repositorio OKF de publicaciones económicas de Funcas (932+ documentos, 2007-2026)"', 'source: "Funcas"', 'type: "collection"',
+              "total_documents: {n}", 'scraped_at: "{at}"', 'tags: ["funcas", "economía española", "documentos de trabajo", "notas técnicas"]', "---", "",
+              "# Funcas - Catálogo de Documentos", "", "Total: **{n} documentos** | Rango: 2007–2026 | Fuente: [Funcas](https://www.funcas.es)", "", "## Por año"],
+    "reports": ["---", 'okf_version: "1.0.0"', 'title: "BBVA Research - Publicaciones"',
+                'description: "Repositorio OKF de publicaciones económicas de BBVA Research ({n} documentos)"', 'source: "BBVA Research"', 'type: "collection"',
+                "total_documents: {n}", 'scraped_at: "{at}"', 'tags: ["BBVA Research", "economía", "big data", "españa"]', "---", "",
+                "# BBVA Research - Catálogo de Publicaciones", "", "Total: **{n} publicaciones** | Fuente: [BBVA Research](https://www.bbvaresearch.com)", "",
+                "## Publicaciones"],
+    "high_value": ["---", 'okf_version: "1.0.0"', 'title: "INE - Datos de Alto Valor (HVD)"',
+                   'description: "17 datasets de alto valor según Reglamento UE 2023/138. Descarga directa en CSV, PC-Axis y XLSX."', 'source: "INE"', 'type: "collection"',
+                   "datasets: {n}", 'scraped_at: "{at}"', 'tags: ["INE", "HVD", "datos de alto valor", "UE 2023/138"]', "---", "", "# INE - Datos de Alto Valor (HVD)", "",
+                   "## Datasets disponibles\n"],
+    "operations": ["---", 'okf_version: "1.0.0"', 'title: "INE - Catálogo de Datos Abiertos"',
+                   'description: "Repositorio OKF del Instituto Nacional de Estadística. 112 operaciones estadísticas, 461 publicaciones, acceso API JSON."',
+                   'source: "INE"', 'type: "collection"', "total_operations: {n}", 'scraped_at: "{at}"',
+                   'tags: ["INE", "economía española", "datos abiertos", "API", "estadísticas"]', "---", "", "# INE - Catálogo de Datos Abiertos", "",
+                   "Fuente: [INE Datos Abiertos](https://www.ine.es/dyngs/DAB/index.htm?cid=1722)",
+                   "Total operaciones: **{n}** | API: `https://servicios.ine.es/wstempus/js/ES/`", "", "## Operaciones Económicas"],
+}
+#: Order of an index's lines: section, year (newest first), place in the block, the item's own ordinal.
+INDEX_ORDER = ["k1", "k2", "k3", "k4"]
+
+
+def _index_lines(items: DataFrame, kind: str, order_col: str, at: str, *parts: DataFrame) -> DataFrame:
+    """The heading of an index document and its other lines; ``k4`` has the type of the items' ordinal."""
+    kind_of = items.schema[order_col].dataType
+    fill = lambda line: F.replace(F.replace(F.lit(line), F.lit("{n}"), F.col("n").cast("string")), F.lit("{at}"), F.lit(at))
+    head = items.agg(F.count(F.lit(1)).alias("n")).select(F.posexplode(F.array(*[fill(x) for x in INDEX_HEADS[kind]])).alias("k3", "line"))
+    out = head.select(F.lit(0).alias("k1"), F.lit(0).alias("k2"), "k3", F.lit(None).cast(kind_of).alias("k4"), "line")
+    for part in parts:
+        out = out.unionByName(part.select("k1", "k2", "k3", F.col("k4").cast(kind_of).alias("k4"), "line"))
+    return out
+
+
+def _at(k1: int, k2: Column | int, k3: int, k4: Column | None, line: Column) -> list[Column]:
+    return [F.lit(k1).alias("k1"), (F.lit(k2) if isinstance(k2, int) else k2).cast("int").alias("k2"), F.lit(k3).alias("k3"),
+            (F.lit(None) if k4 is None else k4).alias("k4"), line.alias("line")]
+
 
-    Year = first four-digit run of ``date`` (D11), else ``sin_fecha``; years
-    newest first (text order), a heading with the count per year, then one
-    bullet per paper in ``order_col`` order (a sortable text) with its first
-    two authors.
+def render_year_index(papers: DataFrame, order_col: str = "ordinal", at: str = "") -> DataFrame:
+    """Paper index by year (K6) as lines ``(k1, k2, k3, k4, line)`` in the order of ``INDEX_ORDER``.
+
+    A heading with the total, then by year, newest first: year = first
+    four-digit run of ``date`` (D11), else ``sin_fecha``, which stands before
+    the years; a heading with the count per year, then one bullet per paper in
+    ``order_col`` order (numbers as numbers) with its first two authors.
     """
-    year = F.coalesce(X.year_of("date"), F.lit("sin_fecha"))
-    p = papers.withColumn("_year", year)
-    heads = p.groupBy("_year").agg(F.count(F.lit(1)).alias("_n")).select(
-        F.col("_year").alias("k1"), F.lit(0).cast("bigint").alias("k2"), F.lit("").alias("k3"),
-        F.concat(F.lit("\n### "), F.col("_year"), F.lit(" ("), F.col("_n").cast("string"),
-                 F.lit(" documentos)\n")).alias("line"))
+    p = papers.withColumn("_year", F.coalesce(X.year_of("date"), F.lit("sin_fecha")))
+    newest = F.coalesce(-F.col("_year").try_cast("int"), F.lit(-10_000))
+    heads = p.groupBy("_year").agg(F.count(F.lit(1)).alias("_n")).select(*_at(1, newest, 0, None, F.concat(
+        F.lit("\n### "), F.col("_year"), F.lit(" ("), F.col("_n").cast("string"), F.lit(" documentos)\n"))))
     authors = X.authors_short(F.coalesce(F.col("authors"), F.array().cast("array<string>")))
-    items = p.select(F.col("_year").alias("k1"), F.lit(1).cast("bigint").alias("k2"),
-                     F.col(order_col).cast("string").alias("k3"),
-                     F.concat(F.lit("- ["), F.coalesce(F.col("title"), F.lit("Sin título")), F.lit("](conceptos/"),
-                              F.col("id"), F.lit(".md) — "), authors).alias("line"))
-    return heads.unionByName(items)
+    items = p.select(*_at(1, newest, 1, F.col(order_col), F.concat(
+        F.lit("- ["), F.coalesce(F.col("title"), F.lit("Sin título")), F.lit("](conceptos/"), F.col("id"), F.lit(".md) — "), authors)))
+    return _index_lines(papers, "years", order_col, at, heads, items)
 
 
 def render_list_index(items: DataFrame, kind: str = "operations", key_ids: DataFrame | None = None,
-                      order_col: str = "ordinal") -> DataFrame:
-    """List index (K7) as ordered lines.
+                      order_col: str = "ordinal", at: str = "") -> DataFrame:
+    """List index (K7) as lines in the order of ``INDEX_ORDER``, heading first.
 
     ``operations``: a key-operations section (semi-join with ``key_ids``) and
     an all-operations list with names cut at 80.  ``reports``: one bullet per
     report with date and geography.  ``high_value``: one bullet per dataset
     of the high-value table (``cap, name, code``).
     """
-    k3 = F.col(order_col).cast("string")
+    k4 = F.col(order_col)
+    text = lambda c, other="": F.coalesce(F.col(c).cast("string"), F.lit(other))
     if kind == "high_value":
-        # one bullet per high-value dataset: name, code and its download key
-        return items.select(F.lit("1").alias("k1"), F.lit(1).cast("bigint").alias("k2"), k3.alias("k3"),
-                            F.concat(F.lit("- **"), F.col("name"), F.lit("** ("), F.col("code"),
-                                     F.lit(") — `c="), F.col("cap").cast("string"), F.lit("`")).alias("line"))
+        bullet = F.concat(F.lit("- **"), text("name"), F.lit("** ("), text("code"), F.lit(") — `c="), text("cap"), F.lit("`"))
+        return _index_lines(items, kind, order_col, at, items.select(*_at(1, 0, 0, k4, bullet)))
     if kind == "reports":
-        return items.select(F.lit("1").alias("k1"), F.lit(1).cast("bigint").alias("k2"), k3.alias("k3"),
-                            F.concat(F.lit("- ["), F.coalesce(F.col("title"), F.lit("?")), F.lit("](conceptos/"),
-                                     F.coalesce(F.col("id"), F.lit("?")), F.lit(".md) — "),
-                                     F.coalesce(F.col("date_raw"), F.lit("")), F.lit(" "),
-                                     F.coalesce(F.col("geography"), F.lit(""))).alias("line"))
-    code = F.coalesce(F.col("Codigo"), F.lit(""))
-    oid = F.col("Id").cast("string")
+        bullet = F.concat(F.lit("- ["), text("title", "?"), F.lit("](conceptos/"), text("id", "?"), F.lit(".md) — "), text("date_raw"), F.lit(" "), text("geography"))
+        return _index_lines(items, kind, order_col, at, items.select(*_at(1, 0, 0, k4, bullet)))
+    code, oid, name = text("Codigo"), F.col("Id").cast("string"), text("Nombre")
     stem = F.when(code != "", F.lower(code)).otherwise(F.concat(F.lit("op"), oid))
-    name = F.coalesce(F.col("Nombre"), F.lit(""))
-    out = items.select(F.lit("2").alias("k1"), F.lit(1).cast("bigint").alias("k2"), k3.alias("k3"),
-                       F.concat(F.lit("- ["), code, F.lit("](conceptos/"), stem, F.lit(".md) — "),
-                                F.substring(name, 1, 80)).alias("line"))
-    head_all = items.sparkSession.createDataFrame([("2", 0, "", "\n## Todas las Operaciones\n")],
-                                                  "k1 string, k2 bigint, k3 string, line string")
-    out = out.unionByName(head_all)
-    if key_ids is not None:
-        keyed = items.join(key_ids.select(F.col(key_ids.columns[0]).alias("Id")), "Id", "left_semi")
-        sec = keyed.select(F.lit("1").alias("k1"), F.lit(1).cast("bigint").alias("k2"), k3.alias("k3"),
-                           F.concat(F.lit("\n### ["), name, F.lit("](conceptos/"), stem, F.lit(".md)\n- **Código:** "),
-                                    code, F.lit(" | **ID:** "), oid, F.lit("\n- **API:** `TABLAS_OPERACION/"), oid,
-                                    F.lit("`")).alias("line"))
-        head_key = items.sparkSession.createDataFrame([("1", 0, "", "## Operaciones Económicas")],
-                                                      "k1 string, k2 bigint, k3 string, line string")
-        out = out.unionByName(sec).unionByName(head_key)
-    return out
+    section = F.concat(F.lit("\n### ["), name, F.lit("](conceptos/"), stem, F.lit(".md)\n- **Código:** "), code, F.lit(" | **ID:** "), oid,
+                       F.lit("\n- **API:** `TABLAS_OPERACION/"), oid, F.lit("`"))
+    keyed = items.limit(0) if key_ids is None else items.join(key_ids.select(F.col(key_ids.columns[0]).alias("Id")), "Id", "left_semi")
+    title = items.agg(F.count(F.lit(1))).select(*_at(2, 0, 0, None, F.lit("\n## Todas las Operaciones\n")))
+    bullet = F.concat(F.lit("- ["), code, F.lit("](conceptos/"), stem, F.lit(".md) — "), F.substring(name, 1, 80))
+    return _index_lines(items, kind, order_col, at, keyed.select(*_at(1, 0, 0, k4, section)), title, items.select(*_at(2, 0, 1, k4, bullet)))

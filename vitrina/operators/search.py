@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.fold import fold
-from vitrina.functions.text import _c
+from vitrina.functions.text import _c, strip_ws
 
 SEARCH_FIELDS = ["id", "source", "title", "date_iso", "description", "url", "tags", "type"]
 
@@ -155,7 +155,7 @@ def drop_system_pages(df: DataFrame, system_ids: DataFrame | list[str], key: str
 
 def nonblank_title(c: Column | str = "title") -> Column:
     """Title that is not blank once trimmed."""
-    return F.trim(F.lower(F.coalesce(_c(c), F.lit("")))) != ""
+    return strip_ws(F.coalesce(_c(c), F.lit(""))) != ""
 
 
 def recent(df: DataFrame, years: list[str], lastmod: str = "lastmod", date: str = "date") -> DataFrame:

@@ -66,19 +66,20 @@ def last_modified(tables: DataFrame, op_col: str, mod_col: Column | str,
                   mode: str = "max", order_col: str | None = None) -> DataFrame:
     """Modification date per operation.
 
-    ``max`` takes the latest value; ``first`` takes the value of the lowest
+    ``max`` takes the latest value, ``both`` gives both in one pass; ``first`` takes the value of the lowest
     ``order_col`` (the file order the reference used), which must be given.
     """
     mod = F.col(mod_col) if isinstance(mod_col, str) else mod_col
     if mode == "max":
-        agg = F.max(mod)
-    elif mode == "first":
+        aggs = [F.max(mod).alias("last_modified")]
+    elif mode in ("first", "both"):
         if not order_col:
-            raise ValueError("mode='first' needs an explicit order column")
-        agg = F.min_by(mod, F.col(order_col))
+            raise ValueError(f"mode={mode!r} needs an explicit order column")
+        first = F.min_by(mod, F.col(order_col))
+        aggs = [first.alias("last_modified")] if mode == "first" else [F.max(mod).alias("last_modified"), first.alias("first_modified")]
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return tables.where(mod.isNotNull()).groupBy(op_col).agg(agg.alias("last_modified"))
+    return tables.where(mod.isNotNull()).groupBy(op_col).agg(*aggs)
 
 
 def series_totals(series: DataFrame, op_col: str, values: Column | str = "Data") -> DataFrame:

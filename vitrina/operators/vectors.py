@@ -21,12 +21,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrina.functions.text import _c, strip_ws
+from vitrina.operators.dedupe import row_order
+from vitrina.session import checkpoint_dir
 
 EPS = 1e-10  # fixed value: added to the norm product, as the reference does
 
@@ -90,17 +91,19 @@ def hits_to_items(hits: DataFrame, catalog: DataFrame, key: str = "id",
     aggregate (partial, skew-safe) before the join; hits without an item drop
     out before any limit, so they never use up k.
     """
-    cols = [c for c in catalog.columns if c != key]
-    if order is None:
-        pick = F.min(F.struct(*cols))  # deterministic: the least whole row
-    else:
-        pick = F.min_by(F.struct(*cols), _c(order))
     # only catalogue rows whose id was hit are deduplicated; the semi-join,
     # the aggregate and the final join all use the same id partitioning
-    wanted = catalog.join(hits.select(key).distinct(), key, "left_semi")
-    first = wanted.groupBy(key).agg(pick.alias("_it"))
-    first = first.select(key, *[F.col("_it")[c].alias(c) for c in cols])
-    return hits.join(first, key, "inner")
+    wanted = catalog.join(hits.select(key), key, "left_semi")
+    return hits.join(_first_items(wanted, key, order), key, "inner")
+
+
+def _first_items(catalog: DataFrame, key: str, order: Column | str | None = None) -> DataFrame:
+    """One row per id: the least by ``order``, then by whole rows (any schema, maps included)."""
+    cols = [c for c in catalog.columns if c != key]
+    rest = row_order(catalog.select(*cols))
+    rank = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(rest if order is None else [_c(order), *rest])])
+    first = catalog.groupBy(key).agg(F.min_by(F.struct(*cols), rank).alias("_it"))
+    return first.select(key, *[F.col("_it")[c].alias(c) for c in cols])
 
 
 def score_against(vectors: DataFrame, q: Column, vec_col: str = "vector") -> DataFrame:
@@ -118,66 +121,68 @@ def score_against(vectors: DataFrame, q: Column, vec_col: str = "vector") -> Dat
 
 
 def semantic_search(vectors: DataFrame, catalog: DataFrame, q: Column, k: int = 10,
-                    min_score: float = 0.0, vec_col: str = "vector", key: str = "id") -> DataFrame:
+                    min_score: float = 0.0, vec_col: str = "vector", key: str = "id",
+                    model: str | None = None) -> DataFrame:
     """Top-k catalogue items by cosine with ``q``.
 
     ``score >= min_score`` is applied before ranking (the default 0.0 drops
     negative cosines; zero vectors score 0 and pass); ties go to the lower id.
+    With ``model``, the name of what made the query vector, a stored vector of
+    another model fails the search (D9).  An item without a title takes the
+    one stored with its vector, if there is one.
     """
-    scored = score_against(vectors.select(key, vec_col), q, vec_col).filter(F.col("score") >= min_score)
+    titled = "title" in vectors.columns
+    if model is not None:
+        wrong = F.raise_error(F.concat(F.lit(f"the query is of model {model}, a vector of "), F.coalesce("model", F.lit("none"))))
+        vectors = vectors.withColumn(vec_col, F.when(F.col("model").eqNullSafe(F.lit(model)), F.col(vec_col)).otherwise(wrong))
+    name = [F.col("title").alias("_title")] if titled else [F.lit(None).cast("string").alias("_title")]
+    scored = score_against(vectors.select(key, vec_col, *name), q, vec_col).filter(F.col("score") >= min_score)
     # Only the id column of the catalogue takes part in ranking: hits without
-    # an item drop out (semi-join on distinct ids) before the top-k, so they
-    # never use up k.  Item details are then fetched for the k winners only,
-    # through a broadcast of at most k ids.
-    ids = catalog.select(key).distinct()
-    # the k winners are kept (memory, spilling to disk; recomputed from
-    # lineage if lost) so the ranking runs once for its two readers
-    top = (scored.select(key, "score").join(ids, key, "left_semi")
-           .orderBy(F.col("score").desc(), F.col(key).asc()).limit(k)
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    cols = [c for c in catalog.columns if c != key]
-    wanted = catalog.join(F.broadcast(top.select(key)), key, "left_semi")
-    first = wanted.groupBy(key).agg(F.min(F.struct(*cols)).alias("_it"))
-    first = first.select(key, *[F.col("_it")[c].alias(c) for c in cols])
-    items = top.join(F.broadcast(first), key, "inner")
+    # an item drop out before the top-k, so they never use up k.  Item details
+    # are then fetched for the k winners only, through a broadcast of at most
+    # k ids.  The k winners are checkpointed: the ranking runs once for both readers.
+    checkpoint_dir(vectors.sparkSession)
+    top = (scored.select(key, "score", "_title").join(catalog.select(key), key, "left_semi")
+           .orderBy(F.col("score").desc(), F.col(key).asc()).limit(k).checkpoint())
+    first = _first_items(catalog.join(F.broadcast(top.select(key)), key, "left_semi"), key)
+    items = top.join(F.broadcast(first), key, "inner").withColumn("title", F.coalesce("title", "_title"))
     return semantic_view(items.orderBy(F.col("score").desc(), F.col(key).asc()))
 
 
 # ---------------------------------------------------------------------------
 # W3 / J9 blocked exact top-k
 # ---------------------------------------------------------------------------
-def _topk_block(k: int, exclude_self: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    def run(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        out_cols = ["q_id", "c_id", "score"]
-        if qs.empty or cs.empty:
-            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in
-                                 zip(out_cols, ["object", "object", "float64"])})
-        qm = np.vstack(qs["q_vec"].to_numpy()).astype(np.float64)
-        cm = np.vstack(cs["c_vec"].to_numpy()).astype(np.float64)
-        qn = np.linalg.norm(qm, axis=1)
-        cn = np.linalg.norm(cm, axis=1)
-        sims = (qm @ cm.T) / (np.outer(qn, cn) + EPS)
-        c_ids = cs["c_id"].to_numpy()
-        q_ids = qs["q_id"].to_numpy()
+TILE_CELLS = 1 << 20  # scores held at once: 8 MB for each temporary
+
+
+def _best(qm: np.ndarray, q_ids: np.ndarray, cm: np.ndarray, c_ids: np.ndarray, k: int, exclude_self: bool,
+          tile_cells: int = TILE_CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, candidate row, score) of each query's k best candidates, ties by candidate id.
+
+    Scores are made in tiles of at most ``tile_cells`` (one row of candidates at least).
+    """
+    qn, cn = np.linalg.norm(qm, axis=1), np.linalg.norm(cm, axis=1)
+    kk, step = min(k, len(c_ids)), max(1, tile_cells // max(1, len(c_ids)))
+    names = c_ids.astype(str)
+    r_out, c_out, s_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for at in range(0, len(q_ids) if kk else 0, step):
+        sims = (qm[at:at + step] @ cm.T) / (np.outer(qn[at:at + step], cn) + EPS)
         if exclude_self:
-            sims = np.where(q_ids[:, None] == c_ids[None, :], -np.inf, sims)
-        kk = min(k, sims.shape[1])
-        # exact per-row top-k with ties broken by candidate id: partition to the
-        # k-th best score, keep everything at or above it, then sort that few
-        thr = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-        r_out, c_out = [], []
-        for r in range(sims.shape[0]):
-            cand = np.nonzero(sims[r] >= thr[r])[0]
+            sims[q_ids[at:at + step][:, None] == c_ids[None, :]] = -np.inf
+        # the k-th best score of each row, everything at or above it, then a sort of that few
+        least = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+        for r in range(len(sims)):
+            cand = np.nonzero((sims[r] >= least[r]) & np.isfinite(sims[r]))[0]
             if len(cand) > kk:
-                cand = cand[np.lexsort((c_ids[cand].astype(str), -sims[r, cand]))][:kk]
-            r_out.append(np.full(len(cand), r))
+                cand = cand[np.lexsort((names[cand], -sims[r, cand]))][:kk]
+            r_out.append(np.full(len(cand), at + r))
             c_out.append(cand)
-        rows = np.concatenate(r_out)
-        cols = np.concatenate(c_out)
-        sc = sims[rows, cols]
-        keep = np.isfinite(sc)
-        return pd.DataFrame({"q_id": q_ids[rows][keep], "c_id": c_ids[cols][keep], "score": sc[keep]})
-    return run
+            s_out.append(sims[r, cand])
+    return np.concatenate(r_out), np.concatenate(c_out), np.concatenate(s_out)
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.vstack(vectors.to_numpy()).astype(np.float64)
 
 
 BROADCAST_QUERY_BYTES = 64 * 1024 * 1024  # query matrices up to this size are broadcast
@@ -190,130 +195,116 @@ def topk_join(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_ve
     """Exact top-k candidates per query by cosine.
 
     Returns ``(group?, q_id, c_id, score, rank)`` with rank 1..k, ties broken by
-    candidate id.  ``group`` restricts matches to equal group values.
+    candidate id.  ``group`` restricts matches to equal group values; null is a
+    group like any other.
 
     ``strategy="auto"`` counts the queries (one small job) and, when the
     query matrix fits ``broadcast_bytes``, broadcasts it: candidates are
     scored where they are stored and only k rows per query per batch are
-    shuffled.  Otherwise both sides are cut into blocks (``"blocked"``).
+    shuffled.  Otherwise both sides are cut into blocks (``"blocked"``).  Both ways
+    score group by group in tiles of ``TILE_CELLS``, and give the same rows.
+    ``"broadcast"`` with more queries than fit is an error.
     """
     if strategy not in ("auto", "broadcast", "blocked"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy != "blocked":
         stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(q_vec)).alias("d")).first()
-        n, d = stats["n"] or 0, stats["d"] or 0
-        if strategy == "broadcast" or n * max(d, 1) * 8 <= broadcast_bytes:
+        fits = (stats["n"] or 0) * max(stats["d"] or 0, 1) * 8 <= broadcast_bytes
+        if strategy == "broadcast" and not fits:
+            raise ValueError(f"{stats['n']} queries of {stats['d']} numbers do not fit {broadcast_bytes} bytes")
+        if fits:
             return _topk_broadcast(queries, candidates, k, q_id, q_vec, c_id, c_vec, group,
                                    exclude_self, min_score)
     return _topk_blocked(queries, candidates, k, q_id, q_vec, c_id, c_vec, group, exclude_self,
                          block_rows, min_score)
 
 
+def _side(df: DataFrame, group: str | None, row_id: str, vec: str, side: str) -> DataFrame:
+    """(group, its text form, id, vector) of one side; a null group has the text form ``{}``."""
+    g = F.col(group) if group else F.lit(0)
+    return df.select(g.alias("g"), F.to_json(F.struct(g.alias("g"))).alias("gk"), F.col(row_id).cast("string").alias(f"{side}_id"), F.col(vec).alias(f"{side}_vec"))
+
+
+def _ranked(part: DataFrame, k: int, group: str | None, min_score: float | None) -> DataFrame:
+    if min_score is not None:
+        part = part.filter(F.col("score") >= min_score)
+    w = Window.partitionBy("gk", "q_id").orderBy(F.col("score").desc(), F.col("c_id").asc())
+    ranked = part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("gk")
+    return ranked.withColumnRenamed("g", group) if group else ranked.drop("g")
+
+
 def _topk_broadcast(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_vec: str,
                     c_id: str, c_vec: str, group: str | None, exclude_self: bool,
                     min_score: float | None) -> DataFrame:
     """Broadcast query matrix (size checked by the caller), scan candidates once."""
     spark = queries.sparkSession
-    g = group or "_g"
-    qsel = [(F.col(group) if group else F.lit(0)).alias("g"), F.col(q_id).cast("string").alias("q_id"),
-            F.col(q_vec).alias("v")]
-    rows = queries.select(*qsel).collect()  # bounded: checked against broadcast_bytes
-    q_ids = np.array([r["q_id"] for r in rows], dtype=object)
-    q_groups = np.array([r["g"] for r in rows], dtype=object)
-    q_mat = np.array([r["v"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
-    q_norm = np.linalg.norm(q_mat, axis=1) if rows else np.zeros(0)
-    bc = spark.sparkContext.broadcast((q_ids, q_groups, q_mat, q_norm))
+    qd, cd = _side(queries, group, q_id, q_vec, "q"), _side(candidates, group, c_id, c_vec, "c")
+    # bounded: checked against broadcast_bytes; Arrow holds the numbers as numbers
+    got = qd.withColumn("q_vec", F.col("q_vec").cast("array<double>")).toArrow()
+    q_ids, q_keys = (got.column(c).to_numpy().astype(object) for c in ("q_id", "gk"))
+    flat = got.column("q_vec").combine_chunks()
+    q_mat = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(q_ids), -1) if len(q_ids) else np.zeros((0, 0))
+    rows_of = {key: np.flatnonzero(q_keys == key) for key in set(q_keys)}
+    bc = spark.sparkContext.broadcast((q_ids, q_mat, rows_of))
     from vitrina.session import ship_package
     ship_package(spark)
-    gtype = _dtype(queries, group) if group else "int"
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, groups, qm, qn = bc.value
+        ids, qm, rows = bc.value
         for pdf in it:
-            if pdf.empty or len(ids) == 0:
-                continue
-            cm = np.vstack(pdf["c_vec"].to_numpy()).astype(np.float64)
-            cn = np.linalg.norm(cm, axis=1)
-            sims = (qm @ cm.T) / (np.outer(qn, cn) + EPS)
-            cids = pdf["c_id"].to_numpy()
-            sims = np.where(groups[:, None] == pdf["g"].to_numpy()[None, :], sims, -np.inf)
-            if exclude_self:
-                sims = np.where(ids[:, None] == cids[None, :], -np.inf, sims)
-            kk = min(k, sims.shape[1])
-            thr = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-            out_q, out_c, out_s = [], [], []
-            for r in range(sims.shape[0]):
-                if not np.isfinite(thr[r]):
-                    cand = np.nonzero(np.isfinite(sims[r]))[0]
-                else:
-                    cand = np.nonzero(sims[r] >= thr[r])[0]
-                if len(cand) > kk:
-                    cand = cand[np.lexsort((cids[cand].astype(str), -sims[r, cand]))][:kk]
-                out_q.extend([r] * len(cand))
-                out_c.extend(cand.tolist())
-                out_s.extend(sims[r, cand].tolist())
-            if out_q:
-                yield pd.DataFrame({g: groups[out_q], "q_id": ids[out_q], "c_id": cids[out_c], "score": out_s})
-
-    cd = candidates.select((F.col(group) if group else F.lit(0)).alias("g"),
-                           F.col(c_id).cast("string").alias("c_id"), F.col(c_vec).alias("c_vec"))
-    part = cd.mapInPandas(run, f"{g} {gtype}, q_id string, c_id string, score double")
-    if min_score is not None:
-        part = part.filter(F.col("score") >= min_score)
-    w = Window.partitionBy(g, "q_id").orderBy(F.col("score").desc(), F.col("c_id").asc())
-    ranked = part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked if group else ranked.drop(g)
+            for key, part in pdf.groupby("gk", sort=True):
+                if key not in rows:
+                    continue
+                mine = rows[key]
+                r, c, s = _best(qm[mine], ids[mine], _matrix(part["c_vec"]), part["c_id"].to_numpy(), k, exclude_self)
+                yield pd.DataFrame({"gk": key, "q_id": ids[mine][r], "c_id": part["c_id"].to_numpy()[c], "score": s})
+
+    part = cd.select("gk", "c_id", "c_vec").mapInPandas(run, "gk string, q_id string, c_id string, score double")
+    return _ranked(_with_group(part, cd), k, group, min_score)
+
+
+def _with_group(part: DataFrame, side: DataFrame) -> DataFrame:
+    """The group's own value back from its text form."""
+    return part.withColumn("g", F.from_json("gk", T.StructType([side.schema["g"]]))["g"])
 
 
 def _topk_blocked(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_vec: str,
                   c_id: str, c_vec: str, group: str | None, exclude_self: bool, block_rows: int,
                   min_score: float | None) -> DataFrame:
     """Both sides in blocks; each query block meets each candidate block of its group once."""
-    g = group or "_g"
-    qd = queries.select((F.col(group) if group else F.lit(0)).alias(g),
-                        F.col(q_id).cast("string").alias("q_id"), F.col(q_vec).alias("q_vec"))
-    cd = candidates.select((F.col(group) if group else F.lit(0)).alias(g),
-                           F.col(c_id).cast("string").alias("c_id"), F.col(c_vec).alias("c_vec"))
+    qd, cd = _side(queries, group, q_id, q_vec, "q"), _side(candidates, group, c_id, c_vec, "c")
     if group:
         # blocks per group from the group sizes (one row per group, an equi-join)
-        qn = qd.groupBy(g).agg(F.count(F.lit(1)).alias("_nq"))
-        cn = cd.groupBy(g).agg(F.count(F.lit(1)).alias("_nc"))
-        nb = qn.join(cn, g).select(g, F.ceil(F.col("_nq") / block_rows).cast("int").alias("_bq"),
-                                   F.ceil(F.col("_nc") / block_rows).cast("int").alias("_bc"))
-        qd, cd = qd.join(nb, g), cd.join(nb, g)
+        qn = qd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nq"))
+        cn = cd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nc"))
+        nb = qn.join(cn, "gk").select("gk", F.ceil(F.col("_nq") / block_rows).cast("int").alias("_bq"),
+                                      F.ceil(F.col("_nc") / block_rows).cast("int").alias("_bc"))
+        qb, cb = qd.join(nb, "gk"), cd.join(nb, "gk")
     else:
         # one group: the block counts are two scalar subqueries (no join on a constant)
         bq = F.ceil(qd.agg(F.count(F.lit(1))).scalar() / block_rows).cast("int")
         bc = F.ceil(cd.agg(F.count(F.lit(1))).scalar() / block_rows).cast("int")
-        qd = qd.withColumn("_bq", bq).withColumn("_bc", bc)
-        cd = cd.withColumn("_bq", bq).withColumn("_bc", bc)
-    qb = (qd.withColumn("_iq", F.pmod(F.xxhash64("q_id"), F.col("_bq")).cast("int"))
+        qb = qd.withColumn("_bq", bq).withColumn("_bc", bc)
+        cb = cd.withColumn("_bq", bq).withColumn("_bc", bc)
+    qb = (qb.withColumn("_iq", F.pmod(F.xxhash64("q_id"), F.col("_bq")).cast("int"))
           .withColumn("_ic", F.explode(F.sequence(F.lit(0), F.col("_bc") - 1))))
-    cb = (cd.withColumn("_ic", F.pmod(F.xxhash64("c_id"), F.col("_bc")).cast("int"))
+    cb = (cb.withColumn("_ic", F.pmod(F.xxhash64("c_id"), F.col("_bc")).cast("int"))
           .withColumn("_iq", F.explode(F.sequence(F.lit(0), F.col("_bq") - 1))))
-    keys = [g, "_iq", "_ic"]
-    fn = _topk_block(k, exclude_self)
+    keys = ["gk", "_iq", "_ic"]
 
     def per_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        gv = a[g].iloc[0] if len(a) else (b[g].iloc[0] if len(b) else None)
-        out = fn(a, b)
-        out.insert(0, g, gv)
-        return out
+        if a.empty or b.empty:
+            return pd.DataFrame({"gk": [], "q_id": [], "c_id": [], "score": []})
+        q_ids, c_ids = a["q_id"].to_numpy(), b["c_id"].to_numpy()
+        r, c, s = _best(_matrix(a["q_vec"]), q_ids, _matrix(b["c_vec"]), c_ids, k, exclude_self)
+        return pd.DataFrame({"gk": a["gk"].iloc[0], "q_id": q_ids[r], "c_id": c_ids[c], "score": s})
 
     from vitrina.session import ship_package
     ship_package(queries.sparkSession)
     blocks = (qb.select(*keys, "q_id", "q_vec").groupBy(*keys)
               .cogroup(cb.select(*keys, "c_id", "c_vec").groupBy(*keys))
-              .applyInPandas(per_block, schema=f"{g} {_dtype(qd, g)}, q_id string, c_id string, score double"))
-    if min_score is not None:
-        blocks = blocks.filter(F.col("score") >= min_score)
-    w = Window.partitionBy(g, "q_id").orderBy(F.col("score").desc(), F.col("c_id").asc())
-    ranked = blocks.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked if group else ranked.drop(g)
-
-
-def _dtype(df: DataFrame, col: str) -> str:
-    return dict(df.dtypes)[col]
+              .applyInPandas(per_block, schema="gk string, q_id string, c_id string, score double"))
+    return _ranked(_with_group(blocks, qd), k, group, min_score)
 
 
 # ---------------------------------------------------------------------------
@@ -321,33 +312,25 @@ def _dtype(df: DataFrame, col: str) -> str:
 # ---------------------------------------------------------------------------
 def hashing_embedder(dim: int = 256) -> Callable[[list[str]], list[list[float]]]:
     """Offline default embedder: signed feature hashing of lower-case word
-    tokens into ``dim`` buckets, L2-normalised.  Deterministic across runs.
+    tokens into ``dim`` buckets, L2-normalised.  A token's hash is the first 15
+    hex digits of its md5, so any engine can repeat it; the top bit is the sign.
+    Each batch hashes its distinct tokens once.
     Self-contained (no module globals), so it pickles by value to workers."""
     def embed(texts: list[str]) -> list[list[float]]:
+        import hashlib as _hl
         import re as _re
 
         import numpy as _np
-        try:
-            import xxhash as _xx
-
-            def h64(tok):
-                return _xx.xxh64_intdigest(tok.encode("utf-8"))
-        except ImportError:  # pragma: no cover
-            import hashlib as _hl
 
-            def h64(tok):
-                return int.from_bytes(_hl.blake2b(tok.encode("utf-8"), digest_size=8).digest(), "little")
         token = _re.compile(r"\w+", _re.UNICODE)
-        np = _np  # noqa: N806 - local alias keeps the body readable
-        out = []
-        for t in texts:
-            v = np.zeros(dim, dtype=np.float64)
-            for tok in token.findall((t or "").lower()):
-                h = h64(tok)
-                v[h % dim] += 1.0 if (h >> 63) & 1 else -1.0
-            n = np.linalg.norm(v)
-            out.append((v / n if n > 0 else v).astype(np.float32).tolist())
-        return out
+        rows = [token.findall((t or "").lower()) for t in texts]
+        spot = {tok: int(_hl.md5(tok.encode("utf-8")).hexdigest()[:15], 16) for row in rows for tok in row}
+        out = _np.zeros((len(texts), dim))
+        of = _np.repeat(_np.arange(len(rows)), [len(row) for row in rows])
+        h = _np.fromiter((spot[tok] for row in rows for tok in row), _np.int64, len(of))
+        _np.add.at(out, (of, h % dim), _np.where(h >> 59, 1.0, -1.0))
+        norms = _np.linalg.norm(out, axis=1, keepdims=True)
+        return (out / _np.where(norms > 0, norms, 1)).astype(_np.float32).tolist()
     embed.model_name = f"hashing-{dim}"  # type: ignore[attr-defined]
     embed.dim = dim  # type: ignore[attr-defined]
     return embed
@@ -396,6 +379,9 @@ def embed(df: DataFrame, embedder: Callable[[list[str]], list[list[float]]] | No
                         except Exception:  # noqa: BLE001
                             vecs.append(None)
                             oks[i] = False
+                # a short reply leaves the last texts without a vector
+                oks = [ok and i < len(vecs) and vecs[i] is not None for i, ok in enumerate(oks)]
+                vecs = [*vecs, *[None] * (len(texts) - len(vecs))][: len(texts)]
                 width = dim or next((len(v) for v in vecs if v is not None), 0)
                 vecs = [v if v is not None else [0.0] * width for v in vecs]
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "title": part["title"].to_numpy(),
@@ -408,9 +394,3 @@ def embed(df: DataFrame, embedder: Callable[[list[str]], list[list[float]]] | No
     from vitrina.session import ship_package
     ship_package(df.sparkSession)
     return df.select(*cols).mapInPandas(run, schema)
-
-
-def check_model(vectors: DataFrame, model: str) -> Column:
-    """True when every stored vector was made by ``model``."""
-    return vectors.agg(F.bool_and(F.col("model") == model).alias("same")).scalar()
-

@@ -3,8 +3,7 @@
 Four of the driver tables stand in for the four publishers, each mapped to
 catalogue rows by a projection (and, for events, one aggregation):
 
-* ``documents`` -> ``working_paper`` items (title = first 80 characters of the
-  text, description = the whole text, tags = [lang, source], undated);
+* ``documents`` -> ``working_paper`` items (title = first line of the text, description = the whole text, tags = [lang, source], undated);
 * ``pages``     -> ``report`` items (title from ``<title>``, geography = a
   two-letter first path segment of the url);
 * ``orders``    -> ``dataset`` items (date = order date, tags = status, priority);
@@ -30,7 +29,7 @@ def papers_from_documents(docs: DataFrame) -> DataFrame:
     return docs.select(
         item_id("doc", "doc_id").alias("id"),
         F.col("source"),
-        F.substring("text", 1, 80).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.lit("").alias("date_iso"),
         F.col("text").alias("description"),
         F.array(F.col("lang"), F.col("source")).alias("tags"),
@@ -99,7 +98,7 @@ def virtual_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 # reads the virtual catalogue.
 CATALOG_SQL = r"""
 cat AS (
-  SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS id, source, substr(text, 1, 80) AS title,
+  SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS id, source, split_part(text, chr(10), 1) AS title,
          '' AS date_iso, text AS description, [lang, source] AS tags,
          'https://docs.example/' || CAST(doc_id AS VARCHAR) AS url, 'working_paper' AS type,
          CAST(NULL AS VARCHAR) AS geography

@@ -93,17 +93,18 @@ def upsert_latest(spark, sf):
 @register("stream_refresh", """
 SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM events GROUP BY 1""")
 def stream_refresh(spark, sf):
-    """Events land in two drops of files; each refresh run processes only
-    the files it has not seen (file-source checkpoint), deduplicating event
-    ids inside a watermark; the sink then holds every event once."""
+    """Events land in two drops of files, the later half first; the second
+    drop is older and repeats a day of the first.  Each refresh run processes
+    only files it has not seen and drops ids that are stored; the sink then
+    holds every event once."""
     ev = table(spark, sf, "events")
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     src, sink, ckpt = f"{base}/incoming", f"{base}/sink", f"{base}/checkpoint"
-    split = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    ev.filter(F.col("ts") < split).write.mode("append").parquet(src)
-    I.stream_refresh(spark, src, ev.schema, sink, ckpt, "event_id", "ts")
+    split, again = (F.lit(f"2024-01-{d} 00:00:00").cast("timestamp_ntz") for d in (15, 16))
     ev.filter(F.col("ts") >= split).write.mode("append").parquet(src)
     I.stream_refresh(spark, src, ev.schema, sink, ckpt, "event_id", "ts")
+    ev.filter(F.col("ts") < again).write.mode("append").parquet(src)
+    I.stream_refresh(spark, src, ev.schema, sink, ckpt, "event_id", "ts")
     out = spark.read.schema(ev.schema).parquet(sink)
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
                                          F.countDistinct("event_id").alias("n_ids"))

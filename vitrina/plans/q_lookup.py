@@ -43,32 +43,35 @@ def lookup_two_key(spark, sf):
 
 
 def bundle_ids(spark, sf):
-    """Stand-in input for J6: bundle stems are the slugs of part names; four
-    lookup ids per part (its slug, ``funcas-`` + slug, slug + brand, unknown)."""
+    """Stand-in input for J6: bundle stems are the slugs of part names, in the
+    folder of one source and, for large parts, also of a second; five lookup
+    ids per part (its slug, which names no source, the slug after either
+    source's prefix, that and the brand, unknown)."""
     part = table(spark, sf, "part")
     slug = X.slug40("p_name")
-    bundles = part.select(slug.alias("stem")).distinct()
+    bundles = part.select(F.explode(F.when(F.col("p_size") > 25, F.array(F.lit("funcas"), F.lit("ine"))).otherwise(F.array(F.lit("funcas")))).alias("source"),
+                          slug.alias("stem")).distinct()
     brand = F.lower(F.regexp_replace("p_brand", "[^A-Za-z0-9]+", "-"))
     ids = part.select("p_partkey", F.explode(F.array(
-        slug, F.concat(F.lit("funcas-"), slug), F.concat(slug, F.lit("-"), brand),
-        F.concat(F.lit("zz-"), F.col("p_partkey").cast("string")))).alias("id"))
+        slug, F.concat(F.lit("funcas-"), slug), F.concat(F.lit("ine-"), slug), F.concat(F.lit("ine-"), slug, F.lit("-"), brand),
+        F.concat(F.lit("bbva-zz-"), F.col("p_partkey").cast("string")))).alias("id"))
     return ids.distinct(), bundles
 
 
 @register("bundle_lookup", r"""
-WITH part_s AS (SELECT p_partkey, p_brand,
+WITH part_s AS (SELECT p_partkey, p_brand, p_size,
                        trim(regexp_replace(lower(substr(p_name, 1, 40)), '[^a-z0-9]+', '-', 'g'), '-') AS slug
                 FROM part),
-b AS (SELECT DISTINCT slug AS stem FROM part_s),
-i AS (SELECT DISTINCT p_partkey, unnest([slug, 'funcas-' || slug,
-                                         slug || '-' || lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g')),
-                                         'zz-' || CAST(p_partkey AS VARCHAR)]) AS id FROM part_s),
-k AS (SELECT DISTINCT id, CASE WHEN starts_with(id, 'funcas-') THEN 'funcas' END AS source,
-             CASE WHEN starts_with(id, 'funcas-') THEN substr(id, 8) ELSE id END AS slug FROM i),
-c AS (SELECT id, stem, 1 AS tier FROM k JOIN b ON id = stem
-      UNION ALL SELECT id, stem, 2 FROM k JOIN b ON slug = stem),
+b AS (SELECT 'funcas' AS source, slug AS stem FROM part_s UNION SELECT 'ine', slug FROM part_s WHERE p_size > 25),
+i AS (SELECT DISTINCT p_partkey, unnest([slug, 'funcas-' || slug, 'ine-' || slug,
+                                         'ine-' || slug || '-' || lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g')),
+                                         'bbva-zz-' || CAST(p_partkey AS VARCHAR)]) AS id FROM part_s),
+k AS (SELECT DISTINCT id, nullif(regexp_extract(id, '^(funcas|ine|bbva)-', 1), '') AS source,
+             regexp_replace(id, '^(funcas|ine|bbva)-', '') AS slug FROM i),
+c AS (SELECT id, stem, 1 AS tier FROM k JOIN b ON id = stem AND k.source = b.source
+      UNION ALL SELECT id, stem, 2 FROM k JOIN b ON slug = stem AND k.source = b.source),
 r AS (SELECT id, min_by(stem, (tier, stem)) AS stem, min(tier) AS tier FROM c GROUP BY id),
-p AS (SELECT k.id, min(b.stem) AS stem FROM k JOIN b ON contains(k.slug, b.stem) OR contains(b.stem, k.slug)
+p AS (SELECT k.id, min(b.stem) AS stem FROM k JOIN b ON k.source = b.source AND (contains(k.slug, b.stem) OR contains(b.stem, k.slug))
       WHERE k.id NOT IN (SELECT id FROM r) GROUP BY k.id),
 a AS (SELECT id, stem, CASE tier WHEN 1 THEN 'exact' ELSE 'slug' END AS how FROM r
       UNION ALL SELECT id, stem, 'partial' FROM p)
@@ -77,18 +80,16 @@ FROM i JOIN k USING (id) LEFT JOIN a USING (id)""")
 def bundle_lookup(spark, sf):
     ids, bundles = bundle_ids(spark, sf)
     src = X.source_of_id("id", ["funcas", "bbva", "ine"])
-    res = L.find_bundle(ids, bundles, "id", source=src)
-    return res.select("p_partkey", "id", X.source_of_id("id", ["funcas", "bbva", "ine"]).alias("source"),
-                      "stem", "how")
+    return L.find_bundle(ids, bundles, "id", source=src).select("p_partkey", "id", src.alias("source"), "stem", "how")
 
 
 @register("dedupe_title", r"""
 SELECT doc_id, title FROM (
-  SELECT doc_id, substr(text, 1, 80) AS title,
-         lower(regexp_replace(substr(text, 1, 80), '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) AS k FROM documents)
+  SELECT doc_id, split_part(text, chr(10), 1) AS title,
+         lower(regexp_replace(split_part(text, chr(10), 1), '^@WS@+|@WS@+$', '', 'g')) AS k FROM documents)
 WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id) = 1""")
 def dedupe_title(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 80).alias("title"))
+    d = table(spark, sf, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
     return W.dedupe_by_title(d, "doc_id")
 
 
@@ -124,8 +125,8 @@ WITH p AS (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS ti
 u AS (SELECT page_id, title, 'https://listing.example/' || geo AS source_url,
              list_position(['en', 'es', 'fr', 'de'], geo) - 1 AS li FROM p WHERE geo IN ('en', 'es', 'fr', 'de'))
 SELECT page_id, title, source_url FROM u
-WHERE lower(regexp_replace(title, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) <> ''
-QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(title, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) ORDER BY li, page_id) = 1""")
+WHERE lower(regexp_replace(title, '^@WS@+|@WS@+$', '', 'g')) <> ''
+QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(title, '^@WS@+|@WS@+$', '', 'g')) ORDER BY li, page_id) = 1""")
 def concat_listings(spark, sf):
     p = table(spark, sf, "pages").select(
         "page_id", F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),

@@ -42,7 +42,7 @@ def paper_rows(docs: DataFrame) -> DataFrame:
     first_line = F.substring_index("text", "\n", 1)
     return docs.select(
         F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("id"),
-        F.substring("text", 1, 80).alias("title"), F.col("text").alias("abstract"),
+        F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("abstract"),
         X.split_authors(first_line, ",").alias("authors"), F.lit("").alias("date_iso"),
         F.lit("").alias("published"),
         F.concat(F.lit("https://docs.example/doc"), F.col("doc_id").cast("string")).alias("url"),
@@ -51,18 +51,17 @@ def paper_rows(docs: DataFrame) -> DataFrame:
 
 
 def paper_bundles(spark, sf) -> DataFrame:
-    rows = paper_rows(table(spark, sf, "documents")).filter(F.col("lang") == "en")
-    return R.render_paper_bundle(rows)
+    return R.render_paper_bundle(paper_rows(table(spark, sf, "documents")))
 
 
 _PAPER_SQL = r"""
 pr AS (
-  SELECT doc_id, lang, n_chars, 'doc' || CAST(doc_id AS VARCHAR) AS id, substr(text, 1, 80) AS title, text AS abstract,
+  SELECT doc_id, lang, n_chars, 'doc' || CAST(doc_id AS VARCHAR) AS id, split_part(text, chr(10), 1) AS title, text AS abstract,
          list_filter(list_transform(string_split(split_part(text, chr(10), 1), ','),
-                                    lambda x: regexp_replace(x, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')), lambda x: x <> '') AS authors,
+                                    lambda x: regexp_replace(x, '^@WS@+|@WS@+$', '', 'g')), lambda x: x <> '') AS authors,
          'https://docs.example/doc' || CAST(doc_id AS VARCHAR) AS url FROM documents),
 pb AS (
-  SELECT id, replace(title, '"', '''') AS t, replace(abstract, '"', '''') AS d, authors, url FROM pr WHERE lang = 'en'),
+  SELECT id, replace(title, '"', '''') AS t, replace(abstract, '"', '''') AS d, authors, url FROM pr),
 pk AS (
   SELECT *, CASE WHEN contains(lower(t), 'técnica') OR contains(lower(d), 'técnica') THEN 'nota_tecnica'
                  ELSE 'documento_trabajo' END AS dtype FROM pb),
@@ -111,17 +110,17 @@ def front_matter(spark, sf):
 raw AS (SELECT id, CASE WHEN n_chars < 1000 THEN '' ELSE url END AS url,
                CASE WHEN lang = 'de' THEN '' ELSE title END AS title,
                array_to_string(authors, ',') AS author_raw FROM pr),
-j AS (SELECT raw.*, b.content FROM raw LEFT JOIN bundles b USING (id))
+j AS (SELECT raw.*, b.content FROM raw LEFT JOIN (SELECT * FROM bundles WHERE id IN (SELECT id FROM pr WHERE lang = 'en')) b USING (id))
 SELECT 'funcas-' || id AS id,
        coalesce(nullif(regexp_extract(content, '(?m)^title:\s*"(.+)"$', 1), ''), nullif(title, ''), id) AS title,
        '' AS date_iso,
        coalesce(nullif(regexp_extract(content, '(?m)^description:\s*"(.+)"$', 1), ''),
                 CASE WHEN regexp_matches(content, '(?s)## Resumen[ \t]*(\n|$)')
                      THEN substr(regexp_replace(regexp_extract(content, '(?s)## Resumen[ \t]*\n(.*?)(?:\n##|$)', 1),
-                                                '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g'), 1, 500) END, '') AS description,
+                                                '^@WS@+|@WS@+$', '', 'g'), 1, 500) END, '') AS description,
        coalesce(nullif(url, ''), nullif(regexp_extract(content, '\*\*URL:\*\*\s*\[.+?\]\((.+?)\)', 1), ''), '') AS url,
        array_to_string(list_filter(list_transform(string_split(author_raw, ','),
-                                                  lambda x: regexp_replace(x, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')),
+                                                  lambda x: regexp_replace(x, '^@WS@+|@WS@+$', '', 'g')),
                                    lambda x: x <> ''), '|') AS authors,
        '' AS date_raw, 'working_paper' AS type
 FROM j""")
@@ -133,7 +132,8 @@ def normalize_papers(spark, sf):
                       F.array_join("authors", ",").alias("author_raw"), F.lit("").alias("date"),
                       F.lit("Funcas").alias("source"), F.lit("").alias("scraped_at"),
                       F.lit(None).cast("string").alias("pdf_url"))
-    n = N.normalize_papers(raw, paper_bundles(spark, sf))
+    # only English papers have a bundle: an item without one keeps its raw fields
+    n = N.normalize_papers(raw, R.render_paper_bundle(rows.filter(F.col("lang") == "en")))
     return n.select("id", "title", "date_iso", "description", "url", F.array_join("authors", "|").alias("authors"),
                     "date_raw", "type")
 
@@ -157,7 +157,7 @@ rr AS (
                              '[^a-z0-9]+', '-', 'g'), '-') AS id,
          regexp_extract(url, '^[a-z]+://[^/?#]+/([A-Za-z]{2})(?:[/?#]|$)', 1) AS geography FROM pages),
 rb AS (
-  SELECT id, geography AS geo_page, '---' || chr(10) || 'okf_version: "1.0.0"' || chr(10) || 'title: "' || replace(title, '"', '''') || '"'
+  SELECT id, page_id, geography AS geo_page, '---' || chr(10) || 'okf_version: "1.0.0"' || chr(10) || 'title: "' || replace(title, '"', '''') || '"'
     || chr(10) || 'description: ""' || chr(10) || 'source: "BBVA Research"' || chr(10) || 'type: "informe"' || chr(10)
     || 'geography: "' || geography || '"' || chr(10) || 'technique: ""' || chr(10) || 'date: ""' || chr(10)
     || 'url: "' || url || '"' || chr(10) || 'pdf_url: ""' || chr(10)
@@ -180,7 +180,7 @@ def report_bundle(spark, sf):
 @register("normalize_reports", "WITH" + _REPORT_SQL + r""",
 raw AS (SELECT id, title, CASE WHEN geography = 'en' THEN url ELSE '' END AS url FROM rr),
 sys AS (SELECT DISTINCT id FROM rr WHERE contains(url, 'spam-farm')),
-b AS (SELECT id, content FROM rb WHERE geo_page = 'es'),
+b AS (SELECT id, arg_max(content, page_id) AS content FROM rb WHERE geo_page = 'es' GROUP BY id),
 j AS (SELECT raw.*, b.content FROM raw LEFT JOIN b USING (id) WHERE raw.id NOT IN (SELECT id FROM sys)),
 k AS (SELECT *, CASE WHEN contains(lower(id), 'espana') OR contains(lower(id), 'españa')
                           OR contains(lower(id), 'espa-a') THEN 'España'
@@ -197,7 +197,8 @@ def normalize_reports(spark, sf):
     raw = rows.select("id", "title", F.when(F.col("geography") == "en", F.col("url")).otherwise(F.lit("")).alias("url"),
                       "date_raw", "technique", F.lit("BBVA Research").alias("source"))
     system = rows.filter(F.col("url").contains("spam-farm")).select("id").distinct()
-    bundles = R.render_report_bundle(rows.filter(F.col("geography") == "es"))
+    # pages that share a slug share a bundle file; the page written last holds it
+    bundles = R.render_report_bundle(rows.filter(F.col("geography") == "es").withColumn("ordinal", F.col("page_id")))
     n = N.normalize_reports(raw, bundles, system_pages=system)
     return n.select("id", "title", "description", "url", "geography", F.array_join("tags", "|").alias("tags"))
 
@@ -232,7 +233,9 @@ ops AS (SELECT c_custkey AS Id, c_name AS Nombre, CASE WHEN c_acctbal >= 0 THEN
                                                       ELSE '' END AS Codigo, c_mktsegment FROM customer),
 ft AS (SELECT o_custkey AS op_id, o_orderkey AS Id FROM orders
        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 10),
-bl AS (SELECT op_id, count(*) AS n,
+tn AS (SELECT o_custkey AS op_id, count(*) AS n FROM orders GROUP BY 1),
+sc AS (SELECT o_custkey AS op_id, count(*) AS ns, CAST(sum(l_quantity) AS BIGINT) AS nv FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1),
+bl AS (SELECT op_id,
               string_agg('- [Order ' || CAST(Id AS VARCHAR) || '](https://servicios.ine.es/wstempus/js/ES/DATOS_TABLA/'
                          || CAST(Id AS VARCHAR) || ') (id=' || CAST(Id AS VARCHAR) || ')' || chr(10), '' ORDER BY Id) AS items
        FROM ft GROUP BY op_id),
@@ -240,10 +243,10 @@ kb AS (
   SELECT CASE WHEN Codigo <> '' THEN lower(Codigo) ELSE 'op' || CAST(ops.Id AS VARCHAR) END AS id, c_mktsegment,
     '---' || chr(10) || 'okf_version: "1.0.0"' || chr(10) || 'title: "' || Nombre || '"' || chr(10)
     || 'description: "Operación estadística del INE: ' || Nombre || '. ' || CAST(coalesce(n, 0) AS VARCHAR)
-    || ' tablas disponibles con 0 series y 0 valores."' || chr(10) || 'source: "INE"' || chr(10) || 'type: "dataset"'
+    || ' tablas disponibles con ' || CAST(coalesce(ns, 0) AS VARCHAR) || ' series y ' || CAST(coalesce(nv, 0) AS VARCHAR) || ' valores."' || chr(10) || 'source: "INE"' || chr(10) || 'type: "dataset"'
     || chr(10) || 'operation_id: ' || CAST(ops.Id AS VARCHAR) || chr(10) || 'operation_code: "' || Codigo || '"' || chr(10)
-    || 'tables_count: ' || CAST(coalesce(n, 0) AS VARCHAR) || chr(10) || 'series_count: 0' || chr(10)
-    || 'values_count: 0' || chr(10) || 'tags: ["INE", "econom\u00eda espa\u00f1ola", "datos abiertos"]' || chr(10)
+    || 'tables_count: ' || CAST(coalesce(n, 0) AS VARCHAR) || chr(10) || 'series_count: ' || CAST(coalesce(ns, 0) AS VARCHAR) || chr(10)
+    || 'values_count: ' || CAST(coalesce(nv, 0) AS VARCHAR) || chr(10) || 'tags: ["INE", "econom\u00eda espa\u00f1ola", "datos abiertos"]' || chr(10)
     || 'license: "CC BY-SA 4.0"' || chr(10) || 'url: "https://www.ine.es/dyngs/DAB/index.htm?cid=1722"' || chr(10)
     || 'api_endpoint: "https://servicios.ine.es/wstempus/js/ES/TABLAS_OPERACION/' || CAST(ops.Id AS VARCHAR) || '"'
     || chr(10) || 'scraped_at: ""' || chr(10) || 'okf_concept: "ine/datasets/'
@@ -255,12 +258,19 @@ kb AS (
     || '**Endpoint REST:** `https://servicios.ine.es/wstempus/js/ES/TABLAS_OPERACION/' || CAST(ops.Id AS VARCHAR) || '`'
     || chr(10) || chr(10) || '**Datos:** `https://servicios.ine.es/wstempus/js/ES/DATOS_TABLA/{table_id}`' || chr(10)
     || chr(10) || '**Formato:** JSON. Fechas en timestamp Unix (ms). Periodo = número de mes.' || chr(10) AS content
-  FROM ops LEFT JOIN bl ON ops.Id = bl.op_id)"""
+  FROM ops LEFT JOIN bl ON ops.Id = bl.op_id LEFT JOIN tn ON ops.Id = tn.op_id LEFT JOIN sc ON ops.Id = sc.op_id)"""
 
 
 @register("dataset_bundle", "WITH" + _K5_SQL + "\nSELECT id, content FROM kb")
 def dataset_bundle(spark, sf):
-    return R.render_dataset_bundle(operations(spark, sf), op_tables(spark, sf))
+    return R.render_dataset_bundle(operations(spark, sf), op_tables(spark, sf), stored_series(spark, sf))
+
+
+def stored_series(spark, sf) -> DataFrame:
+    """Stand-in input: series per operation (line items of a customer's orders) and their stored values (quantities)."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("op_id"))
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    return o.join(li, "o_orderkey").groupBy("op_id").agg(F.count(F.lit(1)).alias("n_series"), F.sum("l_quantity").cast("bigint").alias("n_values"))
 
 
 @register("code_map", r"""
@@ -296,53 +306,82 @@ def last_modified(spark, sf):
     # The latest modification, and the one of the first table listed
     from vitrina.operators.summary import last_modified as lm
     t = op_tables(spark, sf)
-    a = lm(t, "op_id", "Ultima_Modificacion", "max").withColumnRenamed("last_modified", "mx")
-    b = lm(t, "op_id", "Ultima_Modificacion", "first", order_col="Id").withColumnRenamed("last_modified", "fm")
-    return a.join(b, "op_id").select("op_id", X.epoch_ms_date("mx").alias("last_max"),
-                                     X.epoch_ms_date("fm").alias("first_listed"))
+    both = lm(t, "op_id", "Ultima_Modificacion", "both", order_col="Id")
+    return both.select("op_id", X.epoch_ms_date("last_modified").alias("last_max"), X.epoch_ms_date("first_modified").alias("first_listed"))
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """An index with the number of each line, as the ordered writer would put them."""
+    from vitrina.operators.dedupe import ordinal_within
+    return ordinal_within(lines.withColumn("doc", F.lit(0)), ["doc"], R.INDEX_ORDER, "line_no").select("line_no", "line")
+
+
+def _head_sql(kind: str, count: str) -> str:
+    """Heading lines of an index as (k1, k2, k3, k4, line)."""
+    texts = ", ".join("'" + x.replace("'", "''").replace("{at}", "") + "'" for x in R.INDEX_HEADS[kind])
+    return f"""SELECT 0 AS k1, 0 AS k2, k3, NULL AS k4, replace(line, '{{n}}', CAST(({count}) AS VARCHAR)) AS line
+      FROM (SELECT CAST(generate_subscripts(h, 1) AS INTEGER) - 1 AS k3, unnest(h) AS line FROM (SELECT [{texts}] AS h))"""
 
 
-@register("list_index", r"""
-SELECT '2' AS k1, CAST(1 AS BIGINT) AS k2, CAST(c_custkey AS VARCHAR) AS k3,
+_NUMBERED_SQL = "\nSELECT row_number() OVER (ORDER BY k1, k2, k3, k4 NULLS FIRST) - 1 AS line_no, line FROM x"
+
+
+@register("list_index", "WITH x AS (" + _head_sql("operations", "SELECT count(*) FROM customer") + r"""
+UNION ALL SELECT 2, 0, 1, c_custkey,
        '- [' || CASE WHEN c_acctbal >= 0 THEN 'C' || CAST(c_custkey AS VARCHAR) ELSE '' END || '](conceptos/'
        || CASE WHEN c_acctbal >= 0 THEN 'c' || CAST(c_custkey AS VARCHAR) ELSE 'op' || CAST(c_custkey AS VARCHAR) END
        || '.md) — ' || substr(c_name, 1, 80) AS line FROM customer
-UNION ALL SELECT '2', 0, '', chr(10) || '## Todas las Operaciones' || chr(10)
+UNION ALL SELECT 2, 0, 0, NULL, chr(10) || '## Todas las Operaciones' || chr(10)
 UNION ALL
-SELECT '1', 1, CAST(c_custkey AS VARCHAR),
+SELECT 1, 0, 0, c_custkey,
        chr(10) || '### [' || c_name || '](conceptos/'
        || CASE WHEN c_acctbal >= 0 THEN 'c' || CAST(c_custkey AS VARCHAR) ELSE 'op' || CAST(c_custkey AS VARCHAR) END
        || '.md)' || chr(10) || '- **Código:** ' || CASE WHEN c_acctbal >= 0 THEN 'C' || CAST(c_custkey AS VARCHAR) ELSE '' END
        || ' | **ID:** ' || CAST(c_custkey AS VARCHAR) || chr(10) || '- **API:** `TABLAS_OPERACION/'
-       || CAST(c_custkey AS VARCHAR) || '`' FROM customer WHERE c_acctbal > 9000
-UNION ALL SELECT '1', 0, '', '## Operaciones Económicas'""")
+       || CAST(c_custkey AS VARCHAR) || '`' FROM customer WHERE c_acctbal > 9000)""" + _NUMBERED_SQL)
 def list_index(spark, sf):
     # K7 with F9: key operations (here: accounts over 9000) get their own section
     ops = operations(spark, sf).withColumn("ordinal", F.col("Id"))
     c = table(spark, sf, "customer")
     key = c.filter(F.col("c_acctbal") > 9000).select(F.col("c_custkey").alias("Id"))
-    return R.render_list_index(ops, "operations", key_ids=key)
+    return _numbered(R.render_list_index(ops, "operations", key_ids=key))
+
+
+@register("report_index", "WITH" + _REPORT_SQL + ", x AS (" + _head_sql("reports", "SELECT count(*) FROM pages") + r"""
+UNION ALL SELECT 1, 0, 0, page_id, '- [' || title || '](conceptos/' || id || '.md) —  ' || geography FROM rr)""" + _NUMBERED_SQL)
+def report_index(spark, sf):
+    # K7, reports: in the order of their pages
+    return _numbered(R.render_list_index(report_rows(table(spark, sf, "pages")), "reports", order_col="page_id"))
+
+
+@register("high_value_index", "WITH x AS (" + _head_sql("high_value", "SELECT count(*) FROM part") + r"""
+UNION ALL SELECT 1, 0, 0, p_partkey, '- **' || p_name || '** (' || p_brand || ') — `c=' || CAST(p_size AS VARCHAR) || '`' FROM part)""" + _NUMBERED_SQL)
+def high_value_index(spark, sf):
+    # K7, high-value datasets: parts stand in for datasets (name, code, download key)
+    p = table(spark, sf, "part").select(F.col("p_size").alias("cap"), F.col("p_name").alias("name"), F.col("p_brand").alias("code"), F.col("p_partkey").alias("ordinal"))
+    return _numbered(R.render_list_index(p, "high_value"))
 
 
 @register("year_index", r"""
 WITH cat AS (SELECT 'ord-' || CAST(o_orderkey AS VARCHAR) AS id, 'Order ' || CAST(o_orderkey AS VARCHAR) AS title,
                     strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders
-             UNION ALL SELECT 'doc-' || CAST(doc_id AS VARCHAR), substr(text, 1, 80), '' FROM documents),
-y AS (SELECT *, coalesce(nullif(regexp_extract(date, '(\d{4})', 1), ''), 'sin_fecha') AS year FROM cat)
-SELECT year AS k1, CAST(0 AS BIGINT) AS k2, '' AS k3,
-       chr(10) || '### ' || year || ' (' || CAST(count(*) AS VARCHAR) || ' documentos)' || chr(10) AS line
+             UNION ALL SELECT 'doc-' || CAST(doc_id AS VARCHAR), split_part(text, chr(10), 1), '' FROM documents),
+y AS (SELECT *, coalesce(nullif(regexp_extract(date, '(\d{4})', 1), ''), 'sin_fecha') AS year FROM cat),
+x AS (""" + _head_sql("years", "SELECT count(*) FROM cat") + r"""
+UNION ALL SELECT 1, coalesce(-TRY_CAST(year AS INTEGER), -10000), 0, NULL,
+       chr(10) || '### ' || year || ' (' || CAST(count(*) AS VARCHAR) || ' documentos)' || chr(10)
 FROM y GROUP BY year
 UNION ALL
-SELECT year, 1, id, '- [' || title || '](conceptos/' || id || '.md) — ' FROM y""")
+SELECT 1, coalesce(-TRY_CAST(year AS INTEGER), -10000), 1, id, '- [' || title || '](conceptos/' || id || '.md) — ' FROM y)""" + _NUMBERED_SQL)
 def year_index(spark, sf):
     cat = virtual_catalog(spark, sf).filter(F.col("type").isin("dataset", "working_paper"))
     papers = cat.select("id", "title", F.col("date_iso").alias("date"),
                         F.array().cast("array<string>").alias("authors"), F.col("id").alias("ordinal"))
-    return R.render_year_index(papers, "ordinal")
+    return _numbered(R.render_year_index(papers, "ordinal"))
 
 
 @register("listing_blocks", r"""
-WITH pg AS (SELECT doc_id, '## [' || regexp_replace(substr(text, 1, 60), '[\[\]\n]', ' ', 'g')
+WITH pg AS (SELECT doc_id, '## [' || regexp_replace(split_part(text, chr(10), 1), '[\[\]\n]', ' ', 'g')
                              || '](https://docs.example/doc' || CAST(doc_id AS VARCHAR) || ')' || chr(10) || text AS md
             FROM documents),
 l AS (SELECT doc_id, unnest(string_split(md, chr(10))) AS line,
@@ -350,25 +389,25 @@ l AS (SELECT doc_id, unnest(string_split(md, chr(10))) AS line,
 b AS (SELECT *, regexp_matches(line, '^## \[(.+?)\]\((.+?)\)') AS is_head,
              sum(CASE WHEN regexp_matches(line, '^## \[(.+?)\]\((.+?)\)') THEN 1 ELSE 0 END)
                OVER (PARTITION BY doc_id ORDER BY ln ROWS UNBOUNDED PRECEDING) AS block FROM l),
-c AS (SELECT *, regexp_replace(line, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS st,
-             NOT is_head AND NOT contains(line, 'Fecha:') AND regexp_replace(line, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') <> ''
+c AS (SELECT *, regexp_replace(line, '^@WS@+|@WS@+$', '', 'g') AS st,
+             NOT is_head AND NOT contains(line, 'Fecha:') AND regexp_replace(line, '^@WS@+|@WS@+$', '', 'g') <> ''
              AND NOT (starts_with(line, '#') OR starts_with(line, '[') OR starts_with(line, '!') OR starts_with(line, '*'))
-             AND length(regexp_replace(line, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')) < 100 AND NOT starts_with(line, 'http')
+             AND length(regexp_replace(line, '^@WS@+|@WS@+$', '', 'g')) < 100 AND NOT starts_with(line, 'http')
              AND NOT (contains(lower(line), 'fecha') OR contains(lower(line), 'versión') OR contains(lower(line), 'download')
                       OR contains(lower(line), 'pdf') OR contains(lower(line), 'política')
                       OR contains(lower(line), 'funcas') OR contains(lower(line), 'publicaciones')) AS is_author
       FROM b WHERE block > 0)
 SELECT doc_id, CAST(block AS INTEGER) AS block,
        regexp_replace(arg_max(regexp_extract(line, '^## \[(.+?)\]\((.+?)\)', 1), ln) FILTER (WHERE is_head),
-                      '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS title,
+                      '^@WS@+|@WS@+$', '', 'g') AS title,
        regexp_replace(arg_max(regexp_extract(line, '^## \[(.+?)\]\((.+?)\)', 2), ln) FILTER (WHERE is_head),
-                      '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS url,
+                      '^@WS@+|@WS@+$', '', 'g') AS url,
        CAST(NULL AS VARCHAR) AS date,
        arg_max(st, ln) FILTER (WHERE is_author) AS author_raw
 FROM c GROUP BY doc_id, block""")
 def listing_blocks(spark, sf):
     d = table(spark, sf, "documents")
-    head = F.concat(F.lit("## ["), F.regexp_replace(F.substring("text", 1, 60), r"[\[\]\n]", " "),
+    head = F.concat(F.lit("## ["), F.regexp_replace(F.substring_index("text", "\n", 1), r"[\[\]\n]", " "),
                     F.lit("](https://docs.example/doc"), F.col("doc_id").cast("string"), F.lit(")\n"))
     pages = d.select("doc_id", F.concat(head, F.col("text")).alias("md"))
     return LN.paper_listing(pages, "doc_id", "md")

@@ -21,10 +21,10 @@ def _crossings(spark, sf) -> list[tuple[str, DataFrame]]:
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     reports = [
-        ("orders_lineitem_1n", Q.fanout_report(o, li, o.join(li, "o_orderkey"), ["o_orderkey"], "inner", "1:N")),
-        ("orders_lineitem_11", Q.fanout_report(o, li, o.join(li, "o_orderkey"), ["o_orderkey"], "inner", "1:1")),
-        ("orders_customer_left", Q.fanout_report(o, c, o.join(c, "o_custkey", "left"), ["o_custkey"], "left", "1:1")),
-        ("customer_nation_11", Q.fanout_report(c, n, c.join(n, "c_nationkey"), ["c_nationkey"], "inner", "1:1")),
+        ("orders_lineitem_1n", Q.crossing_report(o, li, ["o_orderkey"], "inner", "1:N")),
+        ("orders_lineitem_11", Q.crossing_report(o, li, ["o_orderkey"], "inner", "1:1")),
+        ("orders_customer_left", Q.crossing_report(o, c, ["o_custkey"], "left", "1:1")),
+        ("customer_nation_11", Q.crossing_report(c, n, ["c_nationkey"], "inner", "1:1")),
     ]
     return [(name, r.withColumn("crossing", F.lit(name))) for name, r in reports]
 
@@ -93,8 +93,9 @@ def cross_by_year(spark, sf):
         .agg(F.count(F.lit(1)).alias("n_orders"))
     b = table(spark, sf, "lineitem").select(
         Q.year_key(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("year"), "l_orderkey")
-    j = Q.checked_join(a, b, ["year"], "inner", "1:N")
-    return j.groupBy("year", "n_orders").agg(F.count(F.lit(1)).alias("n_lines"))
+    Q.check_crossing(a, b, ["year"], "inner", "1:N")
+    lines = b.groupBy("year").agg(F.count(F.lit(1)).alias("n_lines"))  # seven keys: counted before the join
+    return a.join(lines, "year").select("year", "n_orders", "n_lines")
 
 
 def _hmac_sql() -> str:
@@ -112,12 +113,11 @@ def hmac_customer(spark, sf):
 
 
 @register("validate_catalog", "WITH " + CATALOG_SQL + """
-SELECT CASE WHEN id IS NULL OR id = '' THEN 'missing_id'
-            WHEN title IS NULL OR title = '' THEN 'missing_title'
-            WHEN source IS NULL OR source = '' THEN 'missing_source'
-            ELSE 'source_not_allowed' END AS rule, id, coalesce(source, '') AS detail
-FROM cat WHERE id IS NULL OR id = '' OR title IS NULL OR title = '' OR source IS NULL OR source = ''
-   OR source NOT IN ('src0', 'src1', 'src2', 'web', 'orders', 'events')
+SELECT rule, id, coalesce(source, '') AS detail FROM (
+  SELECT id, source, unnest([CASE WHEN coalesce(id, '') = '' THEN 'missing_id' END, CASE WHEN coalesce(title, '') = '' THEN 'missing_title' END,
+                             CASE WHEN coalesce(source, '') = '' THEN 'missing_source' END,
+                             CASE WHEN coalesce(source, '') <> '' AND source NOT IN ('src0', 'src1', 'src2', 'web', 'orders', 'events') THEN 'source_not_allowed' END]) AS rule
+  FROM cat) WHERE rule IS NOT NULL
 UNION ALL
 SELECT 'too_many_items', NULL, CAST(count(*) AS VARCHAR) FROM cat HAVING count(*) > 10000
 UNION ALL
@@ -167,16 +167,20 @@ def provenance_cols(spark, sf):
     return p.select("id", "source", "url", "scraped_at", F.col("normalized_at").isNotNull().alias("has_normalized_at"))
 
 
-@register("schema_drift")
+@register("schema_drift", """
+WITH k AS (SELECT unnest(json_keys(props)) AS "column", props FROM events),
+t AS (SELECT "column", CASE json_type(props, '$.' || "column") WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING'
+                            ELSE json_type(props, '$.' || "column") END AS actual FROM k)
+SELECT "column", CASE WHEN "column" = 'k' THEN 'type_changed' ELSE 'extra' END AS kind, CASE WHEN "column" = 'k' THEN 'STRING' END AS expected,
+       actual, count(*) AS n
+FROM t WHERE "column" <> 'k' OR actual <> 'STRING' GROUP BY 1, 4
+UNION ALL
+SELECT f, 'missing', e, NULL, n FROM (
+  SELECT 'k' AS f, 'STRING' AS e, count(*) FILTER (WHERE NOT coalesce(list_contains(json_keys(props), 'k'), false)) AS n FROM events
+  UNION ALL SELECT 'unit', 'STRING', count(*) FILTER (WHERE NOT coalesce(list_contains(json_keys(props), 'unit'), false)) FROM events) WHERE n > 0""")
 def schema_drift(spark, sf):
-    # Q6: the driver's orders table against the schema its fixtures document
-    from pyspark.sql import types as T
-    expected = T.StructType([
-        T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
-        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
-        T.StructField("o_orderdate", T.TimestampType()), T.StructField("o_orderpriority", T.StringType()),
-        T.StructField("o_comment", T.StringType())])
-    return Q.schema_drift(spark, table(spark, sf, "orders").schema, expected)
+    # Q6: every event's properties against a contract that wants k as text and a unit
+    return Q.record_drift(table(spark, sf, "events"), "props", {"k": "STRING", "unit": "STRING"})
 
 
 @register("file_hashes")

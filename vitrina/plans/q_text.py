@@ -15,7 +15,7 @@ SPANISH_MONTHS = ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio"
 
 _ES = "[" + ", ".join(f"'{m}'" for m in SPANISH_MONTHS) + "]"
 # Python's whitespace (str.isspace) as an RE2 class, for the oracle's strip
-_WS = r"[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WS = "@WS@"
 _WS_STRIP = f"^{_WS}+|{_WS}+$"
 
 
@@ -133,7 +133,7 @@ def id_collisions(spark, sf):
 WITH a AS (
   SELECT conv_id, turn,
          list_filter(list_transform(string_split(coalesce(text, ''), ','),
-                                    lambda x: regexp_replace(x, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')),
+                                    lambda x: regexp_replace(x, '^@WS@+|@WS@+$', '', 'g')),
                      lambda x: x <> '') AS authors
   FROM conversations)
 SELECT conv_id, turn, CAST(len(authors) AS INTEGER) AS n_authors,
@@ -193,15 +193,15 @@ WITH p AS (SELECT page_id, html,
                               lambda l: contains(l, 'Fecha:') AND regexp_matches(l, '\*\*(.+?)\*\*')) AS fl
            FROM pages)
 SELECT page_id,
-       nullif(regexp_replace(regexp_extract(html, '# (.+)', 1), '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g'), '') AS heading,
+       nullif(regexp_replace(regexp_extract(html, '# (.+)', 1), '^@WS@+|@WS@+$', '', 'g'), '') AS heading,
        pdfs[1] AS pdf_url,
        CASE WHEN contains(lower(html), 'english') OR contains(lower(html), 'inglés') THEN pdfs[2] END
          AS pdf_url_en,
        CASE WHEN regexp_matches(html, '(?s)Resumen:(.+?)(##|$)')
-            THEN regexp_replace(regexp_extract(html, '(?s)Resumen:(.+?)(?:##|$)', 1), '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')
+            THEN regexp_replace(regexp_extract(html, '(?s)Resumen:(.+?)(?:##|$)', 1), '^@WS@+|@WS@+$', '', 'g')
        END AS abstract,
        CASE WHEN len(fl) > 0 THEN regexp_replace(regexp_extract(fl[-1], '\*\*(.+?)\*\*', 1),
-                                                 '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') END AS date
+                                                 '^@WS@+|@WS@+$', '', 'g') END AS date
 FROM p""")
 def page_details(spark, sf):
     p = table(spark, sf, "pages")
@@ -214,7 +214,7 @@ def page_details(spark, sf):
 
 @register("working_paper_lines", r"""
 SELECT doc_id, CAST(pos AS INTEGER) AS line_no,
-       substr(regexp_replace(line, '^[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g'), 1, 120) AS line
+       substr(regexp_replace(line, '^@WS@+|@WS@+$', '', 'g'), 1, 120) AS line
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents)
 WHERE contains(line, 'Working Paper') OR contains(line, 'Documento de Trabajo') OR contains(line, 'WP_')
@@ -229,7 +229,7 @@ def working_paper_lines(spark, sf):
 
 @register("nonblank_titles", r"""
 SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages
-WHERE trim(lower(regexp_extract(html, '<title>(.*?)</title>', 1))) <> ''""")
+WHERE regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '^@WS@+|@WS@+$', '', 'g') <> ''""")
 def nonblank_titles(spark, sf):
     from vitrina.operators.search import nonblank_title
     p = table(spark, sf, "pages").select(

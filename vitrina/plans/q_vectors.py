@@ -36,7 +36,7 @@ s AS (SELECT 'doc-' || CAST(vec_id AS VARCHAR) AS id,
                / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))
                   * sqrt(list_dot_product(q, q)) + 1e-10) AS score
       FROM embeddings, q),
-d AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS id, substr(text, 1, 80) AS title, source,
+d AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS id, split_part(text, chr(10), 1) AS title, source,
              '' AS date_iso, substr(text, 1, 150) AS description,
              'https://docs.example/' || CAST(doc_id AS VARCHAR) AS url FROM documents)"""
 
@@ -103,6 +103,68 @@ def semantic_cross(spark, sf):
                     F.round("score", 6).alias("score"))
 
 
+@register("semantic_cross_blocked", """
+WITH e AS (SELECT vec_id, embedding, nullif(label, 0) AS label FROM embeddings),
+s AS (
+  SELECT a.label, CAST(a.vec_id AS VARCHAR) AS vec_id, CAST(b.vec_id AS VARCHAR) AS match_id,
+         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
+           / (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])))
+              * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) + 1e-10)
+           AS score
+  FROM e a JOIN e b ON a.label IS NOT DISTINCT FROM b.label AND a.vec_id <> b.vec_id)
+SELECT label, vec_id, match_id, round(score, 6) AS score FROM s
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, match_id) <= 2""")
+def semantic_cross_blocked(spark, sf):
+    # W3/J9 by blocks, as for queries too many to broadcast; one label is null, a group like any other
+    e = table(spark, sf, "embeddings").withColumn("label", F.nullif("label", F.lit(0)))
+    t = V.topk_join(e, e, 2, "vec_id", "embedding", "vec_id", "embedding", group="label",
+                    exclude_self=True, block_rows=256, strategy="blocked")
+    return t.select("label", F.col("q_id").alias("vec_id"), F.col("c_id").alias("match_id"),
+                    F.round("score", 6).alias("score"))
+
+
+_STORED = """
+WITH""" + _Q.format(label=5) + """,
+c AS (SELECT id, CASE WHEN CAST(substr(id, 5) AS BIGINT) % 3 = 0 THEN NULL ELSE title END AS title, source, description, url, 0 AS copy FROM d
+      UNION ALL SELECT id, 'zz copy', source, description, url, 1 FROM d)"""
+
+
+def _stored_catalog(spark, sf) -> DataFrame:
+    """Stand-in input: a stored catalogue in its full schema, each item twice, some without a title of their own."""
+    import uuid
+
+    from vitrina.operators.normalize import build_catalog
+    from vitrina.session import scratch_path
+    from vitrina.sources.readers import load_catalog
+    from vitrina.sources.sinks import write_catalog
+    d = papers_from_documents(table(spark, sf, "documents")).withColumn(
+        "dimensions", F.create_map(F.lit("lang"), F.element_at("tags", 1)))
+    own = d.withColumn("title", F.when(F.substring_index("id", "-", -1).cast("bigint") % 3 == 0, None).otherwise(F.col("title")))
+    path = scratch_path(spark, f"catalog-{uuid.uuid4().hex}")
+    write_catalog(build_catalog(own, d.withColumn("title", F.lit("zz copy"))), path)
+    return load_catalog(spark, path)
+
+
+@register("semantic_stored", _STORED + """
+SELECT id, coalesce(c.title, 'vector ' || id) AS title, source, '' AS date_iso, description, url, round(score, 4) AS score
+FROM s JOIN c USING (id) WHERE copy = 0 AND score >= 0.0 ORDER BY s.score DESC, id LIMIT 10""")
+def semantic_stored(spark, sf):
+    """V2 over the stored catalogue (K2, S8): every column of its schema, maps
+    included, ids that occur twice, the model checked, titles from the vectors where the item has none."""
+    vec = vectors(spark, sf).withColumns({"model": F.lit("m-64"), "title": F.concat(F.lit("vector "), F.col("id"))})
+    q = V.mean_vector(vec.filter(F.col("label") == 5), "vector")
+    return V.semantic_search(vec, _stored_catalog(spark, sf), q, k=10, min_score=0.0, model="m-64")
+
+
+@register("dedupe_title_stored", _STORED + """
+SELECT id, title FROM c WHERE regexp_replace(lower(coalesce(title, '')), '^@WS@+|@WS@+$', '', 'g') <> ''
+QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(title, '^@WS@+|@WS@+$', '', 'g')) ORDER BY id) = 1""")
+def dedupe_title_stored(spark, sf):
+    # W1 over the stored catalogue
+    from vitrina.operators import dedupe as W
+    return W.dedupe_by_title(_stored_catalog(spark, sf), "id").select("id", "title")
+
+
 def _text_items(spark, sf) -> DataFrame:
     docs = papers_from_documents(table(spark, sf, "documents"))
     labels = table(spark, sf, "labels").select(
@@ -114,22 +176,35 @@ def _text_items(spark, sf) -> DataFrame:
 
 
 @register("embedding_text", """
-WITH j AS (SELECT 'doc-' || CAST(d.doc_id AS VARCHAR) AS id, substr(text, 1, 80) AS title, text AS description,
+WITH j AS (SELECT 'doc-' || CAST(d.doc_id AS VARCHAR) AS id, split_part(text, chr(10), 1) AS title, text AS description,
                   CASE WHEN toxic = 1 THEN [lang, source, 'toxic'] ELSE [lang, source] END AS tags
            FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 t AS (SELECT id, regexp_replace(array_to_string(list_filter([coalesce(title, ''), coalesce(description, ''),
                                                               array_to_string(tags, ' ')], lambda p: p <> ''), ' | '),
-                               '^[\\t\\n\\x{0b}\\f\\r\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+|[\\t\\n\\x{0b}\\f\\r\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+$', '', 'g') AS txt FROM j)
+                               '^@WS@+|@WS@+$', '', 'g') AS txt FROM j)
 SELECT id, CASE WHEN txt = '' THEN id ELSE txt END AS text FROM t""")
 def embedding_text(spark, sf):
     it = _text_items(spark, sf)
     return it.select("id", V.embedding_text().alias("text"))
 
 
-@register("embed_hashing")
+@register("embed_hashing", """
+WITH j AS (SELECT 'doc-' || CAST(d.doc_id AS VARCHAR) AS id, split_part(text, chr(10), 1) AS title, text AS description,
+                  CASE WHEN toxic = 1 THEN [lang, source, 'toxic'] ELSE [lang, source] END AS tags
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+t AS (SELECT id, regexp_replace(array_to_string(list_filter([coalesce(title, ''), coalesce(description, ''),
+                                                              array_to_string(tags, ' ')], lambda p: p <> ''), ' | '),
+                               '^@WS@+|@WS@+$', '', 'g') AS txt FROM j),
+w AS (SELECT id, unnest(regexp_extract_all(lower(CASE WHEN txt = '' THEN id ELSE txt END), '[\\p{L}\\p{N}_]+')) AS tok FROM t),
+h AS (SELECT id, CAST('0x' || substr(md5(tok), 1, 15) AS BIGINT) AS h FROM w),
+b AS (SELECT id, h % 64 AS i, sum(CASE WHEN h >= 576460752303423488 THEN 1 ELSE -1 END) AS x FROM h GROUP BY 1, 2),
+n AS (SELECT id, sqrt(sum(x * x)) AS norm FROM b GROUP BY 1)
+SELECT id, 'hashing-64' AS model, true AS ok, 64 AS dim, round(sum(i * x / norm), 2) AS place_sum, round(sum(abs(x) / norm), 2) AS abs_sum
+FROM b JOIN n USING (id) GROUP BY id""")
 def embed_hashing(spark, sf):
-    # V3 with the offline hashing embedder; no SQL oracle (unit tests fix vectors)
+    # V3 with the offline hashing embedder; sums over the components stand for the vectors
     it = _text_items(spark, sf).select("id", "title", V.embedding_text().alias("text"))
     out = V.embed(it, V.hashing_embedder(64), text_col="text", batch=50)
-    return out.select("id", "model", "ok", F.size("vector").alias("dim"),
-                      F.round(V.norm("vector"), 3).alias("norm"))
+    add = lambda f: F.round(F.aggregate(F.transform("vector", f), F.lit(0.0).cast("double"), lambda a, x: a + x), 2)
+    return out.select("id", "model", "ok", F.size("vector").alias("dim"), add(lambda x, i: x.cast("double") * i).alias("place_sum"),
+                      add(lambda x: F.abs(x.cast("double"))).alias("abs_sum"))

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+#: Python's whitespace as a character class of DuckDB's expressions; ``@WS@`` stands for it in oracle SQL.
+WS_CLASS = r"[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
@@ -23,7 +26,7 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
             raise ValueError(f"duplicate query {name!r}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = sql.strip().replace("@WS@", WS_CLASS)
         return fn
     return deco
 

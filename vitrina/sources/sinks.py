@@ -92,7 +92,7 @@ def write_lines(lines: DataFrame, path: str, order: list | None = None, partitio
     Range partitioning by the sort keys keeps the order across part files;
     read the parts in name order to get the document.
     """
-    order = order or [F.col("k1"), F.col("k2"), F.col("k3")]
+    order = order or [F.col(k) for k in ("k1", "k2", "k3", "k4")]
     ranged = lines.repartitionByRange(partitions, *order) if partitions else lines.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 

@@ -2,15 +2,17 @@
 
 Batch diffs are joins: ``left_anti`` for new ids, a left join with a
 timestamp predicate for changed ones.  "Latest version wins" is a
-``max_by`` aggregate per id (partial, skew-safe).  The streaming form reads
-new files with the file source, bounds dedupe state with a watermark and
-writes each micro-batch idempotently; its checkpoint lives in the shared
-folder named by ``spark.checkpoint.dir``, so a restarted or retried run
-resumes where it stopped.
+``max_by`` aggregate per id (partial, skew-safe).  The streaming forms read
+new files with the file source and write each micro-batch idempotently; what
+is stored already is compared by joins, so late rows are never lost.  Their
+checkpoints live in the shared folder named by ``spark.checkpoint.dir``, so a
+restarted or retried run resumes where it stopped.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,100 +60,132 @@ def upsert_latest(current: DataFrame, incoming: DataFrame, key: str = "id", ts:
     return best.select(*[F.col("_r")[c].alias(c) for c in cols])
 
 
+def _by_key(df: DataFrame, key: str, event_time: str) -> DataFrame:
+    """One row per key, the earliest; rows without a key all stay."""
+    best = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*df.columns), event_time).alias("_r"))
+    return best.select(*[F.col("_r")[c].alias(c) for c in df.columns]).unionByName(df.filter(F.col(key).isNull()))
+
+
 def stream_refresh(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
-                   checkpoint: str, key: str, event_time: str, watermark: str = "1 day",
-                   fmt: str = "parquet") -> int:
+                   checkpoint: str, key: str, event_time: str, fmt: str = "parquet") -> int:
     """Process the files that arrived since the last run, once.
 
-    ``readStream`` over ``source_dir`` (new files only, tracked by the
-    checkpoint), dedupe by ``key`` within the watermark (bounded state), and
-    append each micro-batch to ``sink_dir``.  ``trigger(availableNow=True)``
-    drains what is there and stops, which suits a scheduled refresh.
-    Returns the number of micro-batches run.
+    ``readStream`` over ``source_dir`` sees new files only (its checkpoint
+    tracks them).  Each micro-batch keeps one row per key, drops keys that are
+    stored already (an anti join that reads the key column of the sink) and is
+    written to a folder of its own, ``sink_dir/batch=<n>``; a retried batch
+    overwrites its folder and is compared with the other ones only.  Nothing is
+    dropped for being late.  ``trigger(availableNow=True)`` drains what is
+    there and stops, which suits a scheduled refresh.  Returns the number of
+    micro-batches run.
     """
-    stream = (spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1000)
-              .load(source_dir))
-    deduped = latest_in_stream(stream, key, event_time, watermark)
-    q = (deduped.writeStream.format("parquet").option("path", sink_dir)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
+    root = sink_dir.rstrip("/")
+
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        rows = _by_key(batch.select(*schema.fieldNames()), key, event_time)
+        if _names(spark, root):
+            field = T.StructField("batch", T.LongType())
+            stored = (spark.read.schema(T.StructType([schema[key], field])).parquet(root)
+                      .filter(F.col("batch") != epoch_id).select(key))
+            rows = rows.join(stored, key, "left_anti").select(*schema.fieldNames())
+        rows.write.mode("overwrite").parquet(f"{root}/batch={epoch_id}")
+
+    q = (spark.readStream.schema(schema).format(fmt).load(source_dir)
+         .writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return len(q.recentProgress)
 
 
-def latest_in_stream(stream: DataFrame, key: str, event_time: str, watermark: str = "1 day") -> DataFrame:
-    """Drop repeats of a key inside the watermark (bounded state, T1/T5).
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
 
-    Watermarks need a zoned timestamp; a zone-free event time is cast to one
-    in a helper column that only drives the watermark.
-    """
-    et = "_event_time"
-    s = stream.withColumn(et, F.col(event_time).cast("timestamp"))
-    return s.withWatermark(et, watermark).dropDuplicatesWithinWatermark([key]).drop(et)
 
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, in order; none if it does not exist."""
+    jpath, fs = _fs(spark, folder)
+    return sorted(x.getPath().getName() for x in fs.listStatus(jpath)) if fs.exists(jpath) else []
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+def _versions(spark: SparkSession, table_dir: str) -> list[str]:
+    """Complete versions of an upserted table, oldest first."""
+    return [n for n in _names(spark, f"{table_dir.rstrip('/')}/_versions") if n.startswith("v") and not n.endswith(".tmp")]
 
 
-def current_version(spark: SparkSession, table_dir: str) -> str | None:
-    """Folder of the live version of an upserted table, or None before the first batch."""
-    jpath, fs = _fs(spark, f"{table_dir.rstrip('/')}/_current")
-    if not fs.exists(jpath):
-        return None
+def _manifest(spark: SparkSession, table_dir: str, version: str) -> dict[int, str]:
+    """Folder of each bucket in a version."""
+    jpath, fs = _fs(spark, f"{table_dir.rstrip('/')}/_versions/{version}")
     stream = fs.open(jpath)
     try:
         reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
-        name = reader.readLine()
+        text = reader.readLine()
     finally:
         stream.close()
-    return f"{table_dir.rstrip('/')}/{name.strip()}"
+    return {int(k): v for k, v in json.loads(text).items()}
 
 
-def _set_current(spark: SparkSession, table_dir: str, name: str) -> None:
-    tmp, fs = _fs(spark, f"{table_dir.rstrip('/')}/_current.tmp")
-    final, _ = _fs(spark, f"{table_dir.rstrip('/')}/_current")
+def _mark_complete(spark: SparkSession, table_dir: str, version: str, manifest: dict[int, str]) -> None:
+    """Write a version's marker, the last step of a batch: a rename makes it visible whole."""
+    base = f"{table_dir.rstrip('/')}/_versions/{version}"
+    final, fs = _fs(spark, base)
+    if fs.exists(final):
+        return
+    tmp, _ = _fs(spark, base + ".tmp")
     out = fs.create(tmp, True)
     try:
-        out.write(bytearray(name.encode("utf-8")))
+        out.write(bytearray(json.dumps(manifest, sort_keys=True).encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tmp, final)
+    if not fs.rename(tmp, final):
+        raise OSError(f"cannot complete {base}")
+
+
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _read_buckets(spark: SparkSession, schema: T.StructType, folders: list[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def read_upserted(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
-    """The live version of a table maintained by ``stream_upsert``."""
-    path = current_version(spark, table_dir)
-    if path is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    """The newest complete version of a table maintained by ``stream_upsert``."""
+    known = _versions(spark, table_dir)
+    return _read_buckets(spark, schema, sorted(_manifest(spark, table_dir, known[-1]).values()) if known else [])
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, table_dir: str,
-                  checkpoint: str, key: str, ts: str, fmt: str = "parquet") -> int:
+                  checkpoint: str, key: str, ts: str, fmt: str = "parquet", buckets: int = 64) -> int:
     """Streaming T5: each micro-batch of new files is merged into the table,
     the latest version per key winning (``upsert_latest``).
 
-    ``foreachBatch`` writes the merged table to a folder named by the batch id
-    and then repoints ``_current`` to it.  A retried batch rewrites the same
-    folder (overwrite) before repointing, so the sink is idempotent; readers
-    always see a complete version.  Old versions can be removed once no
-    reader uses them.  Returns the number of micro-batches run.
+    The table is cut into ``buckets`` by the hash of the key (a number that
+    stays the same for the life of the table).  A batch reads and rewrites only the
+    buckets that it touches, into folders of its own, and then writes a marker that
+    names the folder of every bucket.  Markers and folders are never changed once
+    complete, so a batch that stops at any point leaves the version before it in
+    force, and its retry starts from there.  Folders without markers of later
+    batches mean that markers were lost; that is an error, not an empty
+    table.  Old versions can be removed once no reader uses them.  Returns the number of
+    micro-batches run.
     """
+    root = table_dir.rstrip("/")
+
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        cur = read_upserted(spark, table_dir, schema)
-        incoming = batch.select(*[f.name for f in schema.fields])
-        merged = upsert_latest(cur, incoming, key, ts)
-        name = f"v{epoch_id:012d}"
-        merged.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{name}")
-        _set_current(spark, table_dir, name)
-
-    stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+        version = f"v{epoch_id:012d}"
+        earlier = [v for v in _versions(spark, root) if v < version]
+        if not earlier and any(n.startswith("v") and n < version for n in _names(spark, f"{root}/data")):
+            raise RuntimeError(f"{root} holds data but no complete version")
+        manifest = _manifest(spark, root, earlier[-1]) if earlier else {}
+        incoming = batch.select(*schema.fieldNames())
+        touched = [r[0] for r in incoming.select(_bucket(key, buckets).alias("b")).distinct().collect()]  # at most ``buckets``
+        cur = _read_buckets(spark, schema, [manifest[b] for b in touched if b in manifest])
+        folder = f"{root}/data/{version}"
+        (upsert_latest(cur, incoming, key, ts).withColumn("_bucket", _bucket(key, buckets))
+         .write.mode("overwrite").partitionBy("_bucket").parquet(folder))
+        _mark_complete(spark, root, version, manifest | {b: f"{folder}/_bucket={b}" for b in touched})
+
+    q = (spark.readStream.schema(schema).format(fmt).load(source_dir)
+         .writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return len(q.recentProgress)
