@@ -1,5 +1,6 @@
 """WARC archives: exact round trip, revisits, and the merge."""
 
+import gzip
 import hashlib
 import random
 from datetime import datetime, timedelta, timezone
@@ -51,7 +52,7 @@ def test_global_order_and_files(spark, tmp_path):
     assert "com,example,h1)/p?0" in {k[0] for k in keys}
     # each entry points at its record
     r = next(r for r in index if r["page_id"] == 7)
-    data = open(r["file"].removeprefix("file:"), "rb").read()[r["offset"] :]
+    data = gzip.decompress(open(r["file"].removeprefix("file:"), "rb").read())[r["offset"] :]
     assert data.startswith(b"WARC/1.1\r\n") and b"<urn:capture:7>" in data[:200]
     at = {x["page_id"]: x["captured"] for x in index}
     assert at[7] == next(x[2] for x in rows() if x[0] == 7).replace(tzinfo=None) or at[7].timestamp() == next(x[2] for x in rows() if x[0] == 7).timestamp()

@@ -14,6 +14,7 @@ its history; a URL captured very often spans several ranges.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ from vitrina.session import scratch_path, ship_package
 MIN_REVISIT = 1000
 #: Upper bound of payload bytes of a record, and records a file, by size class; so a file has at most 64 MB of payload, or one record.
 CLASSES = ((16 << 10, 4_096), (256 << 10, 256), (4 << 20, 16), (None, 1))
+#: Repeated digests (some 100 bytes each) that are broadcast at most.
+MAX_BROADCAST_DIGESTS = 200_000
 RECORD_ID = "urn:capture:"
 _INDEX = "url_key string, captured timestamp, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, file string, offset long"
 _FIELDS = ("url_key", "captured", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "file", "offset")
@@ -53,14 +56,16 @@ def with_revisits(captures: DataFrame) -> DataFrame:
 
     ``refers_to`` is the largest page_id with an equal payload of at least
     ``MIN_REVISIT`` bytes, null for that capture itself and for small payloads.
-    Digests are counted first; only captures whose digest occurs again meet the
-    table of those digests, which has one row for each, so however many copies
-    there are, they are spread by the join.
+    Digests are counted first.  The table of those that occur again has one row
+    for each; it is broadcast if it has at most ``MAX_BROADCAST_DIGESTS`` rows, so
+    payloads stay where they are, and else joined by a shuffle.
     """
     c = captures.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha1(F.col("payload").cast("binary")))
     again = (c.where(F.col("payload_bytes") >= MIN_REVISIT).groupBy(F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("b"))
              .agg(F.max("page_id").alias("target"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    return (c.join(again, (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") == F.col("b")), "left")
+    again = checkpointed(again)
+    few = again.count() <= MAX_BROADCAST_DIGESTS
+    return (c.join(F.broadcast(again) if few else again, (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") == F.col("b")), "left")
             .withColumn("refers_to", F.when(F.col("target") != F.coalesce("page_id", F.lit(-(1 << 63))), F.col("target"))).drop("d", "b", "target"))
 
 
@@ -82,7 +87,7 @@ def write_archives(captures: DataFrame, path: str) -> None:
     """Write captures (``page_id, url, captured, payload``) as WARC files under ``path``.
 
     Null payloads are empty, null times are the epoch, and control characters
-    in a URL are written as %20.  Files are plain (not compressed) WARC 1.1.
+    in a URL are written as %20.  Files are WARC 1.1 in gzip.
     """
     c = with_revisits(captures.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("captured", F.timestamp_seconds(F.lit(0))).alias("captured"),
                                       F.coalesce("payload", F.lit("")).alias("payload"))).withColumn("key", url_key(F.col("url")))
@@ -95,14 +100,15 @@ def write_archives(captures: DataFrame, path: str) -> None:
     per_file = F.element_at(F.array(*[F.lit(n) for _, n in CLASSES]), F.col("size_class") + 1)
     numbered = runs.withColumn("n", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     (numbered.select(_record("response").alias("value"), F.concat_ws("-", "size_class", F.lpad(F.floor(F.col("n") / per_file).cast("string"), 10, "0")).alias("part"))
-     .write.partitionBy("part").option("lineSep", "\r\n\r\n").mode("overwrite").text(path))
+     .write.partitionBy("part").option("lineSep", "\r\n\r\n").option("compression", "gzip").mode("overwrite").text(path))
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of whole archive files as index entries; a file is one run, in its order."""
     for batch in batches:
         for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            data = memoryview(data.as_buffer()) if data.as_buffer() is not None else memoryview(b"")
+            data = memoryview(data.as_buffer())
+            data = memoryview(gzip.decompress(data)) if bytes(data[:2]) == b"\x1f\x8b" else data  # at most a file's bound of payload
             at, rows = 0, []
             while at < len(data):
                 end = _find(data, at)
@@ -205,7 +211,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Index of the archives under ``path``, in global order of (url_key, captured, page_id) over partitions.
 
     Columns: ``url_key, captured, page_id, record_type, payload_bytes,
-    payload_digest, refers_to, file, offset``; a revisit's ``payload_bytes`` is null.
+    payload_digest, refers_to, file, offset`` (in the uncompressed file); a
+    revisit's ``payload_bytes`` is null.
     Payload size and digest of responses are taken from the bytes read.
     """
     ship_package(spark)
