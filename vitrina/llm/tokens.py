@@ -1,7 +1,7 @@
 """Words of many texts as 64-bit hashes, with numpy; runs inside tasks.
 
 A text is bytes (UTF-8).  A-Z are lower-cased, words are what stands between the
-bytes 20 and 09-0D.  Texts are worked on in pieces of a half a MB, so memory does
+bytes 20 and 09-0D.  Texts are worked on in pieces of half a MB, so memory does
 not grow with a batch; a longer text is cut between words.
 """
 
