@@ -67,16 +67,21 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 def threads(links: DataFrame) -> DataFrame:
     """``(message_id, root_id, depth)`` of every message that has a parent, from ``(message_id, parent_id)``.
 
-    Links lead to earlier messages, so there are no cycles.
+    Links lead to earlier messages, so there are no cycles.  Each step doubles
+    the reach of the messages that have not met their root; the others rest.
     """
-    reach = checkpointed(links.select("message_id", F.col("parent_id").alias("root_id"), F.lit(1).cast("long").alias("depth")))
+    active = checkpointed(links.select("message_id", F.col("parent_id").alias("root_id"), F.lit(1).cast("long").alias("depth")))
+    at_rest = None
     while True:
-        up = reach.select(F.col("message_id").alias("u_id"), F.col("root_id").alias("u_root"), F.col("depth").alias("u_depth"))
-        further = checkpointed(reach.join(up, F.col("root_id") == F.col("u_id"), "left").select(
+        known = active if at_rest is None else at_rest.unionByName(active)
+        up = known.select(F.col("message_id").alias("u_id"), F.col("root_id").alias("u_root"), F.col("depth").alias("u_depth"))
+        step = checkpointed(active.join(up, F.col("root_id") == F.col("u_id"), "left").select(
             "message_id", F.coalesce("u_root", "root_id").alias("root_id"), (F.col("depth") + F.coalesce("u_depth", F.lit(0))).alias("depth"), F.col("u_id").isNotNull().alias("moved")))
-        if not further.where("moved").limit(1).count():
-            return further.drop("moved")
-        reach = further.drop("moved")
+        done = step.where("NOT moved").drop("moved")
+        at_rest = done if at_rest is None else at_rest.unionByName(done)
+        active = step.where("moved").drop("moved")
+        if not active.limit(1).count():
+            return at_rest
 
 
 def conversations_from_quotes(messages: DataFrame) -> DataFrame:
