@@ -12,88 +12,87 @@ from vitrina.operators import summary as A
 from vitrina.plans.registry import register
 from vitrina.sources.tables import table
 
-FLOW = "ORD"
 
 
-def sdmx_message(spark, sf) -> DataFrame:
-    """Stand-in input for S6: one SDMX-JSON message as text, built from the tables.
+def sdmx_messages(spark, sf) -> DataFrame:
+    """Stand-in input: one SDMX-JSON message per region and order priority, as text.
 
-    Series dimensions: REF_AREA (nations) and REGION (regions); observation
-    dimension TIME_PERIOD (order months); one series per nation with the
-    monthly order totals of its customers.  Every list in the message is
-    bounded by the number of codes (nations, regions, months), not by rows.
+    Series dimensions REF_AREA (the region's nations; Germany has the code
+    ``ES``) and PRIORITY (one code), observations by month.  Each message also
+    has a series of codes and a period beyond its lists, and one without observations.
+    Rows are gathered per message only, and lists are bounded by codes and months.
     """
-    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
-    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nation = table(spark, sf, "nation")
-    region = table(spark, sf, "region")
-    agg = (orders.join(cust, orders.o_custkey == cust.c_custkey)
-           .groupBy(F.col("c_nationkey").alias("nk"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
-           .agg(F.round(F.sum("o_totalprice"), 2).alias("total")))
-    n_idx = nation.select("n_nationkey", "n_name", "n_regionkey",
-                          (F.row_number().over(Window.orderBy("n_nationkey")) - 1).alias("ni"))
-    r_idx = region.select("r_regionkey", "r_name",
-                          (F.row_number().over(Window.orderBy("r_regionkey")) - 1).alias("ri"))
-    months = agg.select("month").distinct()
-    m_idx = months.select("month", (F.row_number().over(Window.orderBy("month")) - 1).alias("mi"))
-
-    def code_list(df, idx, code, name):
-        return df.agg(F.transform(F.array_sort(F.collect_list(F.struct(idx, code, name))),
-                                  lambda s: F.struct(s[code].alias("id"), s[name].alias("name"))).alias("v"))
-
-    area_vals = code_list(n_idx.select("ni", F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("c"),
-                                       F.col("n_name").alias("nm")), "ni", "c", "nm")
-    reg_vals = code_list(r_idx.select("ri", F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("c"),
-                                      F.col("r_name").alias("nm")), "ri", "c", "nm")
-    time_vals = code_list(m_idx.select("mi", F.col("month").alias("c"), F.col("month").alias("nm")),
-                          "mi", "c", "nm")
-    obs = (agg.join(m_idx, "month").join(n_idx, agg.nk == n_idx.n_nationkey)
-           .join(r_idx, n_idx.n_regionkey == r_idx.r_regionkey)
-           .groupBy("ni", "ri")
-           .agg(F.map_from_entries(F.collect_list(F.struct(F.col("mi").cast("string"),
-                                                           F.array(F.col("total"))))).alias("o")))
-    series_map = obs.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.concat(F.col("ni").cast("string"), F.lit(":"), F.col("ri").cast("string")),
-        F.struct(F.col("o").alias("observations"))))).alias("series"))
-    # one-row aggregates assembled with scalar subqueries (no join without keys)
-    msg = series_map.select("series", area_vals.scalar().alias("area"), reg_vals.scalar().alias("reg"),
-                            time_vals.scalar().alias("times"))
+    code = F.when(F.col("n_name") == "GERMANY", F.lit("ES")).otherwise(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("rk"), code.alias("code"))
+    cust = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+                                               F.substring("o_orderpriority", 1, 1).alias("prio"))
+    totals = (orders.join(cust, "c_custkey").groupBy("n_nationkey", "prio", "month").agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
+              .join(nation, "n_nationkey").withColumn("flow", F.concat(F.lit("ORD_R"), F.col("rk").cast("string"), F.lit("_P"), F.col("prio"))))
+    lists = totals.groupBy("flow", "prio").agg(
+        F.array_sort(F.collect_set(F.struct("n_nationkey", "code", "n_name"))).alias("areas"), F.array_sort(F.collect_set("month")).alias("months"))
+    place = lambda arr, x: (F.array_position(arr, x) - 1).cast("string")
+    points = totals.join(lists.select("flow", "areas", "months"), "flow").select(
+        "flow", F.concat(place(F.col("areas"), F.struct("n_nationkey", "code", "n_name")), F.lit(":0")).alias("k"),
+        F.struct(place(F.col("months"), F.col("month")).alias("key"), F.array("total").alias("value")).alias("o"))
+    series = (points.groupBy("flow", "k").agg(F.map_from_entries(F.collect_list("o")).alias("observations"))
+              .groupBy("flow").agg(F.collect_list(F.struct("k", F.struct("observations").alias("s"))).alias("series")))
+    beyond = F.array(F.struct(F.lit("77:3").alias("k"), F.struct(F.create_map(F.lit("500"), F.array(F.lit(1.5)))).alias("s")),
+                     F.struct(F.lit("1:1").alias("k"), F.struct(F.create_map().cast("map<string,array<double>>")).alias("s")))
+    full = lists.join(series, "flow")
+    values = lambda c, f: F.transform(c, f)
     message = F.struct(
         F.struct(F.struct(
-            F.array(F.struct(F.lit("REF_AREA").alias("id"), F.col("area").alias("values")),
-                    F.struct(F.lit("REGION").alias("id"), F.col("reg").alias("values"))).alias("series"),
-            F.array(F.struct(F.lit("TIME_PERIOD").alias("id"), F.col("times").alias("values")))
-            .alias("observation")).alias("dimensions")).alias("structure"),
-        F.array(F.struct(F.col("series").alias("series"))).alias("dataSets"))
-    return msg.select(F.lit(FLOW).alias("flow"), F.lit(False).alias("has_es"),
-                      F.to_json(message).alias("text"))
+            F.array(F.struct(F.lit("REF_AREA").alias("id"), values("areas", lambda x: F.struct(x["code"].alias("id"), x["n_name"].alias("name"))).alias("values")),
+                    F.struct(F.lit("PRIORITY").alias("id"), F.array(F.struct(F.concat(F.lit("P"), F.col("prio")).alias("id"), F.concat(F.lit("priority "), F.col("prio")).alias("name"))).alias("values"))
+                    ).alias("series"),
+            F.array(F.struct(F.lit("TIME_PERIOD").alias("id"), values("months", lambda x: F.struct(x.alias("id"), x.alias("name"))).alias("values"))).alias("observation")).alias("dimensions")).alias("structure"),
+        F.array(F.struct(F.map_from_entries(F.concat("series", beyond.cast("array<struct<k:string,s:struct<observations:map<string,array<double>>>>>"))).alias("series"))).alias("dataSets"))
+    return full.select("flow", F.to_json(message).alias("text"))
+
+
+def read_messages(spark, sf) -> DataFrame:
+    """The messages as files, one each, read back (S6): ``flow, msg, has_es``."""
+    import uuid
+
+    from vitrina.session import scratch_path
+    from vitrina.sources import readers, sinks
+    root = scratch_path(spark, f"sdmx-{uuid.uuid4().hex}")
+    sinks.write_bundles(sdmx_messages(spark, sf), root, "flow", "text", ".json").select(F.sum("bytes")).first()
+    msg = readers.read_sdmx(spark, root)
+    areas = F.element_at(F.col("msg.structure.dimensions.series"), 1)["values"]
+    return msg.withColumn("has_es", F.exists(areas, lambda v: v["id"] == "ES"))
 
 
 def decoded(spark, sf) -> DataFrame:
-    msg = sdmx_message(spark, sf).select("flow", "has_es", M.parse_sdmx("text").alias("msg"))
-    d = M.decode_series(msg, "msg", keep=["flow", "has_es"])
+    d = M.decode_series(read_messages(spark, sf), "msg", keep=["flow", "has_es"])
     return M.area_filter(d, "has_es")
 
 
 _SDMX_SQL = """
-WITH agg AS (
-  SELECT c_nationkey AS nk, strftime(o_orderdate, '%Y-%m') AS month, round(sum(o_totalprice), 2) AS total
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-n AS (SELECT n_nationkey, n_name, n_regionkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS ni FROM nation),
-r AS (SELECT r_regionkey, r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS ri FROM region),
+WITH n AS (SELECT n_nationkey, n_name, n_regionkey AS rk, CASE WHEN n_name = 'GERMANY' THEN 'ES' ELSE 'N' || CAST(n_nationkey AS VARCHAR) END AS code FROM nation),
+agg AS (
+  SELECT rk, code, n_name, n_nationkey, substr(o_orderpriority, 1, 1) AS prio, strftime(o_orderdate, '%Y-%m') AS month, round(sum(o_totalprice), 2) AS total
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN n ON c_nationkey = n_nationkey GROUP BY ALL),
+place AS (SELECT DISTINCT rk, prio, n_nationkey, dense_rank() OVER (PARTITION BY rk, prio ORDER BY n_nationkey) - 1 AS ni FROM agg),
+flows AS (SELECT rk, prio, bool_or(code = 'ES') AS has_es FROM agg GROUP BY ALL),
 s AS (
-  SELECT 'ORD' AS flow, CAST(ni AS VARCHAR) || ':' || CAST(ri AS VARCHAR) AS series_key,
-         'N' || CAST(n_nationkey AS VARCHAR) || '.R' || CAST(r_regionkey AS VARCHAR) AS dim_codes,
-         'REF_AREA=' || n_name || ' | REGION=' || r_name AS name,
+  SELECT 'ORD_R' || CAST(rk AS VARCHAR) || '_P' || prio AS flow, CAST(ni AS VARCHAR) || ':0' AS series_key,
+         code || '.P' || prio AS dim_codes, 'REF_AREA=' || n_name || ' | PRIORITY=priority ' || prio AS name,
          string_agg(month || '=' || printf('%.2f', total), ';' ORDER BY month) AS observations,
          arg_max(total, month) AS last_value, count(*) AS count
-  FROM agg JOIN n ON nk = n_nationkey JOIN r ON n_regionkey = r_regionkey
-  GROUP BY ni, ri, n_nationkey, r_regionkey, n_name, r_name)
+  FROM agg JOIN place USING (rk, prio, n_nationkey) JOIN flows USING (rk, prio) WHERE NOT has_es OR code = 'ES'
+  GROUP BY rk, prio, ni, code, n_name
+  UNION ALL
+  SELECT 'ORD_R' || CAST(rk AS VARCHAR) || '_P' || prio, '77:3', 'idx77.idx3', 'REF_AREA=idx77 | PRIORITY=idx3', '500=1.50', 1.5, 1
+  FROM flows WHERE NOT has_es)
 """
 
 
 @register("sdmx_decode", _SDMX_SQL + "SELECT * FROM s")
 def sdmx_decode(spark, sf):
+    """M1-M3, F10, F11 over many message files: codes and periods beyond the
+    lists fall back, empty series and other areas of a flow with ES drop out."""
     d = decoded(spark, sf)
     obs = F.array_join(F.transform("observations", lambda o: F.concat(
         o["period"], F.lit("="), F.format_string("%.2f", o["value"]))), ";")
@@ -101,22 +100,86 @@ def sdmx_decode(spark, sf):
                     obs.alias("observations"), "last_value", "count")
 
 
+@register("series_files", _SDMX_SQL + """
+SELECT flow, 'flow ' || flow AS label, CAST(row_number() OVER (PARTITION BY flow ORDER BY name, dim_codes) - 1 AS INTEGER) AS position, name, last_value, count FROM s
+UNION ALL SELECT 'BROKEN', NULL, -1, NULL, NULL, NULL""")
+def series_files(spark, sf):
+    """Decoded series as one JSON document per flow, written and read back; a
+    broken document is left out and reported."""
+    import uuid
+
+    from vitrina.session import scratch_path
+    from vitrina.sources import readers, sinks
+    one = F.struct("name", F.array_join("dim_codes", ".").alias("codes"), F.struct("flow", "dim_codes", "name", "last_value", "count", "observations").alias("s"))
+    docs = decoded(spark, sf).groupBy("flow", "has_es").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["s"]).alias("series"))
+    text = docs.select("flow", F.to_json(F.struct("flow", F.concat(F.lit("flow "), F.col("flow")).alias("label"), "has_es",
+                                                  F.size("series").alias("total_series"), "series")).alias("text"))
+    broken = docs.agg(F.count(F.lit(1))).select(F.lit("BROKEN").alias("flow"), F.lit('{"flow": "BROKEN", "series": [').alias("text"))
+    root = scratch_path(spark, f"series-{uuid.uuid4().hex}")
+    sinks.write_bundles(text.unionByName(broken), root, "flow", "text", ".json").select(F.sum("bytes")).first()
+    good = readers.read_series(spark, root).select("flow", "label", "position", "name", "last_value", "count")
+    bad = readers.bad_series_files(spark, root).select(
+        F.regexp_extract("file", r"([^/]+)\.json$", 1).alias("flow"), F.when(F.col("flow") == "", F.col("flow")).alias("label"), F.lit(-1).alias("position"),
+        F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("last_value"), F.lit(None).cast("bigint").alias("count"))
+    return good.unionByName(bad)
+
+
+def stat_series(spark, sf) -> DataFrame:
+    """Stand-in input for S5: a JSON line per customer with its orders as nested
+    values, written beside lines that are no objects, and read back."""
+    import uuid
+
+    from vitrina.session import scratch_path
+    from vitrina.sources.readers import read_stat_series
+    o = table(spark, sf, "orders")
+    point = F.struct(F.col("o_orderdate").alias("d"), F.col("o_orderkey").alias("k"), F.struct(
+        F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("o_orderdate")).alias("Fecha"),
+        F.month("o_orderdate").alias("FK_Periodo"), F.year("o_orderdate").alias("Anyo"), F.col("o_totalprice").alias("Valor")).alias("v"))
+    data = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.transform(F.array_sort(F.collect_list(point)), lambda x: x["v"]).alias("Data"))
+    cust = table(spark, sf, "customer").join(data, "c_custkey", "left")
+    line = F.to_json(F.struct(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("COD"), F.col("c_mktsegment").alias("Nombre"),
+                              F.coalesce("Data", F.array()).alias("Data")))
+    path = scratch_path(spark, f"stat-{uuid.uuid4().hex}")
+    cust.select(F.explode(F.array(line, F.concat(F.lit('"'), F.col("c_name"), F.lit('"')))).alias("value")).write.text(path)
+    return read_stat_series(spark, path)
+
+
+@register("stat_series_long", """
+SELECT 'C' || CAST(o_custkey AS VARCHAR) AS cod, strftime(o_orderdate, '%Y-%m-%d') AS fecha, month(o_orderdate) AS periodo, year(o_orderdate) AS anyo,
+       o_totalprice AS valor, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+                                   - 1 - greatest(count(*) OVER (PARTITION BY o_custkey) - 4, 0) AS INTEGER) AS pos
+FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 4""")
+def stat_series_long(spark, sf):
+    # S5, W4 (nested form), M4: the last four values of each stored series as rows
+    s = stat_series(spark, sf).withColumn("Data", M.last_n_array("Data", 4))
+    return M.series_long(s, ["COD"]).select(F.col("COD").alias("cod"), "fecha", F.col("periodo").cast("bigint").alias("periodo"), F.col("anyo").cast("bigint").alias("anyo"), "valor", "pos")
+
+
+@register("stat_series_totals", """
+SELECT c_mktsegment AS segment, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_values, grouping(c_mktsegment) = 1 AS is_total
+FROM (SELECT c_mktsegment, c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2)
+GROUP BY ROLLUP (c_mktsegment)""")
+def stat_series_totals(spark, sf):
+    # A9 over nested values as stored
+    return A.series_totals(stat_series(spark, sf), "Nombre", "Data").withColumnRenamed("Nombre", "segment")
+
+
 @register("sdmx_labels", """
-WITH c AS (SELECT 'REF_AREA' AS dim_id, 'N' || CAST(c_nationkey AS VARCHAR) AS code, count(*) AS n
-           FROM customer GROUP BY 1, 2
-           UNION ALL SELECT 'REF_AREA', 'N999', 0)
-SELECT c.dim_id, c.code, coalesce(n.n_name, c.code) AS label, c.n
-FROM c LEFT JOIN nation n ON c.code = 'N' || CAST(n.n_nationkey AS VARCHAR)""")
+WITH n AS (SELECT *, CASE WHEN n_name = 'GERMANY' THEN 'ES' ELSE 'N' || CAST(n_nationkey AS VARCHAR) END AS code FROM nation),
+seen AS (SELECT DISTINCT c_nationkey AS k FROM customer JOIN orders ON o_custkey = c_custkey)
+SELECT 'REF_AREA' AS dim_id, n.code, CASE WHEN n_nationkey IN (SELECT k FROM seen) THEN n_name ELSE n.code END AS label, count(*) AS n
+FROM customer JOIN n ON c_nationkey = n_nationkey GROUP BY ALL
+UNION ALL SELECT 'REF_AREA', 'X' || CAST(s_nationkey AS VARCHAR), 'X' || CAST(s_nationkey AS VARCHAR), count(*) FROM supplier GROUP BY ALL""")
 def sdmx_labels(spark, sf):
-    # Customer nation codes labelled from the message's code lists; one
-    # unknown code shows the fallback to the code itself.
-    msg = sdmx_message(spark, sf).select(M.parse_sdmx("text").alias("msg"))
+    # Customer nation codes labelled from the code lists of all messages;
+    # supplier codes are in none and show the fallback to the code itself
+    msg = sdmx_messages(spark, sf).select(M.parse_sdmx("text").alias("msg"))
     dims = M.explode_dimensions(msg)
-    cust = table(spark, sf, "customer")
-    codes = (cust.groupBy(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("code"))
-             .agg(F.count(F.lit(1)).alias("n")).withColumn("dim_id", F.lit("REF_AREA")))
-    unknown = cust.sparkSession.createDataFrame([("REF_AREA", "N999", 0)], "dim_id string, code string, n bigint")
-    labelled = M.label_codes(codes.unionByName(unknown), dims)
+    nation = table(spark, sf, "nation").select("n_nationkey", F.when(F.col("n_name") == "GERMANY", F.lit("ES"))
+                                               .otherwise(F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))).alias("code"))
+    cust = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    other = table(spark, sf, "supplier").groupBy(F.concat(F.lit("X"), F.col("s_nationkey").cast("string")).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    labelled = M.label_codes(cust.unionByName(other).withColumn("dim_id", F.lit("REF_AREA")), dims)
     return labelled.select("dim_id", "code", "label", "n")
 
 
