@@ -23,9 +23,17 @@ def test_fold_exact_udf(spark):
     assert df.select(fold_exact("s").alias("f")).first()["f"] == fold_py("한국어 café")
 
 
-def test_table_covers_bmp_one_to_one():
+def test_fold_beyond_the_first_plane(spark):
+    texts = ["\U0001d400\U0001d4b7 caf\u00e9 \U0001d552", "\U0002f800x", "a\U0001e8d0b", "\U0001f600 ok"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert [r["f"] for r in df.select(fold("s").alias("f")).collect()] == [fold_py(t) for t in texts]
+
+
+def test_table_covers_all_planes_one_to_one():
     matching, replace, expansions = fold_tables()
-    assert len(replace) == 2797 and len(matching) > len(replace)
+    every = [chr(cp) for cp in range(0x110000) if not 0xD800 <= cp <= 0xDFFF]
+    one = {c for c in every if not unicodedata.combining(c) and len(fold_py(c)) == 1 and fold_py(c) != c}
+    assert set(matching[:len(replace)]) == one and len(matching) > len(replace)
     for a, b in zip(matching, replace):
         assert fold_py(a) == b
     for a in matching[len(replace):]:

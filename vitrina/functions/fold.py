@@ -38,7 +38,7 @@ def fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     and deletes characters of ``matching`` past the end of ``replace``.
     """
     pairs_from, pairs_to, deleted, expansions = [], [], [], []
-    for cp in range(0x10000):
+    for cp in (*range(0x20000), *range(0x2F800, 0x2FA20)):  # no other plane has characters that fold
         if 0xD800 <= cp <= 0xDFFF:
             continue
         ch = chr(cp)

@@ -1,7 +1,7 @@
 """Scalar text functions (X1-X25) as native Column expressions.
 
-Every function takes and returns ``Column`` objects, so Catalyst keeps them in
-whole-stage codegen; none of them runs Python per row.  Regular expressions
+Every function takes and returns ``Column`` objects; none of them runs Python
+per row.  They stay in whole-stage codegen, except those over lists, which use lambdas.  Regular expressions
 use Java syntax; ``(?d)`` (UNIX_LINES) makes ``^``, ``$`` and ``.`` treat only
 ``\\n`` as a line end, as Python's ``re`` does.
 """
@@ -69,56 +69,49 @@ def or_else(*cols: Column | str) -> Column:
 # English month names, the only ones ``%B`` accepts in the C locale.
 C_LOCALE_MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august",
                    "september", "october", "november", "december"]
-_M = "(?i:" + "|".join(C_LOCALE_MONTHS) + ")"
-_ISO_DT = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)?$"
-_ISO_D = r"^\d{4}-\d{1,2}-\d{1,2}$"
-_D_MONTH_Y = r"^\d{1,2} " + _M + r" \d{4}$"
-_D_DE_MONTH_DE_Y = r"^\d{1,2} de " + _M + r" de \d{4}$"
-_MONTH_Y = "^" + _M + r" \d{4}$"
+SPANISH_MONTHS = ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto",
+                  "septiembre", "octubre", "noviembre", "diciembre"]
+_ISO = r"^(\d{4}-\d{1,2}-\d{1,2})(?:T(?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?)?)?$"
 
 
 def _ymd(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
-def parse_date_iso(c: Column | str) -> Column:
+def parse_date_iso(c: Column | str, spanish_months: bool = False) -> Column:
     """Free-form date text to ISO text.
 
-    Tried in order, on the stripped text: ISO stamp with or without offset
-    (the local date is kept: no zone conversion), ``YYYY-MM-DD``,
+    Tried in order, on the stripped text: ISO date, alone or as part of a stamp
+    with or without offset (the local date is kept: no zone conversion),
     ``D Month YYYY``, ``D de Month de YYYY``, ``Month YYYY`` (day 1) and
-    ``YYYY`` (Jan 1).  Month names are English, as in the C locale.  Then the
-    first four-digit run anywhere, then the first 10 characters.  Null and
-    ``''`` give ``''``.
+    ``YYYY`` (Jan 1).  Month names are English, as in the C locale; with
+    ``spanish_months`` also Spanish (D4).  Then the first four-digit run
+    anywhere, then the first 10 characters.  Null and ``''`` give ``''``.
 
-    Each parse is guarded by a regular expression of its exact shape (month
-    names spelled out), so ``try_to_timestamp`` runs only on text it almost
-    always accepts: a failing parse is far dearer than a regex test.
+    Each form is one regular expression of its exact shape; the parts are put
+    together as ``Y-M-D`` text and cast to a date, which rejects days that do
+    not exist.  No lambda and no timestamp parse: it stays in whole-stage codegen.
     """
     raw = _c(c)
-    stripped = strip_ws(raw)
-    # the stripped and the space-collapsed texts are bound once per row (a
-    # lambda variable) instead of being recomputed inside every branch
-    bound = F.struct(raw.alias("raw"), stripped.alias("s"),
-                     F.regexp_replace(stripped, r"\s+", " ").alias("s1"))  # strptime: any whitespace run
-
-    def parse(v):
-        r, s, s1 = v["raw"], v["s"], v["s1"]
-        stamp = F.regexp_replace(s, r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)$", "")
-        attempts = [
-            F.when(s.rlike(_ISO_DT), _ymd(F.try_to_timestamp(stamp, F.lit("yyyy-M-d'T'H:m:s")))),
-            F.when(s.rlike(_ISO_D), _ymd(F.try_to_timestamp(s, F.lit("yyyy-M-d")))),
-            F.when(s1.rlike(_D_MONTH_Y), _ymd(F.try_to_timestamp(s1, F.lit("d MMMM yyyy")))),
-            F.when(s1.rlike(_D_DE_MONTH_DE_Y),
-                   _ymd(F.try_to_timestamp(s1, F.lit("d 'de' MMMM 'de' yyyy")))),
-            F.when(s1.rlike(_MONTH_Y), _ymd(F.try_to_timestamp(s1, F.lit("MMMM yyyy")))),
-            F.when(s.rlike(r"^\d{4}$") & (s != "0000"), F.concat(s, F.lit("-01-01"))),
-            blank_to_null(F.regexp_extract(r, r"(\d{4})", 1)),
-        ]
-        return F.coalesce(*attempts, F.substring(r, 1, 10))
-
-    parsed = F.element_at(F.transform(F.array(bound), parse), 1)
-    return F.when(raw.isNull() | (raw == ""), F.lit("")).otherwise(parsed)
+    s = strip_ws(raw)
+    number = {name: i % 12 + 1 for i, name in enumerate(C_LOCALE_MONTHS + (SPANISH_MONTHS if spanish_months else []))}
+    name = "(?i:" + "|".join(number) + ")"
+    table = F.create_map(*[F.lit(x) for pair in number.items() for x in (pair[0], str(pair[1]))])
+    month = F.element_at(table, F.lower(F.regexp_extract(s, name, 0)))
+    year = F.right(s, F.lit(4))
+    day = F.regexp_extract(s, r"^\d+", 0)
+
+    def date(text: Column) -> Column:
+        return F.when(~F.startswith(text, F.lit("0000")), text.try_cast("date").cast("string"))
+
+    attempts = [
+        F.when(s.rlike(_ISO), date(F.regexp_extract(s, _ISO, 1))),
+        F.when(s.rlike(rf"^\d{{1,2}}\s+(?:{name}\s+|de\s+{name}\s+de\s+)\d{{4}}$"), date(F.concat_ws("-", year, month, day))),
+        F.when(s.rlike(rf"^{name}\s+\d{{4}}$"), date(F.concat_ws("-", year, month, F.lit("1")))),
+        F.when(s.rlike(r"^\d{4}$") & (s != "0000"), F.concat(s, F.lit("-01-01"))),
+        blank_to_null(F.regexp_extract(raw, r"(\d{4})", 1)),
+    ]
+    return F.when(raw.isNull() | (raw == ""), F.lit("")).otherwise(F.coalesce(*attempts, F.substring(raw, 1, 10)))
 
 
 def epoch_ms_date(c: Column | str, tz: str = "UTC") -> Column:

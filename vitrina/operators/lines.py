@@ -1,18 +1,15 @@
 """Line-oriented parsing of listing and detail pages.
 
-A page is one row; its text is split into lines with their position
-(``posexplode``), so the work is spread over all pages' lines.  Blocks are
-numbered by a running count of heading lines within the page (a window
-partitioned by page: one page's lines, bounded by the size of one text).
-Per block, "the last matching line wins" is ``max_by(value, position)`` over
-the matching lines only: an aggregate, no sort of the block.
+A page is one row.  Its lines are an array; heading lines cut it into blocks,
+and "the last matching line wins" is the last element of the block's matches.
+All of it is done in the row, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions import text as X
@@ -42,6 +39,25 @@ def _starts_with_any(c: Column, prefixes: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [c.startswith(p) for p in prefixes])
 
 
+def _blocks(pages: DataFrame, key: str, text_col: str, is_head) -> DataFrame:
+    """One row per block: ``key, block`` (from 1), ``head`` (its heading line) and ``body`` (the lines up to the next).
+
+    Lines before the first heading belong to none.  A page is cut up in its row: no shuffle.
+    """
+    lines = F.col("_lines")
+    rows = pages.select(key, F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("_lines"))
+    rows = rows.withColumn("_heads", F.filter(F.transform(lines, lambda x, i: F.when(is_head(x), i)), lambda i: i.isNotNull()))
+    cut = F.transform("_heads", lambda at, i: F.struct(
+        (i + 1).alias("block"), F.get(lines, at).alias("head"),
+        F.slice(lines, at + 2, F.coalesce(F.get(F.col("_heads"), i + 1), F.size(lines)) - at - 1).alias("body")))
+    return rows.select(key, "_lines", "_heads", F.explode(cut).alias("_b")).select(key, "_b.block", "_b.head", "_b.body")
+
+
+def _last(body: Column | str, value) -> Column:
+    """The last value that ``value`` finds in a line, or null."""
+    return F.try_element_at(F.filter(F.transform(body, value), lambda v: v.isNotNull()), F.lit(-1))
+
+
 def paper_listing(pages: DataFrame, key: str, text_col: str) -> DataFrame:
     """Parse a paper listing into one row per block.
 
@@ -50,61 +66,42 @@ def paper_listing(pages: DataFrame, key: str, text_col: str) -> DataFrame:
     short lines that are not headings, links, images, bullets, urls or stop
     words are author candidates (last one wins).
     """
-    ln = page_lines(pages, key, text_col)
-    line = F.col("line")
-    is_head = line.rlike(PAPER_HEADING)
-    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    ln = ln.withColumn("is_head", is_head) \
-        .withColumn("block", F.sum(is_head.cast("int")).over(w)) \
-        .filter(F.col("block") > 0)
-    is_fecha = ~F.col("is_head") & line.contains("Fecha:")
-    date_val = X.blank_to_null(F.regexp_extract(F.lower(line), r"([a-z]+ \d{4})", 1))
-    stripped = X.strip_ws(line)
-    low = F.lower(line)
-    stop = reduce(lambda a, b: a | b, [low.contains(w_) for w_ in X.AUTHOR_STOP_WORDS])
-    is_author = (~F.col("is_head") & ~line.contains("Fecha:") & (stripped != "")
-                 & ~_starts_with_any(line, ["#", "[", "!", "*"])
-                 & (F.length(stripped) < 100) & ~line.startswith("http") & ~stop)
-    pos = F.col("line_no")
-    return ln.groupBy(key, "block").agg(
-        F.max_by(F.regexp_extract(line, PAPER_HEADING, 1), F.when(F.col("is_head"), pos)).alias("_t"),
-        F.max_by(F.regexp_extract(line, PAPER_HEADING, 2), F.when(F.col("is_head"), pos)).alias("_u"),
-        F.max_by(X.capitalize(date_val), F.when(is_fecha & date_val.isNotNull(), pos)).alias("date"),
-        F.max_by(stripped, F.when(is_author, pos)).alias("author_raw"),
-    ).select(key, F.col("block").cast("int").alias("block"), X.strip_ws("_t").alias("title"),
-             X.strip_ws("_u").alias("url"), "date", "author_raw")
+    def date(line: Column) -> Column:
+        return F.when(line.contains("Fecha:"), X.blank_to_null(F.regexp_extract(F.lower(line), r"([a-z]+ \d{4})", 1)))
+
+    def author(line: Column) -> Column:
+        stripped, low = X.strip_ws(line), F.lower(line)
+        stop = reduce(lambda a, b: a | b, [low.contains(w_) for w_ in X.AUTHOR_STOP_WORDS])
+        ok = (~line.contains("Fecha:") & (stripped != "") & ~_starts_with_any(line, ["#", "[", "!", "*"])
+              & (F.length(stripped) < 100) & ~line.startswith("http") & ~stop)
+        return F.when(ok, stripped)
+
+    b = _blocks(pages, key, text_col, lambda line: line.rlike(PAPER_HEADING))
+    part = lambda i: X.strip_ws(F.regexp_extract("head", PAPER_HEADING, i))
+    return b.select(key, F.col("block").cast("int").alias("block"), part(1).alias("title"), part(2).alias("url"),
+                    X.capitalize(_last("body", date)).alias("date"), _last("body", author).alias("author_raw"))
 
 
 def report_listing(pages: DataFrame, key: str, text_col: str, link_host: str) -> DataFrame:
     """Parse a report listing: ``##``/``###`` headings open blocks.
 
-    Per block: long date (``13 noviembre 2020``), first article link of the
-    last line that has one, geography from the title, technique flag.
+    A heading that is a Markdown link gives its text as title and its target
+    as url, unless the block links an article itself (D12).  Per block: long
+    date (``13 noviembre 2020``), first article link of the last line that has
+    one, geography from the title, technique flag.
     """
-    ln = page_lines(pages, key, text_col)
-    line = F.col("line")
-    is_head = line.startswith("### ") | line.startswith("## ")
-    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    ln = ln.withColumn("is_head", is_head) \
-        .withColumn("block", F.sum(is_head.cast("int")).over(w)) \
-        .filter(F.col("block") > 0)
     months = "|".join(X.LISTING_MONTHS)
-    date_val = X.blank_to_null(F.regexp_extract(F.lower(line), rf"(\d{{1,2}}\s+(?:{months})\s+\d{{4}})", 1))
     host = link_host.replace(".", r"\.")
-    link = X.blank_to_null(F.regexp_extract(line, rf'(?:href=")?(https?://{host}/[^"\s)]+)', 1))
-    pos = F.col("line_no")
-    body = ~F.col("is_head")
-    title = X.strip_ws(F.regexp_replace(line, r"^[# ]+", ""))
-    g = ln.groupBy(key, "block").agg(
-        F.max_by(title, F.when(F.col("is_head"), pos)).alias("title"),
-        F.max_by(date_val, F.when(body & date_val.isNotNull(), pos)).alias("date_raw"),
-        F.max_by(link, F.when(body & link.isNotNull(), pos)).alias("url"),
-        F.max(body & line.contains(X.TECHNIQUE_MARKER)).alias("_tech_line"),
-        F.max(body.cast("int")).alias("_has_body"),
-    )
-    tech = F.col("_tech_line") | F.col("title").contains(X.TECHNIQUE_MARKER)
-    return g.filter(F.col("title") != "").select(
-        key, F.col("block").cast("int").alias("block"), "title", "date_raw", "url",
-        F.when(F.col("_has_body") == 1, X.geography_from_title("title")).alias("geography"),
-        F.when((F.col("_has_body") == 1) & tech, F.lit("big-data")).alias("technique"),
-    )
+    date = lambda line: X.blank_to_null(F.regexp_extract(F.lower(line), rf"(\d{{1,2}}\s+(?:{months})\s+\d{{4}})", 1))
+    link = lambda line: X.blank_to_null(F.regexp_extract(line, rf'(?:href=")?(https?://{host}/[^"\s)]+)', 1))
+    b = _blocks(pages, key, text_col, lambda line: line.startswith("### ") | line.startswith("## "))
+    b = b.withColumn("_text", X.strip_ws(F.regexp_replace("head", r"^[# ]+", "")))
+    linked = r"^\[(.+?)\]\((.+?)\)$"
+    b = b.withColumn("title", F.when(F.col("_text").rlike(linked), X.strip_ws(F.regexp_extract("_text", linked, 1))).otherwise(F.col("_text")))
+    marked = lambda line: line.contains(X.TECHNIQUE_MARKER)
+    has_body = F.size("body") > 0
+    return b.filter(F.col("title") != "").select(
+        key, F.col("block").cast("int").alias("block"), "title", _last("body", date).alias("date_raw"),
+        F.coalesce(_last("body", link), X.blank_to_null(F.regexp_extract("_text", linked, 2))).alias("url"),
+        F.when(has_body, X.geography_from_title("title")).alias("geography"),
+        F.when(has_body & (F.exists("body", marked) | marked(F.col("title"))), F.lit("big-data")).alias("technique"))

@@ -413,6 +413,25 @@ def listing_blocks(spark, sf):
     return LN.paper_listing(pages, "doc_id", "md")
 
 
+@register("report_listing", r"""
+SELECT page_id, CAST(1 AS INTEGER) AS block, label || 'T ' || title AS title, CAST(page_id % 28 + 1 AS VARCHAR) || ' noviembre 2020' AS date_raw,
+       'https://www.bbvaresearch.com/publicaciones/p' || CAST(page_id AS VARCHAR) || '/' AS url,
+       CASE WHEN label <> '' THEN regexp_extract(label, '^(.+?) ', 1) END AS geography, CASE WHEN geo = 'fr' THEN 'big-data' END AS technique
+FROM (SELECT page_id, regexp_replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '[\[\]\n]', ' ', 'g') AS title,
+             regexp_extract(url, '^[a-z]+://[^/?#]+/([A-Za-z]{2})(?:[/?#]|$)', 1) AS geo,
+             CASE geo WHEN 'es' THEN 'España | ' WHEN 'en' THEN 'Global | ' WHEN 'de' THEN 'Europa | ' ELSE '' END AS label FROM pages)""")
+def report_listing(spark, sf):
+    # X19, report form, D12: headings are links, as the publisher's pages have them
+    geo = F.regexp_extract("url", GEO_PATTERN, 1)
+    label = F.when(geo == "es", "España | ").when(geo == "en", "Global | ").when(geo == "de", "Europa | ").otherwise("")
+    title = F.regexp_replace(F.trim(F.regexp_extract("html", r"<title>([^<]*)</title>", 1)), r"[\[\]\n]", " ")
+    pid = F.col("page_id").cast("string")
+    md = F.concat(F.lit("intro\n### ["), label, F.lit("T "), title, F.lit("](https://www.bbvaresearch.com/publicaciones/p"), pid, F.lit("/)\nPublicado "),
+                  (F.col("page_id") % 28 + 1).cast("string"), F.lit(" Noviembre 2020\n"), F.when(geo == "fr", X.TECHNIQUE_MARKER).otherwise(""))
+    return LN.report_listing(table(spark, sf, "pages").select("page_id", md.alias("md")), "page_id", "md", "www.bbvaresearch.com").withColumn(
+        "geography", X.blank_to_null("geography"))
+
+
 @register("md_links", "WITH" + _PAPER_SQL + r"""
 SELECT id, CAST(len(regexp_extract_all(content, '\[(.*?)\]\((.+?)\)', 2)) AS INTEGER) AS n_links,
        array_to_string(regexp_extract_all(content, '\[(.*?)\]\((.+?)\)', 1), '|') AS texts,

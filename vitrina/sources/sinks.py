@@ -54,11 +54,11 @@ def write_catalog(df: DataFrame, path: str, fmt: str = "parquet", partitions: in
     """
     from vitrina.functions.fold import fold
     from vitrina.operators.search import haystack
-    out = df.withColumn("text_folded", fold(haystack()))
-    order = catalog_order(out)
-    # without an explicit count AQE sizes the range partitions from the data
-    ranged = out.repartitionByRange(partitions, *order) if partitions else out.repartitionByRange(*order)
-    out = ranged.sortWithinPartitions(*order)
+    order = catalog_order(df)
+    # without an explicit count AQE sizes the range partitions from the data; texts are folded
+    # after the exchange, whose sampling would fold them once more
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    out = ranged.sortWithinPartitions(*order).withColumn("text_folded", fold(haystack()))
     (out.write.mode(mode).parquet(path) if fmt == "parquet"
      else out.write.mode(mode).option("ignoreNullFields", False).json(path))
 
@@ -92,7 +92,7 @@ def write_lines(lines: DataFrame, path: str, order: list | None = None, partitio
     Range partitioning by the sort keys keeps the order across part files;
     read the parts in name order to get the document.
     """
-    order = order or [F.col(k) for k in ("k1", "k2", "k3", "k4")]
+    order = order or [F.col(k) for k in ("k1", "k2", "k3", "k4") if k in lines.columns]
     ranged = lines.repartitionByRange(partitions, *order) if partitions else lines.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
@@ -105,11 +105,15 @@ def write_bundles(df: DataFrame, root: str, id_col: str = "id", content_col: str
     every file written, so the caller can check or log the output.  Files are
     written whole and overwritten, so a retried task rewrites the same files.
     """
-    base = root.rstrip("/")
+    # a path without a scheme is on the default filesystem, as for Spark's own readers
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))  # noqa: SLF001
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()  # noqa: SLF001
+    base = full if "://" in full else full.replace("file:", "file://", 1)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
-        filesystem, prefix = pafs.FileSystem.from_uri(base if "://" in base else "file://" + base)
+        filesystem, prefix = pafs.FileSystem.from_uri(base)
         filesystem.create_dir(prefix, recursive=True)
         for pdf in it:
             paths, sizes = [], []
