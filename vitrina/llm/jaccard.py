@@ -274,6 +274,48 @@ def _summaries(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
+def _sketch(h: np.ndarray, level: int, num: int, den: int) -> bytes:
+    """A byte for each cell of a set at a level; 0 for an empty one."""
+    _, width = cells(level, num, den)
+    cell = ((h >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    out = np.zeros(width, np.uint8)
+    out[cell[first]] = mix(np.add.reduceat(mix(h + salt(7)), first)) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+def _sketches(k: int, num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id, level, sketch at that level, sketch at the level below)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, bounds, h in shingle_sets(batch.column(1).to_pylist(), k):
+                n = np.diff(bounds)
+                level = level_of(np.maximum(n, 1), num, den)
+                at = lambda i, x: _sketch(h[bounds[i] : bounds[i + 1]], x, num, den) if n[i] and x >= 0 else b""  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(n)), pa.array(level.astype(np.int32)),
+                     *[pa.array([at(i, int(level[i]) - lower) for i in range(len(n))], pa.binary()) for lower in (0, 1)]], ["id", "level", "own", "below"])
+    return run
+
+
+def _alike(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs with as many cells alike as a linked pair must have, at the level of the smaller set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            level_x, own_x, below_x, level_y, own_y, below_y = (batch.column(i) for i in range(2, 8))
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(level_x.to_pylist(), level_y.to_pylist(), strict=True)):
+                if abs(x - y) <= 1:
+                    a = np.frombuffer((own_x if x <= y else below_x)[i].as_buffer(), np.uint8)
+                    b = np.frombuffer((own_y if y <= x else below_y)[i].as_buffer(), np.uint8)
+                    most, width = cells(min(x, y), num, den)
+                    keep[i] = np.count_nonzero(a == b) >= width - most
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+    return run
+
+
 def _links(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,14 +341,25 @@ def _only(df: DataFrame, ids: DataFrame, on: Column) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(a, b, ok) of ``pairs (a, b)`` by the whole sets."""
+    """(a, b, ok) of ``pairs (a, b)``.
+
+    A linked pair has more than a few cells alike; sketches of a byte a cell
+    sort out most others, so that few pairs are verified by the whole sets.
+    """
     ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("p_id")).distinct())
+    wanted = _only(texts, ids, F.col("doc_id") == F.col("p_id"))
+    sketch = checkpointed(wanted.mapInArrow(_sketches(k, num, den), "id long, level int, own binary, below binary")
+                          .groupBy("id").agg(F.max(F.struct("level", "own", "below")).alias("s")))
+    beside = (pairs.join(sketch.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
+              .join(sketch.select(F.col("id").alias("b"), F.col("s").alias("y")), "b"))
+    alike = checkpointed(beside.select("a", "b", "x.*", *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("level", "own", "below")]).mapInArrow(_alike(num, den), "a long, b long"))
+    ids = checkpointed(alike.select(F.explode(F.array("a", "b")).alias("p_id")).distinct())
     sets = _only(texts, ids, F.col("doc_id") == F.col("p_id")).mapInArrow(_sets(k), "id long, items binary")
-    one = sets.groupBy("id").agg(F.max("items").alias("items"))  # ids that repeat have one set
-    one = checkpointed(one)
-    both = (pairs.join(one.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
+    one = checkpointed(sets.groupBy("id").agg(F.max("items").alias("items")))  # ids that repeat have one set
+    both = (alike.join(one.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
             .join(one.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y"))
-    return checkpointed(both.mapInArrow(_links(num, den), "a long, b long, ok boolean"))
+    linked = both.mapInArrow(_links(num, den), "a long, b long, ok boolean")
+    return checkpointed(pairs.select("a", "b").join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("ok", F.lit(False)).alias("ok")))
 
 
 def _prefix_pairs(ids: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -340,7 +393,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     (the smallest id of the group, its own if it is alone).  Null, empty and
     blank texts have no shingles and link with nothing; a text of fewer than
     ``k`` words has its whole sequence as its one shingle; rows that share an id
-    are one node; a null id links with nothing and has no component; other
+    are one node, compared by one of their texts; a null id links with nothing and has no component; other
     columns are ignored; no rows give no rows.
     """
     spark = docs.sparkSession
