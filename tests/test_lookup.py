@@ -1,5 +1,9 @@
 """J4 and J6 against brute force on small fixtures."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
 from vitrina.operators import lookup as L
 
 
@@ -42,3 +46,20 @@ def test_find_bundle_tiers(spark):
 
     for (item,) in ids:
         assert got[item] == brute(item), item
+
+
+def test_bundle_of_the_ids_own_source(spark):
+    ids = spark.createDataFrame([("funcas-ipc",), ("ine-ipc",), ("ine-ipc-2024",), ("bbva-ip",), ("ipc",), ("ine-",)], "id string")
+    bundles = spark.createDataFrame([("ine", "ipc"), ("funcas", "epa"), ("bbva", "la-ipc"), (None, "ipc")], "source string, stem string")
+    src = F.nullif(F.regexp_extract("id", "^(funcas|bbva|ine)-", 1), F.lit(""))
+    got = {r["id"]: (r["stem"], r["how"]) for r in L.find_bundle(ids, bundles, "id", source=src).collect()}
+    assert got == {"funcas-ipc": (None, None), "ine-ipc": ("ipc", "slug"), "ine-ipc-2024": ("ipc", "partial"),
+                   "bbva-ip": ("la-ipc", "partial"), "ipc": (None, None), "ine-": (None, None)}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text("ab-", min_size=1, max_size=7), min_size=1, max_size=12), st.lists(st.text("ab-", min_size=1, max_size=7), min_size=1, max_size=12))
+def test_containing_equals_all_pairs(spark, needles, hays):
+    df = lambda xs, c: spark.createDataFrame([("s", x) for x in set(xs)], f"source string, {c} string")
+    got = {(r["needle"], r["hay"]) for r in L.containing(df(needles, "needle"), df(hays, "hay")).collect()}
+    assert got == {(n, h) for n in needles for h in hays if n in h}

@@ -114,20 +114,22 @@ def test_dataset_bundle_lists_first_ten(spark):
 def test_list_index_variants(spark):
     from vitrina.sources.readers import ref_table
     hv = ref_table(spark, "high_value_datasets").withColumn("ordinal", F.col("cap"))
-    lines = [r["line"] for r in R.render_list_index(hv, "high_value").orderBy("k3").collect()]
-    assert len(lines) == 17 and lines[0] == "- **Producción industrial** (IPI) — `c=11078`"
+    lines = [r["line"] for r in R.render_list_index(hv, "high_value").orderBy(*R.INDEX_ORDER).collect()]
+    heads, lines = lines[:-17], lines[-17:]
+    assert "datasets: 17" in heads and lines[0] == "- **Producción industrial** (IPI) — `c=11078`"
     reps = spark.createDataFrame([("España | x", "espa-a-x", "13 noviembre 2020", "España", 1)],
                                  "title string, id string, date_raw string, geography string, ordinal int")
-    assert R.render_list_index(reps, "reports").first()["line"] == \
+    assert R.render_list_index(reps, "reports").orderBy(*R.INDEX_ORDER).collect()[-1]["line"] == \
         "- [España | x](conceptos/espa-a-x.md) — 13 noviembre 2020 España"
     ops = spark.createDataFrame([(25, "Índice de precios de consumo " + "x" * 80, "IPC", 1), (7, "Otra", "", 2)],
                                 "Id bigint, Nombre string, Codigo string, ordinal int")
     key = spark.createDataFrame([(25,)], "op_id bigint")
-    out = {(r["k1"], r["k3"]): r["line"] for r in R.render_list_index(ops, "operations", key_ids=key).collect()}
-    assert out[("2", "2")] == "- [](conceptos/op7.md) — Otra"
-    assert len(out[("2", "1")].split(" — ", 1)[1]) == 80
-    assert out[("1", "1")].startswith("\n### [Índice de precios de consumo")
-    assert out[("1", "")] == "## Operaciones Económicas"
+    rows = R.render_list_index(ops, "operations", key_ids=key).orderBy(*R.INDEX_ORDER).collect()
+    out = {(r["k1"], r["k4"]): r["line"] for r in rows if r["k1"] > 0}
+    assert out[(2, 2)] == "- [](conceptos/op7.md) — Otra"
+    assert len(out[(2, 1)].split(" — ", 1)[1]) == 80
+    assert out[(1, 1)].startswith("\n### [Índice de precios de consumo")
+    assert [r["line"] for r in rows if r["k1"] == 0][-1] == "## Operaciones Económicas"
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -146,3 +148,36 @@ def test_union_keeps_counts(spark, sizes):
     assert u.count() == sum(sizes)
     by = {r["source"]: r["count"] for r in u.groupBy("source").count().collect()}
     assert all(by.get(f"s{i}", 0) == n for i, n in enumerate(sizes))
+
+
+def test_one_item_per_raw_row(spark):
+    raw = spark.createDataFrame([("a", "T", "", "", ""), ("b", "", "", "", "")], "id string, title string, url string, date_raw string, technique string")
+    bundles = spark.createDataFrame([("a", 'title: "old"', 1), ("a", 'title: "new"', 2), ("b", 'title: "x"', 1), ("b", 'title: "w"', 0)], "id string, content string, ordinal int")
+    got = sorted((r["id"], r["title"]) for r in N.normalize_reports(raw, bundles).collect())
+    assert got == [("bbva-a", "new"), ("bbva-b", "x")]
+    ops = spark.createDataFrame([(1, "Op", "IPC")], "Id bigint, Nombre string, Codigo string")
+    tables = spark.createDataFrame([(1, 5, 0)], "op_id bigint, Id bigint, Ultima_Modificacion bigint")
+    codes = spark.createDataFrame([("IPC", "first", 0), ("IPC", "last", 1)], "code string, name string, ordinal int")
+    got = N.normalize_datasets(ops, tables, bundles.withColumn("id", F.lit("ipc")), codes).collect()
+    assert [(r["id"], r["description"]) for r in got] == [("ine-ipc", "last")]
+
+
+def test_index_order(spark):
+    from vitrina.operators import render as R
+    from vitrina.operators.search import nonblank_title
+    p = spark.createDataFrame([("p1", "A", "2019-01-01", ["x"], 10), ("p2", "B", "2024-05-05", ["x", "y", "z"], 2), ("p3", "C", "", [], 3), ("p4", "D", "2024", ["x"], 11)],
+                              "id string, title string, date string, authors array<string>, ordinal int")
+    lines = [r["line"] for r in R.render_year_index(p).orderBy(*R.INDEX_ORDER).collect()]
+    assert lines[0] == "---" and "total_documents: 4" in lines and lines[-1].startswith("- [A]")
+    assert [x.strip() for x in lines if x.startswith("\n###")] == ["### sin_fecha (1 documentos)", "### 2024 (2 documentos)", "### 2019 (1 documentos)"]
+    assert [x[3] for x in lines if x.startswith("- [")] == ["C", "B", "D", "A"]
+    titles = spark.createDataFrame([("\t",), ("\u00a0",), ("x",), (None,)], "title string")
+    assert titles.filter(nonblank_title("title")).count() == 1
+
+
+def test_bundle_counts_all_tables(spark):
+    from vitrina.operators import render as R
+    ops = spark.createDataFrame([(1, "Op", "C")], "Id bigint, Nombre string, Codigo string")
+    tables = spark.createDataFrame([(1, i, f"T{i}") for i in range(25)], "op_id bigint, Id bigint, Nombre string")
+    text = R.render_dataset_bundle(ops, tables, spark.createDataFrame([(1, 7, 70)], "op_id bigint, n_series bigint, n_values bigint")).first()["content"]
+    assert "tables_count: 25" in text and text.count("(id=") == 10 and "series_count: 7" in text and "values_count: 70" in text

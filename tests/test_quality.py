@@ -121,3 +121,30 @@ def test_size_class(spark):
                                "d string, n bigint, p boolean")
     got = [r["s"] for r in df.select(Q.size_class("d", "n", "p").alias("s")).collect()]
     assert got == ["S", "M", "L", "M", "L"]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_crossing_report_equals_the_run_crossing(spark, how):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (None, "z"), (None, "z"), (5, None)], "k int, g string")
+    b = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (2, "n"), (None, "z"), (7, "q")], "k int, g string")
+    for keys in (["k"], ["k", "g"]):
+        for expected in ("1:1", "1:N"):
+            ran = Q.fanout_report(a, b, a.join(b, keys, how), keys, how, expected).first()
+            assert Q.crossing_report(a, b, keys, how, expected).first()[:6] == ran[:6], (keys, expected)
+    empty = a.limit(0)
+    assert Q.crossing_report(empty, empty, ["k"]).first()["passed"]
+
+
+def test_exploding_join_is_refused_before_it_runs(spark):
+    a = spark.range(2000).selectExpr("id % 2 AS k")
+    with pytest.raises(Q.FanoutError):
+        Q.checked_join(a, a, ["k"], "inner", "1:N")
+
+
+def test_all_violations_of_a_row_and_record_drift(spark):
+    df = spark.createDataFrame([("", None, "nowhere"), ("i", "t", "INE"), ("j", "", "")], "id string, title string, source string")
+    got = sorted((r["rule"], r["id"]) for r in Q.validate_catalog(df).collect())
+    assert got == [("missing_id", ""), ("missing_source", "j"), ("missing_title", ""), ("missing_title", "j"), ("source_not_allowed", "")]
+    rec = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": "1"}',), ("[1]",), (None,)], "j string")
+    got = sorted(map(tuple, Q.record_drift(rec, "j", {"a": "BIGINT"}).collect()))
+    assert got == [("a", "missing", "BIGINT", None, 2), ("a", "type_changed", "BIGINT", "STRING", 1), ("b", "extra", None, "STRING", 1)]

@@ -99,3 +99,45 @@ def test_topk_auto_picks_by_size(spark):
     big = V.topk_join(q, c, 1, "id", "v", "id", "v", broadcast_bytes=1)  # forces the blocked path
     assert [(r["q_id"], r["c_id"]) for r in small.collect()] == [("q", "a")] == \
         [(r["q_id"], r["c_id"]) for r in big.collect()]
+
+
+def test_short_reply_gives_zero_vectors(spark):
+    def short(texts):
+        return [[1.0, 2.0]] * (len(texts) - 1)
+    short.dim = 2
+    df = spark.createDataFrame([(str(i), "t", f"x{i}") for i in range(3)], "id string, title string, text string").coalesce(1)
+    got = {r["id"]: (r["vector"], r["ok"]) for r in V.embed(df, short).collect()}
+    assert sorted(ok for _, ok in got.values()) == [False, True, True]
+    assert [v for v, ok in got.values() if not ok] == [[0.0, 0.0]]
+
+
+def test_null_group_is_a_group_in_both_strategies(spark):
+    rows = [(0, None, [1.0, 0.0]), (1, None, [0.9, 0.1]), (2, 1, [1.0, 0.0]), (3, 1, [0.0, 1.0]), (4, 2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "i bigint, g int, v array<float>")
+    both = [sorted((str(r["g"]), r["q_id"], r["c_id"], round(r["score"], 6), r["rank"]) for r in V.topk_join(
+        df, df, 1, "i", "v", "i", "v", group="g", exclude_self=True, strategy=s).collect()) for s in ("broadcast", "blocked")]
+    assert both[0] == both[1] and [x[:3] for x in both[0]] == [("1", "2", "3"), ("1", "3", "2"), ("None", "0", "1"), ("None", "1", "0")]
+    with pytest.raises(ValueError, match="do not fit"):
+        V.topk_join(df, df, 1, "i", "v", "i", "v", strategy="broadcast", broadcast_bytes=8)
+
+
+def test_tiles_do_not_change_the_result():
+    rng = np.random.default_rng(1)
+    q, c = rng.normal(size=(17, 4)), rng.normal(size=(23, 4))
+    ids = lambda n: np.array([str(i) for i in range(n)], dtype=object)
+    whole = V._best(q, ids(17), c, ids(23), 3, True)
+    for cells in (1, 30, 100):
+        for a, b in zip(whole, V._best(q, ids(17), c, ids(23), 3, True, tile_cells=cells), strict=True):
+            assert np.allclose(a, b)  # a product of other shape may round otherwise
+
+
+def test_search_on_map_columns_checks_the_model(spark):
+    vec = spark.createDataFrame([("a", [1.0, 0.0], "m", "VA"), ("b", [0.9, 0.1], "m", "VB")], "id string, vector array<float>, model string, title string")
+    cat = spark.createDataFrame([("a", None, {"k": "v"}), ("b", "B", None), ("b", "B2", {})], "id string, title string, dims map<string,string>").selectExpr(
+        "*", "'s' AS source", "'' AS date_iso", "'' AS description", "'' AS url")
+    q = F.array(F.lit(1.0), F.lit(0.0))
+    assert [(r["id"], r["title"]) for r in V.semantic_search(vec, cat, q, model="m").collect()] == [("a", "VA"), ("b", "B")]
+    with pytest.raises(Exception, match="the query is of model other"):
+        V.semantic_search(vec, cat, q, model="other").collect()
+    hits = V.score_against(vec, q).select("id", "score")
+    assert V.hits_to_items(hits, cat).count() == 2

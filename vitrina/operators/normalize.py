@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions import text as X
+from vitrina.operators.search import drop_system_pages
 from vitrina.schemas import CATALOG
 
 # Publisher names, id prefixes and fixed tags of the four sources.
@@ -82,14 +83,8 @@ def normalize_reports(raw: DataFrame, bundles: DataFrame, system_pages: list[str
                       source: str = REPORT_SOURCE, prefix: str = REPORT_PREFIX,
                       url_base: str = X.REPORT_URL_BASE) -> DataFrame:
     """Reports (N2): system pages dropped, url fallback, geography from the slug."""
-    spark = raw.sparkSession
-    if isinstance(system_pages, DataFrame):
-        # a system-page table of unknown size: the join strategy is AQE's
-        kept = raw.join(system_pages.select(F.col(system_pages.columns[0]).alias("id")), "id", "left_anti")
-    else:
-        sys_ids = spark.createDataFrame([(s,) for s in (system_pages or SYSTEM_PAGES)], "id string")
-        kept = raw.join(F.broadcast(sys_ids), "id", "left_anti")  # F8; fixed list of 6 ids
-    j = with_bundle(kept, bundles)
+    pages = SYSTEM_PAGES if system_pages is None else system_pages
+    j = with_bundle(drop_system_pages(raw, pages), bundles)
     content = F.col("_content")
     geo = X.geography_from_slug("id")
     return j.select(

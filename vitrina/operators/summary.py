@@ -8,7 +8,9 @@ task.  ``top_tags`` orders a small aggregated frame (one row per tag).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.functions.text import year_of
@@ -116,6 +118,31 @@ def fanout_ratio(n_result: Column, n_a: Column, n_b: Column) -> Column:
     return F.when(denom > 0, n_result / denom)
 
 
+# The fields that a summary names.
+SUMMARY_FIELDS = ["id", "source", "title", "date_iso", "description", "tags", "url", "type", "normalized_at", "authors", "date_raw", "pdf_url",
+                  "geography", "technique", "date_raw", "operation_id", "operation_code", "tables_count"]
+
+
+def summary_table(df: DataFrame) -> DataFrame:
+    """The whole summary (A1) as one table ``(piece, position, name, n)``.
+
+    Pieces: ``total_items``, ``por_fuente`` and ``tipos_disponibles`` (by
+    name), ``rango_temporal`` (``desde``, ``hasta``), ``tags_mas_frecuentes``
+    (most frequent first) and ``campos_disponibles``.  ``position`` orders the
+    pieces that have an order of their own.
+    """
+    s = summary(df)
+    row = lambda piece, position, name, n: [F.lit(piece).alias("piece"), position.cast("int").alias("position"), name.alias("name"), n.cast("bigint").alias("n")]
+    none, text = F.lit(None), F.lit(None).cast("string")
+    top = s["top_tags"].withColumn("_p", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("tag"))))  # ten rows
+    bounds = F.explode(F.array(F.concat(F.lit("desde "), "desde"), F.concat(F.lit("hasta "), "hasta"))).alias("name")
+    fields = s["total"].select(F.posexplode(F.array(*[F.lit(x) for x in SUMMARY_FIELDS])).alias("p", "f"))
+    parts = [s["total"].select(*row("total_items", none, text, F.col("total_items"))), s["by_source"].select(*row("por_fuente", none, F.col("source"), F.col("n"))),
+             s["types"].select(*row("tipos_disponibles", none, F.col("type"), none)), s["date_range"].select(bounds).select(*row("rango_temporal", none, F.col("name"), none)),
+             top.select(*row("tags_mas_frecuentes", F.col("_p"), F.col("tag"), F.col("n"))), fields.select(*row("campos_disponibles", F.col("p") + 1, F.col("f"), none))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def summary(df: DataFrame) -> dict[str, DataFrame]:
     """All pieces of the catalogue summary (A1) over one projection.
 

@@ -136,6 +136,19 @@ def catalog_total(spark, sf):
     return A.summary(virtual_catalog(spark, sf))["total"]
 
 
+@register("catalog_summary", WITH + """,
+tops AS (SELECT tag, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, tag) AS INTEGER) AS p FROM (SELECT unnest(tags) AS tag FROM cat) GROUP BY tag),
+f AS (SELECT [""" + ", ".join(f"'{x}'" for x in A.SUMMARY_FIELDS) + """] AS l)
+SELECT 'total_items' AS piece, CAST(NULL AS INTEGER) AS position, CAST(NULL AS VARCHAR) AS name, count(*) AS n FROM cat
+UNION ALL SELECT 'por_fuente', NULL, coalesce(source, 'desconocido'), count(*) FROM cat GROUP BY ALL
+UNION ALL SELECT DISTINCT 'tipos_disponibles', NULL, type, NULL FROM cat WHERE coalesce(type, '') <> ''
+UNION ALL SELECT 'rango_temporal', NULL, unnest(['desde ' || coalesce(min(nullif(date_iso, '')), 'desconocida'), 'hasta ' || coalesce(max(nullif(date_iso, '')), 'desconocida')]), NULL FROM cat
+UNION ALL SELECT 'tags_mas_frecuentes', p, tag, n FROM tops WHERE p <= 10
+UNION ALL SELECT 'campos_disponibles', CAST(generate_subscripts(l, 1) AS INTEGER), unnest(l), NULL FROM f""")
+def catalog_summary(spark, sf):
+    return A.summary_table(virtual_catalog(spark, sf))
+
+
 @register("items_by_year", WITH + r"""
 SELECT coalesce(nullif(regexp_extract(date_iso, '(\d{4})', 1), ''), 'sin_fecha') AS year,
        count(*) AS n
