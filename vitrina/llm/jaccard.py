@@ -13,8 +13,8 @@ differ in more than a few shingles, and that bound gives keys that it must share
 The size at which the second way takes over is chosen by cost from the histogram
 of set sizes.  Lists are scanned after one shuffle by key.  A list of few
 members gives all its pairs; a long one gives pairs with its smallest member
-only, and if one of these turns out not to link, the list's members are compared
-in a second round, by inverted lists of their rarest shingles, unless they are connected by then.
+only.  If one of these turns out not to link, the members of the list are compared with its most
+central one, and then by inverted lists of their rarest shingles, unless they are connected by then.
 So a group of near copies costs a number of pairs in proportion to its size, and
 no link between different texts is lost.  Every pair is verified on the whole sets.
 """
@@ -362,27 +362,48 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     return checkpointed(pairs.select("a", "b").join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("ok", F.lit(False)).alias("ok")))
 
 
-def _prefix_pairs(ids: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b) among the documents ``ids (m_id)``, by inverted lists of their rarest shingles.
+def _shared_items(ids: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(g, id, n, c, place) of the shingles that several of the documents ``ids (m_id)`` have.
 
-    In ascending order of how many of these documents have a shingle, two sets that link
-    share one among the first ``b - least overlap with any smaller partner + 1`` of the larger and the first
-    ``a - least overlap with its own size + 1`` of the smaller set.  Near copies of one text that
-    differ too much to link have shingles of their own in front, so they do not meet.
+    ``c`` of them have it; ``place`` counts a set's shingles in ascending order of ``c``,
+    those that no other document has first.
     """
-    items = (_only(texts, ids, F.col("doc_id") == F.col("m_id")).mapInArrow(_items(k), "g long, id long, n int").distinct())
-    items = checkpointed(items)
+    items = checkpointed(_only(texts, ids, F.col("doc_id") == F.col("m_id")).mapInArrow(_items(k), "g long, id long, n int").distinct())
     shared = items.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
-    met = items.join(shared, "g")
-    # shingles that no other document has stand first in their set
-    place = F.row_number().over(Window.partitionBy("id").orderBy("c", "g")) + F.col("n") - F.count("*").over(Window.partitionBy("id"))
+    own = Window.partitionBy("id")
+    place = F.row_number().over(own.orderBy("c", "g")) + F.col("n") - F.count("*").over(own)
+    return checkpointed(items.join(shared, "g").withColumn("place", place))
+
+
+def _central_pairs(members: DataFrame, shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each list's most central member, whose shingles most of the others have, with the rest of the list."""
+    score = shared.groupBy("id").agg((F.sum("c") / F.max("n")).alias("score"))
+    scored = members.join(score, F.col("a") == F.col("id"), "left").select("key", "a", F.coalesce("score", F.lit(0.0)).alias("score"))
+    center = scored.groupBy(F.col("key").alias("c_key")).agg(F.max_by("a", F.struct("score", -F.col("a"))).alias("center"))
+    return (scored.join(center, F.col("key") == F.col("c_key")).where("a <> center")
+            .select(F.least("a", "center").alias("a"), F.greatest("a", "center").alias("b")).distinct())
+
+
+def _prefix_pairs(shared: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b) across components, by inverted lists of the rarest shingles.
+
+    In the order of ``place``, two sets that link share a shingle among the first
+    ``b - least overlap with any smaller partner + 1`` of the larger and the first
+    ``a - least overlap with its own size + 1`` of the smaller set.  Near copies of one text that
+    differ too much to link have shingles of their own in front, so most do not meet.
+    """
     n = F.col("n").cast("long")
     probe = n - F.ceil(n * num / F.lit(den)) + 1
     index = n - F.ceil(2 * n * num / F.lit(num + den)) + 1
-    first = checkpointed(met.withColumn("place", place).where(F.col("place") <= probe).select("g", "id", "n", (F.col("place") <= index).alias("indexed")))
-    x = first.where("indexed").select("g", F.col("id").alias("x"), F.col("n").alias("x_n"))
-    y = first.select("g", F.col("id").alias("y"), F.col("n").alias("y_n"))
-    met = x.join(y, "g").where((F.struct("x_n", "x") < F.struct("y_n", "y")) & (F.lit(den) * F.col("x_n") >= F.lit(num) * F.col("y_n")))
+    first = shared.where(F.col("place") <= probe).select("g", "id", "n", "place", (F.col("place") <= index).alias("indexed"))
+    first = checkpointed(first.join(comp, F.col("id") == F.col("node"), "left").select("g", "id", "n", "place", "indexed", F.coalesce("component", "id").alias("c")))
+    x = first.where("indexed").select("g", F.col("id").alias("x"), F.col("n").alias("x_n"), F.col("c").alias("x_c"), F.col("place").alias("x_p"))
+    y = first.select("g", F.col("id").alias("y"), F.col("n").alias("y_n"), F.col("c").alias("y_c"), F.col("place").alias("y_p"))
+    # from the first shingle that both have, enough must be left in either set
+    enough = F.lit(num) * (F.col("x_n") + F.col("y_n"))
+    left = lambda s: (F.col(f"{s}_n") - F.col(f"{s}_p") + 1) * F.lit(num + den) >= enough
+    met = x.join(y, "g").where((F.col("x_c") != F.col("y_c")) & (F.struct("x_n", "x") < F.struct("y_n", "y")) & (F.lit(den) * F.col("x_n") >= F.lit(num) * F.col("y_n"))
+                               & left("x") & left("y"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -435,14 +456,14 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
             again = known.mapInArrow(_postings(k, small, num, den, only), "key long, a long, b long")
         else:
             again = known.mapInArrow(_postings(k, small, num, den, None, False), "key long, a long, b long").join(open_keys, "key", "left_semi")
-        members = again.select("a").distinct().join(named, F.col("a") == F.col("copy"), "left").select(F.coalesce("rep", "a").alias("m_id")).distinct()
-        cross = _prefix_pairs(checkpointed(members), texts, k, num, den)
-        of = comp.select(F.col("node"), "component")
-        for c in ("a", "b"):
-            cross = cross.join(of, F.col(c) == F.col("node"), "left").withColumn(f"{c}_c", F.coalesce("component", c)).drop("node", "component")
-        cross = cross.where("a_c <> b_c").select("a", "b").join(checked, ["a", "b"], "left_anti")
-        more = _verified(checkpointed(cross), texts, k, num, den).where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        comp = checkpointed(components(links.unionByName(more)))
+        members = checkpointed(again.select("key", "a").join(named, F.col("a") == F.col("copy"), "left").select("key", F.coalesce("rep", "a").alias("a")).distinct())
+        shared = _shared_items(members.select(F.col("a").alias("m_id")).distinct(), texts, k, num, den)
+        for step in ("center", "prefix"):
+            cross = _central_pairs(members, shared) if step == "center" else _prefix_pairs(shared, comp, num, den)
+            more = _verified(checkpointed(cross.join(checked.select("a", "b"), ["a", "b"], "left_anti")), texts, k, num, den)
+            checked = checked.unionByName(more)
+            links = links.unionByName(more.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")))
+            comp = checkpointed(components(links))
     return (slim.join(comp, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 
