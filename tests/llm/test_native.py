@@ -1,5 +1,6 @@
 """Mixing, quality rules, URL filter, decontamination and quotation linking against plain versions."""
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -201,6 +202,36 @@ def test_leaks(spark, leaky, limit):
     assert len({d for d, _ in got}) > 20 and not any(d < 30 for d, _ in got)
 
 
+def every_leak(rows, items):
+    """The rule alone: all alignments, no seeds."""
+    out = defaultdict(int)
+    for i, t in rows:
+        d = toks(t)
+        for k, b in items:
+            w = toks(b)
+            st = min(decontam.WINDOW, len(w))
+            for shift in range(-len(w), len(d)):
+                eq = [int(0 <= j + shift < len(d) and d[j + shift] == w[j]) for j in range(len(w))]
+                for k0 in range(len(w) - st + 1):
+                    if (m := sum(eq[k0 : k0 + st])) >= -(-st * decontam.SHARE // 1):
+                        out[i, k] = max(out[i, k], m)
+    return dict(out)
+
+
+@pytest.mark.parametrize("limit", [decontam.MAX_BROADCAST_TOKENS, -1])
+def test_every_pattern_of_changes(spark, limit):
+    items = [(n, " ".join(f"i{n}w{j}" for j in range(n))) for n in range(8, 16)]
+    texts = []
+    for n, b in items:
+        for gone in itertools.combinations(range(n), min(n, decontam.WINDOW) - -(-min(n, decontam.WINDOW) * 3 // 4)):
+            texts.append("some words before it " + " ".join("changed" if j in gone else x for j, x in enumerate(b.split())) + " and after it")
+        texts += [" ".join(b.split()[cut:]) for cut in (1, 2, 3, 4)] + [" ".join(b.split()[:-cut]) + " x y" for cut in (1, 2, 3, 4)]
+    rows = list(enumerate(texts))
+    df, it = spark.createDataFrame(rows, "doc_id long, text string").repartition(2), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["matched"] for r in decontam.leaks(df, it, max_broadcast_tokens=limit).collect()}
+    assert got == every_leak(rows, items) and len(got) > 1000
+
+
 def test_leaks_odd_tables(spark, clashing, no_docs, corpus):
     items = spark.createDataFrame([(1, corpus[0][1]), (None, corpus[1][1]), (2, None)], "item_id long, text string").withColumn("h", F.lit(1))
     out = decontam.without_leaks(clashing, items)

@@ -4,12 +4,14 @@ A spaced seed is a mask over consecutive tokens; the hash of a window covers onl
 the positions that the mask keeps, so a changed token at an ignored position
 does not lose the hit.  Windows of the documents meet windows of the benchmark
 by (mask, hash); around each hit document and item are laid side by side
-and compared token by token, and a stretch with enough equal tokens counts.
+and compared token by token, and a stretch with enough equal tokens counts.  The
+masks cover each other: wherever the changed tokens of such a stretch stand, a mask
+at some place keeps none of them, so every overlap has a hit.
 
 Documents are never shuffled: their windows are made, probed and verified in
 the row, and only verified overlaps are aggregated.  The benchmark is broadcast
 when its size, checked first, is within ``max_broadcast_tokens``; beyond that the
-same joins run as shuffles of the windows that pass the pair filter.
+same joins run as shuffles of the windows, each with the tokens around it.
 """
 
 from __future__ import annotations
@@ -19,12 +21,16 @@ from pyspark.sql import functions as F
 
 from vitrina.llm.common import wrapped
 
-#: Kept token positions of each seed.  All keep the first two, on which windows are filtered before they are hashed.
-SEEDS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 4, 5, 7), (0, 1, 3, 5, 6, 7))
+#: Kept token positions of each seed.  Of a stretch of 8 to 13 tokens, ``SHARE`` of them equal, one seed meets equal tokens only.
+SEEDS = ((0, 2, 6, 7), (0, 1, 4, 6), (2, 4, 5, 7), (1, 2, 3, 5), (1, 3, 4, 7), (0, 3, 5, 6))
 SPAN = 8
 #: An overlap is ``WINDOW`` aligned tokens (or the whole item, if shorter), of which this share is equal.
 WINDOW = 13
 SHARE = 0.75
+#: A stretch of eight tokens may have so many outside of the document.
+_EDGE = 2
+#: The window at which a seed meets equal tokens has this many: a stretch has three changed tokens at most.
+_LEAST = 5
 MAX_BROADCAST_TOKENS = 1_000_000
 
 #: Tokens are runs of letters and digits, in lower case: punctuation and layout do not hide a leak.
@@ -37,13 +43,15 @@ def token_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _pair(h: Column, i: Column) -> Column:
-    return F.xxhash64(F.get(h, i), F.get(h, i + 1))
+def _edged(h: Column) -> Column:
+    """Tokens between places that equal no token (a token has no blank)."""
+    edge = F.array_repeat(F.xxhash64(F.lit(" ")), _EDGE)
+    return F.concat(edge, h, edge)
 
 
 def _seeds(h: Column, i: Column) -> Column:
-    """For each seed a struct (seed, key) of the window that starts at ``i``."""
-    return F.array(*[F.struct(F.lit(s).alias("seed"), F.xxhash64(F.lit(s), *[F.get(h, i + p) for p in keep]).alias("key")) for s, keep in enumerate(SEEDS)])
+    """For each seed the key of the window that starts at ``i``."""
+    return F.array(*[F.xxhash64(F.lit(s), *[F.get(h, i + p) for p in keep]) for s, keep in enumerate(SEEDS)])
 
 
 def _windows(rows: DataFrame, h: str, *carry: str) -> DataFrame:
@@ -61,33 +69,36 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
     the best stretch), ``stretch`` (its length), ``doc_start`` (token at which the
     first aligned stretch begins).  A document without a row is clean.  Null
     or blank texts and items of fewer than eight tokens match nothing; rows that
-    share an id are one document; empty tables give no rows.
+    share an id are one document; empty tables give no rows.  All overlaps are found
+    for stretches of 8 to 13 tokens and shares from 0.75 on; others may have no hit.
     """
     bench = items.select("item_id", token_hashes(F.col("text")).alias("b")).where(F.size("b") >= SPAN).distinct()
     tokens = bench.agg(F.sum(F.size("b"))).first()[0] or 0
-    near = F.broadcast if tokens <= max_broadcast_tokens else (lambda df: df)
+    held = tokens <= max_broadcast_tokens
+    near = F.broadcast if held else (lambda df: df)
     bw = _windows(bench, "b", "item_id")
-    pairs = bw.select(_pair(F.col("b"), F.col("i")).alias("pair")).distinct()
-    keys = (bw.select("item_id", F.col("i").alias("item_at"), F.explode(_seeds(F.col("b"), F.col("i"))).alias("s"))
-            .select("item_id", "item_at", F.col("s.seed").alias("b_seed"), F.col("s.key").alias("b_key")).distinct())
-    rows = docs.select(F.col(id_col).alias("doc_id"), token_hashes(F.col("text")).alias("h"))
-    windows = _windows(rows, "h", "doc_id").withColumn("pair", _pair(F.col("h"), F.col("i")))
-    likely = windows.join(near(pairs), "pair", "left_semi")
-    hits = (likely.select("doc_id", "h", "i", F.explode(_seeds(F.col("h"), F.col("i"))).alias("s"))
-            .join(near(keys), (F.col("s.seed") == F.col("b_seed")) & (F.col("s.key") == F.col("b_key"))).drop("s", "b_seed", "b_key"))
+    keys = bw.select("item_id", F.col("i").alias("item_at"), F.explode(_seeds(F.col("b"), F.col("i"))).alias("b_key")).distinct()
+    rows = docs.select(F.col(id_col).alias("doc_id"), _edged(token_hashes(F.col("text"))).alias("h"))
+    windows = _windows(rows, "h", "doc_id").select("doc_id", "h", "i", F.lit(0).alias("at"), F.explode(_seeds(F.col("h"), F.col("i"))).alias("key"))
+    if not held:  # only the tokens around the window are shuffled
+        at = F.greatest(F.col("i") - window, F.lit(0))
+        windows = windows.select("doc_id", F.slice("h", at + 1, F.col("i") - at + SPAN + window).alias("h"), (F.col("i") - at).alias("i"), at.alias("at"), "key")
+    hits = windows.join(near(keys), F.col("key") == F.col("b_key")).drop("key", "b_key")
     # the item's tokens around the hit beside the document's: from window before to window after
     beside = hits.join(near(bench.withColumnRenamed("item_id", "b_item")), F.col("item_id").eqNullSafe(F.col("b_item")))
+    least = _LEAST if window <= WINDOW and share >= SHARE else 0
+    same = sum((F.get("h", F.col("i") + p) == F.get("b", F.col("item_at") + p)).cast("int") for p in range(SPAN))
     lo = F.greatest(F.col("item_at") - window, F.lit(0))
     hi = F.least(F.col("item_at") + SPAN + window, F.size("b"))
     shift = F.col("i") - F.col("item_at")
     equal = F.transform(F.sequence(F.col("lo"), F.col("hi") - 1), lambda j: F.when(
         (j + F.col("shift") >= 0) & F.coalesce(F.get(F.col("h"), j + F.col("shift")) == F.get(F.col("b"), j), F.lit(False)), 1).otherwise(0))
-    seen = (beside.withColumn("lo", lo).withColumn("hi", hi).withColumn("shift", shift)
+    seen = (beside.where(same >= least).withColumn("lo", lo).withColumn("hi", hi).withColumn("shift", shift)
             .withColumn("stretch", F.least(F.lit(window), F.size("b"))).withColumn("eq", equal)
             .select("doc_id", "item_id", "stretch", F.explode(F.transform(
                 F.sequence(F.lit(0), F.size("eq") - F.col("stretch")),
                 lambda k: F.struct(F.aggregate(F.slice(F.col("eq"), k + 1, F.col("stretch")), F.lit(0), lambda a, x: a + x).alias("matched"),
-                                   (F.col("lo") + F.col("shift") + k).alias("start")))).alias("w")))
+                                   (F.col("at") + F.col("lo") + F.col("shift") + k - _EDGE).alias("start")))).alias("w")))
     return (seen.where(F.col("w.matched") >= F.ceil(F.col("stretch") * F.lit(share)))
             .groupBy("doc_id", "item_id").agg(F.max("w.matched").cast("long").alias("matched"), F.max("stretch").cast("long").alias("stretch"),
                                               F.min(F.greatest(F.col("w.start"), F.lit(0))).cast("long").alias("doc_start")))
