@@ -276,6 +276,36 @@ def test_long_thread_and_round_trip(spark):
         assert (r["conversation_id"], r["depth"], r["text"]) == (c << 20, t, text[c, t])
 
 
+def test_short_lines_link(spark):
+    rows = [
+        (1, "f", 1, "Shall we meet on Monday then?"), (2, "f", 2, "> Shall we meet on Monday then?\nYes, thanks"),
+        (3, "f", 3, "> Yes, thanks\n> > Shall we meet on Monday then?\nGood"), (4, "f", 4, "> Good\nGood"), (5, "f", 5, "yes thanks"),
+        (6, "f", 6, "> Yes - thanks!\nWelcome"), (7, "f", 7, "> Welcome\n> Shall we meet on Monday then?\nLast"), (8, "g", 8, "> Good\nOther folder"), (9, "f", 0, "> Good\nToo early"),
+    ]
+    m = spark.createDataFrame(rows, "message_id long, folder string, sent long, text string")
+    assert {r["message_id"]: r["parent_id"] for r in quotes.link_quotes(m).collect()} == {2: 1, 3: 2, 4: 3, 6: 5, 7: 1}
+
+
+def test_short_lines_over_partitions(spark):
+    rng = random.Random(4)
+    said = [rng.choice(["yes", "no", "ok then"]) for _ in range(400)]
+    asked = [rng.choice(["yes", "no", "ok then", "never said"]) for _ in said]
+    rows = [(i, None if i % 2 else "f", i // 4, f"> {asked[i]}" + (f"\n{said[i]}" if i % 50 < 9 else "")) for i in range(400)]
+    want = {}
+    for i in range(400):
+        before = [j for j in range(i) if j % 2 == i % 2 and j % 50 < 9 and said[j] == asked[i]]
+        if before:
+            want[i] = before[-1]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = quotes.link_quotes(spark.createDataFrame(rows, "message_id long, folder string, sent long, text string")).collect()
+    finally:
+        spark.conf.set(key, was)
+    assert {r["message_id"]: r["parent_id"] for r in got} == want and len(want) > 200
+
+
 def test_null_safe_join(spark):
     a, b = spark.createDataFrame([(1, None), (2, "x")], "n int, k string"), spark.createDataFrame([(None, 5), ("x", 6)], "k string, v int")
     assert sorted(map(tuple, null_safe_join(a, b, ["k"]).collect())) == [(1, None, 5), (2, "x", 6)]

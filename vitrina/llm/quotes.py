@@ -3,24 +3,27 @@
 A line's quote level is the number of ``>`` marks that lead it.  A passage is a
 line without its marks, lower-cased, with runs of anything but letters and digits as one blank.  The
 original of a passage within a folder is the first message that has it as a line of
-its own (level 0).  A message replies to the original that most of the
-passages at its lowest linked level come from.
+its own (level 0); that of a passage of fewer than ``MIN_WORDS`` words, which many write, is
+the last message before the quotation that has it.  A message replies to the original that most of the
+passages at its lowest linked level come from; short ones count only where no longer
+one of that level links.
 
 Hashed passages are reduced to their first message before the join, so a phrase that
 everybody writes costs one row on that side; its quotations are split by the
-join.  Threads are found by doubling the reach of reply links, so the number of steps
+join.  Short passages are not joined but laid in order with their quotations over range
+partitions, and each takes the last writer before it, so a frequent one is no hot key.  Threads are found by doubling the reach of reply links, so the number of steps
 grows with the logarithm of the longest thread, and no thread is gathered into one
 task: the result is ordered by a range sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import checkpointed, null_safe_join
 
-#: A passage of fewer words does not tell who wrote it.
+#: A passage of fewer words does not tell who wrote it first.
 MIN_WORDS = 3
 _MARKS = r"^[\x20\t]*>(?:[\x20\t]*>)*"
 
@@ -34,9 +37,9 @@ def parsed_lines(text: Column) -> Column:
 
 
 def passage(content: Column) -> Column:
-    """Normalised text of a line; null if it has too few words."""
+    """Normalised text of a line; null if it has no words."""
     norm = F.trim(F.regexp_replace(F.lower(content), r"[^\p{L}\p{N}]+", " "))
-    return F.when(F.size(F.split(norm, " ")) >= MIN_WORDS, norm)
+    return F.when(norm != "", norm)
 
 
 def own_text(lines: Column) -> Column:
@@ -45,22 +48,45 @@ def own_text(lines: Column) -> Column:
     return F.regexp_replace(text, r"\A\s+|\s+\z", "")
 
 
+def _last_writers(quoted: DataFrame, written: DataFrame) -> DataFrame:
+    """(message_id, level, first) for each quoted passage that has a writer before its quotation."""
+    key, order = ["folder", "h1", "h2"], ["sent", "message_id", "writes"]
+    events = quoted.select("message_id", "level", *key, "sent", F.lit(False).alias("writes")).unionByName(
+        written.select("message_id", F.lit(0).alias("level"), *key, "sent", F.lit(True).alias("writes")))
+    events = checkpointed(events.repartitionByRange(*key, *order).withColumn("part", F.spark_partition_id()))
+    writer = F.when(F.col("writes"), F.struct("sent", "message_id"))
+    so_far = Window.partitionBy("part", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = events.withColumn("here", F.last(writer, ignorenulls=True).over(so_far)).where("NOT writes")
+    # a passage that goes over the end of a partition has its last writer carried on; one row for each partition that it is in
+    earlier = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = events.groupBy("part", *key).agg(F.max(writer).alias("end")).select("part", *key, F.max("end").over(earlier).alias("carried")).where("carried IS NOT NULL")
+    return null_safe_join(seen, carried, ["part", *key], "left").select("message_id", "level", F.coalesce("here", "carried").alias("first")).where("first IS NOT NULL")
+
+
 def link_quotes(messages: DataFrame) -> DataFrame:
     """Reply links of ``messages`` (``message_id`` long, ``folder``, ``sent``, ``text``).
 
     Returns ``message_id, parent_id, level, passages``: the message replied to,
     the quote level that shows it, and how many of its passages are quoted there.  A message links only to earlier ones of its folder, by
-    (sent, message_id).  On equal counts the latest original wins.
+    (sent, message_id).  On equal counts the latest original wins.  Lines without a
+letter or digit link nothing.
     """
     lines = messages.select("message_id", "folder", "sent", F.explode(parsed_lines(F.col("text"))).alias("line")).select(
         "message_id", "folder", "sent", "line.level", passage(F.col("line.content")).alias("passage")).where("passage IS NOT NULL AND message_id IS NOT NULL")
-    keyed = lines.select("message_id", "folder", "sent", "level", F.xxhash64("passage").alias("h1"), F.crc32(F.col("passage").cast("binary")).alias("h2"))
-    written = keyed.where("level = 0").groupBy("folder", "h1", "h2").agg(F.min(F.struct("sent", "message_id")).alias("first"))
-    quoted = keyed.where("level > 0").groupBy("message_id", "folder", "sent", "level", "h1", "h2").agg(F.count("*").alias("c"))
+    keyed = lines.select("message_id", "folder", "sent", "level", F.xxhash64("passage").alias("h1"), F.crc32(F.col("passage").cast("binary")).alias("h2"),
+                         (F.size(F.split("passage", " ")) >= MIN_WORDS).alias("long"))
+    own, quotations = keyed.where("level = 0"), keyed.where("level > 0")
+    written = own.where("long").groupBy("folder", "h1", "h2").agg(F.min(F.struct("sent", "message_id")).alias("first"))
+    distinct = ("message_id", "folder", "sent", "level", "h1", "h2")
+    quoted = quotations.where("long").groupBy(*distinct).agg(F.count("*").alias("c"))
     met = null_safe_join(quoted, written, ["folder", "h1", "h2"]).where(F.col("first") < F.struct("sent", "message_id"))
-    votes = met.groupBy("message_id", "level", "first").agg(F.count("*").alias("passages"))
+    votes = checkpointed(met.groupBy("message_id", "level", "first").agg(F.count("*").alias("passages")))
+    # short passages only below the lowest level at which a longer one links
+    linked = votes.groupBy(F.col("message_id").alias("l_id")).agg(F.min("level").alias("l_level"))
+    short = quotations.where("NOT long").select(*distinct).distinct().join(linked, F.col("message_id") == F.col("l_id"), "left").where("l_level IS NULL OR level < l_level")
+    short_votes = _last_writers(short, own.where("NOT long").select(*distinct).distinct()).groupBy("message_id", "level", "first").agg(F.count("*").alias("passages"))
     # the lowest level first, then most passages, then the latest message
-    best = votes.groupBy("message_id").agg(F.max(F.struct((-F.col("level")).alias("up"), "passages", "first")).alias("b"))
+    best = votes.unionByName(short_votes).groupBy("message_id").agg(F.max(F.struct((-F.col("level")).alias("up"), "passages", "first")).alias("b"))
     return best.select("message_id", F.col("b.first.message_id").alias("parent_id"), (-F.col("b.up")).alias("level"), F.col("b.passages").alias("passages"))
 
 
