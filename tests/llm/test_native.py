@@ -232,6 +232,15 @@ def test_every_pattern_of_changes(spark, limit):
     assert got == every_leak(rows, items) and len(got) > 1000
 
 
+@pytest.mark.parametrize("limit", [decontam.MAX_BROADCAST_TOKENS, -1])
+def test_short_items_match_word_for_word(spark, limit):
+    items = [(1, "Who wrote it?"), (2, "one two three four five six seven"), (3, "yes"), (4, ""), (5, None), (6, "one two three four five six seven eight")]
+    rows = [(1, "He asked: who WROTE it, and who wrote it"), (2, "one two three four five six seven"), (3, "one two three four five six x"), (4, "Yes"), (5, None), (6, "who wrote"), (None, "yes")]
+    df, it = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontam.leaks(df, it, max_broadcast_tokens=limit).collect()}
+    assert got == {(1, 1, 3, 3, 2), (2, 2, 7, 7, 0), (2, 6, 7, 8, 0), (3, 6, 6, 8, 0), (4, 3, 1, 1, 0), (None, 3, 1, 1, 0)}
+
+
 def test_leaks_odd_tables(spark, clashing, no_docs, corpus):
     items = spark.createDataFrame([(1, corpus[0][1]), (None, corpus[1][1]), (2, None)], "item_id long, text string").withColumn("h", F.lit(1))
     out = decontam.without_leaks(clashing, items)

@@ -6,7 +6,8 @@ does not lose the hit.  Windows of the documents meet windows of the benchmark
 by (mask, hash); around each hit document and item are laid side by side
 and compared token by token, and a stretch with enough equal tokens counts.  The
 masks cover each other: wherever the changed tokens of such a stretch stand, a mask
-at some place keeps none of them, so every overlap has a hit.
+at some place keeps none of them, so every overlap has a hit.  An item of fewer tokens
+than a mask spans is met whole and word for word by the documents' windows of its length.
 
 Documents are never shuffled: their windows are made, probed and verified in
 the row, and only verified overlaps are aggregated.  The benchmark is broadcast
@@ -60,6 +61,14 @@ def _windows(rows: DataFrame, h: str, *carry: str) -> DataFrame:
             .where(F.col("i") <= F.size(h) - SPAN))
 
 
+def _short_leaks(rows: DataFrame, short: DataFrame, lengths: list[int]) -> DataFrame:
+    """Places where all tokens of a short item stand; at most seven lengths."""
+    starts = rows.select("doc_id", "h", F.posexplode("h").alias("start", "__token")).drop("__token")
+    windows = starts.select("doc_id", "start", F.explode(F.array(*[F.when(F.col("start") + n <= F.size("h"), F.slice("h", F.col("start") + 1, n)) for n in lengths])).alias("w"))
+    met = windows.where("w IS NOT NULL").join(short, F.col("w") == F.col("b"))
+    return met.select("doc_id", "item_id", F.size("b").alias("matched"), F.size("b").alias("stretch"), "start")
+
+
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE, max_broadcast_tokens: int = MAX_BROADCAST_TOKENS,
           id_col: str = "doc_id") -> DataFrame:
     """Overlaps of documents with benchmark items.
@@ -68,12 +77,13 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
     row per (document id, item): ``doc_id, item_id, matched`` (equal tokens in
     the best stretch), ``stretch`` (its length), ``doc_start`` (token at which the
     first aligned stretch begins).  A document without a row is clean.  Null
-    or blank texts and items of fewer than eight tokens match nothing; rows that
-    share an id are one document; empty tables give no rows.  All overlaps are found
+    or blank texts match nothing, items of fewer than eight tokens only where all
+    of their tokens are equal; rows that share an id are one document; empty tables give no rows.  All overlaps are found
     for stretches of 8 to 13 tokens and shares from 0.75 on; others may have no hit.
     """
-    bench = items.select("item_id", token_hashes(F.col("text")).alias("b")).where(F.size("b") >= SPAN).distinct()
-    tokens = bench.agg(F.sum(F.size("b"))).first()[0] or 0
+    whole = items.select("item_id", token_hashes(F.col("text")).alias("b")).where(F.size("b") > 0).distinct()
+    tokens, lengths = whole.agg(F.coalesce(F.sum(F.size("b")), F.lit(0)), F.collect_set(F.when(F.size("b") < SPAN, F.size("b")))).first()
+    bench = whole.where(F.size("b") >= SPAN)
     held = tokens <= max_broadcast_tokens
     near = F.broadcast if held else (lambda df: df)
     bw = _windows(bench, "b", "item_id")
@@ -99,9 +109,11 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
                 F.sequence(F.lit(0), F.size("eq") - F.col("stretch")),
                 lambda k: F.struct(F.aggregate(F.slice(F.col("eq"), k + 1, F.col("stretch")), F.lit(0), lambda a, x: a + x).alias("matched"),
                                    (F.col("at") + F.col("lo") + F.col("shift") + k - _EDGE).alias("start")))).alias("w")))
-    return (seen.where(F.col("w.matched") >= F.ceil(F.col("stretch") * F.lit(share)))
-            .groupBy("doc_id", "item_id").agg(F.max("w.matched").cast("long").alias("matched"), F.max("stretch").cast("long").alias("stretch"),
-                                              F.min(F.greatest(F.col("w.start"), F.lit(0))).cast("long").alias("doc_start")))
+    found = seen.where(F.col("w.matched") >= F.ceil(F.col("stretch") * F.lit(share))).select("doc_id", "item_id", "w.matched", "stretch", "w.start")
+    if lengths:
+        found = found.unionByName(_short_leaks(docs.select(F.col(id_col).alias("doc_id"), token_hashes(F.col("text")).alias("h")), near(whole.where(F.size("b") < SPAN)), sorted(lengths)))
+    return found.groupBy("doc_id", "item_id").agg(F.max("matched").cast("long").alias("matched"), F.max("stretch").cast("long").alias("stretch"),
+                                                  F.min(F.greatest(F.col("start"), F.lit(0))).cast("long").alias("doc_start"))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
