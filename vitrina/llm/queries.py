@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm import decontam, jaccard, lines, mixing, pii, quality, quotes, suffix_tree, urls, warc
+from vitrina.llm import decontam, frames, jaccard, lines, mixing, pii, quality, quotes, suffix_tree, urls, warc
 from vitrina.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,29 @@ def op9_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) whose texts overlap."""
     return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+c AS (
+  SELECT *, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS c2,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT doc_id, t, n, form,
+         array_to_string(units[1:least(c1, c2)], '') AS pre, array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid,
+         array_to_string(units[greatest(c1, c2) + 1:n], '') AS suf
+  FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+""")
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as seekable frames, cut into prefix, middle and suffix, and restored from its output."""
+    return frames.fill_in_middle(frames.stored_frames(read(spark, sf_dir, "documents")), keep_output=False)
