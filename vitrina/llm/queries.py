@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm import decontam, frames, jaccard, lines, mixing, pii, quality, quotes, suffix_tree, urls, warc
+from vitrina.llm import decontam, frames, jaccard, lines, mixing, pii, quality, quotes, runs, suffix_tree, urls, warc
 from vitrina.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,9 @@ FROM p
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as seekable frames, cut into prefix, middle and suffix, and restored from its output."""
     return frames.fill_in_middle(frames.stored_frames(read(spark, sf_dir, "documents")), keep_output=False)
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs of every document, a tenth of which are made to end periodically, and digests of the collapsed texts."""
+    return runs.run_digests(runs.periodic_runs(runs.with_planted_runs(read(spark, sf_dir, "documents"))))
