@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm import decontam, frames, jaccard, lines, mixing, pii, quality, quotes, runs, suffix_tree, urls, warc
+from vitrina.llm import decontam, frames, jaccard, lines, mixing, pii, quality, quotes, runs, site_tree, suffix_tree, urls, warc
 from vitrina.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,9 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All runs of every document, a tenth of which are made to end periodically, and digests of the collapsed texts."""
     return runs.run_digests(runs.periodic_runs(runs.with_planted_runs(read(spark, sf_dir, "documents"))))
+
+
+@query()
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the style tree of its site."""
+    return site_tree.extract_main_text(read(spark, sf_dir, "pages"))
