@@ -110,7 +110,7 @@ def plain_importance(rows):
     out = {}
     for node, m in on.items():
         entropy = lambda c, m=m: -sum(x / sum(c) * math.log(x / sum(c), m) for x in c)
-        p = entropy(sequences[node].values()) if m > 1 else 1.0
+        p = min(entropy(sequences[node].values()), 1.0) if m > 1 else 1.0
         hs = [entropy(c) for c in texts[node].values()] if m > 1 else []
         out[node] = (m, len(sequences[node]), round(p, 6) + 0.0, round(1 - sum(hs) / len(hs), 6) + 0.0 if hs else 1.0)
     return out

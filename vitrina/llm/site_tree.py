@@ -211,10 +211,10 @@ def node_importance(pages: DataFrame, decay: float = DECAY) -> DataFrame:
     of = lambda kind, x: F.when(F.col("kind") == kind, x)
     c = F.col("c").cast("double")
     sums = added.groupBy("node").agg(
-        F.max(of(PAGE, F.col("c"))).alias("pages"), F.count(of(SEQUENCE, c)).alias("sequences"), F.sum(of(SEQUENCE, c * F.log(c))).alias("ss"),
+        F.max(of(PAGE, F.col("c"))).alias("pages"), F.count(of(SEQUENCE, c)).alias("sequences"), F.sum(of(SEQUENCE, c)).alias("ns"), F.sum(of(SEQUENCE, c * F.log(c))).alias("ss"),
         F.count(of(TEXT, c)).alias("texts"), F.sum(of(TEXT, F.log(c) - F.col("s") / c)).alias("hs"))
     m = F.log(F.col("pages").cast("double"))
-    presentation = F.when(F.col("pages") > 1, (m - F.col("ss") / F.col("pages")) / m).otherwise(1.0)
+    presentation = F.when(F.col("pages") > 1, F.least(F.lit(1.0), (F.log("ns") - F.col("ss") / F.col("ns")) / m)).otherwise(1.0)
     content = F.when((F.col("pages") > 1) & (F.col("texts") > 0), 1 - F.col("hs") / F.col("texts") / m).otherwise(1.0)
     share = F.pow(F.lit(decay), F.col("sequences"))
     return (sums.withColumn("presentation", F.round(presentation, 9)).withColumn("content", F.round(content, 9))
