@@ -16,8 +16,10 @@ from vitrina.llm import quality
 def folder(docs, spark, corpus, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("tables"))
     docs.write.parquet(f"{d}/documents.parquet")
-    words = corpus[5][1].split()
-    spark.createDataFrame([(1, " ".join(words[:20])), (2, "nothing of this stands anywhere in any of the documents at all")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    # from documents long enough to be kept, without near copies
+    long = [t.split() for i, t, *_ in corpus if 12 <= i < 60 and i != 3 and len(t.split()) >= 60][:6]
+    items = [(n, " ".join(w[30:50])) for n, w in enumerate(long, 10)]
+    spark.createDataFrame([*items, (2, "nothing of this stands anywhere in any of the documents at all")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     return d
 
 
@@ -54,6 +56,6 @@ def test_empty_documents(spark, folder, no_docs, tmp_path):
 
 def test_registered():
     names = [k for k in __spark_entry__.queries() if re.match(r"op\d+_", k)]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "benchmark_decontamination", "source_mix"]
