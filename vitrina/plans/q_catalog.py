@@ -215,3 +215,38 @@ def search_stored(spark, sf):
     write_catalog(virtual_catalog(spark, sf), path)
     cat = load_catalog(spark, path)
     return flat(S.search(cat, limit=40, type="dataset", desde="1998-02", hasta="1998-02-28", texto="URGENT"))
+
+
+def _indexed(spark, sf):
+    """The virtual catalogue, stored with its text index."""
+    import uuid
+
+    from vitrina.operators.text_index import write_indexed_catalog
+    from vitrina.session import scratch_path
+    path = scratch_path(spark, f"indexed-{uuid.uuid4().hex}")
+    write_indexed_catalog(virtual_catalog(spark, sf), path, block_rows=64)
+    return path
+
+
+@register("search_indexed", WITH + f"""
+SELECT {FLAT_COLS} FROM cat
+WHERE (contains({PLAIN}, 'wh onwh') OR contains({FOLDED}, 'wh onwh')) AND lower(type) = 'working_paper'""")
+def search_indexed(spark, sf):
+    from vitrina.operators.text_index import search_indexed as indexed
+    return flat(indexed(spark, _indexed(spark, sf), "WH ÓNWH", limit=None, type="working_paper"))
+
+
+NEEDLES = ["1-urgent", "wh onwh", "ñó", "é", "clerk#no such", "order 12", "\u00dcber", "tion of"]
+
+
+@register("search_indexed_counts", WITH + ", needle AS (SELECT unnest([" + ", ".join(f"'{n}'" for n in NEEDLES) + f"""]) AS needle)
+SELECT needle, count(*) FILTER (WHERE contains(p, lower(needle)) OR contains(f, strip_accents(lower(needle)))) AS found
+FROM needle, (SELECT {PLAIN} AS p, {FOLDED} AS f FROM cat) GROUP BY needle""")
+def search_indexed_counts(spark, sf):
+    # F5 by the index for rare, short, absent and frequent needles: how many items each finds
+    from functools import reduce
+
+    from vitrina.operators.text_index import narrowed
+    path = _indexed(spark, sf)
+    counts = [S.search_counts(narrowed(spark, path, n), texto=n).select(F.lit(n).alias("needle"), F.col("total_found").alias("found")) for n in NEEDLES]
+    return reduce(lambda a, b: a.unionByName(b), counts)
