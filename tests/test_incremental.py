@@ -48,19 +48,26 @@ def test_stream_refresh_processes_only_new_files(spark):
     assert out == [1, 2, 3]  # old files not re-read; id 1 is stored already
 
 
-def test_stream_upsert_versions(spark):
+def test_null_source_is_one_source(spark):
+    df = spark.createDataFrame([(None, "2024-01-01"), ("P", "2024-01-02")], "source string, lastmod string")
+    once = I.update_state(df)
+    twice = I.update_state(spark.createDataFrame([(None, "2023-01-01")], df.schema), state=I.update_state(df, state=once))
+    assert sorted(map(str, twice.collect())) == sorted(map(str, spark.createDataFrame(
+        [(None, "2024-01-01", 3), ("P", "2024-01-02", 2)], "source string, last string, n long").collect()))
+
+
+def test_stream_upsert_latest_wins(spark):
     base = scratch_path(spark, f"t-upsert-{uuid.uuid4().hex}")
-    schema = "id string, lastmod string"
-    spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01")], schema).write.parquet(f"{base}/in")
-    sch = spark.read.parquet(f"{base}/in").schema
-    I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod")
-    first = I._versions(spark, f"{base}/t")
-    spark.createDataFrame([("a", "2024-02-01"), ("b", "2023-01-01"), ("c", "2024-01-03")], schema) \
-        .write.mode("append").parquet(f"{base}/in")
-    I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod")
-    assert I._versions(spark, f"{base}/t")[:-1] == first
-    got = {r["id"]: r["lastmod"] for r in I.read_upserted(spark, f"{base}/t", sch).collect()}
-    assert got == {"a": "2024-02-01", "b": "2024-01-01", "c": "2024-01-03"}
+    schema = "id string, lastmod string, v int"
+    drops = [[("a", "2024-01-01", 1), ("b", "2024-01-01", 1)], [("a", "2024-02-01", 2), ("b", "2023-01-01", 2), ("c", "2024-01-03", 2)],
+             [("a", "2024-02-01", 3), ("c", "2024-01-03", 1), ("c", "2024-01-03", 0)]]
+    for rows in drops:
+        df = spark.createDataFrame(rows, schema)
+        df.write.mode("append").parquet(f"{base}/in")
+        assert I.stream_upsert(spark, f"{base}/in", df.schema, f"{base}/t", f"{base}/ck", "id", "lastmod") == 1
+    assert I.stream_upsert(spark, f"{base}/in", df.schema, f"{base}/t", f"{base}/ck", "id", "lastmod") == 0
+    got = {r["id"]: (r["lastmod"], r["v"]) for r in I.read_upserted(spark, f"{base}/t", df.schema, "id", "lastmod").collect()}
+    assert got == {"a": ("2024-02-01", 3), "b": ("2024-01-01", 1), "c": ("2024-01-03", 1)}  # ties: the later batch, then the greater row
 
 
 def test_stream_refresh_keeps_late_and_keyless_rows(spark):
@@ -76,26 +83,51 @@ def test_stream_refresh_keeps_late_and_keyless_rows(spark):
     assert got == [("", "2024-01-01"), ("", "2024-02-01"), ("a", "2024-02-01"), ("b", "2024-01-01"), ("c", "2024-01-15")]
 
 
-def test_stream_upsert_survives_a_stop_at_the_marker(spark, monkeypatch):
+def test_stream_upsert_survives_a_stop(spark, monkeypatch):
     base = scratch_path(spark, f"t-stop-{uuid.uuid4().hex}")
     schema = "id string, lastmod string"
-    run = lambda: I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod", buckets=4)
+    run = lambda: I.stream_upsert(spark, f"{base}/in", sch, f"{base}/t", f"{base}/ck", "id", "lastmod")
+    stored = lambda: {r["id"]: r["lastmod"] for r in I.read_upserted(spark, f"{base}/t", sch, "id", "lastmod").collect()}
     spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01")], schema).write.parquet(f"{base}/in")
     sch = spark.read.parquet(f"{base}/in").schema
     run()
     spark.createDataFrame([("c", "2024-01-03"), ("a", "2024-03-01")], schema).write.mode("append").parquet(f"{base}/in")
+    latest = I._latest
     with monkeypatch.context() as m:
-        m.setattr(I, "_mark_complete", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        m.setattr(I, "_latest", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
         with pytest.raises(Exception, match="stopped"):
             run()
-    stored = lambda: {r["id"]: r["lastmod"] for r in I.read_upserted(spark, f"{base}/t", sch).collect()}
-    assert stored() == {"a": "2024-01-01", "b": "2024-01-01"}
+    assert I._latest is latest and stored() == {"a": "2024-01-01", "b": "2024-01-01"}
     run()
     assert stored() == {"a": "2024-03-01", "b": "2024-01-01", "c": "2024-01-03"}
-    marks = I._names(spark, f"{base}/t/_versions")
-    jpath, fs = I._fs(spark, f"{base}/t/_versions")
-    fs.delete(jpath, True)
-    spark.createDataFrame([("d", "2024-01-03")], schema).write.mode("append").parquet(f"{base}/in")
-    assert marks
-    with pytest.raises(Exception, match="no complete version"):
-        run()
+
+
+def test_stream_refresh_retry_writes_the_same_rows(spark):
+    """A batch whose folder was written but not committed is run again from the state before it."""
+    base = scratch_path(spark, f"t-retry-{uuid.uuid4().hex}")
+    make = lambda *rows: spark.createDataFrame(rows, "id string, ts string, v int")
+    sch = make(("a", "1", 1)).schema
+    run = lambda: I.stream_refresh(spark, f"{base}/in", sch, f"{base}/out", f"{base}/ckpt", "id", "ts")
+    make(("a", "1", 1), ("b", "2", 2)).write.parquet(f"{base}/in")
+    assert run() == 1
+    make(("b", "0", 3), ("c", "5", 5), ("c", "4", 9), ("c", "4", 4)).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    assert run() == 1
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/ckpt/commits/1")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert fs.delete(path, False)
+    assert run() == 1
+    got = sorted((r["id"], r["ts"], r["v"], r["batch"]) for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == [("a", "1", 1, 0), ("b", "2", 2, 0), ("c", "4", 4, 1)]
+
+
+def test_stream_refresh_never_reads_the_sink(spark):
+    base = scratch_path(spark, f"t-sink-{uuid.uuid4().hex}")
+    df = spark.createDataFrame([("a", 1)], "id string, ts int")
+    run = lambda: I.stream_refresh(spark, f"{base}/in", df.schema, f"{base}/out", f"{base}/ckpt", "id", "ts")
+    df.write.parquet(f"{base}/in")
+    run()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/out/batch=0")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    df.unionByName(spark.createDataFrame([("b", 1)], df.schema)).write.mode("append").parquet(f"{base}/in")
+    run()
+    assert [r["id"] for r in spark.read.parquet(f"{base}/out").collect()] == ["b"]

@@ -66,13 +66,11 @@ def table_diff(spark, sf):
 
 
 @register("source_state", "WITH" + _SNAP + """,
-a AS (SELECT source, max(lastmod) AS last, count(*) AS n FROM cur GROUP BY 1),
-b AS (SELECT source, max(lastmod) AS last, count(*) AS n FROM state GROUP BY 1)
-SELECT coalesce(a.source, b.source) AS source, greatest(a.last, b.last) AS last,
-       coalesce(a.n, 0) + coalesce(b.n, 0) AS n
-FROM a FULL JOIN b ON a.source = b.source""")
+u AS (SELECT source, lastmod FROM cur UNION ALL SELECT source, lastmod FROM state)
+SELECT CASE WHEN source LIKE '4%' THEN NULL ELSE source END AS source, max(lastmod) AS last, count(*) AS n FROM u GROUP BY 1""")
 def source_state(spark, sf):
-    state, cur = snapshots(spark, sf)
+    # orders of one priority have no source
+    state, cur = (d.withColumn("source", F.when(~F.col("source").startswith("4"), F.col("source"))) for d in snapshots(spark, sf))
     return I.update_state(cur, "source", "lastmod", state=I.update_state(state, "source", "lastmod"))
 
 
@@ -126,7 +124,7 @@ def stream_upsert(spark, sf):
     I.stream_upsert(spark, src, schema, table_dir, ckpt, "o_orderkey", "lastmod")
     cur.select(*cols).write.mode("append").parquet(src)
     I.stream_upsert(spark, src, schema, table_dir, ckpt, "o_orderkey", "lastmod")
-    return I.read_upserted(spark, table_dir, schema)
+    return I.read_upserted(spark, table_dir, schema, "o_orderkey", "lastmod")
 
 
 @register("sitemap_diff", "WITH" + _SNAP + """

@@ -3,20 +3,22 @@
 Batch diffs are joins: ``left_anti`` for new ids, a left join with a
 timestamp predicate for changed ones.  "Latest version wins" is a
 ``max_by`` aggregate per id (partial, skew-safe).  The streaming forms read
-new files with the file source and write each micro-batch idempotently; what
-is stored already is compared by joins, so late rows are never lost.  Their
+new files with the file source and write each micro-batch idempotently; which keys
+are stored already is keyed state, so late rows are never lost and a batch costs what it brings.  Their
 checkpoints live in the shared folder named by ``spark.checkpoint.dir``, so a
 restarted or retried run resumes where it stopped.
 """
 
 from __future__ import annotations
 
-import json
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrina.operators.dedupe import row_order
+
 
 def new_items(df: DataFrame, seen: DataFrame, key: str | list[str] = "id") -> DataFrame:
     """Rows whose key is not among the processed ones."""
@@ -38,154 +40,116 @@ def changed_items(df: DataFrame, state: DataFrame, key: str = "id", ts: str = "l
 
 def update_state(df: DataFrame, by: str = "source", ts: str = "lastmod",
                  state: DataFrame | None = None) -> DataFrame:
-    """Progress per source: the greatest ``ts`` seen, merged with the old state (T4)."""
+    """Progress per source: the greatest ``ts`` seen, merged with the old state (T4).
+
+    Both are aggregated together, so a null source is one source like any other.
+    """
     cur = df.groupBy(by).agg(F.max(ts).alias("last"), F.count(F.lit(1)).alias("n"))
     if state is None:
         return cur
-    old = state.select(by, F.col("last").alias("_old_last"), F.col("n").alias("_old_n"))
-    j = cur.join(old, by, "full")
-    return j.select(by, F.greatest("last", "_old_last").alias("last"),
-                    (F.coalesce("n", F.lit(0)) + F.coalesce("_old_n", F.lit(0))).alias("n"))
+    return cur.unionByName(state.select(by, "last", "n")).groupBy(by).agg(F.max("last").alias("last"), F.sum("n").alias("n"))
 
 
 def upsert_latest(current: DataFrame, incoming: DataFrame, key: str = "id", ts: str = "lastmod") -> DataFrame:
     """Union of the stored table and new rows, latest version per key (T5).
 
-    Ties on ``ts`` go to the incoming row.  One ``max_by`` per key.
+    Ties on ``ts`` go to the incoming row, then to the greatest.  One ``max_by`` per key.
     """
     cols = current.columns
     tag = lambda d, p: d.select(*cols, F.lit(p).alias("_prio"))
     u = tag(current, 0).unionByName(tag(incoming.select(*cols), 1))
-    best = u.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(F.col(ts), F.col("_prio"))).alias("_r"))
-    return best.select(*[F.col("_r")[c].alias(c) for c in cols])
+    return _latest(u, cols, key, [F.col(ts), F.col("_prio")])
 
 
-def _by_key(df: DataFrame, key: str, event_time: str) -> DataFrame:
-    """One row per key, the earliest; rows without a key all stay."""
-    best = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*df.columns), event_time).alias("_r"))
-    return best.select(*[F.col("_r")[c].alias(c) for c in df.columns]).unionByName(df.filter(F.col(key).isNull()))
+def _drained(stream: DataFrame, add, checkpoint: str, mode: str = "append") -> int:
+    """Run a stream over what is there, one ``add(batch, number)`` a micro-batch; how many ran."""
+    run: list[int] = []
 
+    def counted(batch: DataFrame, epoch_id: int) -> None:
+        add(batch, epoch_id)
+        run.append(epoch_id)
 
-def stream_refresh(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
-                   checkpoint: str, key: str, event_time: str, fmt: str = "parquet") -> int:
-    """Process the files that arrived since the last run, once.
-
-    ``readStream`` over ``source_dir`` sees new files only (its checkpoint
-    tracks them).  Each micro-batch keeps one row per key, drops keys that are
-    stored already (an anti join that reads the key column of the sink) and is
-    written to a folder of its own, ``sink_dir/batch=<n>``; a retried batch
-    overwrites its folder and is compared with the other ones only.  Nothing is
-    dropped for being late.  ``trigger(availableNow=True)`` drains what is
-    there and stops, which suits a scheduled refresh.  Returns the number of
-    micro-batches run.
-    """
-    root = sink_dir.rstrip("/")
-
-    def add(batch: DataFrame, epoch_id: int) -> None:
-        rows = _by_key(batch.select(*schema.fieldNames()), key, event_time)
-        if _names(spark, root):
-            field = T.StructField("batch", T.LongType())
-            stored = (spark.read.schema(T.StructType([schema[key], field])).parquet(root)
-                      .filter(F.col("batch") != epoch_id).select(key))
-            rows = rows.join(stored, key, "left_anti").select(*schema.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{root}/batch={epoch_id}")
-
-    q = (spark.readStream.schema(schema).format(fmt).load(source_dir)
-         .writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = (stream.writeStream.outputMode(mode).foreachBatch(counted).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    return len(run)
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-
+@contextmanager
+def _setting(spark: SparkSession, **values: str):
+    """Session settings (``_`` for ``.``) that hold while a stream starts."""
+    keys = {k.replace("__", "."): v for k, v in values.items()}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, in order; none if it does not exist."""
-    jpath, fs = _fs(spark, folder)
-    return sorted(x.getPath().getName() for x in fs.listStatus(jpath)) if fs.exists(jpath) else []
 
+#: The state store that keeps its entries on disk and uploads changes only.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def _versions(spark: SparkSession, table_dir: str) -> list[str]:
-    """Complete versions of an upserted table, oldest first."""
-    return [n for n in _names(spark, f"{table_dir.rstrip('/')}/_versions") if n.startswith("v") and not n.endswith(".tmp")]
 
+def stream_refresh(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
+                   checkpoint: str, key: str, event_time: str, fmt: str = "parquet") -> int:
+    """Process the files that arrived since the last run, once.
 
-def _manifest(spark: SparkSession, table_dir: str, version: str) -> dict[int, str]:
-    """Folder of each bucket in a version."""
-    jpath, fs = _fs(spark, f"{table_dir.rstrip('/')}/_versions/{version}")
-    stream = fs.open(jpath)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
-        text = reader.readLine()
-    finally:
-        stream.close()
-    return {int(k): v for k, v in json.loads(text).items()}
-
-
-def _mark_complete(spark: SparkSession, table_dir: str, version: str, manifest: dict[int, str]) -> None:
-    """Write a version's marker, the last step of a batch: a rename makes it visible whole."""
-    base = f"{table_dir.rstrip('/')}/_versions/{version}"
-    final, fs = _fs(spark, base)
-    if fs.exists(final):
-        return
-    tmp, _ = _fs(spark, base + ".tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(json.dumps(manifest, sort_keys=True).encode("utf-8")))
-    finally:
-        out.close()
-    if not fs.rename(tmp, final):
-        raise OSError(f"cannot complete {base}")
+    ``readStream`` over ``source_dir`` sees new files only (its checkpoint
+    tracks them).  Which keys were stored before is keyed state of the stream: a
+    streaming aggregate holds each key's first arrival, so a batch looks up and
+    changes the entries of its own keys and never reads the sink, however large that
+    has become.  Of a new key's rows in a batch the earliest stays (ties: the least row); a
+    key that arrived in an earlier batch adds nothing, late or not.  Rows without a key all
+    stay and take no state.  A micro-batch is written to a folder of its own,
+    ``sink_dir/batch=<n>``, which a retry overwrites with the same rows.
+    ``trigger(availableNow=True)`` drains what is there and stops, which suits a
+    scheduled refresh.  Returns the number of micro-batches run.
+    """
+    root, names = sink_dir.rstrip("/"), schema.fieldNames()
+    rows = spark.readStream.schema(schema).format(fmt).load(source_dir).select(*names)
+    keyed = rows.filter(F.col(key).isNotNull())
+    first = keyed.withColumn("_arrived", F.current_timestamp()).groupBy(F.col(key).alias("_key")).agg(
+        F.min_by(F.struct(*names), F.struct(F.col(event_time).alias("_at"), *[c.alias(f"_{i}") for i, c in enumerate(row_order(keyed))])).alias("_r"),
+        F.min("_arrived").alias("_arrived"))
+    new = first.filter(F.col("_arrived") == F.current_timestamp())  # constant within a batch
+    out = new.select(*[F.col("_r")[c].alias(c) for c in names]).unionByName(rows.filter(F.col(key).isNull()))
 
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batch={epoch_id}")
 
-def _bucket(key: str, buckets: int):
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    with _setting(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+                  spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true"):
+        return _drained(out, add, checkpoint, "update")
 
 
-def _read_buckets(spark: SparkSession, schema: T.StructType, folders: list[str]) -> DataFrame:
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+def read_upserted(spark: SparkSession, table_dir: str, schema: T.StructType, key: str, ts: str) -> DataFrame:
+    """The table maintained by ``stream_upsert``: the latest version per key, ties to the later batch."""
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(table_dir)
+    return _latest(stored, schema.fieldNames(), key, [F.col(ts), F.col("batch")])
 
 
-def read_upserted(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
-    """The newest complete version of a table maintained by ``stream_upsert``."""
-    known = _versions(spark, table_dir)
-    return _read_buckets(spark, schema, sorted(_manifest(spark, table_dir, known[-1]).values()) if known else [])
+def _latest(df: DataFrame, cols: list[str], key: str, order: list) -> DataFrame:
+    """One row per key, the greatest by ``order`` (ties: the greatest row), so reruns agree."""
+    rank = [c.alias(f"_o{i}") for i, c in enumerate([*order, *row_order(df.select(*cols))])]
+    best = df.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*cols), F.struct(*rank)).alias("_r"))
+    return best.select(*[F.col("_r")[c].alias(c) for c in cols])
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, table_dir: str,
-                  checkpoint: str, key: str, ts: str, fmt: str = "parquet", buckets: int = 64) -> int:
-    """Streaming T5: each micro-batch of new files is merged into the table,
-    the latest version per key winning (``upsert_latest``).
-
-    The table is cut into ``buckets`` by the hash of the key (a number that
-    stays the same for the life of the table).  A batch reads and rewrites only the
-    buckets that it touches, into folders of its own, and then writes a marker that
-    names the folder of every bucket.  Markers and folders are never changed once
-    complete, so a batch that stops at any point leaves the version before it in
-    force, and its retry starts from there.  Folders without markers of later
-    batches mean that markers were lost; that is an error, not an empty
-    table.  Old versions can be removed once no reader uses them.  Returns the number of
-    micro-batches run.
+                  checkpoint: str, key: str, ts: str, fmt: str = "parquet") -> int:
+    """Streaming T5: each micro-batch of new files adds its latest version per key to the table.
+
+    A batch is one folder, ``table_dir/batch=<n>``, written by Spark's own committer and
+    overwritten whole by a retry; which batches count is the stream's checkpoint.  Nothing stored is
+    read or rewritten: ``read_upserted`` takes the latest version of each key
+    with one partial aggregate.  Returns the number of micro-batches run.
     """
     root = table_dir.rstrip("/")
 
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        version = f"v{epoch_id:012d}"
-        earlier = [v for v in _versions(spark, root) if v < version]
-        if not earlier and any(n.startswith("v") and n < version for n in _names(spark, f"{root}/data")):
-            raise RuntimeError(f"{root} holds data but no complete version")
-        manifest = _manifest(spark, root, earlier[-1]) if earlier else {}
-        incoming = batch.select(*schema.fieldNames())
-        touched = [r[0] for r in incoming.select(_bucket(key, buckets).alias("b")).distinct().collect()]  # at most ``buckets``
-        cur = _read_buckets(spark, schema, [manifest[b] for b in touched if b in manifest])
-        folder = f"{root}/data/{version}"
-        (upsert_latest(cur, incoming, key, ts).withColumn("_bucket", _bucket(key, buckets))
-         .write.mode("overwrite").partitionBy("_bucket").parquet(folder))
-        _mark_complete(spark, root, version, manifest | {b: f"{folder}/_bucket={b}" for b in touched})
-
-    q = (spark.readStream.schema(schema).format(fmt).load(source_dir)
-         .writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return len(q.recentProgress)
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        _latest(batch, schema.fieldNames(), key, [F.col(ts)]).write.mode("overwrite").parquet(f"{root}/batch={epoch_id}")
+
+    return _drained(spark.readStream.schema(schema).format(fmt).load(source_dir).select(*schema.fieldNames()), add, checkpoint)
