@@ -57,9 +57,19 @@ def test_bundle_of_the_ids_own_source(spark):
                    "bbva-ip": ("la-ipc", "partial"), "ipc": (None, None), "ine-": (None, None)}
 
 
+def test_one_id_in_two_sources(spark):
+    ids = spark.createDataFrame([("ipc", "a"), ("ipc", "b"), ("ipc", None), ("x", "b"), (None, "a"), ("ipc", "a")], "id string, src string")
+    bundles = spark.createDataFrame([("a", "ipc"), ("b", "ipc-b"), ("b", "zz")], "source string, stem string")
+    for most in (L.MAX_NEEDLES, 0):
+        got = [tuple(r) for r in L.find_bundle(ids, bundles, "id", source=F.col("src"), max_needles=most).collect()]
+        assert sorted(got, key=str) == sorted([("ipc", "a", "ipc", "exact")] * 2 + [
+            ("ipc", "b", "ipc-b", "partial"), ("ipc", None, None, None), ("x", "b", None, None), (None, "a", None, None)], key=str)
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.text("ab-", min_size=1, max_size=7), min_size=1, max_size=12), st.lists(st.text("ab-", min_size=1, max_size=7), min_size=1, max_size=12))
 def test_containing_equals_all_pairs(spark, needles, hays):
     df = lambda xs, c: spark.createDataFrame([("s", x) for x in set(xs)], f"source string, {c} string")
-    got = {(r["needle"], r["hay"]) for r in L.containing(df(needles, "needle"), df(hays, "hay")).collect()}
-    assert got == {(n, h) for n in needles for h in hays if n in h}
+    for most in (L.MAX_NEEDLES, 0):
+        got = {(r["needle"], r["hay"]) for r in L.containing(df(needles, "needle"), df(hays, "hay"), most).collect()}
+        assert got == {(n, h) for n in needles for h in hays if n in h}

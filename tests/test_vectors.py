@@ -141,3 +141,15 @@ def test_search_on_map_columns_checks_the_model(spark):
         V.semantic_search(vec, cat, q, model="other").collect()
     hits = V.score_against(vec, q).select("id", "score")
     assert V.hits_to_items(hits, cat).count() == 2
+
+
+def test_null_empty_and_odd_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.9, 0.1]), (2, None), (3, []), (4, [1.0, None]), (5, [1.0, 0.0, 0.0]), (6, [0.5, 0.5, 0.0]), (7, [0.0, 0.0]), (8, [None, None])]
+    df = spark.createDataFrame(rows, "i bigint, v array<float>").repartition(3)
+    both = [sorted((r["q_id"], r["rank"], r["c_id"], round(r["score"], 6)) for r in V.topk_join(
+        df, df, 2, "i", "v", "i", "v", exclude_self=True, strategy=s, block_rows=2).collect()) for s in ("broadcast", "blocked")]
+    assert both[0] == both[1]
+    assert [x[:3] for x in both[0]] == [("0", 1, "1"), ("0", 2, "7"), ("1", 1, "0"), ("1", 2, "7"), ("5", 1, "6"), ("6", 1, "5"), ("7", 1, "0"), ("7", 2, "1")]
+    none = df.filter("v IS NULL")
+    for s in ("broadcast", "blocked"):
+        assert V.topk_join(none, df, 2, "i", "v", "i", "v", strategy=s).count() == 0 == V.topk_join(df, none, 2, "i", "v", "i", "v", strategy=s).count()

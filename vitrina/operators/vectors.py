@@ -196,7 +196,8 @@ def topk_join(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_ve
 
     Returns ``(group?, q_id, c_id, score, rank)`` with rank 1..k, ties broken by
     candidate id.  ``group`` restricts matches to equal group values; null is a
-    group like any other.
+    group like any other.  Null and empty vectors and those with a null in them, on either side, match
+    nothing, and vectors of different lengths do not match each other.
 
     ``strategy="auto"`` counts the queries (one small job) and, when the
     query matrix fits ``broadcast_bytes``, broadcasts it: candidates are
@@ -220,9 +221,13 @@ def topk_join(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_ve
 
 
 def _side(df: DataFrame, group: str | None, row_id: str, vec: str, side: str) -> DataFrame:
-    """(group, its text form, id, vector) of one side; a null group has the text form ``{}``."""
-    g = F.col(group) if group else F.lit(0)
-    return df.select(g.alias("g"), F.to_json(F.struct(g.alias("g"))).alias("gk"), F.col(row_id).cast("string").alias(f"{side}_id"), F.col(vec).alias(f"{side}_vec"))
+    """(group, its text form, id, vector) of one side; the text form holds the vector's length, and no ``g`` for a null group.
+
+    Vectors that are null, empty or have a null in them have no score, as in V1, so they take no part.
+    """
+    g, v = F.col(group) if group else F.lit(0), F.col(vec)
+    whole = df.filter(v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull()))
+    return whole.select(g.alias("g"), F.to_json(F.struct(F.size(v).alias("n"), g.alias("g"))).alias("gk"), F.col(row_id).cast("string").alias(f"{side}_id"), v.alias(f"{side}_vec"))
 
 
 def _ranked(part: DataFrame, k: int, group: str | None, min_score: float | None) -> DataFrame:
@@ -240,24 +245,26 @@ def _topk_broadcast(queries: DataFrame, candidates: DataFrame, k: int, q_id: str
     spark = queries.sparkSession
     qd, cd = _side(queries, group, q_id, q_vec, "q"), _side(candidates, group, c_id, c_vec, "c")
     # bounded: checked against broadcast_bytes; Arrow holds the numbers as numbers
-    got = qd.withColumn("q_vec", F.col("q_vec").cast("array<double>")).toArrow()
-    q_ids, q_keys = (got.column(c).to_numpy().astype(object) for c in ("q_id", "gk"))
-    flat = got.column("q_vec").combine_chunks()
-    q_mat = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(q_ids), -1) if len(q_ids) else np.zeros((0, 0))
-    rows_of = {key: np.flatnonzero(q_keys == key) for key in set(q_keys)}
-    bc = spark.sparkContext.broadcast((q_ids, q_mat, rows_of))
+    got = qd.withColumn("q_vec", F.col("q_vec").cast("array<double>")).toArrow().sort_by("gk").combine_chunks()
+    keys = got.column("gk").to_numpy()
+    cuts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)] if len(keys) else np.zeros(0, np.int64)
+    of_key = {}
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):  # vectors under one key have one length
+        part = got.slice(lo, hi - lo)
+        flat = part.column("q_vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        of_key[keys[lo]] = (part.column("q_id").to_numpy().astype(object), flat.reshape(hi - lo, -1))
+    bc = spark.sparkContext.broadcast(of_key)
     from vitrina.session import ship_package
     ship_package(spark)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, qm, rows = bc.value
         for pdf in it:
             for key, part in pdf.groupby("gk", sort=True):
-                if key not in rows:
+                if key not in bc.value:
                     continue
-                mine = rows[key]
-                r, c, s = _best(qm[mine], ids[mine], _matrix(part["c_vec"]), part["c_id"].to_numpy(), k, exclude_self)
-                yield pd.DataFrame({"gk": key, "q_id": ids[mine][r], "c_id": part["c_id"].to_numpy()[c], "score": s})
+                ids, qm = bc.value[key]
+                r, c, s = _best(qm, ids, _matrix(part["c_vec"]), part["c_id"].to_numpy(), k, exclude_self)
+                yield pd.DataFrame({"gk": key, "q_id": ids[r], "c_id": part["c_id"].to_numpy()[c], "score": s})
 
     part = cd.select("gk", "c_id", "c_vec").mapInPandas(run, "gk string, q_id string, c_id string, score double")
     return _ranked(_with_group(part, cd), k, group, min_score)
@@ -273,19 +280,12 @@ def _topk_blocked(queries: DataFrame, candidates: DataFrame, k: int, q_id: str,
                   min_score: float | None) -> DataFrame:
     """Both sides in blocks; each query block meets each candidate block of its group once."""
     qd, cd = _side(queries, group, q_id, q_vec, "q"), _side(candidates, group, c_id, c_vec, "c")
-    if group:
-        # blocks per group from the group sizes (one row per group, an equi-join)
-        qn = qd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nq"))
-        cn = cd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nc"))
-        nb = qn.join(cn, "gk").select("gk", F.ceil(F.col("_nq") / block_rows).cast("int").alias("_bq"),
-                                      F.ceil(F.col("_nc") / block_rows).cast("int").alias("_bc"))
-        qb, cb = qd.join(nb, "gk"), cd.join(nb, "gk")
-    else:
-        # one group: the block counts are two scalar subqueries (no join on a constant)
-        bq = F.ceil(qd.agg(F.count(F.lit(1))).scalar() / block_rows).cast("int")
-        bc = F.ceil(cd.agg(F.count(F.lit(1))).scalar() / block_rows).cast("int")
-        qb = qd.withColumn("_bq", bq).withColumn("_bc", bc)
-        cb = cd.withColumn("_bq", bq).withColumn("_bc", bc)
+    # blocks from the group sizes (one row per group, an equi-join)
+    qn = qd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nq"))
+    cn = cd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nc"))
+    nb = qn.join(cn, "gk").select("gk", F.ceil(F.col("_nq") / block_rows).cast("int").alias("_bq"),
+                                  F.ceil(F.col("_nc") / block_rows).cast("int").alias("_bc"))
+    qb, cb = qd.join(nb, "gk"), cd.join(nb, "gk")
     qb = (qb.withColumn("_iq", F.pmod(F.xxhash64("q_id"), F.col("_bq")).cast("int"))
           .withColumn("_ic", F.explode(F.sequence(F.lit(0), F.col("_bc") - 1))))
     cb = (cb.withColumn("_ic", F.pmod(F.xxhash64("c_id"), F.col("_bc")).cast("int"))

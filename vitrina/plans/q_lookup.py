@@ -83,6 +83,25 @@ def bundle_lookup(spark, sf):
     return L.find_bundle(ids, bundles, "id", source=src).select("p_partkey", "id", src.alias("source"), "stem", "how")
 
 
+@register("bundle_lookup_sources", r"""
+WITH part_s AS (SELECT p_partkey, p_brand, p_size,
+                       trim(regexp_replace(lower(substr(p_name, 1, 40)), '[^a-z0-9]+', '-', 'g'), '-') AS slug
+                FROM part),
+b AS (SELECT 'funcas' AS source, slug AS stem FROM part_s UNION SELECT 'ine', slug FROM part_s WHERE p_size > 25),
+i AS (SELECT p_partkey, slug AS id, unnest(['funcas', 'ine', NULL]) AS source FROM part_s),
+e AS (SELECT DISTINCT i.source, i.id FROM i JOIN b ON i.source = b.source AND id = stem),
+p AS (SELECT i.source, i.id, min(b.stem) AS stem FROM (SELECT DISTINCT source, id FROM i) i JOIN b ON i.source = b.source AND (contains(i.id, b.stem) OR contains(b.stem, i.id))
+      WHERE (i.source, i.id) NOT IN (SELECT (source, id) FROM e) GROUP BY ALL)
+SELECT p_partkey, i.id, i.source, CASE WHEN e.id IS NOT NULL THEN i.id ELSE p.stem END AS stem,
+       CASE WHEN e.id IS NOT NULL THEN 'exact' WHEN p.id IS NOT NULL THEN 'partial' END AS how
+FROM i LEFT JOIN e ON i.id = e.id AND i.source = e.source LEFT JOIN p ON i.id = p.id AND i.source = p.source""")
+def bundle_lookup_sources(spark, sf):
+    # J6 with every id under two sources and under none: each source's own bundle
+    _, bundles = bundle_ids(spark, sf)
+    ids = table(spark, sf, "part").select("p_partkey", X.slug40("p_name").alias("id"), F.explode(F.array(F.lit("funcas"), F.lit("ine"), F.lit(None))).alias("source"))
+    return L.find_bundle(ids, bundles, "id", source=F.col("source"))
+
+
 @register("dedupe_title", r"""
 SELECT doc_id, title FROM (
   SELECT doc_id, split_part(text, chr(10), 1) AS title,
