@@ -43,6 +43,18 @@ def test_bundles_round_trip(spark, tmp_dir):
     assert back == {r["id"]: r["content"] for r in df.collect()}
 
 
+def test_bundles_of_any_id_stay_in_their_folder(spark, tmp_dir):
+    ids = ["a/b", "../up", "..", ".", ".hidden", "_x", "50%", "a%2Fb", "a\\b", "a+b c", "tab\there", "ñandú"]
+    df = spark.createDataFrame([(i, f"of {i}") for i in ids], "id string, content string")
+    SK.write_bundles(df, f"{tmp_dir}/b/bundles").collect()
+    assert os.listdir(f"{tmp_dir}/b") == ["bundles"]
+    assert len([f for f in os.listdir(f"{tmp_dir}/b/bundles") if f.endswith(".md")]) == len(ids)
+    assert {r["id"]: r["content"] for r in RD.read_bundles(spark, f"{tmp_dir}/b/bundles/*.md").collect()} == {i: f"of {i}" for i in ids}
+    for bad in (None, ""):
+        with pytest.raises(Exception, match="a bundle needs an id"):
+            SK.write_bundles(spark.createDataFrame([(bad, "x")], "id string, content string"), f"{tmp_dir}/c").collect()
+
+
 def test_series_files_and_bad_file(spark, tmp_dir):
     doc = {"flow": "STS", "label": "x", "has_es": True, "fetched_at": "", "total_series": 2,
            "series": [{"flow": "STS", "dim_codes": ["M", "ES"], "dimensions": {"REF_AREA": "ES"},

@@ -148,3 +148,25 @@ def test_all_violations_of_a_row_and_record_drift(spark):
     rec = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": "1"}',), ("[1]",), (None,)], "j string")
     got = sorted(map(tuple, Q.record_drift(rec, "j", {"a": "BIGINT"}).collect()))
     assert got == [("a", "missing", "BIGINT", None, 2), ("a", "type_changed", "BIGINT", "STRING", 1), ("b", "extra", None, "STRING", 1)]
+
+
+def test_file_hashes_of_any_size(spark, tmp_dir):
+    import hashlib
+    import os
+    sizes = {"small": 100, "a b%2Fc": 70_000, "block": 8 << 20, "more": (8 << 20) + 1}
+    want = {}
+    for name, n in sizes.items():
+        data = os.urandom(n)
+        with open(f"{tmp_dir}/{name}", "wb") as f:
+            f.write(data)
+        want[name] = (n, hashlib.sha256(data).hexdigest())
+    huge = (2 << 30) + 4097  # more than one value can hold; sparse, so it takes no disk
+    with open(f"{tmp_dir}/huge", "wb") as f:
+        f.truncate(huge)
+    h, left = hashlib.sha256(), huge
+    while left:
+        h.update(bytes(min(left, 1 << 24)))
+        left -= min(left, 1 << 24)
+    want["huge"] = (huge, h.hexdigest())
+    got = {r["path"].rsplit("/", 1)[1]: (r["size"], r["sha256"]) for r in Q.file_hashes(spark, tmp_dir, whole_file=1000).collect()}
+    assert got == want

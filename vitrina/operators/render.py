@@ -160,20 +160,20 @@ def render_dataset_bundle(ops: DataFrame, tables: DataFrame, series_counts: Data
 # Front matter and headings of the four index documents ({n}: number of items, {at}: when they were read).
 INDEX_HEADS = {
     "years": ["---", 'okf_version: "1.0.0"', 'title: "Funcas - Documentos de Trabajo y Notas Técnicas"',
-              'description: "Repositorio OKF de publicaciones económicas de Funcas (932+ documentos, 2007-2026)"', 'source: "Funcas"', 'type: "collection"',
+              'description: "Repositorio OKF de publicaciones económicas de Funcas ({n} documentos, {from}-{to})"', 'source: "Funcas"', 'type: "collection"',
               "total_documents: {n}", 'scraped_at: "{at}"', 'tags: ["funcas", "economía española", "documentos de trabajo", "notas técnicas"]', "---", "",
-              "# Funcas - Catálogo de Documentos", "", "Total: **{n} documentos** | Rango: 2007–2026 | Fuente: [Funcas](https://www.funcas.es)", "", "## Por año"],
+              "# Funcas - Catálogo de Documentos", "", "Total: **{n} documentos** | Rango: {from}–{to} | Fuente: [Funcas](https://www.funcas.es)", "", "## Por año"],
     "reports": ["---", 'okf_version: "1.0.0"', 'title: "BBVA Research - Publicaciones"',
                 'description: "Repositorio OKF de publicaciones económicas de BBVA Research ({n} documentos)"', 'source: "BBVA Research"', 'type: "collection"',
                 "total_documents: {n}", 'scraped_at: "{at}"', 'tags: ["BBVA Research", "economía", "big data", "españa"]', "---", "",
                 "# BBVA Research - Catálogo de Publicaciones", "", "Total: **{n} publicaciones** | Fuente: [BBVA Research](https://www.bbvaresearch.com)", "",
                 "## Publicaciones"],
     "high_value": ["---", 'okf_version: "1.0.0"', 'title: "INE - Datos de Alto Valor (HVD)"',
-                   'description: "17 datasets de alto valor según Reglamento UE 2023/138. Descarga directa en CSV, PC-Axis y XLSX."', 'source: "INE"', 'type: "collection"',
+                   'description: "{n} datasets de alto valor según Reglamento UE 2023/138. Descarga directa en CSV, PC-Axis y XLSX."', 'source: "INE"', 'type: "collection"',
                    "datasets: {n}", 'scraped_at: "{at}"', 'tags: ["INE", "HVD", "datos de alto valor", "UE 2023/138"]', "---", "", "# INE - Datos de Alto Valor (HVD)", "",
                    "## Datasets disponibles\n"],
     "operations": ["---", 'okf_version: "1.0.0"', 'title: "INE - Catálogo de Datos Abiertos"',
-                   'description: "Repositorio OKF del Instituto Nacional de Estadística. 112 operaciones estadísticas, 461 publicaciones, acceso API JSON."',
+                   'description: "Repositorio OKF del Instituto Nacional de Estadística. {n} operaciones estadísticas, acceso API JSON."',
                    'source: "INE"', 'type: "collection"', "total_operations: {n}", 'scraped_at: "{at}"',
                    'tags: ["INE", "economía española", "datos abiertos", "API", "estadísticas"]', "---", "", "# INE - Catálogo de Datos Abiertos", "",
                    "Fuente: [INE Datos Abiertos](https://www.ine.es/dyngs/DAB/index.htm?cid=1722)",
@@ -183,11 +183,20 @@ INDEX_HEADS = {
 INDEX_ORDER = ["k1", "k2", "k3", "k4"]
 
 
-def _index_lines(items: DataFrame, kind: str, order_col: str, at: str, *parts: DataFrame) -> DataFrame:
-    """The heading of an index document and its other lines; ``k4`` has the type of the items' ordinal."""
+def _index_lines(items: DataFrame, kind: str, order_col: str, at: str, *parts: DataFrame, year: Column | None = None) -> DataFrame:
+    """The heading of an index document, with the totals of its items, and its other lines; ``k4`` has the type of the items' ordinal."""
     kind_of = items.schema[order_col].dataType
-    fill = lambda line: F.replace(F.replace(F.lit(line), F.lit("{n}"), F.col("n").cast("string")), F.lit("{at}"), F.lit(at))
-    head = items.agg(F.count(F.lit(1)).alias("n")).select(F.posexplode(F.array(*[fill(x) for x in INDEX_HEADS[kind]])).alias("k3", "line"))
+    year = F.lit(None).cast("string") if year is None else year
+    facts = items.select(year.alias("y")).agg(F.count(F.lit(1)).cast("string").alias("n"), F.coalesce(F.min("y"), F.lit("sin fecha")).alias("from"),
+                                              F.coalesce(F.max("y"), F.lit("sin fecha")).alias("to"))
+
+    def fill(line: str) -> Column:
+        out = F.replace(F.lit(line), F.lit("{at}"), F.lit(at))
+        for fact in facts.columns:
+            out = F.replace(out, F.lit(f"{{{fact}}}"), F.col(fact)) if f"{{{fact}}}" in line else out
+        return out
+
+    head = facts.select(F.posexplode(F.array(*[fill(x) for x in INDEX_HEADS[kind]])).alias("k3", "line"))
     out = head.select(F.lit(0).alias("k1"), F.lit(0).alias("k2"), "k3", F.lit(None).cast(kind_of).alias("k4"), "line")
     for part in parts:
         out = out.unionByName(part.select("k1", "k2", "k3", F.col("k4").cast(kind_of).alias("k4"), "line"))
@@ -202,7 +211,7 @@ def _at(k1: int, k2: Column | int, k3: int, k4: Column | None, line: Column) ->
 def render_year_index(papers: DataFrame, order_col: str = "ordinal", at: str = "") -> DataFrame:
     """Paper index by year (K6) as lines ``(k1, k2, k3, k4, line)`` in the order of ``INDEX_ORDER``.
 
-    A heading with the total, then by year, newest first: year = first
+    A heading with the total and the range of years, then by year, newest first: year = first
     four-digit run of ``date`` (D11), else ``sin_fecha``, which stands before
     the years; a heading with the count per year, then one bullet per paper in
     ``order_col`` order (numbers as numbers) with its first two authors.
@@ -214,7 +223,7 @@ def render_year_index(papers: DataFrame, order_col: str = "ordinal", at: str = "
     authors = X.authors_short(F.coalesce(F.col("authors"), F.array().cast("array<string>")))
     items = p.select(*_at(1, newest, 1, F.col(order_col), F.concat(
         F.lit("- ["), F.coalesce(F.col("title"), F.lit("Sin título")), F.lit("](conceptos/"), F.col("id"), F.lit(".md) — "), authors)))
-    return _index_lines(papers, "years", order_col, at, heads, items)
+    return _index_lines(papers, "years", order_col, at, heads, items, year=X.year_of("date"))
 
 
 def render_list_index(items: DataFrame, kind: str = "operations", key_ids: DataFrame | None = None,

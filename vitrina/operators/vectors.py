@@ -314,8 +314,10 @@ def hashing_embedder(dim: int = 256) -> Callable[[list[str]], list[list[float]]]
     """Offline default embedder: signed feature hashing of lower-case word
     tokens into ``dim`` buckets, L2-normalised.  A token's hash is the first 15
     hex digits of its md5, so any engine can repeat it; the top bit is the sign.
-    Each batch hashes its distinct tokens once.
+    Hashes of tokens are kept from batch to batch, up to a fixed number of them.
     Self-contained (no module globals), so it pickles by value to workers."""
+    spot: dict[str, int] = {}
+
     def embed(texts: list[str]) -> list[list[float]]:
         import hashlib as _hl
         import re as _re
@@ -324,7 +326,10 @@ def hashing_embedder(dim: int = 256) -> Callable[[list[str]], list[list[float]]]
 
         token = _re.compile(r"\w+", _re.UNICODE)
         rows = [token.findall((t or "").lower()) for t in texts]
-        spot = {tok: int(_hl.md5(tok.encode("utf-8")).hexdigest()[:15], 16) for row in rows for tok in row}
+        if len(spot) > 1 << 19:
+            spot.clear()
+        for tok in {tok for row in rows for tok in row} - spot.keys():
+            spot[tok] = int(_hl.md5(tok.encode("utf-8")).hexdigest()[:15], 16)
         out = _np.zeros((len(texts), dim))
         of = _np.repeat(_np.arange(len(rows)), [len(row) for row in rows])
         h = _np.fromiter((spot[tok] for row in rows for tok in row), _np.int64, len(of))

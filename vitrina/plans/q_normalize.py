@@ -316,10 +316,13 @@ def _numbered(lines: DataFrame) -> DataFrame:
     return ordinal_within(lines.withColumn("doc", F.lit(0)), ["doc"], R.INDEX_ORDER, "line_no").select("line_no", "line")
 
 
-def _head_sql(kind: str, count: str) -> str:
+def _head_sql(kind: str, count: str, first: str = "NULL", last: str = "NULL") -> str:
     """Heading lines of an index as (k1, k2, k3, k4, line)."""
+    line = f"replace(line, '{{n}}', CAST(({count}) AS VARCHAR))"
+    for mark, sql in (("from", first), ("to", last)):
+        line = f"replace({line}, '{{{mark}}}', coalesce(({sql}), 'sin fecha'))"
     texts = ", ".join("'" + x.replace("'", "''").replace("{at}", "") + "'" for x in R.INDEX_HEADS[kind])
-    return f"""SELECT 0 AS k1, 0 AS k2, k3, NULL AS k4, replace(line, '{{n}}', CAST(({count}) AS VARCHAR)) AS line
+    return f"""SELECT 0 AS k1, 0 AS k2, k3, NULL AS k4, {line} AS line
       FROM (SELECT CAST(generate_subscripts(h, 1) AS INTEGER) - 1 AS k3, unnest(h) AS line FROM (SELECT [{texts}] AS h))"""
 
 
@@ -367,7 +370,7 @@ WITH cat AS (SELECT 'ord-' || CAST(o_orderkey AS VARCHAR) AS id, 'Order ' || CAS
                     strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders
              UNION ALL SELECT 'doc-' || CAST(doc_id AS VARCHAR), split_part(text, chr(10), 1), '' FROM documents),
 y AS (SELECT *, coalesce(nullif(regexp_extract(date, '(\d{4})', 1), ''), 'sin_fecha') AS year FROM cat),
-x AS (""" + _head_sql("years", "SELECT count(*) FROM cat") + r"""
+x AS (""" + _head_sql("years", "SELECT count(*) FROM cat", *[f"SELECT {m}(year) FROM y WHERE year <> 'sin_fecha'" for m in ("min", "max")]) + r"""
 UNION ALL SELECT 1, coalesce(-TRY_CAST(year AS INTEGER), -10000), 0, NULL,
        chr(10) || '### ' || year || ' (' || CAST(count(*) AS VARCHAR) || ' documentos)' || chr(10)
 FROM y GROUP BY year

@@ -198,15 +198,13 @@ t AS (SELECT id, regexp_replace(array_to_string(list_filter([coalesce(title, '')
 w AS (SELECT id, unnest(regexp_extract_all(lower(CASE WHEN txt = '' THEN id ELSE txt END), '[\\p{L}\\p{N}_]+')) AS tok FROM t),
 h AS (SELECT id, CAST('0x' || substr(md5(tok), 1, 15) AS BIGINT) AS h FROM w),
 b AS (SELECT id, h % 64 AS i, sum(CASE WHEN h >= 576460752303423488 THEN 1 ELSE -1 END) AS x FROM h GROUP BY 1, 2),
-n AS (SELECT id, sqrt(sum(x * x)) AS norm FROM b GROUP BY 1)
-SELECT id, 'hashing-64' AS model, true AS ok, 64 AS dim, CAST(count(*) FILTER (WHERE x <> 0) AS BIGINT) AS filled, CAST(sum(i * sign(x)) AS BIGINT) AS place_sum,
-       CAST(list_sort(list(i) FILTER (WHERE abs(x) = m))[1] AS BIGINT) AS top_place, round(sqrt(sum(x * x / (norm * norm))), 3) AS norm
-FROM b JOIN n USING (id) JOIN (SELECT id, max(abs(x)) AS m FROM b GROUP BY 1) USING (id) GROUP BY id""")
+n AS (SELECT id, sqrt(CAST(sum(x * x) AS DOUBLE)) AS norm FROM b GROUP BY 1),
+v AS (SELECT id, i, CAST(floor(CAST(CAST(CAST(coalesce(x, 0) AS DOUBLE) / CASE WHEN norm > 0 THEN norm ELSE 1 END AS FLOAT) AS DOUBLE) * 1000000) AS BIGINT) AS x
+      FROM n CROSS JOIN (SELECT unnest(range(64)) AS i) LEFT JOIN b USING (id, i))
+SELECT id, 'hashing-64' AS model, true AS ok, string_agg(CAST(x AS VARCHAR), ',' ORDER BY i) AS vector FROM v GROUP BY id""")
 def embed_hashing(spark, sf):
-    # V3 with the offline hashing embedder; signs and places of the components stand for the vectors
+    # V3 with the offline hashing embedder: every component of every vector, in millionths
     it = _text_items(spark, sf).select("id", "title", V.embedding_text().alias("text"))
     out = V.embed(it, V.hashing_embedder(64), text_col="text", batch=50)
-    places = F.aggregate(F.transform("vector", lambda x, i: F.signum(x).cast("bigint") * i), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    size = F.transform("vector", lambda x: F.abs(x))
-    return out.select("id", "model", "ok", F.size("vector").alias("dim"), F.size(F.filter("vector", lambda x: x != 0)).cast("bigint").alias("filled"),
-                      places.alias("place_sum"), (F.array_position(size, F.array_max(size)) - 1).alias("top_place"), F.round(V.norm("vector"), 3).alias("norm"))
+    parts = F.transform("vector", lambda x: F.floor(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    return out.select("id", "model", "ok", F.array_join(parts, ",").alias("vector"))

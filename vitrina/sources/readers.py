@@ -84,10 +84,11 @@ def read_tables(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """Markdown bundles, one row per file: ``(id = file stem, content)`` (S3)."""
+    """Markdown bundles, one row per file: ``(id = file stem, content)`` (S3); ``%XX`` in a stem stands for a character."""
     df = spark.read.text(path, wholetext=True)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.md$", "")
-    return df.select(stem.alias("id"), F.col("value").alias("content"))
+    decode = lambda c: F.when(c.contains("%"), F.url_decode(F.regexp_replace(c, r"\+", "%2B"))).otherwise(c)  # noqa: E731  a plus is a plus
+    return df.select(decode(decode(stem)).alias("id"), F.col("value").alias("content"))  # the name comes as part of a URI
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:

@@ -97,10 +97,23 @@ def write_lines(lines: DataFrame, path: str, order: list | None = None, partitio
     ranged.sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
 
+def bundle_name(ident: str | None) -> str:
+    """File name of an id: one name in one folder, from which ``read_bundles`` gets the id back.
+
+    Percent signs, slashes, backslashes and control characters are written as ``%XX``, and so is a
+    leading dot or underscore, which would hide the file.  An id that is null or empty has no file.
+    """
+    if not ident:
+        raise ValueError("a bundle needs an id")
+    plain = "".join(f"%{ord(c):02X}" if c in "%/\\" or ord(c) < 32 or ord(c) == 127 else c for c in ident)
+    return f"%{ord(plain[0]):02X}{plain[1:]}" if plain[0] in "._" else plain
+
+
 def write_bundles(df: DataFrame, root: str, id_col: str = "id", content_col: str = "content",
                   suffix: str = ".md") -> DataFrame:
-    """One file per item, named ``{id}{suffix}`` under ``root``.
+    """One file per item, named by its id (``bundle_name``) and ``suffix`` under ``root``.
 
+    No id leads out of ``root`` or into a folder of its own; a null or empty id is an error.
     Runs on the executors (``mapInPandas``); returns ``(id, path, bytes)`` for
     every file written, so the caller can check or log the output.  Files are
     written whole and overwritten, so a retried task rewrites the same files.
@@ -119,7 +132,7 @@ def write_bundles(df: DataFrame, root: str, id_col: str = "id", content_col: str
             paths, sizes = [], []
             for ident, content in zip(pdf[id_col], pdf[content_col]):
                 data = (content or "").encode("utf-8")
-                p = f"{prefix}/{ident}{suffix}"
+                p = f"{prefix}/{bundle_name(ident)}{suffix}"
                 with filesystem.open_output_stream(p) as out:
                     out.write(data)
                 paths.append(p)
