@@ -112,6 +112,12 @@ def series_stats(obs: DataFrame, key: list[str], order_col: str, value_col: str)
                                  F.max_by(F.col(value_col), F.col(order_col)).alias("last_value"))
 
 
+def mean_fanout(reports: DataFrame) -> DataFrame:
+    """One row over the reviews of several crossings (A13): how many, how many have a ratio, the mean and the greatest ratio."""
+    return reports.agg(F.count(F.lit(1)).alias("crossings"), F.count("fanout_ratio").alias("rated"), F.round(F.avg("fanout_ratio"), 6).alias("fanout_ratio_average"),
+                       F.max("fanout_ratio").alias("fanout_ratio_max"), F.count_if(~F.col("passed")).alias("failed"))
+
+
 def fanout_ratio(n_result: Column, n_a: Column, n_b: Column) -> Column:
     """``result / max(a, b)`` (A13; the reference names the metric but gives no formula)."""
     denom = F.greatest(n_a, n_b)
@@ -131,7 +137,11 @@ def summary_table(df: DataFrame) -> DataFrame:
     (most frequent first) and ``campos_disponibles``.  ``position`` orders the
     pieces that have an order of their own.
     """
-    s = summary(df)
+    return summary_rows(summary(df))
+
+
+def summary_rows(s: dict[str, DataFrame]) -> DataFrame:
+    """The pieces of a summary as the rows of ``summary_table``."""
     row = lambda piece, position, name, n: [F.lit(piece).alias("piece"), position.cast("int").alias("position"), name.alias("name"), n.cast("bigint").alias("n")]
     none, text = F.lit(None), F.lit(None).cast("string")
     top = s["top_tags"].withColumn("_p", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("tag"))))  # ten rows

@@ -136,7 +136,7 @@ def catalog_total(spark, sf):
     return A.summary(virtual_catalog(spark, sf))["total"]
 
 
-@register("catalog_summary", WITH + """,
+QUERY_SUMMARY = WITH + """,
 tops AS (SELECT tag, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, tag) AS INTEGER) AS p FROM (SELECT unnest(tags) AS tag FROM cat) GROUP BY tag),
 f AS (SELECT [""" + ", ".join(f"'{x}'" for x in A.SUMMARY_FIELDS) + """] AS l)
 SELECT 'total_items' AS piece, CAST(NULL AS INTEGER) AS position, CAST(NULL AS VARCHAR) AS name, count(*) AS n FROM cat
@@ -144,11 +144,45 @@ UNION ALL SELECT 'por_fuente', NULL, coalesce(source, 'desconocido'), count(*) F
 UNION ALL SELECT DISTINCT 'tipos_disponibles', NULL, type, NULL FROM cat WHERE coalesce(type, '') <> ''
 UNION ALL SELECT 'rango_temporal', NULL, unnest(['desde ' || coalesce(min(nullif(date_iso, '')), 'desconocida'), 'hasta ' || coalesce(max(nullif(date_iso, '')), 'desconocida')]), NULL FROM cat
 UNION ALL SELECT 'tags_mas_frecuentes', p, tag, n FROM tops WHERE p <= 10
-UNION ALL SELECT 'campos_disponibles', CAST(generate_subscripts(l, 1) AS INTEGER), unnest(l), NULL FROM f""")
+UNION ALL SELECT 'campos_disponibles', CAST(generate_subscripts(l, 1) AS INTEGER), unnest(l), NULL FROM f"""
+
+
+@register("catalog_summary", QUERY_SUMMARY)
 def catalog_summary(spark, sf):
     return A.summary_table(virtual_catalog(spark, sf))
 
 
+def _stored(spark, sf, cluster: bool = False) -> str:
+    """The virtual catalogue stored in two batches with their counts."""
+    import uuid
+
+    from vitrina.operators.stored import write_stored
+    from vitrina.session import scratch_path
+    path = scratch_path(spark, f"stored-{uuid.uuid4().hex}")
+    cat = virtual_catalog(spark, sf)
+    texts = F.col("type").isin("working_paper", "report")
+    write_stored(cat.where(texts), path, cluster=cluster)
+    write_stored(cat.where(~texts), path, cluster=cluster)
+    return path
+
+
+@register("catalog_summary_stored", QUERY_SUMMARY)
+def catalog_summary_stored(spark, sf):
+    # A1 from the counts stored with each batch: no item is read
+    from vitrina.operators.stored import stored_summary
+    return stored_summary(spark, _stored(spark, sf))
+
+
+@register("search_clustered", WITH + f"""
+SELECT {FLAT_COLS} FROM cat
+WHERE (lower(source) = 'events' OR contains(lower(source), 'events') OR contains('events', lower(source))) AND lower(type) = 'time_series'
+  AND coalesce(date_iso, '') >= '2024-01-20'""")
+def search_clustered(spark, sf):
+    # F2, F3, F4 over the layout along date, source and type: source and type resolved before the scan
+    from vitrina.operators.stored import search_stored as stored
+    return flat(stored(spark, _stored(spark, sf, cluster=True), limit=None, source="Events", type="Time_Series", desde="2024-01-20"))
+
+
 @register("items_by_year", WITH + r"""
 SELECT coalesce(nullif(regexp_extract(date_iso, '(\d{4})', 1), ''), 'sin_fecha') AS year,
        count(*) AS n

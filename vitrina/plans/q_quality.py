@@ -71,6 +71,21 @@ def fanout_report(spark, sf):
         "crossing", "n_a", "n_b", "n_result", "dup_keys", "fanout_ratio", "passed", "reason")
 
 
+@register("fanout_average", """
+WITH n AS (SELECT (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM lineitem) AS l, (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM nation) AS na,
+  (SELECT count(*) FROM orders JOIN lineitem ON o_orderkey = l_orderkey) AS ol, (SELECT count(*) FROM orders LEFT JOIN customer ON o_custkey = c_custkey) AS oc,
+  (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey) AS cn,
+  (SELECT max(k) FROM (SELECT count(*) AS k FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey)) AS ol_k,
+  (SELECT max(k) FROM (SELECT count(*) AS k FROM orders GROUP BY o_custkey)) AS oc_k, (SELECT max(k) FROM (SELECT count(*) AS k FROM customer GROUP BY c_nationkey)) AS cn_k),
+r AS (SELECT round(ol / greatest(o, l), 6) AS f, ol <= floor(greatest(o, l) * 1.05) AS ok FROM n UNION ALL SELECT round(ol / greatest(o, l), 6), ol_k = 1 AND ol <= least(o, l) FROM n
+      UNION ALL SELECT round(oc / greatest(o, c), 6), oc_k = 1 AND oc = o FROM n UNION ALL SELECT round(cn / greatest(c, na), 6), cn_k = 1 AND cn <= least(c, na) FROM n)
+SELECT count(*) AS crossings, count(f) AS rated, round(avg(f), 6) AS fanout_ratio_average, max(f) AS fanout_ratio_max, count(*) FILTER (WHERE NOT ok) AS failed FROM r""")
+def fanout_average(spark, sf):
+    # The ratio over all crossings of a run
+    from vitrina.operators.summary import mean_fanout
+    return mean_fanout(reduce(DataFrame.unionByName, [r for _, r in _crossings(spark, sf)]))
+
+
 @register("checked_join_1n", """
 SELECT o_orderkey, o_custkey, l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def checked_join_1n(spark, sf):
