@@ -159,24 +159,8 @@ def toks(t):
 
 
 def brute_leaks(rows, items):
-    out = defaultdict(int)
-    for i, t, *_ in rows:
-        d = toks(t)
-        for k, b in items:
-            w = toks(b)
-            if len(w) < decontam.SPAN:
-                continue
-            for shift in range(-len(w), len(d)):
-                eq = [int(0 <= j + shift < len(d) and d[j + shift] == w[j]) for j in range(len(w))]
-                hits = [j for j in range(len(w) - decontam.SPAN + 1) if 0 <= j + shift and j + shift + decontam.SPAN <= len(d) and any(all(eq[j + p] for p in s) for s in decontam.SEEDS)]
-                st = min(decontam.WINDOW, len(w))
-                for j in hits:
-                    lo, hi = max(j - decontam.WINDOW, 0), min(j + decontam.SPAN + decontam.WINDOW, len(w))
-                    for k0 in range(lo, hi - st + 1):
-                        m = sum(eq[k0 : k0 + st])
-                        if m >= -(-st * decontam.SHARE // 1):
-                            out[i, k] = max(out[i, k], m)
-    return dict(out)
+    """The rule alone, over all alignments of items that a seed spans."""
+    return every_leak([r[:2] for r in rows], [(k, b) for k, b in items if len(toks(b)) >= decontam.SPAN])
 
 
 @pytest.fixture(scope="module")
@@ -237,10 +221,20 @@ def test_short_items_match_word_for_word(spark, limit):
     items = [(1, "Who wrote it?"), (2, "one two three four five six seven"), (3, "yes"), (4, ""), (5, None), (6, "one two three four five six seven eight")]
     rows = [(1, "He asked: who WROTE it, and who wrote it"), (2, "one two three four five six seven"), (3, "one two three four five six x"), (4, "Yes"), (5, None), (6, "who wrote"), (None, "yes")]
     df, it = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    got = {tuple(r) for r in decontam.leaks(df, it, max_broadcast_tokens=limit).collect()}
+    got = {tuple(r) for r in decontam.leaks(df, it, max_broadcast_tokens=limit, min_item_tokens=1).collect()}
     assert got == {(1, 1, 3, 3, 2), (2, 2, 7, 7, 0), (2, 6, 7, 8, 0), (3, 6, 6, 8, 0), (4, 3, 1, 1, 0), (None, 3, 1, 1, 0)}
 
 
+def test_items_too_short_to_be_evidence(spark, docs, corpus):
+    items = spark.createDataFrame([(1, "The"), (2, "who wrote it"), (3, "who wrote it then"), (4, ""), (5, None)], "item_id long, text string")
+    rows = spark.createDataFrame([(1, "the end"), (2, "Who wrote it? The cat."), (3, "and who wrote it, then?")], "doc_id long, text string")
+    assert [r["doc_id"] for r in decontam.leaks(rows, items).collect()] == [3]
+    assert sorted(map(tuple, decontam.items_left_out(items).collect())) == [(1, 1), (2, 3), (4, 0), (5, 0)]
+    assert sorted(r["doc_id"] for r in decontam.without_leaks(rows, items).collect()) == [1, 2]
+    common = spark.createDataFrame([(1, corpus[0][1].split()[0])], "item_id long, text string")
+    assert decontam.without_leaks(docs, common).count() == len(corpus)
+
+
 def test_leaks_odd_tables(spark, clashing, no_docs, corpus):
     items = spark.createDataFrame([(1, corpus[0][1]), (None, corpus[1][1]), (2, None)], "item_id long, text string").withColumn("h", F.lit(1))
     out = decontam.without_leaks(clashing, items)

@@ -8,6 +8,8 @@ and compared token by token, and a stretch with enough equal tokens counts.  The
 masks cover each other: wherever the changed tokens of such a stretch stand, a mask
 at some place keeps none of them, so every overlap has a hit.  An item of fewer tokens
 than a mask spans is met whole and word for word by the documents' windows of its length.
+An item of fewer than ``MIN_ITEM`` tokens is no evidence of a leak, as its words stand in any text: it is left out, and
+``items_left_out`` lists it (the filter logs how many there are).
 
 Documents are never shuffled: their windows are made, probed and verified in
 the row, and only verified overlaps are aggregated.  The benchmark is broadcast
@@ -17,6 +19,8 @@ same joins run as shuffles of the windows, each with the tokens around it.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,9 @@ _EDGE = 2
 #: The window at which a seed meets equal tokens has this many: a stretch has three changed tokens at most.
 _LEAST = 5
 MAX_BROADCAST_TOKENS = 1_000_000
+#: Tokens of the shortest item that is looked for.
+MIN_ITEM = 4
+_log = logging.getLogger(__name__)
 
 #: Tokens are runs of letters and digits, in lower case: punctuation and layout do not hide a leak.
 _BREAK = r"[^\p{L}\p{N}]+"
@@ -70,7 +77,7 @@ def _short_leaks(rows: DataFrame, short: DataFrame, lengths: list[int]) -> DataF
 
 
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE, max_broadcast_tokens: int = MAX_BROADCAST_TOKENS,
-          id_col: str = "doc_id") -> DataFrame:
+          id_col: str = "doc_id", min_item_tokens: int = MIN_ITEM) -> DataFrame:
     """Overlaps of documents with benchmark items.
 
     ``docs`` has ``id_col, text``; ``items`` has ``item_id, text``.  Returns one
@@ -78,10 +85,10 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
     the best stretch), ``stretch`` (its length), ``doc_start`` (token at which the
     first aligned stretch begins).  A document without a row is clean.  Null
     or blank texts match nothing, items of fewer than eight tokens only where all
-    of their tokens are equal; rows that share an id are one document; empty tables give no rows.  All overlaps are found
+    of their tokens are equal, those of fewer than ``min_item_tokens`` nothing at all; rows that share an id are one document; empty tables give no rows.  All overlaps are found
     for stretches of 8 to 13 tokens and shares from 0.75 on; others may have no hit.
     """
-    whole = items.select("item_id", token_hashes(F.col("text")).alias("b")).where(F.size("b") > 0).distinct()
+    whole = items.select("item_id", token_hashes(F.col("text")).alias("b")).where(F.size("b") >= max(min_item_tokens, 1)).distinct()
     tokens, lengths = whole.agg(F.coalesce(F.sum(F.size("b")), F.lit(0)), F.collect_set(F.when(F.size("b") < SPAN, F.size("b")))).first()
     bench = whole.where(F.size("b") >= SPAN)
     held = tokens <= max_broadcast_tokens
@@ -116,10 +123,17 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float
                                                   F.min(F.greatest(F.col("start"), F.lit(0))).cast("long").alias("doc_start"))
 
 
+def items_left_out(items: DataFrame, min_item_tokens: int = MIN_ITEM) -> DataFrame:
+    """``(item_id, n_tokens)`` of the items that are too short to be looked for, blank ones among them."""
+    return items.select("item_id", F.size(token_hashes(F.col("text"))).cast("long").alias("n_tokens")).where(F.col("n_tokens") < max(min_item_tokens, 1))
+
+
 def without_leaks(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
     """``docs`` without the documents that hold a stretch of a benchmark item; all columns stay.
 
     A document with a null id is judged like any other.
     """
+    if short := items_left_out(items, params.get("min_item_tokens", MIN_ITEM)).count():
+        _log.warning("%d benchmark items are too short to be looked for", short)
     bad = leaks(docs, items, **params).select(F.col("doc_id").alias("leak_id")).distinct()
     return wrapped(docs, "doc_id").join(bad, F.col("doc_id").eqNullSafe(F.col("leak_id")), "left_anti").select("row.*")
