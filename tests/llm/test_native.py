@@ -289,24 +289,71 @@ def test_short_lines_link(spark):
     assert {r["message_id"]: r["parent_id"] for r in quotes.link_quotes(m).collect()} == {2: 1, 3: 2, 4: 3, 6: 5, 7: 1}
 
 
-def test_short_lines_over_partitions(spark):
-    rng = random.Random(4)
-    said = [rng.choice(["yes", "no", "ok then"]) for _ in range(400)]
-    asked = [rng.choice(["yes", "no", "ok then", "never said"]) for _ in said]
-    rows = [(i, None if i % 2 else "f", i // 4, f"> {asked[i]}" + (f"\n{said[i]}" if i % 50 < 9 else "")) for i in range(400)]
-    want = {}
-    for i in range(400):
-        before = [j for j in range(i) if j % 2 == i % 2 and j % 50 < 9 and said[j] == asked[i]]
-        if before:
-            want[i] = before[-1]
+def brute_links(rows):
+    """The rule alone: for every quoted line the last earlier message of the folder that wrote it."""
+    def parts(text):
+        for x in re.split("\r?\n", text or "") if text else []:
+            marks = re.match(r"[\x20\t]*>(?:[\x20\t]*>)*", x)
+            words = " ".join(re.findall(r"[^\W_]+", x[marks.end():] if marks else x)).lower()
+            if words:
+                yield marks.group().count(">") if marks else 0, words
+    out = {}
+    for i, folder, sent, text in rows:
+        votes = defaultdict(lambda: [0, 0])
+        for level, words in parts(text):
+            writers = [(s, j) for j, f, s, t in rows if f == folder and (s, j) < (sent, i) and (0, words) in set(parts(t))] if level else []
+            if writers:
+                v = votes[level, max(writers)]
+                v[0] += len(words.split())
+                v[1] += 1
+        if votes:
+            low = min(level for level, _ in votes)
+            best = max((v[0], first, v[1]) for (level, first), v in votes.items() if level == low)
+            out[i] = (best[1][1], low, best[2])
+    return out
+
+
+def links_of(spark, rows):
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     was = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    spark.conf.set(key, "false")  # passages then go over the ends of partitions
     try:
         got = quotes.link_quotes(spark.createDataFrame(rows, "message_id long, folder string, sent long, text string")).collect()
     finally:
         spark.conf.set(key, was)
-    assert {r["message_id"]: r["parent_id"] for r in got} == want and len(want) > 200
+    return {r["message_id"]: (r["parent_id"], r["level"], r["passages"]) for r in got}
+
+
+def test_last_writer_of_a_line_written_twice(spark):
+    line = "Shall we meet on Monday then?"
+    rows = [(1, "f", 1, line), (2, "f", 2, "no"), (3, "f", 3, line), (4, "f", 4, f"> {line}\nYes"), (5, "f", 5, line), (6, "g", 6, f"> {line}")]
+    assert links_of(spark, rows) == {4: (3, 1, 1)} == brute_links(rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_links_by_the_rule(spark, seed):
+    rng = random.Random(seed)
+    said = ["yes", "no", "ok then", "shall we meet on monday", "that suits me very well", "x"] + [f"line number {i}" for i in range(20)]
+    rows = []
+    for i in range(300):
+        lines = [f"{rng.choice(['> ', '>> ', '> > >'])}{rng.choice(said).upper()}!" for _ in range(rng.randint(0, 4))] + [rng.choice(said) for _ in range(rng.randint(0, 3))]
+        rng.shuffle(lines)
+        rows.append((i, rng.choice(["f", "g", None]), rng.randrange(60), "\n".join(lines) if rng.random() < 0.95 else None))
+    want = brute_links(rows)
+    assert links_of(spark, rows) == want and len(want) > 150
+
+
+def test_whole_turns_are_quoted(spark):
+    turns = [(1, 0, "a", "one\ntwo\nthree"), (1, 1, "b", "four\nfive"), (1, 2, "a", "six"), (2, 0, "a", None)]
+    got = {r["message_id"] - (1 << 20): r["text"] for r in quotes.quoting_messages(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[1] == "> one\n> two\n> three\nfour\nfive" and got[2] == "> > one\n> > two\n> > three\n> four\n> five\nsix"
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(1, "f", 1, "first words here"), (2, "f", 2, "> first words here\na"), (2, "f", 2, "> first words here\na"), (2, "f", 3, "other")]
+    m = spark.createDataFrame(rows, "message_id long, folder string, sent long, text string").withColumn("author", F.lit("x"))
+    got = sorted((r["message_id"], r["sent"], r["parent_id"], r["conversation_id"], r["text"]) for r in quotes.conversations_from_quotes(m).collect() if r["message_id"] == 2)
+    assert got == [(2, 2, 1, 1, "a"), (2, 2, 1, 1, "a"), (2, 3, 1, 1, "other")]
 
 
 def test_null_safe_join(spark):

@@ -2,17 +2,15 @@
 
 A line's quote level is the number of ``>`` marks that lead it.  A passage is a
 line without its marks, lower-cased, with runs of anything but letters and digits as one blank.  The
-original of a passage within a folder is the first message that has it as a line of
-its own (level 0); that of a passage of fewer than ``MIN_WORDS`` words, which many write, is
-the last message before the quotation that has it.  A message replies to the original that most of the
-passages at its lowest linked level come from; short ones count only where no longer
-one of that level links.
-
-Hashed passages are reduced to their first message before the join, so a phrase that
-everybody writes costs one row on that side; its quotations are split by the
-join.  Short passages are not joined but laid in order with their quotations over range
-partitions, and each takes the last writer before it, so a frequent one is no hot key.  Threads are found by doubling the reach of reply links, so the number of steps
-grows with the logarithm of the longest thread, and no thread is gathered into one
+original of a quoted passage is the last message before the quotation, in its folder, that has
+it as a line of its own (level 0).  A message replies to the original that most of the
+quoted words at its lowest linked level come from, the latest of them on equal counts, so a long line says more
+about whom it answers than a "yes" does.
+
+Hashed passages are made once and stored.  They are not joined: writers and quotations of a passage are laid in
+order over range partitions, and each quotation takes the last writer before it, carried on from earlier
+partitions where needed, so a phrase that everybody writes is no hot key.  Threads are found by doubling the reach
+of reply links, so the number of steps grows with the logarithm of the longest thread, and no thread is gathered into one
 task: the result is ordered by a range sort.
 """
 
@@ -21,10 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import checkpointed, null_safe_join
+from vitrina.llm.common import checkpointed, kept, null_safe_join
 
-#: A passage of fewer words does not tell who wrote it first.
-MIN_WORDS = 3
 _MARKS = r"^[\x20\t]*>(?:[\x20\t]*>)*"
 
 
@@ -48,45 +44,36 @@ def own_text(lines: Column) -> Column:
     return F.regexp_replace(text, r"\A\s+|\s+\z", "")
 
 
-def _last_writers(quoted: DataFrame, written: DataFrame) -> DataFrame:
-    """(message_id, level, first) for each quoted passage that has a writer before its quotation."""
+def _last_writers(lines: DataFrame) -> DataFrame:
+    """``(message_id, level, words, first)`` of each quoted line that has a writer before its quotation."""
     key, order = ["folder", "h1", "h2"], ["sent", "message_id", "writes"]
-    events = quoted.select("message_id", "level", *key, "sent", F.lit(False).alias("writes")).unionByName(
-        written.select("message_id", F.lit(0).alias("level"), *key, "sent", F.lit(True).alias("writes")))
+    events = lines.withColumn("writes", F.col("level") == 0)
     events = checkpointed(events.repartitionByRange(*key, *order).withColumn("part", F.spark_partition_id()))
     writer = F.when(F.col("writes"), F.struct("sent", "message_id"))
     so_far = Window.partitionBy("part", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = events.withColumn("here", F.last(writer, ignorenulls=True).over(so_far)).where("NOT writes")
-    # a passage that goes over the end of a partition has its last writer carried on; one row for each partition that it is in
+    # only a passage that goes over the end of a partition has a writer to carry on; one row for each partition that it is in
+    spans = events.groupBy(*key).agg(F.min("part").alias("one"), F.max("part").alias("end")).where("one < end").drop("one", "end")
     earlier = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = events.groupBy("part", *key).agg(F.max(writer).alias("end")).select("part", *key, F.max("end").over(earlier).alias("carried")).where("carried IS NOT NULL")
-    return null_safe_join(seen, carried, ["part", *key], "left").select("message_id", "level", F.coalesce("here", "carried").alias("first")).where("first IS NOT NULL")
+    ends = null_safe_join(events, spans, key).groupBy("part", *key).agg(F.max(writer).alias("end"))
+    carried = kept(ends.select("part", *key, F.max("end").over(earlier).alias("carried")).where("carried IS NOT NULL"))
+    return null_safe_join(seen, carried, ["part", *key], "left").select("message_id", "level", "words", F.coalesce("here", "carried").alias("first")).where("first IS NOT NULL")
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
     """Reply links of ``messages`` (``message_id`` long, ``folder``, ``sent``, ``text``).
 
     Returns ``message_id, parent_id, level, passages``: the message replied to,
-    the quote level that shows it, and how many of its passages are quoted there.  A message links only to earlier ones of its folder, by
-    (sent, message_id).  On equal counts the latest original wins.  Lines without a
-letter or digit link nothing.
+    the quote level that shows it, and how many lines are quoted from it there.  A message links only to earlier ones of its folder, by
+    (sent, message_id).  Lines without a letter or digit link nothing.
     """
     lines = messages.select("message_id", "folder", "sent", F.explode(parsed_lines(F.col("text"))).alias("line")).select(
         "message_id", "folder", "sent", "line.level", passage(F.col("line.content")).alias("passage")).where("passage IS NOT NULL AND message_id IS NOT NULL")
-    keyed = lines.select("message_id", "folder", "sent", "level", F.xxhash64("passage").alias("h1"), F.crc32(F.col("passage").cast("binary")).alias("h2"),
-                         (F.size(F.split("passage", " ")) >= MIN_WORDS).alias("long"))
-    own, quotations = keyed.where("level = 0"), keyed.where("level > 0")
-    written = own.where("long").groupBy("folder", "h1", "h2").agg(F.min(F.struct("sent", "message_id")).alias("first"))
-    distinct = ("message_id", "folder", "sent", "level", "h1", "h2")
-    quoted = quotations.where("long").groupBy(*distinct).agg(F.count("*").alias("c"))
-    met = null_safe_join(quoted, written, ["folder", "h1", "h2"]).where(F.col("first") < F.struct("sent", "message_id"))
-    votes = checkpointed(met.groupBy("message_id", "level", "first").agg(F.count("*").alias("passages")))
-    # short passages only below the lowest level at which a longer one links
-    linked = votes.groupBy(F.col("message_id").alias("l_id")).agg(F.min("level").alias("l_level"))
-    short = quotations.where("NOT long").select(*distinct).distinct().join(linked, F.col("message_id") == F.col("l_id"), "left").where("l_level IS NULL OR level < l_level")
-    short_votes = _last_writers(short, own.where("NOT long").select(*distinct).distinct()).groupBy("message_id", "level", "first").agg(F.count("*").alias("passages"))
-    # the lowest level first, then most passages, then the latest message
-    best = votes.unionByName(short_votes).groupBy("message_id").agg(F.max(F.struct((-F.col("level")).alias("up"), "passages", "first")).alias("b"))
+    keyed = checkpointed(lines.select("message_id", "folder", "sent", "level", F.xxhash64("passage").alias("h1"), F.crc32(F.col("passage").cast("binary")).alias("h2"),
+                                      F.size(F.split("passage", " ")).alias("words")))
+    votes = _last_writers(keyed).groupBy("message_id", "level", "first").agg(F.sum("words").alias("words"), F.count("*").alias("passages"))
+    # the lowest level first, then most words, then the latest message
+    best = votes.groupBy("message_id").agg(F.max(F.struct((-F.col("level")).alias("up"), "words", "first", "passages")).alias("b"))
     return best.select("message_id", F.col("b.first.message_id").alias("parent_id"), (-F.col("b.up")).alias("level"), F.col("b.passages").alias("passages"))
 
 
@@ -96,12 +83,12 @@ def threads(links: DataFrame) -> DataFrame:
     Links lead to earlier messages, so there are no cycles.  Each step doubles
     the reach of the messages that have not met their root; the others rest.
     """
-    active = checkpointed(links.select("message_id", F.col("parent_id").alias("root_id"), F.lit(1).cast("long").alias("depth")))
+    active = kept(links.select("message_id", F.col("parent_id").alias("root_id"), F.lit(1).cast("long").alias("depth")))
     at_rest = None
     while True:
         known = active if at_rest is None else at_rest.unionByName(active)
         up = known.select(F.col("message_id").alias("u_id"), F.col("root_id").alias("u_root"), F.col("depth").alias("u_depth"))
-        step = checkpointed(active.join(up, F.col("root_id") == F.col("u_id"), "left").select(
+        step = kept(active.join(up, F.col("root_id") == F.col("u_id"), "left").select(
             "message_id", F.coalesce("u_root", "root_id").alias("root_id"), (F.col("depth") + F.coalesce("u_depth", F.lit(0))).alias("depth"), F.col("u_id").isNotNull().alias("moved")))
         done = step.where("NOT moved").drop("moved")
         at_rest = done if at_rest is None else at_rest.unionByName(done)
@@ -121,7 +108,7 @@ def conversations_from_quotes(messages: DataFrame) -> DataFrame:
     have one parent; other columns are ignored; no rows give no rows.
     """
     m = messages.select(F.col("message_id").cast("long").alias("message_id"), "folder", "sent", "author", "text")
-    links = checkpointed(link_quotes(m))
+    links = kept(link_quotes(m))
     tree = threads(links)
     lines = m.withColumn("lines", parsed_lines(F.col("text"))).select(
         "message_id", "folder", "sent", "author", own_text(F.col("lines")).alias("text"), F.size(F.filter("lines", lambda x: x["level"] > 0)).cast("long").alias("n_quoted"))
@@ -132,14 +119,10 @@ def conversations_from_quotes(messages: DataFrame) -> DataFrame:
 
 
 def quoting_messages(turns: DataFrame) -> DataFrame:
-    """Stand-in mail from ``(conv_id, turn, role, text)``: each turn quotes lines of the two before it.
-
-    Two lines of the previous turn at level 1, one line of the turn before that at level 2.
-    """
+    """Stand-in mail from ``(conv_id, turn, role, text)``: each turn quotes the whole turn before it, with that turn's own quote of the one before one level deeper."""
     t = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     back = lambda n: t.select(F.col("conv_id"), (F.col("turn") + n).alias("turn"), F.split("text", "\n").alias(f"back{n}"))
     both = t.join(back(1), ["conv_id", "turn"], "left").join(back(2), ["conv_id", "turn"], "left")
-    marked = lambda c, n, mark: F.transform(F.slice(F.col(c), 1, n), lambda x: F.concat(F.lit(mark), x))
-    empty = F.array().cast("array<string>")
-    body = F.array_join(F.concat(F.coalesce(marked("back2", 1, "> > "), empty), F.coalesce(marked("back1", 2, "> "), empty), F.array("text")), "\n")
+    marked = lambda c, mark: F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.concat(F.lit(mark), x))
+    body = F.array_join(F.concat(marked("back2", "> > "), marked("back1", "> "), F.array("text")), "\n")
     return both.select((F.col("conv_id") * (1 << 20) + F.col("turn")).alias("message_id"), F.col("conv_id").alias("folder"), F.col("turn").alias("sent"), F.col("role").alias("author"), body.alias("text"))
