@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
-from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -172,22 +171,18 @@ def hmac_sha256(c: Column | str, secret: str, pepper: str) -> Column:
     return F.sha2(F.concat(F.unhex(F.lit(opad)), inner), 256)
 
 
-#: Files up to this size are hashed as one value; larger ones are read in blocks of ``HASH_BLOCK``.
+#: Files up to this size are hashed as one value; larger ones are read in blocks.
 WHOLE_FILE = 64 << 20
-HASH_BLOCK = 8 << 20
 
 
 def _hashed_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs as pafs
+    from vitrina.sources.files import blocks_of
     for batch in batches:
         digests = []
         for path in batch.column(0).to_pylist():
-            uri = path if "://" in path else path.replace("file:", "file://", 1)
-            filesystem, name = pafs.FileSystem.from_uri(quote(uri, safe="/:@"))
             digest = hashlib.sha256()
-            with filesystem.open_input_stream(name) as stream:
-                while block := stream.read(HASH_BLOCK):
-                    digest.update(block)
+            for block in blocks_of(path):
+                digest.update(block)
             digests.append(digest.hexdigest())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.string())], ["path", "size", "sha256"])
 

@@ -51,24 +51,30 @@ def sdmx_messages(spark, sf) -> DataFrame:
     return full.select("flow", F.to_json(message).alias("text"))
 
 
-def read_messages(spark, sf) -> DataFrame:
-    """The messages as files, one each, read back (S6): ``flow, msg, has_es``."""
+def read_messages(spark, sf, whole: int | None = None) -> DataFrame:
+    """The messages as files, one each, read back (S6): ``flow, msg, has_es``; those of more than ``whole`` bytes in pieces."""
     import uuid
 
     from vitrina.session import scratch_path
     from vitrina.sources import readers, sinks
     root = scratch_path(spark, f"sdmx-{uuid.uuid4().hex}")
     sinks.write_bundles(sdmx_messages(spark, sf), root, "flow", "text", ".json").select(F.sum("bytes")).first()
-    msg = readers.read_sdmx(spark, root)
+    msg = readers.read_sdmx(spark, root, readers.WHOLE_DOCUMENT if whole is None else whole)
     areas = F.element_at(F.col("msg.structure.dimensions.series"), 1)["values"]
     return msg.withColumn("has_es", F.exists(areas, lambda v: v["id"] == "ES"))
 
 
-def decoded(spark, sf) -> DataFrame:
-    d = M.decode_series(read_messages(spark, sf), "msg", keep=["flow", "has_es"])
+def decoded(spark, sf, whole: int | None = None) -> DataFrame:
+    d = M.decode_series(read_messages(spark, sf, whole), "msg", keep=["flow", "has_es"])
     return M.area_filter(d, "has_es")
 
 
+def flat_series(d: DataFrame) -> DataFrame:
+    obs = F.array_join(F.transform("observations", lambda o: F.concat(o["period"], F.lit("="), F.format_string("%.2f", o["value"]))), ";")
+    return d.select("flow", "series_key", F.array_join("dim_codes", ".").alias("dim_codes"), "name",
+                    obs.alias("observations"), "last_value", "count")
+
+
 _SDMX_SQL = """
 WITH n AS (SELECT n_nationkey, n_name, n_regionkey AS rk, CASE WHEN n_name = 'GERMANY' THEN 'ES' ELSE 'N' || CAST(n_nationkey AS VARCHAR) END AS code FROM nation),
 agg AS (
@@ -93,11 +99,13 @@ s AS (
 def sdmx_decode(spark, sf):
     """M1-M3, F10, F11 over many message files: codes and periods beyond the
     lists fall back, empty series and other areas of a flow with ES drop out."""
-    d = decoded(spark, sf)
-    obs = F.array_join(F.transform("observations", lambda o: F.concat(
-        o["period"], F.lit("="), F.format_string("%.2f", o["value"]))), ";")
-    return d.select("flow", "series_key", F.array_join("dim_codes", ".").alias("dim_codes"), "name",
-                    obs.alias("observations"), "last_value", "count")
+    return flat_series(decoded(spark, sf))
+
+
+@register("sdmx_decode_cut", _SDMX_SQL + "SELECT * FROM s")
+def sdmx_decode_cut(spark, sf):
+    # the same with every message over 2 KB cut into pieces while it is read
+    return flat_series(decoded(spark, sf, whole=2048))
 
 
 @register("series_files", _SDMX_SQL + """
@@ -119,7 +127,7 @@ def series_files(spark, sf):
     sinks.write_bundles(text.unionByName(broken), root, "flow", "text", ".json").select(F.sum("bytes")).first()
     good = readers.read_series(spark, root).select("flow", "label", "position", "name", "last_value", "count")
     bad = readers.bad_series_files(spark, root).select(
-        F.regexp_extract("file", r"([^/]+)\.json$", 1).alias("flow"), F.when(F.col("flow") == "", F.col("flow")).alias("label"), F.lit(-1).alias("position"),
+        F.regexp_extract("file", r"([^/]+)\.json$", 1).alias("flow"), F.col("flow").alias("label"), F.lit(-1).alias("position"),
         F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("last_value"), F.lit(None).cast("bigint").alias("count"))
     return good.unionByName(bad)
 

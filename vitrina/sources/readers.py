@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrina import schemas as SC
+from vitrina.sources.large_json import cut_files
 
 CORRUPT = "_corrupt_record"
 
@@ -91,26 +92,42 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     return df.select(decode(decode(stem)).alias("id"), F.col("value").alias("content"))  # the name comes as part of a URI
 
 
-def read_series(spark: SparkSession, path: str) -> DataFrame:
+#: Documents up to this size are read as one record; larger ones are cut into small documents while they are read.
+WHOLE_DOCUMENT = 16 << 20
+_STEM = r"([^/]+)\.json$"
+
+
+def _documents(spark: SparkSession, path: str, schema: T.StructType, layout: str, whole: int) -> DataFrame:
+    """``(file, flow_file, first, doc, error)``: JSON documents, large ones as several, each with the number of its first series; ``doc`` is null for a bad file."""
+    text = spark.read.text(path, wholetext=True).where(F.col("_metadata.file_size") <= whole)  # larger files are not opened
+    parsed = F.from_json("value", _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    small = text.select(F.col("_metadata.file_path").alias("file"), parsed.alias("d"))
+    ok = F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull()
+    one = small.select("file", F.lit(0).cast("long").alias("first"), F.when(ok, F.struct(*[F.col(f"d.{f}").alias(f) for f in schema.fieldNames()])).alias("doc"),
+                       F.when(~ok, F.lit("no such JSON document")).alias("error"))
+    cut = cut_files(spark, path, layout, whole)
+    many = cut.select(F.col("path").alias("file"), "first", F.from_json("text", schema).alias("doc"), "error")
+    both = one.unionByName(many)
+    return both.withColumn("flow_file", F.regexp_extract("file", _STEM, 1))
+
+
+def read_series(spark: SparkSession, path: str, whole: int = WHOLE_DOCUMENT) -> DataFrame:
     """Decoded series files, one JSON document per flow.
 
     The flow is the file stem; a file that cannot be parsed is skipped and
     reported by ``bad_series_files``.  One row per series with its 0-based
-    ``position`` in the file.
+    ``position`` in the file.  A file of more than ``whole`` bytes leaves its task in
+    pieces, while it is read.
     """
-    raw = (spark.read.schema(_with_corrupt(SC.SERIES_FILE)).option("multiLine", True)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    ok = raw.filter(F.col(CORRUPT).isNull())
-    flow = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    e = ok.select(flow.alias("flow_file"), "label", "has_es", F.posexplode("series").alias("position", "s"))
-    return e.select(F.col("flow_file").alias("flow"), "label", "has_es", "position",
+    ok = _documents(spark, path, SC.SERIES_FILE, "series", whole).where("doc IS NOT NULL")
+    e = ok.select("flow_file", "doc.label", "doc.has_es", "first", F.posexplode("doc.series").alias("at", "s"))
+    return e.select(F.col("flow_file").alias("flow"), "label", "has_es", (F.col("first") + F.col("at")).cast("int").alias("position"),
                     *[F.col("s")[f].alias(f) for f in SC.DECODED_SERIES.fieldNames() if f != "flow"])
 
 
-def bad_series_files(spark: SparkSession, path: str) -> DataFrame:
-    raw = (spark.read.schema(_with_corrupt(SC.SERIES_FILE)).option("multiLine", True)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return raw.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_path").alias("file"), "flow")
+def bad_series_files(spark: SparkSession, path: str, whole: int = WHOLE_DOCUMENT) -> DataFrame:
+    """``(file, flow)`` of the files that are no JSON documents."""
+    return _documents(spark, path, SC.SERIES_FILE, "series", whole).where("doc IS NULL").select("file", F.lit(None).cast("string").alias("flow"))
 
 
 def read_stat_series(spark: SparkSession, path: str) -> DataFrame:
@@ -119,11 +136,19 @@ def read_stat_series(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(F.col(CORRUPT).isNull() & F.col("COD").isNotNull()).drop(CORRUPT)
 
 
-def read_sdmx(spark: SparkSession, path: str) -> DataFrame:
-    """SDMX-JSON messages, one per file, with the file stem as flow."""
-    raw = spark.read.schema(SC.SDMX_MESSAGE).option("multiLine", True).json(path)
-    flow = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    return raw.select(flow.alias("flow"), F.struct("structure", "dataSets").alias("msg"))
+def read_sdmx(spark: SparkSession, path: str, whole: int = WHOLE_DOCUMENT) -> DataFrame:
+    """SDMX-JSON messages with the file stem as flow.
+
+    One row for a file of up to ``whole`` bytes.  A larger message is many rows, each with the
+    code lists and a part of the series, which leave its task while it is read; they decode as one message would.
+    Files that cannot be parsed are skipped and reported by ``bad_sdmx_files``.
+    """
+    return _documents(spark, path, SC.SDMX_MESSAGE, "sdmx", whole).where("doc IS NOT NULL").select(F.col("flow_file").alias("flow"), F.col("doc").alias("msg"))
+
+
+def bad_sdmx_files(spark: SparkSession, path: str, whole: int = WHOLE_DOCUMENT) -> DataFrame:
+    """``(file, error)`` of the files that are no SDMX-JSON messages."""
+    return _documents(spark, path, SC.SDMX_MESSAGE, "sdmx", whole).where("doc IS NULL").select("file", "error")
 
 
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
