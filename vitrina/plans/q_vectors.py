@@ -41,10 +41,13 @@ d AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS id, split_part(text, chr(10),
              'https://docs.example/' || CAST(doc_id AS VARCHAR) AS url FROM documents)"""
 
 
-@register("semantic_topk", "WITH" + _Q.format(label=3) + """
+_TOPK = "WITH" + _Q.format(label=3) + """
 SELECT d.id, title, source, date_iso, description, url, round(score, 4) AS score
 FROM s JOIN d USING (id) WHERE score >= 0.0
-ORDER BY s.score DESC, d.id LIMIT 10""")
+ORDER BY s.score DESC, d.id LIMIT 10"""
+
+
+@register("semantic_topk", _TOPK)
 def semantic_topk(spark, sf):
     vec = vectors(spark, sf)
     q = V.mean_vector(vec.filter(F.col("label") == 3), "vector")
@@ -63,7 +66,7 @@ def semantic_view(spark, sf):
     return V.semantic_view(V.hits_to_items(scored.select("id", "score"), cat))
 
 
-@register("semantic_batch", """
+_BATCH = """
 WITH c AS (SELECT label, list(m ORDER BY i) AS q FROM (
              SELECT label, i, avg(e) AS m FROM (
                SELECT label, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings)
@@ -75,7 +78,10 @@ s AS (SELECT c.label, CAST(vec_id AS VARCHAR) AS vec_id,
       FROM c, embeddings e)
 SELECT CAST(label AS VARCHAR) AS label, vec_id, round(score, 6) AS score,
        CAST(row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-FROM s QUALIFY rank <= 5""")
+FROM s QUALIFY rank <= 5"""
+
+
+@register("semantic_batch", _BATCH)
 def semantic_batch(spark, sf):
     # Top-5 vectors for each label centroid, exact, blockwise
     e = table(spark, sf, "embeddings")
@@ -84,6 +90,34 @@ def semantic_batch(spark, sf):
                     F.round("score", 6).alias("score"), "rank")
 
 
+def _indexed(spark, sf, df: DataFrame, key: str, vec: str) -> str:
+    import uuid
+
+    from vitrina.operators.vector_index import write_ball_index
+    from vitrina.session import scratch_path
+    path = scratch_path(spark, f"balls-{uuid.uuid4().hex}")
+    write_ball_index(df, path, key=key, vec_col=vec)
+    return path
+
+
+@register("semantic_topk_index", _TOPK)
+def semantic_topk_index(spark, sf):
+    # V2 over a ball index: exact, balls whose bound is too low are not read
+    from vitrina.operators.vector_index import search_index
+    vec = vectors(spark, sf)
+    q = V.mean_vector(vec.filter(F.col("label") == 3), "vector")
+    return search_index(spark, _indexed(spark, sf, vec.select("id", "vector"), "id", "vector"), papers_from_documents(table(spark, sf, "documents")), q, k=10)
+
+
+@register("semantic_batch_index", _BATCH)
+def semantic_batch_index(spark, sf):
+    # W3 over a ball index
+    from vitrina.operators.vector_index import topk_index
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("vector"))
+    t = topk_index(centroids(spark, sf), _indexed(spark, sf, e, "id", "vector"), 5, "label", "q")
+    return t.select(F.col("q_id").alias("label"), F.col("c_id").alias("vec_id"), F.round("score", 6).alias("score"), "rank")
+
+
 @register("semantic_cross", """
 WITH s AS (
   SELECT a.label, CAST(a.vec_id AS VARCHAR) AS vec_id, CAST(b.vec_id AS VARCHAR) AS match_id,
