@@ -89,6 +89,36 @@ def test_loose_spans_need_support(spark):
     assert not any(found[2000 + i][1] for i in range(200))
 
 
+def test_secrets_need_support(spark):
+    """Tokens after a word for them count; digests of commits and files of the same form do not."""
+    rng = random.Random(6)
+    hexes = lambda n, chars="0123456789abcdef": "".join(rng.choice(chars) for _ in range(n))
+    rows = []
+    for i in range(120):
+        rows.append((i, f'and token = "{hexes(40)}" for it'))
+        rows.append((1000 + i, f"api_key: ghp_{hexes(36)} thanks"))
+        rows.append((2000 + i, f"fixed in commit {hexes(40)} of the branch"))
+        rows.append((3000 + i, f"file sha256: {hexes(64)} and so on"))
+        rows.append((4000 + i, f"x{hexes(40)}y and {hexes(31)}"))
+    found = got(spark.createDataFrame(rows, "doc_id long, text string"))
+    # a run of digits within a token may be a card by the strict format, which then stands for that place
+    added = lambda i: [x for x in found[i][1] if x not in found[i][0]]
+    assert all(len(added(k + i)) == 1 or found[k + i][0] for k in (0, 1000) for i in range(120))
+    assert added(1) == [(13, 4, 53)] or found[1][0]
+    assert not any(added(k + i) for k in (2000, 3000, 4000) for i in range(120))
+
+
+def test_the_method_adds_spans_on_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = got(docs)
+    want = set()
+    for r in docs.collect():
+        for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"] or ""):
+            if not any(s < m.end(1) and m.start(1) < e for s, _, e in base(r["text"])):
+                want.add((r["doc_id"], m.start(1), 4, m.end(1)))
+    assert {(i, *x) for i, (b, a) in found.items() for x in a if x not in b} == want and len(want) > 5
+
+
 def test_em_finds_the_reliable_labeler():
     rng = random.Random(9)
     counts = {}

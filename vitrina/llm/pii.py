@@ -1,6 +1,7 @@
 """Personal data by weak supervision.
 
-Candidates come from strict and loose patterns for four kinds of data.  Labelers
+Candidates come from strict and loose patterns for four kinds of personal data and for secrets (access
+tokens and keys), which have no strict format of their own.  Labelers
 vote on each candidate, for (1), against (-1) or not at all (0): does it hold
 to the strict format, is its prefix or suffix in a gazetteer, does a word
 nearby speak of the kind, does it stand free of letters and digits.
@@ -11,7 +12,7 @@ on votes and shape, which decides the candidates.  Spans of the strict format al
 Texts are matched in the row, with SQL functions; candidates, a few per text,
 are the only rows that are shuffled.  The two models are fitted on tables of
 distinct (kind, votes, shape) with their counts, which have at most
-4 * 3**4 * 9 rows however many candidates there are.
+5 * 3**4 * 9 rows however many candidates there are.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 
 from vitrina.llm.common import checkpointed
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+#: Those with a strict format.
+BASE_KINDS = KINDS[:4]
 
 #: Strict patterns: the fixed ones of the contract, written without backtracking so that long runs cost linear time.
 STRICT = {
@@ -37,6 +40,7 @@ LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
     "card": r"(?<![0-9.])[0-9]{4}(?:\.[0-9]{4}){3}(?![0-9.])",
+    "secret": r"(?<![0-9A-Za-z_-])(?:[0-9A-Fa-f]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|(?:sk|pk|rk)[_-][0-9A-Za-z_-]{20,}|xox[abprs]-[0-9A-Za-z-]{10,})(?![0-9A-Za-z_-])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z.-])",
 }
 #: A part of an address, 0 to 255.
@@ -45,15 +49,20 @@ _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Gazetteers: endings of mail domains, first digits of cards, country codes.
 DOMAINS = ("com", "net", "org", "edu", "gov", "io", "info", "biz", "example", "invalid", "uk", "de", "fr", "es", "it", "nl", "eu", "us", "ca", "au", "jp", "cn", "in", "br")
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|6011|62|64|65|35)"
+#: Beginnings of keys by who issues them, and lengths that tokens in hexadecimal have, as digests of files do.
+KEY_ISSUERS = r"^(?:AKIA|gh[pousr]_|[spr]k[_-]|xox)"
+KEY_LENGTHS = r"^(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64})$"
 COUNTRY_CODES = r"^(?:\+|00)?(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 #: Words that speak of a kind when they stand shortly before it.
 CONTEXT = {
     "email": r"(?i)\b(?:e-?mail|mail|contact|write|correo|courriel|reply|address)\b",
     "ip": r"(?i)\b(?:ip|host|server|address|login|from|client|ping)\b",
     "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|payment|tarjeta|karte|carte)\b",
+    "secret": r"(?i)\b(?:token|secret|key|apikey|passw(?:or)?d|pwd|auth(?:orization)?|bearer|credentials?|contraseña|kennwort|passwort|clave|clé)\b",
     "phone": r"(?i)\b(?:phone|tel|telephone|mobile|cell|call|fax|whatsapp|sms|handy|telefon|tel[eé]fono)\b",
 }
-AGAINST = r"(?i)\b(?:version|isbn|order|invoice|section|chapter|serial|no|nr|id|ref)\b[.:#]?\x20?$"
+ASSIGNED = r"[\"']?\x20?[:=]\x20?[\"']?$"
+AGAINST = r"(?i)\b(?:version|isbn|order|invoice|section|chapter|serial|no|nr|id|ref|commit|sha-?[0-9]{0,3}|md5|checksum|digest|etag|uuid)\b[.:#=]?\x20?[\"']?$"
 
 LABELERS = ("format", "gazetteer", "context", "border")
 #: Share of candidates and reliabilities before the first step: labelers are taken to be right more often than not.
@@ -95,7 +104,11 @@ def _matches(text: Column) -> Column:
     made = []
     for kind in KINDS:
         needs = text.contains("@") if kind == "email" else text.rlike("[0-9]")
-        for strict, pattern in ((True, STRICT[kind]), (False, LOOSE[kind])):
+        for strict, pattern in ((True, STRICT.get(kind)), (False, LOOSE[kind])):
+            if pattern is None:
+                continue
+            if kind == "secret":
+                needs = F.octet_length(text) >= 20
             if kind == "email" and not strict:
                 needs = text.contains("at)") | text.contains("at]")
             found = F.when(needs, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
@@ -136,13 +149,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                    F.col("s.left").alias("left"), F.col("s.right").alias("right")))
     kind, span = F.col("kind"), F.col("span")
     digits = F.length(_digits(span))
-    by_kind = lambda table: F.when(kind == KINDS[0], F.col("left").rlike(table[KINDS[0]])).when(kind == KINDS[1], F.col("left").rlike(table[KINDS[1]])).when(
-        kind == KINDS[2], F.col("left").rlike(table[KINDS[2]])).otherwise(F.col("left").rlike(table[KINDS[3]]))
+    by_kind = F.coalesce(*[F.when(kind == k, F.col("left").rlike(CONTEXT[k])) for k in KINDS], F.lit(False))
     known = (F.when(kind == "email", F.regexp_extract(F.lower(span), r"([a-z0-9-]+)$", 1).isin(*DOMAINS))
-             .when(kind == "ip", ~span.rlike(r"^0*(?:0|255)\.")).when(kind == "card", _digits(span).rlike(ISSUERS)).otherwise(span.rlike(COUNTRY_CODES)))
+             .when(kind == "ip", ~span.rlike(r"^0*(?:0|255)\.")).when(kind == "card", _digits(span).rlike(ISSUERS))
+             .when(kind == "secret", F.when(span.rlike(KEY_ISSUERS), True).when(~span.rlike(KEY_LENGTHS), False)).otherwise(span.rlike(COUNTRY_CODES)))
     touching = F.col("left").rlike(r"[\p{L}\p{N}]$") | F.col("right").rlike(r"^[\p{L}\p{N}]")
-    votes = {"format": F.when(F.col("strict"), F.when(F.col("ok"), 1).otherwise(-1)).otherwise(0), "gazetteer": _vote(known, ~known),
-             "context": _vote(by_kind(CONTEXT), F.col("left").rlike(AGAINST)), "border": _vote(~touching, touching)}
+    # a secret's format is that it is assigned to a word for it; that it is drawn from letters and digits alike holds for digests too
+    drawn = span.rlike("[0-9]") & span.rlike("[A-Za-z]")
+    votes = {"format": F.when(kind == "secret", F.when(F.col("left").rlike(CONTEXT["secret"] + ASSIGNED), 1).when(drawn, 0).otherwise(-1)).when(F.col("strict"), F.when(F.col("ok"), 1).otherwise(-1)).otherwise(0), "gazetteer": _vote(known, ~known),
+             "context": _vote(by_kind & ~F.col("left").rlike(AGAINST), F.col("left").rlike(AGAINST)), "border": _vote(~touching, touching)}
     shape = F.when(digits <= 8, 0).when(digits <= 12, 1).otherwise(2) * 3 + F.when(F.length(span) <= digits, 0).when(F.length(span) <= digits + 4, 1).otherwise(2)
     out = one.withColumn("ok", F.col("strict") & _strict_ok(kind, span)).withColumns({k: v.cast("int") for k, v in votes.items()}).withColumn("shape", shape.cast("int"))
     # a lone number is no candidate for a card
@@ -212,7 +227,7 @@ def find_pii(docs: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", te
     repeated rows are returned as often as they occur; other columns are ignored; no rows give no rows.
     """
     found = checkpointed(candidates(docs, id_col, text_col))
-    table = found.where("kind IS NOT NULL").groupBy("kind", *LABELERS, "shape").agg(F.count("*").alias("c")).collect()  # at most 4 * 3**4 * 9 rows
+    table = found.where("kind IS NOT NULL").groupBy("kind", *LABELERS, "shape").agg(F.count("*").alias("c")).collect()  # at most 5 * 3**4 * 9 rows
     score = F.lit(None).cast("double")
     for kind in KINDS:
         rows = [({k: r[k] for k in LABELERS}, r["shape"], r["c"]) for r in table if r["kind"] == kind]

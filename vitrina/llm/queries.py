@@ -72,9 +72,10 @@ def op5_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data of every document: counts and digest of the strict spans, and all spans."""
+    """Personal data of every document: counts and digest of the strict spans, all spans, and how many the method adds."""
     found = pii.find_pii(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", *[pii.count_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[pii.count_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
+                        pii.count_kind(F.col("spans"), "secret").alias("n_secret"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
 
 
 @query()
