@@ -1,8 +1,8 @@
 """Catalogue search.
 
 ``search`` only builds Column predicates and one ordered limit, so Catalyst
-pushes ``source`` / ``type`` / ``date_iso`` filters into the Parquet scan and
-plans the limit as ``TakeOrderedAndProject`` (a per-partition top-k, then a
+pushes ``date_iso`` bounds into the Parquet scan (``source`` and ``type`` are compared loosely, after it;
+``operators.stored`` resolves them before) and plans the limit as ``TakeOrderedAndProject`` (a per-partition top-k, then a
 merge of k rows per task): no full sort and no shuffle of the matches.
 """
 
