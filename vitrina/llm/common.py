@@ -25,6 +25,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows from which a kept table has more than one partition.
+KEPT_ROWS = 100_000
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``checkpointed``, in partitions that suit its number of rows: a small table then costs the shuffles after it few files."""
+    df = checkpointed(df)
+    return df.coalesce(-(-max(df.count(), 1) // KEPT_ROWS))
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z, all else as it is."""
     return F.translate(c, UPPER, UPPER.lower())

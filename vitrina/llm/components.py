@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import checkpointed
+from vitrina.llm.common import kept
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     Steps end when the links no longer change (their number grows with the
     logarithm of the longest path).
     """
-    edges = checkpointed(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = kept(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
     while True:
         # large star: larger neighbours go to the smallest of the node and its neighbours
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = checkpointed(small.where("u <> v").distinct())
+        edges = kept(small.where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == seen:
             break
