@@ -13,8 +13,9 @@ differ in more than a few shingles, and that bound gives keys that it must share
 The size at which the second way takes over is chosen by cost from the histogram
 of set sizes.  Lists are scanned after one shuffle by key.  A list of few
 members gives all its pairs; a long one gives pairs with its smallest member
-only.  If one of these turns out not to link, the members of the list are compared with its most
-central one, and then by inverted lists of their rarest shingles, unless they are connected by then.
+only.  If one of these turns out not to link, and the list's members do not all come to lie in one
+component by other lists, they are compared with the list's most central one, and what is
+then still apart by inverted lists of its rarest shingles.
 So a group of near copies costs a number of pairs in proportion to its size, and
 no link between different texts is lost.  Every pair is verified on the whole sets.
 """
@@ -27,10 +28,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import checkpointed, wrapped
+from vitrina.llm.common import checkpointed, kept, wrapped
 from vitrina.llm.components import components
 from vitrina.llm.tokens import mix, salt, shingle_sets
 from vitrina.session import ship_package
@@ -41,6 +43,11 @@ SHORT = 16
 LIST_COST = 4
 #: Sizes that are considered for the boundary.
 MAX_SMALL = 48
+#: Members of a list whose sketches say what its content usually is.
+VOTERS = 64
+#: Hash buckets in which shingles are counted at most (4 bytes each, broadcast), and buckets a row.
+MAX_BUCKETS = 1 << 23
+SLICE = 1 << 14
 #: Document ids that are broadcast at most (16 bytes each); beyond, the same join is a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
 
@@ -250,13 +257,48 @@ def _sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return run
 
 
-def _items(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(h + salt(11)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _bucket_counts(k: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (slice, counts) of a task: shingles by hash bucket, ``SLICE`` buckets a row; slices without any are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            for _, _, h in shingle_sets(batch.column(1).to_pylist(), k):
+                np.add.at(counts, _bucket(h, bits), 1)
+        rows = [(i, counts[i * SLICE : (i + 1) * SLICE]) for i in range((1 << bits) // SLICE)]
+        rows = [(i, zstandard.compress(c.tobytes())) for i, c in rows if c.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.binary())], ["slice", "counts"])
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = np.zeros(SLICE, np.uint32)
+    for c in table.column("counts"):
+        total += np.frombuffer(zstandard.decompress(c.as_py()), np.uint32)
+    return pa.table([table.column("slice").combine_chunks().slice(0, 1), pa.array([zstandard.compress(total.tobytes())], pa.binary())], ["slice", "counts"])
+
+
+def _prefixes(k: int, num: int, den: int, often) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (g, id, n, place, indexed) of the first shingles of each set, rare ones first, as far as a partner must share one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = len(often.value).bit_length() - 1
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for first, bounds, h in shingle_sets(batch.column(1).to_pylist(), k):
                 n = np.diff(bounds)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.repeat(ids[first : first + len(n)], n)), pa.array(np.repeat(n, n).astype(np.int32))], ["g", "id", "n"])
+                of = np.repeat(np.arange(len(n)), n)
+                order = np.lexsort((h, often.value[_bucket(h, bits)], of))
+                h, place = h[order], np.arange(len(h)) - np.repeat(bounds[:-1], n) + 1
+                probe, index = n + num * n // -den + 1, n + 2 * n * num // -(num + den) + 1
+                take = place <= probe[of]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[take].view(np.int64)), pa.array(ids[first : first + len(n)][of[take]]), pa.array(n[of[take]].astype(np.int32)),
+                     pa.array(place[take].astype(np.int32)), pa.array((place <= index[of])[take])], ["g", "id", "n", "place", "indexed"])
     return run
 
 
@@ -328,6 +370,29 @@ def _links(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return run
 
 
+def _usual(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row's sketches the byte that most have, cell by cell."""
+    for batch in batches:
+        out = []
+        for x in batch.column(2):
+            rows = np.stack([np.frombuffer(b.as_buffer(), np.uint8) for b in x.values])
+            main = np.empty(rows.shape[1], np.uint8)
+            for at in range(0, rows.shape[1], 4096):
+                part = rows[:, at : at + 4096]
+                seen = np.zeros((part.shape[1], 256), np.int32)
+                np.add.at(seen, (np.broadcast_to(np.arange(part.shape[1]), part.shape), part), 1)
+                main[at : at + 4096] = seen.argmax(axis=1)
+            out.append(main.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["key", "level", "usual"])
+
+
+def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, level, a, c, cells in which a sketch has its list's usual byte)."""
+    for batch in batches:
+        score = [int(np.count_nonzero(np.frombuffer(x.as_buffer(), np.uint8) == np.frombuffer(y.as_buffer(), np.uint8))) for x, y in zip(batch.column(4), batch.column(5), strict=True)]
+        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(score, pa.int64())], ["key", "level", "a", "c", "score"])
+
+
 # --- the join ------------------------------------------------------------------------------------------------------
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -346,56 +411,86 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     A linked pair has more than a few cells alike; sketches of a byte a cell
     sort out most others, so that few pairs are verified by the whole sets.
     """
-    ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("p_id")).distinct())
+    ids = _ids(pairs)
     wanted = _only(texts, ids, F.col("doc_id") == F.col("p_id"))
-    sketch = checkpointed(wanted.mapInArrow(_sketches(k, num, den), "id long, level int, own binary, below binary")
-                          .groupBy("id").agg(F.max(F.struct("level", "own", "below")).alias("s")))
+    sketch = kept(wanted.mapInArrow(_sketches(k, num, den), "id long, level int, own binary, below binary")
+                  .groupBy("id").agg(F.max(F.struct("level", "own", "below")).alias("s")))
     beside = (pairs.join(sketch.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
               .join(sketch.select(F.col("id").alias("b"), F.col("s").alias("y")), "b"))
-    alike = checkpointed(beside.select("a", "b", "x.*", *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("level", "own", "below")]).mapInArrow(_alike(num, den), "a long, b long"))
-    ids = checkpointed(alike.select(F.explode(F.array("a", "b")).alias("p_id")).distinct())
+    alike = kept(beside.select("a", "b", "x.*", *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("level", "own", "below")]).mapInArrow(_alike(num, den), "a long, b long"))
+    ids = _ids(alike)
     sets = _only(texts, ids, F.col("doc_id") == F.col("p_id")).mapInArrow(_sets(k), "id long, items binary")
     one = checkpointed(sets.groupBy("id").agg(F.max("items").alias("items")))  # ids that repeat have one set
     both = (alike.join(one.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
             .join(one.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y"))
     linked = both.mapInArrow(_links(num, den), "a long, b long, ok boolean")
-    return checkpointed(pairs.select("a", "b").join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("ok", F.lit(False)).alias("ok")))
+    return kept(pairs.select("a", "b").join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("ok", F.lit(False)).alias("ok")))
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    """The documents ``p_id`` of ``pairs (a, b)``."""
+    return kept(pairs.select(F.col("a").alias("p_id")).distinct().unionByName(pairs.select(F.col("b").alias("p_id")).distinct()).distinct())
+
+
+def _often(texts: DataFrame, total: int, k: int) -> np.ndarray:
+    """How often the shingles of ``texts`` occur, counted together for shingles of one hash bucket.
+
+    The table has about as many buckets as there are shingles, up to ``MAX_BUCKETS``, and is put
+    together from a row for each task and slice.  It only orders shingles, so bucket-mates do no harm.
+    """
+    bits = min(max(total.bit_length(), 16), MAX_BUCKETS.bit_length() - 1)
+    parts = texts.mapInArrow(_bucket_counts(k, bits), "slice int, counts binary")
+    added = parts.groupBy("slice").applyInArrow(_added, "slice int, counts binary").collect()  # one row for each slice
+    out = np.zeros(1 << bits, np.uint32)
+    for r in added:
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(zstandard.decompress(r["counts"]), np.uint32)
+    return out
+
+
+def _apart(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Of ``members (key, a)``, with their component ``c``, the lists that lie in several components."""
+    placed = members.select("key", "a").join(comp, F.col("a") == F.col("node"), "left").select("key", "a", F.coalesce("component", "a").alias("c"))
+    spread = placed.groupBy(F.col("key").alias("s_key")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s_key")
+    return kept(placed.join(spread, F.col("key") == F.col("s_key"), "left_semi"))
 
 
-def _shared_items(ids: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(g, id, n, c, place) of the shingles that several of the documents ``ids (m_id)`` have.
+def _central_pairs(members: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) across components of each list's most central member with the others.
 
-    ``c`` of them have it; ``place`` counts a set's shingles in ascending order of ``c``,
-    those that no other document has first.
+    A list's usual content is, cell by cell, what most of ``VOTERS`` of its members
+    have in their sketches; its central member is the one, of all, that has most of it.
+    Which member that is decides only how many pairs are left to the next round.
     """
-    items = checkpointed(_only(texts, ids, F.col("doc_id") == F.col("m_id")).mapInArrow(_items(k), "g long, id long, n int").distinct())
-    shared = items.groupBy("g").agg(F.count("*").alias("c")).where("c > 1")
-    own = Window.partitionBy("id")
-    place = F.row_number().over(own.orderBy("c", "g")) + F.col("n") - F.count("*").over(own)
-    return checkpointed(items.join(shared, "g").withColumn("place", place))
-
-
-def _central_pairs(members: DataFrame, shared: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each list's most central member, whose shingles most of the others have, with the rest of the list."""
-    score = shared.groupBy("id").agg((F.sum("c") / F.max("n")).alias("score"))
-    scored = members.join(score, F.col("a") == F.col("id"), "left").select("key", "a", F.coalesce("score", F.lit(0.0)).alias("score"))
-    center = scored.groupBy(F.col("key").alias("c_key")).agg(F.max_by("a", F.struct("score", -F.col("a"))).alias("center"))
-    return (scored.join(center, F.col("key") == F.col("c_key")).where("a <> center")
+    ids = kept(members.select(F.col("a").alias("m_id")).distinct())
+    sketch = (_only(texts, ids, F.col("doc_id") == F.col("m_id")).mapInArrow(_sketches(k, num, den), "id long, level int, own binary, below binary")
+              .groupBy("id").agg(F.max(F.struct("level", "own")).alias("s")).select("id", "s.level", "s.own"))
+    drawn = checkpointed(members.join(sketch, F.col("a") == F.col("id")).select("key", "level", "a", "c", "own"))
+    order = Window.partitionBy("key", "level").orderBy(F.xxhash64("a"), "a")
+    voters = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= VOTERS)
+    usual = (voters.groupBy("key", "level").agg(F.collect_list("own").alias("own")).mapInArrow(_usual, "key long, level int, usual binary")
+             .select(F.col("key").alias("u_key"), F.col("level").alias("u_level"), "usual"))
+    scored = drawn.join(usual, (F.col("key") == F.col("u_key")) & (F.col("level") == F.col("u_level"))).select("key", "level", "a", "c", "own", "usual")
+    scored = scored.mapInArrow(_agreement, "key long, level int, a long, c long, score long")
+    center = (scored.groupBy(F.col("key").alias("c_key"), "level").agg(F.max_by(F.struct("a", "c"), F.struct("score", -F.col("a"))).alias("center"))
+              .select("c_key", F.col("center.a").alias("center"), F.col("center.c").alias("center_c")).distinct())
+    return (members.join(center, F.col("key") == F.col("c_key")).where("c <> center_c")
             .select(F.least("a", "center").alias("a"), F.greatest("a", "center").alias("b")).distinct())
 
 
-def _prefix_pairs(shared: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
+def _prefix_pairs(members: DataFrame, comp: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Candidate pairs (a, b) across components, by inverted lists of the rarest shingles.
 
-    In the order of ``place``, two sets that link share a shingle among the first
+    In one order of all shingles, rare ones first, two sets that link share a shingle among the first
     ``b - least overlap with any smaller partner + 1`` of the larger and the first
-    ``a - least overlap with its own size + 1`` of the smaller set.  Near copies of one text that
-    differ too much to link have shingles of their own in front, so most do not meet.
+    ``a - least overlap with its own size + 1`` of the smaller set, so no more than these are
+    handed on.  Near copies of one text that differ too much to link have shingles of their own in
+    front, so most do not meet.
     """
-    n = F.col("n").cast("long")
-    probe = n - F.ceil(n * num / F.lit(den)) + 1
-    index = n - F.ceil(2 * n * num / F.lit(num + den)) + 1
-    first = shared.where(F.col("place") <= probe).select("g", "id", "n", "place", (F.col("place") <= index).alias("indexed"))
+    ids = kept(members.select(F.col("a").alias("m_id")).distinct())
+    wanted = _only(texts, ids, F.col("doc_id") == F.col("m_id"))
+    total = wanted.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 4
+    often = wanted.sparkSession.sparkContext.broadcast(_often(wanted, total, k))  # MAX_BUCKETS numbers at most
+    first = wanted.mapInArrow(_prefixes(k, num, den, often), "g long, id long, n int, place int, indexed boolean").distinct()
     first = checkpointed(first.join(comp, F.col("id") == F.col("node"), "left").select("g", "id", "n", "place", "indexed", F.coalesce("component", "id").alias("c")))
     x = first.where("indexed").select("g", F.col("id").alias("x"), F.col("n").alias("x_n"), F.col("c").alias("x_c"), F.col("place").alias("x_p"))
     y = first.select("g", F.col("id").alias("y"), F.col("n").alias("y_n"), F.col("c").alias("y_c"), F.col("place").alias("y_p"))
@@ -426,7 +521,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
     copies = (slim.join(same.where("c > 1").withColumnsRenamed({"n": "r_n", "s1": "r_1", "s2": "r_2"}),
                         (F.col("n") == F.col("r_n")) & (F.col("s1") == F.col("r_1")) & (F.col("s2") == F.col("r_2")))
               .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).where("u <> v").distinct())
-    copies = checkpointed(copies)
+    copies = kept(copies)
     histogram = {r["n"]: r["c"] for r in slim.where(F.col("n").between(1, MAX_SMALL * 2)).groupBy("n").agg(F.count("*").alias("c")).collect()}
     small = boundary(histogram, num, den)
 
@@ -442,13 +537,13 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
             pairs = pairs.join(named, F.col(c) == F.col("copy"), "left").withColumn(c, F.coalesce("rep", c)).drop("copy", "rep")
         return pairs.withColumn("lo", F.least("a", "b")).withColumn("hi", F.greatest("a", "b")).where("lo <> hi").drop("a", "b").withColumnsRenamed({"lo": "a", "hi": "b"})
 
-    found = checkpointed(by_rep(found).distinct())
+    found = kept(by_rep(found).distinct())
     checked = _verified(found.select("a", "b").distinct(), texts, k, num, den)
     links = checked.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(copies)
-    comp = checkpointed(components(links))
+    comp = kept(components(links))
 
     # long lists in which a pair with the pivot does not link: their members are compared across components
-    open_keys = checkpointed(found.where("key IS NOT NULL").join(checked.where("NOT ok"), ["a", "b"]).select("key").distinct())
+    open_keys = kept(found.where("key IS NOT NULL").join(checked.where("NOT ok"), ["a", "b"]).select("key").distinct())
     n_open = open_keys.count()
     if n_open:
         if n_open <= MAX_BROADCAST_IDS:
@@ -456,14 +551,19 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, i
             again = known.mapInArrow(_postings(k, small, num, den, only), "key long, a long, b long")
         else:
             again = known.mapInArrow(_postings(k, small, num, den, None, False), "key long, a long, b long").join(open_keys, "key", "left_semi")
-        members = checkpointed(again.select("key", "a").join(named, F.col("a") == F.col("copy"), "left").select("key", F.coalesce("rep", "a").alias("a")).distinct())
-        shared = _shared_items(members.select(F.col("a").alias("m_id")).distinct(), texts, k, num, den)
+        members = kept(again.select("key", "a").join(named, F.col("a") == F.col("copy"), "left").select("key", F.coalesce("rep", "a").alias("a")).distinct())
         for step in ("center", "prefix"):
-            cross = _central_pairs(members, shared) if step == "center" else _prefix_pairs(shared, comp, num, den)
-            more = _verified(checkpointed(cross.join(checked.select("a", "b"), ["a", "b"], "left_anti")), texts, k, num, den)
+            members = _apart(members, comp)
+            if members.isEmpty():
+                break
+            if step == "center":
+                cross = _central_pairs(members, texts, k, num, den)
+            else:
+                cross = _prefix_pairs(members, comp, texts, k, num, den)
+            more = _verified(kept(cross.join(checked.select("a", "b"), ["a", "b"], "left_anti")), texts, k, num, den)
             checked = checked.unionByName(more)
             links = links.unionByName(more.where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")))
-            comp = checkpointed(components(links))
+            comp = kept(components(links))
     return (slim.join(comp, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 
