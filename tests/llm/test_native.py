@@ -1,11 +1,13 @@
 """Mixing, quality rules, URL filter, decontamination and quotation linking against plain versions."""
 
 import itertools
+import math
 import random
 import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +111,63 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert got == {r["doc_id"]: r["kept"] for r in quality.quality_rules(spark.createDataFrame(rows[::-1], "doc_id long, text string, lang string, source string, n_chars long")).collect()}
 
 
+def plain_mcd(x):
+    """Squared distances to the estimate of one group, with numpy: two starts, concentration steps on the nearest rows."""
+    floors, k = np.array(quality.FLOORS), len(quality.FEATURES)
+    data = x / quality.UNIT
+
+    def factor(c):
+        low = np.zeros((k, k))
+        for i in range(k):
+            for j in range(i + 1):
+                rest = c[i, j] - low[i, :j] @ low[j, :j]
+                low[i, j] = math.sqrt(max(rest, floors[i] ** 2 / 4)) if i == j else rest / low[j, j]
+        return low
+
+    def moments(rows):
+        return rows.mean(axis=0), factor(np.cov(rows.T, bias=True) + np.diag(floors**2))
+
+    def distance(mean, low):
+        return (np.linalg.solve(low, (data - mean).T) ** 2).sum(axis=0)
+
+    cells = np.sort(x // (quality.UNIT // 100), axis=0)
+    median = cells[(len(x) + 1) // 2 - 1] / 100 + 0.005
+    found = []
+    for start, (mean, low) in enumerate([(median, factor(np.diag(4 * floors**2))), moments(data)]):
+        for _ in range(quality.STEPS):
+            bins = np.floor(np.log2(1e-9 + distance(mean, low)) * 64)
+            last = min(b for b in np.unique(bins) if (bins <= b).sum() >= quality.SUPPORT * len(x))
+            mean, low = moments(data[bins <= last])
+        found.append((2 * np.log(np.diag(low)).sum(), start, mean, low))
+    _, _, mean, low = min(found, key=lambda f: f[:2])
+    return lambda rows: (np.linalg.solve(low, (rows / quality.UNIT - mean).T) ** 2).sum(axis=0)
+
+
+def test_verdicts_by_a_plain_estimate(spark):
+    rng = np.random.default_rng(5)
+    groups, rows = {("en", "a"): 260, ("en", "b"): 150, ("en", "few"): 30, ("de", "a"): 130, (None, None): 12}, []
+    for (lang, source), n in groups.items():
+        mix = rng.normal(size=(4, 4))
+        x = np.abs(rng.normal(size=(n, 4)) @ mix * 800 + rng.uniform(3000, 16000, 4))
+        x[: n // 8] *= rng.uniform(0.1, 6, (n // 8, 1))  # outliers
+        rows += [(i, lang, source, False, *map(int, v)) for i, v in enumerate(np.round(x))]
+    ddl = "doc_id long, lang string, source string, base_failed boolean, " + ", ".join(f"{f} long" for f in quality.FEATURES)
+    df = spark.createDataFrame(rows, ddl).repartition(3)
+    got = {(r["lang"], r["source"], r["doc_id"]): (r["distance2"], r["kept"]) for r in quality.judged(df, df).collect()}
+    values = lambda keep: np.array([r[4:] for r in rows if keep(r)])
+    gone = 0
+    for lang, source in groups:
+        own = [r for r in rows if r[1:3] == (lang, source)]
+        # a group of fewer than MIN_GROUP takes its language's estimate, a language of fewer that of all
+        pool = values(lambda r: r[1:3] == (lang, source)) if len(own) >= quality.MIN_GROUP else values(lambda r: r[1] == lang)
+        pool = pool if len(pool) >= quality.MIN_GROUP else values(lambda r: True)
+        want = plain_mcd(pool)(np.array([r[4:] for r in own]))
+        assert [got[lang, source, r[0]][0] for r in own] == pytest.approx(want.tolist(), rel=1e-6)
+        assert [got[lang, source, r[0]][1] for r in own] == (want <= quality.CUT).tolist()
+        gone += (want > quality.CUT).sum()
+    assert gone > 10
+
+
 def test_quality_odd_tables(clashing, no_docs):
     assert quality.quality_rules(no_docs).count() == 0 and quality.keep_good(no_docs).count() == 0
     out = quality.keep_good(clashing)
