@@ -211,6 +211,14 @@ def test_url_odd_tables(spark):
     assert urls.filter_urls(pages, both).count() == 3 and urls.filter_urls(pages.limit(0), both).count() == 0
 
 
+def test_url_model_on_urls_it_has_not_seen(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    r = urls.held_out_accuracy(urls.labelled_by_rules(pages)).first()
+    assert r["n"] > 100 and r["accuracy"] > 0.95 and r["accuracy"] > r["majority"] + 0.1
+    none = spark.createDataFrame([("x://a/b", 1.0)], "url string, label double")
+    assert urls.held_out_accuracy(none).first()["accuracy"] is None
+
+
 # --- decontamination ---
 
 def toks(t):

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import lower_ascii
+from vitrina.llm.common import checkpointed, lower_ascii
 
 #: Fixed rules of the contract: (verdict, host, path prefix).
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -93,3 +93,19 @@ def labelled_by_rules(pages: DataFrame, rules=RULES) -> DataFrame:
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
     return (with_host_path(pages.select("url")).withColumn("verdict", verdict).where("verdict IS NOT NULL")
             .select("url", (F.col("verdict") == "allow").cast("double").alias("label")))
+
+
+def held_out_accuracy(labelled: DataFrame, share: int = 5, max_train: int = MAX_TRAIN) -> DataFrame:
+    """One row on the model over labelled URLs that it has not seen: ``n, accuracy, majority`` (the share of the commoner label).
+
+    One in ``share`` distinct (host, path) is held out, by the crc32 of both; the model learns from the others.
+    Rows without a label are left out; without held-out rows or a model both shares are null.
+    """
+    rows = with_host_path(labelled.where("label IS NOT NULL")).withColumn("out", F.crc32(F.concat_ws("\n", "host", "path").cast("binary")) % share == 0)
+    pages = rows.where("out").select(F.monotonically_increasing_id().alias("page_id"), "url", F.col("label").cast("double").alias("label"))
+    pages = checkpointed(pages)
+    seen = rows.where("NOT out").select("url", "label")
+    judged = filter_urls(pages, seen, (), max_train).where("score IS NOT NULL").select("page_id", (F.col("verdict") == "allow").alias("allow"))
+    right = judged.join(pages.select("page_id", "label"), "page_id").withColumn("ok", F.col("allow") == (F.col("label") == 1.0))
+    ones = F.avg("label")
+    return right.agg(F.count("*").alias("n"), F.avg(F.col("ok").cast("double")).alias("accuracy"), F.greatest(ones, 1 - ones).alias("majority"))
