@@ -66,6 +66,13 @@ def test_mix_matches_sql_and_targets(spark, docs, corpus):
     assert all(abs(taken[s] - target[s]) <= longest[s] for s in target)
 
 
+def test_mixed_documents_replace_a_column_of_that_name(docs):
+    had = docs.withColumn("Mix_Repeats", F.lit("x")).withColumn("a.b", F.lit(1))
+    out = mixing.mixed_documents(had)
+    assert out.columns == [*docs.columns, "a.b", "mix_repeats"]
+    assert sorted((r["doc_id"], r["mix_repeats"]) for r in out.collect()) == sorted((r["doc_id"], r["mix_repeats"]) for r in mixing.mixed_documents(docs).collect())
+
+
 def test_mix_odd_tables(clashing, no_docs, corpus):
     assert mixing.mix_sources(clashing).count() == len(corpus)
     assert mixing.mix_sources(no_docs).count() == 0

@@ -130,12 +130,13 @@ def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, share: fl
     """The documents that the mix takes, with all their columns and ``mix_repeats``.
 
     A document that the mix leaves out (0 repeats) is not returned; writing the
-    mix repeats each row ``mix_repeats`` times.
+    mix repeats each row ``mix_repeats`` times.  A column of ``docs`` by that name is replaced.
     """
     _, plan = mix_plan(docs, weights, share, max_epochs, seed)
     p = plan.select(F.col("source").alias("p_source"), "whole", "last_h")
     rows = wrapped(docs, "doc_id", "source").join(p, F.col("source").eqNullSafe(F.col("p_source")))
-    return rows.withColumn("mix_repeats", repeats(seeded_hash(F.col("doc_id"), seed))).where("mix_repeats > 0").select("row.*", "mix_repeats")
+    return rows.withColumn("mix_repeats", repeats(seeded_hash(F.col("doc_id"), seed))).where("mix_repeats > 0").select(
+        *[F.col(f"row.`{c}`") for c in docs.columns if c.lower() != "mix_repeats"], "mix_repeats")
 
 
 #: DuckDB SQL of ``mix_sources(documents)`` with the default parameters.
