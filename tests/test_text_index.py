@@ -93,6 +93,18 @@ def test_a_rare_term_reads_few_texts(spark, stored):
     assert scanned(found("no such")) == 0 and scanned(found("")) == total
 
 
+def test_as_many_ranges_as_are_read(spark, catalog, tmp_path):
+    # every second item has the needle and every item is a block: the blocks lie in hundreds of ranges
+    even = F.col("n") % 2 == 0
+    items = spark.range(2 * X.MAX_RANGES + 200).withColumnRenamed("id", "n").select(
+        F.format_string("id-%05d", "n").alias("id"), F.when(even, "an even xyzzy").otherwise("odd").alias("title"),
+        *[F.lit("").alias(c) for c in ("source", "date_iso", "description", "type", "url")], F.array(F.lit("t")).alias("tags"))
+    X.write_indexed_catalog(build_catalog(items), str(tmp_path), block_rows=1, partitions=2)
+    found = X.search_indexed(spark, str(tmp_path), "xyzzy", limit=None)
+    assert [r["id"] for r in found.collect()] == [f"id-{i:05d}" for i in range(0, 2 * X.MAX_RANGES + 200, 2)]
+    assert X.search_indexed(spark, str(tmp_path), "".join(chr(0x4E00 + i) for i in range(2000))).count() == 0
+
+
 def test_ranges():
     assert X.block_ranges([]) == [] and X.block_ranges([5]) == [(5, 5)]
     assert X.block_ranges([3, 1, 2, 9, 8, 20]) == [(1, 3), (8, 9), (20, 20)]

@@ -21,7 +21,6 @@ even its rarest sequence cannot narrow that far is met by a join with its blocks
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -116,9 +115,15 @@ def write_indexed_catalog(df: DataFrame, path: str, block_rows: int = BLOCK_ROWS
     small(rows.write).option("parquet.page.row.count.limit", 256).parquet(f"{path}/grams")
 
 
+def _either(tests: list[Column]) -> Column:
+    """Whether one of several tests holds, as a tree as low as can be: a chain of hundreds overflows the planner's stack."""
+    half = len(tests) // 2
+    return _either(tests[:half]) | _either(tests[half:]) if half else tests[0]
+
+
 def _any_of(column: str, values: list[int]) -> Column:
     # equalities are pushed to the scan whatever their number; a long IN is not
-    return reduce(lambda a, b: a | b, [F.col(column) == v for v in values])
+    return _either([F.col(column) == v for v in values])
 
 
 def candidate_blocks(spark: SparkSession, path: str, needle: str) -> tuple[DataFrame | None, int | None]:
@@ -162,7 +167,7 @@ def narrowed(spark: SparkSession, path: str, texto: str | None, max_blocks: int
     ranges = block_ranges([r["block"] for r in blocks.collect()])  # at most max_blocks numbers
     if not ranges:
         return items.where("false")
-    return items.where(reduce(lambda a, b: a | b, [F.col("block").between(lo, hi) for lo, hi in ranges]))
+    return items.where(_either([F.col("block").between(lo, hi) for lo, hi in ranges]))
 
 
 def search_indexed(spark: SparkSession, path: str, texto: str, limit: int | None = 20, **criteria) -> DataFrame:
