@@ -107,6 +107,20 @@ def test_matches_the_plain_version(spark, talk, max_depth, min_word):
     assert sum(r[6] for r in held) > sum(r[5] for r in held) + 50  # contexts help on texts that were not learned from
 
 
+@pytest.mark.parametrize("params", [{}, {"hot": 0.004}, {"hot": 1.0}])
+def test_rare_contexts_and_next_words_take_part(spark, params):
+    """A corpus so large that 2^-16 of its tokens is more than what follows most words; sequences joined, broadcast, or some of either."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=40)) for _ in range(60)] + [f"q{i} r{i} s{i} t{i}" for i in range(40) for _ in range(20)]
+    texts += [" ".join(f"z{rng.randrange(10**9)}" for _ in range(2000)) for _ in range(45)]
+    texts += [f"u{i} v{i}" for i in range(50)]  # seen once
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, states = plain(rows, 2, 0.0, 0.0, 0.0)
+    assert want[0][4] * 2.0**-16 > 1 and states > 80
+    close([tuple(r) for r in pst.score_documents(df, **params).collect()], want)
+
+
 def test_probabilities_sum_to_one(spark, talk):
     df = spark.createDataFrame(talk, "doc_id long, text string").selectExpr("cast(text as binary) as text")
     tree, _, total, distinct = pst.train(df, max_depth=3, min_word=0.0, min_context=0.001, min_entry=0.0005)

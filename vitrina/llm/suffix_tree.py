@@ -1,27 +1,30 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-The tree's states are word contexts of up to ``max_depth`` words.  A context is a
-candidate if it makes up at least ``min_context`` of all training tokens, and
-becomes a state if its next-word distribution diverges enough from that of its
-longest proper suffix.  A state keeps the next words that make up at least
-``min_entry`` of all tokens with discounted probabilities; what is left goes
+The tree's states are word contexts of up to ``max_depth`` words.  Every context of the
+training texts is a candidate, and becomes a state if its next-word distribution
+diverges enough from that of its longest proper suffix.  A state keeps the next words that
+follow it twice or more with discounted probabilities; what is left goes
 to all other words in proportion to the suffix's distribution, down to add-one
 word frequencies.  A token is scored by the longest suffix of what precedes it
 that is a state.
 
-Word counts and context counts are taken over every training document: each task
-counts its own texts, and one shuffle adds the counts up.  By the two shares the
-tree has at most ``1/min_context`` contexts and ``1/min_entry`` next words for
-each depth, and at most ``1/min_word`` words are frequent, however large the
-corpus is; only those are held in memory and broadcast.  The frequency of any
-other word of a text is fetched by a join with the table of word counts, whose
-keys are all rare by construction.
+Words, contexts and next words are counted over every training document: each task
+counts its own texts, and one shuffle adds the counts up.  The tree is a table for each
+depth and grows with the corpus; the divergence test is a grouping by context.  With
+each state's factor for what is left, and each next word's share over what the suffix gives it,
+the logarithm of a text's probability is a sum over the word sequences in it,
+so a text fetches what it needs by one join on sequences.  Two bounded things are broadcast and save
+shuffling only: what makes up at least ``hot`` of all tokens, and
+one bit for each sequence's slot, which tells most sequences that no table holds.  A sequence is known by
+64 bits.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +32,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import checkpointed
-from vitrina.llm.tokens import salt, word_hashes
-from vitrina.session import ship_package
+from vitrina.llm.tokens import mix, salt, word_hashes
+from vitrina.session import scratch_path, ship_package
 
 MAX_DEPTH = 2
-MIN_WORD = 2.0**-20
-MIN_CONTEXT = 2.0**-16
-MIN_ENTRY = 2.0**-21
+#: Least shares of all tokens; by default every word, context and next word (seen twice) takes part.
+MIN_WORD = MIN_CONTEXT = MIN_ENTRY = 0.0
 DISCOUNT = 0.75
+#: What makes up this share of all tokens is held in memory rather than joined.
+HOT = 2.0**-20
+_SLOT_BITS = 27
 #: Hash of the token that ends a text.
 END = int(salt(31).view(np.int64))
 _BITS = 20  # a frequent word's number has this many bits
@@ -45,17 +50,21 @@ _HELD = 2_000_000
 
 
 class _Counter:
-    """Counts of 64-bit keys, merged as they come."""
+    """Counts of 64-bit keys, merged as they come, with columns that depend on the key."""
 
-    def __init__(self):
-        self.parts, self.size = [], 0
+    def __init__(self, *names: str):
+        self.names, self.parts, self.size = names, [], 0
 
-    def add(self, keys: np.ndarray) -> None:
-        self._put(*np.unique(keys, return_counts=True))
+    def add(self, keys: np.ndarray, *more: np.ndarray) -> None:
+        if more:
+            keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
+            self._put(keys, counts, *[x[first] for x in more])
+        else:
+            self._put(*np.unique(keys, return_counts=True))
 
-    def _put(self, keys, counts) -> None:
-        self.parts.append((keys, counts))
-        self.size += len(keys)
+    def _put(self, *columns) -> None:
+        self.parts.append(columns)
+        self.size += len(columns[0])
 
     def full(self) -> bool:
         if self.size > _HELD:
@@ -64,18 +73,19 @@ class _Counter:
 
     def merge(self) -> None:
         if len(self.parts) > 1:
-            keys, counts = np.concatenate([p[0] for p in self.parts]), np.concatenate([p[1] for p in self.parts])
+            keys, counts, *more = [np.concatenate(column) for column in zip(*self.parts, strict=True)]
             order = np.argsort(keys, kind="stable")
             keys, counts = keys[order], counts[order]
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             self.parts, self.size = [], 0
-            self._put(keys[first], np.add.reduceat(counts, first))
+            self._put(keys[first], np.add.reduceat(counts, first) if len(first) else counts, *[x[order[first]] for x in more])
 
     def batch(self) -> pa.RecordBatch:
+        """The keys, or where there are other columns those, and the counts."""
         self.merge()
-        keys, counts = self.parts[0] if self.parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        keys, counts, *more = self.parts[0] if self.parts else [np.zeros(0, np.int64)] * (2 + len(self.names))
         self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["key", "c"])
+        return pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in more or [keys]], pa.array(counts.astype(np.int64))], [*(self.names or ["key"]), "c"])
 
 
 def _tokens(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -92,9 +102,24 @@ def _lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
+def _sequence(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Key of a word sequence from those of the sequences without its last and without its first word."""
+    return mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(after + salt(32)))
+
+
+def _sequences(tokens: np.ndarray, bounds: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For one word, two words and so on: the places where a sequence within one text ends, and keys by place."""
+    place = np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
+    keys = tokens.view(np.uint64)
+    for n in range(most):
+        if n:
+            keys = np.r_[keys[:1], _sequence(keys[:-1], keys[1:])]
+        yield np.flatnonzero(place >= n), keys
+
+
 @dataclass
 class Tree:
-    """Frequent words and, by depth from 1, contexts and next words."""
+    """A tree in one memory: frequent words and, by depth from 1, contexts and next words."""
 
     words: np.ndarray  # hashes, ascending; a word's number is its place
     word_log: np.ndarray  # log10 of add-one frequencies
@@ -199,21 +224,72 @@ def _count_next(tree):
     return run
 
 
-def _score(tree):
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
+def _slots(tables: list[DataFrame]) -> np.ndarray:
+    """One bit for each slot that a key of the tables falls into: 16 MB whatever their size."""
+    slot = reduce(lambda a, b: a.unionByName(b), [t.select(F.shiftrightunsigned("key", 64 - _SLOT_BITS).alias("slot")) for t in tables])
+    got = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits")).toArrow()
+    bits = np.zeros(1 << (_SLOT_BITS - 6), np.uint64)
+    bits[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return bits
+
+
+def _in_slots(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = _slot(keys)
+    return bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == 1
+
+
+def _count_sequences(words: int, seen):
+    """Sequences of two words or more, by their longest beginning and longest end, both of which must be ``seen``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tree.value
+        held = _Counter("prefix", "suffix")
+        for batch in batches:
+            for _, bounds, tokens in _tokens(batch.column(0).to_pylist()):
+                *_, (_, shorter), (at, keys) = _sequences(tokens, bounds, words)
+                if seen is not None:
+                    ok = _in_slots(seen.value, shorter)
+                    at = at[ok[at] & ok[at - 1]]
+                held.add(keys[at], shorter[at - 1], shorter[at])
+                if held.full():
+                    yield held.batch()
+        yield held.batch()
+    return run
+
+
+def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        before, after = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(_sequence(before, after).view(np.int64)), *batch.columns[2:]], ["key", *batch.schema.names[2:]])
+
+
+def _score(shared, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, word_log, hot, hot_value, slots = shared.value
         for batch in batches:
             for first, bounds, tokens in _tokens(batch.column(2).to_pylist()):
                 m = len(bounds) - 1
-                ids = t.numbers(tokens)
-                known = ids >= 0
                 of = np.repeat(np.arange(m), np.diff(bounds))
-                sums = [np.bincount(of, x, m) for x in (known, np.where(known, t.word_log[np.maximum(ids, 0)] if len(t.word_log) else 0.0, 0.0), t.score(ids, bounds))]
-                rare = np.flatnonzero(~known)
+                place = _lookup(words, tokens)
+                known = place >= 0
+                base = np.bincount(of[known], word_log[place[known]], m).astype(float)
+                own, joined = np.zeros(m), [(of[~known], tokens[~known])]
+                for n, (at, keys) in enumerate(_sequences(tokens, bounds, most)):
+                    key = keys[at].view(np.int64)
+                    found = _lookup(hot, key)
+                    inside = found >= 0
+                    own += np.bincount(of[at[inside]], hot_value[found[inside]], m)
+                    if n:  # single words that are not hot are joined anyway
+                        cold = ~inside & _in_slots(slots, keys[at])
+                        joined.append((of[at[cold]], key[cold]))
+                text, key = (np.concatenate(x) for x in zip(*joined, strict=True))
+                order = np.argsort(text, kind="stable")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, m), batch.column(1).slice(first, m), pa.array(np.diff(bounds)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]),
-                     pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, bounds).astype(np.int32)), pa.array(tokens[rare]))],
-                    ["row", "doc_id", "n", "known", "base", "score", "rare"])
+                    [batch.column(0).slice(first, m), batch.column(1).slice(first, m), pa.array(np.diff(bounds)), pa.array(np.bincount(of[known], minlength=m)), pa.array(base), pa.array(base + own),
+                     pa.ListArray.from_arrays(pa.array(np.searchsorted(text[order], np.arange(m + 1)).astype(np.int32)), pa.array(key[order]))],
+                    ["row", "doc_id", "n", "known", "base", "score", "keys"])
     return run
 
 
@@ -227,10 +303,16 @@ def _collected(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return got.column("key").to_numpy().astype(np.int64), got.column("c").to_numpy().astype(np.int64)
 
 
-def train(texts: DataFrame, max_depth: int = MAX_DEPTH, min_word: float = MIN_WORD, min_context: float = MIN_CONTEXT, min_entry: float = MIN_ENTRY):
-    """(tree, table of word counts, tokens, distinct tokens) of ``texts (text binary)``."""
+def _word_counts(texts: DataFrame) -> tuple[DataFrame, int, int]:
+    """Table of word counts, tokens, distinct tokens."""
     counts = checkpointed(texts.mapInArrow(_count_words, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    return counts, total, distinct
+
+
+def train(texts: DataFrame, max_depth: int, min_word: float, min_context: float, min_entry: float):
+    """(tree, table of word counts, tokens, distinct tokens) of ``texts (text binary)``, the tree in memory: its size is bounded by the shares only."""
+    counts, total, distinct = _word_counts(texts)
     keys, c = _collected(counts.where(F.col("c") >= max(1, min_word * total)))
     tree = Tree(keys, np.log10((c + 1) / (total + distinct + 1)))
     end = _lookup(keys, np.array([END]))[0]
@@ -250,7 +332,44 @@ def train(texts: DataFrame, max_depth: int = MAX_DEPTH, min_word: float = MIN_WO
     return tree, counts, total, distinct
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, max_depth: int = MAX_DEPTH, min_word: float = MIN_WORD, min_context: float = MIN_CONTEXT,
+         min_entry: float = MIN_ENTRY) -> list[DataFrame]:
+    """The whole tree as tables ``(key, n, v)``: what each occurrence of a word sequence, seen ``n`` times, adds to a text's log10 probability."""
+    spark = texts.sparkSession
+    path = scratch_path(spark, f"suffix-tree-{uuid.uuid4().hex}")
+    level = counts.where(F.col("c") >= max(1, min_word * total)).select("key", "c", F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1))).alias("lp"))
+    values, seen = [], None
+    for depth in range(1, max_depth + 1 if total else 1):
+        counted = texts.mapInArrow(_count_sequences(depth + 1, seen), "prefix long, suffix long, c long").groupBy("prefix", "suffix").agg(F.sum("c").alias("c"))
+        contexts = level.where(F.col("c") >= min_context * total).select(F.col("key").alias("prefix"), F.col("c").alias("m"))
+        nexts = counted.where(F.col("c") >= max(2, min_entry * total)).join(contexts, "prefix").join(level.select(F.col("key").alias("suffix"), F.col("lp").alias("shorter")), "suffix")
+        nexts = _stored(nexts.select("prefix", "suffix", "c", "m", "shorter"), f"{path}/nexts{depth}")
+        if seen is not None:
+            seen.unpersist()
+        p, q = (F.col("c") - DISCOUNT) / F.col("m"), F.pow(F.lit(10.0), F.col("shorter"))
+        sums = nexts.groupBy("prefix").agg(F.count("*").alias("k"), F.first("m").alias("m"), F.sum(p).alias("p"), F.sum(q).alias("q"), F.sum(p * F.log(p / q)).alias("d"))
+        left, left_shorter = F.greatest(1 - F.col("p"), F.lit(1e-12)), F.greatest(1 - F.col("q"), F.lit(1e-12))
+        gain = F.col("m") * (F.col("d") + left * F.log(left / left_shorter))
+        # the evidence must outweigh the cost of the numbers that a state holds
+        states = sums.where(gain > 0.5 * F.col("k") * F.log(F.greatest("m", F.lit(2))) + 3).select("prefix", "m", F.log10(left / left_shorter).alias("rest"))
+        states = _stored(states, f"{path}/states{depth}")
+        last = depth == max_depth
+        grown = nexts.join(states.select("prefix", "rest"), "prefix", "inner" if last else "left")
+        lp = F.when(F.col("rest").isNotNull(), F.log10(p)).otherwise(F.col("shorter"))
+        grown = grown.select("prefix", "suffix", "c", lp.alias("lp"), (lp - F.col("rest") - F.col("shorter")).alias("v"))
+        level = _stored(grown.mapInArrow(_with_key, "key long, c long, lp double, v double"), f"{path}/level{depth}")
+        values += [states.select(F.col("prefix").alias("key"), F.col("m").alias("n"), F.col("rest").alias("v")), level.where("v IS NOT NULL").select("key", F.col("c").alias("n"), "v")]
+        if not last:
+            seen = spark.sparkContext.broadcast(_slots([level]))
+    return values
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: float = HOT, max_depth: int = MAX_DEPTH, **shares) -> DataFrame:
     """Scores of all documents by a tree that learns from those that are not held out.
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
@@ -259,18 +378,30 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     occur; other columns are ignored; no rows give no rows; with nothing to
     learn from, every token has probability 1.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    tree, counts, total, distinct = train(rows.where(~_held_out(F.col("doc_id"))).select("text"), **params)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    texts = rows.where(~_held_out(F.col("doc_id"))).select("text")
+    counts, total, distinct = _word_counts(texts)
+    values, unit, often = grow(texts, counts, total, distinct, max_depth, **shares), float(total + distinct + 1), max(1, hot * total)
+    none = counts.where("false").select("key", F.col("c").alias("n"), F.lit(0.0).alias("v"))
+    values = reduce(lambda a, b: a.unionByName(b), values, none)
+    words, c = _collected(counts.where(F.col("c") >= often))
+    # a sequence is a state, a next word or both, seen the same number of times
+    held = values.where(F.col("n") >= often).groupBy("key").agg(F.sum("v").alias("c")).orderBy("key").toArrow()
+    cold = values.where(F.col("n") < often)
+    shared = spark.sparkContext.broadcast((words, np.log10((c + 1) / unit), held.column("key").to_numpy(), held.column("c").to_numpy(), _slots([cold])))
     scored = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-        _score(shared), "row long, doc_id long, n long, known long, base double, score double, rare array<long>")
+        _score(shared, max_depth + 1), "row long, doc_id long, n long, known long, base double, score double, keys array<long>")
     parts = ("doc_id", "n", "known", "base", "score")
-    # one row for each rare token; the first carries what is known of the document so far
-    each = scored.select("row", *parts, F.posexplode_outer("rare").alias("i", "token")).select(
+    # one row for each sequence to fetch; the first carries what is known of the document so far
+    each = scored.select("row", *parts, F.posexplode_outer("keys").alias("i", "token")).select(
         "row", "token", *[F.when(F.coalesce("i", F.lit(0)) == 0, F.col(p)).alias(p) for p in parts])
-    full = each.join(counts, F.col("token") == F.col("key"), "left")
-    rare = F.when(F.col("token").isNotNull(), F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(total + distinct + 1))))
-    done = full.groupBy("row").agg(*[F.max(p).alias(p) for p in parts], F.coalesce(F.sum(rare), F.lit(0.0)).alias("rare"), F.count("c").alias("rare_known"))
+    fetched = counts.where(F.col("c") < often).select("key", "c", F.lit(0.0).alias("v")).unionByName(cold.select("key", F.lit(None).cast("long").alias("c"), "v"))
+    fetched = fetched.groupBy("key").agg(F.sum("c").alias("c"), F.sum("v").alias("v"))
+    full = each.join(fetched, F.col("token") == F.col("key"), "left")
+    rare = F.log10((F.col("c") + 1) / F.lit(unit))
+    done = full.groupBy("row").agg(*[F.max(p).alias(p) for p in parts], F.coalesce(F.sum(rare), F.lit(0.0)).alias("rare"), F.count("c").alias("rare_known"), F.coalesce(F.sum("v"), F.lit(0.0)).alias("v"))
+    rare = F.col("rare") - (F.col("n") - F.col("known") - F.col("rare_known")) * F.lit(float(np.log10(unit)))
     return done.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), F.col("n").alias("n_tokens"), (F.col("known") + F.col("rare_known")).alias("n_known"),
-                       F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("rare")).alias("base_score"), (F.col("score") + F.col("rare")).alias("score"))
+                       F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + rare).alias("base_score"), (F.col("score") + rare + F.col("v")).alias("score"))
