@@ -153,3 +153,29 @@ def test_null_empty_and_odd_vectors(spark):
     none = df.filter("v IS NULL")
     for s in ("broadcast", "blocked"):
         assert V.topk_join(none, df, 2, "i", "v", "i", "v", strategy=s).count() == 0 == V.topk_join(df, none, 2, "i", "v", "i", "v", strategy=s).count()
+
+
+def test_blocks_of_a_large_group_are_few(spark):
+    sizes = [(1, 64), (256, 64), (257, 64), (2048, 64), (120_000, 64), (10_000_000, 64), (50, 10_000_000)]
+    df = spark.createDataFrame(sizes, "n long, d int").select("n", V._blocks(F.col("n"), F.col("d"), 256).alias("b"))
+    got = dict(tuple(r) for r in df.collect())
+    assert got == {1: 1, 256: 1, 257: 2, 2048: 8, 120_000: 8, 10_000_000: -(-10_000_000 // (V.BLOCK_BYTES // 512)), 50: 1}
+
+
+@pytest.mark.parametrize("k", [1, 2, 9])
+def test_best_against_a_sort(k):
+    rng = np.random.default_rng(3)
+    c, q = rng.integers(-1, 2, (60, 3)).astype(float), rng.integers(-1, 2, (25, 3)).astype(float)  # many equal scores, some zero vectors
+    c[7] = np.nan
+    c_ids, q_ids = np.array([f"i{i % 50}" for i in range(60)], object), np.array([f"i{i}" for i in range(24)] + [None], object)
+    c_ids[3] = None
+    for candidates in (c, np.delete(c, 7, 0)):
+        names = c_ids if candidates is c else np.delete(c_ids, 7)
+        want = []
+        for r, x in enumerate(q):
+            with np.errstate(invalid="ignore"):
+                s = (candidates @ x) / (np.linalg.norm(x) * np.linalg.norm(candidates, axis=1) + V.EPS)
+            ranked = sorted((-s[i], str(names[i])) for i in range(len(s)) if names[i] != q_ids[r] and np.isfinite(s[i]))[:k]
+            want += [(r, n, pytest.approx(-v)) for v, n in ranked]
+        at, of, score = V._best(q, q_ids, candidates, names, k, True)
+        assert len(at) == len(want) and [(r, str(names[i])) for r, i in zip(at, of, strict=True)] == [w[:2] for w in want] and list(score) == [w[2] for w in want]

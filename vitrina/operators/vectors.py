@@ -155,6 +155,20 @@ def semantic_search(vectors: DataFrame, catalog: DataFrame, q: Column, k: int =
 TILE_CELLS = 1 << 20  # scores held at once: 8 MB for each temporary
 
 
+def _kth_best(sims: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest number of each row; for few, by taking out the largest in turn."""
+    if k > 8:
+        return -np.partition(-sims, k - 1, axis=1)[:, k - 1]
+    rows, out = np.arange(len(sims)), []
+    for _ in range(k):
+        at = sims.argmax(axis=1)
+        out.append((at, sims[rows, at]))
+        sims[rows, at] = -np.inf
+    for at, value in reversed(out):  # a row short of numbers gives up one place twice
+        sims[rows, at] = value
+    return out[-1][1]
+
+
 def _best(qm: np.ndarray, q_ids: np.ndarray, cm: np.ndarray, c_ids: np.ndarray, k: int, exclude_self: bool,
           tile_cells: int = TILE_CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, candidate row, score) of each query's k best candidates, ties by candidate id.
@@ -165,19 +179,33 @@ def _best(qm: np.ndarray, q_ids: np.ndarray, cm: np.ndarray, c_ids: np.ndarray,
     kk, step = min(k, len(c_ids)), max(1, tile_cells // max(1, len(c_ids)))
     names = c_ids.astype(str)
     r_out, c_out, s_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    finite = bool(np.isfinite(qn).all() and np.isfinite(cn).all())
+    if exclude_self:
+        number = pd.factorize(np.r_[c_ids.astype(object), q_ids.astype(object)], use_na_sentinel=False)[0]  # one for each id, null too
+        by_id, q_number = np.argsort(number[:len(c_ids)], kind="stable"), number[len(c_ids):]
+        c_number = number[by_id]
     for at in range(0, len(q_ids) if kk else 0, step):
-        sims = (qm[at:at + step] @ cm.T) / (np.outer(qn[at:at + step], cn) + EPS)
+        sims = qm[at:at + step] @ cm.T
+        bound = np.outer(qn[at:at + step], cn)
+        bound += EPS
+        sims /= bound
         if exclude_self:
-            sims[q_ids[at:at + step][:, None] == c_ids[None, :]] = -np.inf
+            lo, hi = (np.searchsorted(c_number, q_number[at:at + step], side) for side in ("left", "right"))
+            for r in np.flatnonzero(hi > lo):
+                sims[r, by_id[lo[r]:hi[r]]] = -np.inf
         # the k-th best score of each row, everything at or above it, then a sort of that few
-        least = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-        for r in range(len(sims)):
-            cand = np.nonzero((sims[r] >= least[r]) & np.isfinite(sims[r]))[0]
-            if len(cand) > kk:
-                cand = cand[np.lexsort((names[cand], -sims[r, cand]))][:kk]
-            r_out.append(np.full(len(cand), at + r))
-            c_out.append(cand)
-            s_out.append(sims[r, cand])
+        least = _kth_best(sims, kk) if finite else -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+        r, c = np.nonzero(sims >= least[:, None])
+        score = sims[r, c]
+        ok = np.isfinite(score)
+        r, c, score = r[ok], c[ok], score[ok]
+        order = np.lexsort((names[c], -score, r))
+        r, c, score = r[order], c[order], score[order]
+        first = np.searchsorted(r, np.arange(len(sims)))
+        best = np.arange(len(r)) - first[r] < kk
+        r_out.append(r[best] + at)
+        c_out.append(c[best])
+        s_out.append(score[best])
     return np.concatenate(r_out), np.concatenate(c_out), np.concatenate(s_out)
 
 
@@ -185,6 +213,8 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.vstack(vectors.to_numpy()).astype(np.float64)
 
 
+#: A large group is cut into this many blocks a side, each no larger than ``BLOCK_BYTES`` of numbers.
+GROUP_BLOCKS, BLOCK_BYTES = 8, 16 << 20
 BROADCAST_QUERY_BYTES = 64 * 1024 * 1024  # query matrices up to this size are broadcast
 
 
@@ -275,16 +305,26 @@ def _with_group(part: DataFrame, side: DataFrame) -> DataFrame:
     return part.withColumn("g", F.from_json("gk", T.StructType([side.schema["g"]]))["g"])
 
 
+def _blocks(n: Column, dim: Column, block_rows: int) -> Column:
+    """Number of blocks of a group's ``n`` vectors of ``dim`` numbers."""
+    most = F.greatest(F.floor(F.lit(BLOCK_BYTES) / (8 * dim)), F.lit(1))
+    rows = F.greatest(F.lit(block_rows), F.least(F.ceil(n / GROUP_BLOCKS), most))
+    return F.ceil(n / rows).cast("int")
+
+
 def _topk_blocked(queries: DataFrame, candidates: DataFrame, k: int, q_id: str, q_vec: str,
                   c_id: str, c_vec: str, group: str | None, exclude_self: bool, block_rows: int,
                   min_score: float | None) -> DataFrame:
-    """Both sides in blocks; each query block meets each candidate block of its group once."""
+    """Both sides in blocks; each query block meets each candidate block of its group once.
+
+    A block has ``block_rows`` rows or, in a large group, more, since each side is copied once for every block of the other.
+    """
     qd, cd = _side(queries, group, q_id, q_vec, "q"), _side(candidates, group, c_id, c_vec, "c")
     # blocks from the group sizes (one row per group, an equi-join)
-    qn = qd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nq"))
+    qn = qd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nq"), F.max(F.size("q_vec")).alias("_d"))
     cn = cd.groupBy("gk").agg(F.count(F.lit(1)).alias("_nc"))
-    nb = qn.join(cn, "gk").select("gk", F.ceil(F.col("_nq") / block_rows).cast("int").alias("_bq"),
-                                  F.ceil(F.col("_nc") / block_rows).cast("int").alias("_bc"))
+    nb = qn.join(cn, "gk").select("gk", _blocks(F.col("_nq"), F.col("_d"), block_rows).alias("_bq"),
+                                  _blocks(F.col("_nc"), F.col("_d"), block_rows).alias("_bc"))
     qb, cb = qd.join(nb, "gk"), cd.join(nb, "gk")
     qb = (qb.withColumn("_iq", F.pmod(F.xxhash64("q_id"), F.col("_bq")).cast("int"))
           .withColumn("_ic", F.explode(F.sequence(F.lit(0), F.col("_bc") - 1))))
