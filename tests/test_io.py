@@ -136,3 +136,17 @@ def test_write_partitioned_splits_hot_key(spark, tmp_dir):
     assert len(files[1]) > 1  # the hot key is split over several tasks
     back = RD.read_tables(spark, f"{tmp_dir}/t")
     assert back.count() == len(rows) and back.filter("op_id = 1").count() == 2500
+
+
+def test_many_bundles_in_one_listing_and_few_tasks(spark, tmp_dir):
+    n = 16 * RD.BUNDLE_TASKS
+    SK.write_bundles(spark.range(n).selectExpr("concat('b', id) AS id", "concat('of ', id) AS content"), f"{tmp_dir}/many").collect()
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "512m")  # every file a partition of its own, as thousands of them have
+    try:
+        df = RD.read_bundles(spark, f"{tmp_dir}/many/*.md")
+        assert df.rdd.getNumPartitions() <= RD.BUNDLE_TASKS * spark.sparkContext.defaultParallelism
+        assert df._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().location().rootPaths().size() == 1
+        assert {r["id"]: r["content"] for r in df.collect()} == {f"b{i}": f"of {i}" for i in range(n)}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)

@@ -7,6 +7,8 @@ unreadable records to a quarantine column instead of failing the job.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,10 +86,23 @@ def read_tables(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*keep, op.alias("op_id"))
 
 
+#: Tasks for each core, at most, that read bundles.
+BUNDLE_TASKS = 16
+
+
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """Markdown bundles, one row per file: ``(id = file stem, content)`` (S3); ``%XX`` in a stem stands for a character."""
-    df = spark.read.text(path, wholetext=True)
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.md$", "")
+    """Markdown bundles, one row per file: ``(id = file stem, content)`` (S3); ``%XX`` in a stem stands for a character.
+
+    ``folder/pattern`` is read as one listing of the folder: as a pattern of paths, every file would be looked up
+    by itself.  Spark packs few small files into a partition; a task takes many such partitions.
+    """
+    folder, _, pattern = path.rpartition("/")
+    if re.search(r"[*?\[{]", pattern) and folder and not re.search(r"[*?\[{\\]", folder):
+        df = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
+    else:
+        df = spark.read.text(path, wholetext=True)
+    df = df.select(F.col("_metadata.file_name").alias("name"), "value").coalesce(BUNDLE_TASKS * spark.sparkContext.defaultParallelism)
+    stem = F.regexp_replace(F.col("name"), r"\.md$", "")
     decode = lambda c: F.when(c.contains("%"), F.url_decode(F.regexp_replace(c, r"\+", "%2B"))).otherwise(c)  # noqa: E731  a plus is a plus
     return df.select(decode(decode(stem)).alias("id"), F.col("value").alias("content"))  # the name comes as part of a URI
 
