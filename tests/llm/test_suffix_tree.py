@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import tempfile
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -121,6 +123,21 @@ def test_rare_contexts_and_next_words_take_part(spark, params):
     close([tuple(r) for r in pst.score_documents(df, **params).collect()], want)
 
 
+def test_many_buckets_and_only_what_is_read_stays_on_disk(spark, talk, monkeypatch, tmp_path):
+    """Tables that no later step reads, and shuffle files of tables already stored, made up half of the disk."""
+    shuffles = lambda: set(Path(tempfile.gettempdir()).glob("blockmgr-*/*/shuffle_*_0.data"))
+    before = shuffles()
+    monkeypatch.setattr(pst, "BUCKET_TOKENS", 100)
+    monkeypatch.setattr(pst, "scratch_path", lambda spark, name: str(tmp_path / "tree"))
+    df = spark.createDataFrame(talk, "doc_id long, text string").repartition(3)
+    want, states = plain(talk, 2, 0.0, 0.0, 0.0)
+    done = pst.score_documents(df)
+    assert pst._buckets(want[0][4]) > 64 and states > 5
+    assert sorted(f.name for f in (tmp_path / "tree").iterdir()) == ["level1", "level2", "states1", "states2"]
+    assert len(shuffles() - before) < 3
+    close([tuple(r) for r in done.collect()], want)
+
+
 def test_probabilities_sum_to_one(spark, talk):
     df = spark.createDataFrame(talk, "doc_id long, text string").selectExpr("cast(text as binary) as text")
     tree, _, total, distinct = pst.train(df, max_depth=3, min_word=0.0, min_context=0.001, min_entry=0.0005)

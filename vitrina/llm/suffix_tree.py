@@ -17,18 +17,23 @@ so a text fetches what it needs by one join on sequences.  Two bounded things ar
 shuffling only: what makes up at least ``hot`` of all tokens, and
 one bit for each sequence's slot, which tells most sequences that no table holds.  A sequence is known by
 64 bits.
+
+Sequences to be counted or fetched are dealt out by their bits to buckets, whose number grows with the corpus;
+a task hands on one row for each bucket, with lists.  What the buckets of a part add to a text is summed in one pass over them.  A step's shuffle files are removed once its table is stored,
+and so is a table that no later step reads.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import checkpointed
@@ -41,6 +46,8 @@ MIN_WORD = MIN_CONTEXT = MIN_ENTRY = 0.0
 DISCOUNT = 0.75
 #: What makes up this share of all tokens is held in memory rather than joined.
 HOT = 2.0**-20
+#: There is a bucket for so many tokens of the training texts, in a fixed number of parts: a text gets one sum from each part.
+BUCKET_TOKENS, PARTS = 4_000_000, 32
 _SLOT_BITS = 27
 #: Hash of the token that ends a text.
 END = int(salt(31).view(np.int64))
@@ -52,8 +59,8 @@ _HELD = 2_000_000
 class _Counter:
     """Counts of 64-bit keys, merged as they come, with columns that depend on the key."""
 
-    def __init__(self, *names: str):
-        self.names, self.parts, self.size = names, [], 0
+    def __init__(self, more: int = 0):
+        self.more, self.parts, self.size = more, [], 0
 
     def add(self, keys: np.ndarray, *more: np.ndarray) -> None:
         if more:
@@ -80,12 +87,15 @@ class _Counter:
             self.parts, self.size = [], 0
             self._put(keys[first], np.add.reduceat(counts, first) if len(first) else counts, *[x[order[first]] for x in more])
 
-    def batch(self) -> pa.RecordBatch:
-        """The keys, or where there are other columns those, and the counts."""
+    def taken(self) -> tuple[np.ndarray, ...]:
+        """Keys, counts and the other columns, which are then held no more."""
         self.merge()
-        keys, counts, *more = self.parts[0] if self.parts else [np.zeros(0, np.int64)] * (2 + len(self.names))
+        columns = self.parts[0] if self.parts else [np.zeros(0, np.int64)] * (2 + self.more)
         self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in more or [keys]], pa.array(counts.astype(np.int64))], [*(self.names or ["key"]), "c"])
+        return tuple(x.view(np.int64) for x in columns)
+
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in self.taken()], ["key", "c"])
 
 
 def _tokens(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -242,10 +252,31 @@ def _in_slots(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == 1
 
 
-def _count_sequences(words: int, seen):
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((key.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
+def _dealt(bucket: np.ndarray, first: np.ndarray, *more: np.ndarray) -> list[pa.Array]:
+    """A row for each bucket: its number and lists of its values, by the first column, so that equal ones lie together."""
+    order = np.lexsort((first, bucket))
+    there, at = np.unique(bucket[order], return_index=True)
+    ends = pa.array(np.r_[at, len(order)].astype(np.int32))
+    return [pa.array(there), *[pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (first, *more)]]
+
+
+def _listed(column: pa.ChunkedArray, dtype: type = np.int64) -> np.ndarray:
+    """All values of a column of lists."""
+    return np.concatenate([np.zeros(0, dtype), *[x.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False) for x in column.chunks]])
+
+
+def _count_sequences(words: int, seen, buckets: int):
     """Sequences of two words or more, by their longest beginning and longest end, both of which must be ``seen``."""
+    def dealt(held: _Counter) -> pa.RecordBatch:
+        keys, counts, prefix, suffix = held.taken()
+        return pa.RecordBatch.from_arrays(_dealt(_bucket(keys, buckets), prefix, suffix, counts.astype(np.int64)), ["bucket", "prefix", "suffix", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Counter("prefix", "suffix")
+        held = _Counter(2)
         for batch in batches:
             for _, bounds, tokens in _tokens(batch.column(0).to_pylist()):
                 *_, (_, shorter), (at, keys) = _sequences(tokens, bounds, words)
@@ -254,8 +285,23 @@ def _count_sequences(words: int, seen):
                     at = at[ok[at] & ok[at - 1]]
                 held.add(keys[at], shorter[at - 1], shorter[at])
                 if held.full():
-                    yield held.batch()
-        yield held.batch()
+                    yield dealt(held)
+        yield dealt(held)
+    return run
+
+
+def _add_up(least: float):
+    """The sequences of a bucket that are seen ``least`` times or more in all."""
+    def run(table: pa.Table) -> pa.Table:
+        prefix, suffix, c = (_listed(table.column(name)) for name in ("prefix", "suffix", "c"))
+        keys = _sequence(prefix.view(np.uint64), suffix.view(np.uint64))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        c = np.add.reduceat(c[order], first) if len(first) else c
+        often = c >= least
+        at = order[first[often]]
+        return pa.table({"prefix": prefix[at], "suffix": suffix[at], "c": c[often]})
     return run
 
 
@@ -265,31 +311,131 @@ def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(_sequence(before, after).view(np.int64)), *batch.columns[2:]], ["key", *batch.schema.names[2:]])
 
 
-def _score(shared, most: int):
+#: Of a text: its number, its id and what is known of it before anything is fetched.
+_TEXT = "row long, doc_id long, n long, known long, base double, score double"
+_PARTS = [x.split(" ")[0] for x in _TEXT.split(", ")]
+
+
+def _score(shared, most: int, buckets: int):
+    """A row for each text, and for each bucket rows with the sequences to fetch and the texts that they are for."""
+    def asked(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        row, key = (np.concatenate(x) for x in zip(*held, strict=True))
+        dealt = _dealt(_bucket(key, buckets), row, key)
+        return pa.RecordBatch.from_arrays([*dealt, *[pa.nulls(len(dealt[0]), pa.float64() if p in ("base", "score") else pa.int64()) for p in _PARTS]], ["bucket", "rows", "keys", *_PARTS])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, word_log, hot, hot_value, slots = shared.value
+        none = np.zeros(0, np.int64)
+        held, size = [(none, none)], 0
         for batch in batches:
+            rows = batch.column(0).to_numpy()
             for first, bounds, tokens in _tokens(batch.column(2).to_pylist()):
                 m = len(bounds) - 1
                 of = np.repeat(np.arange(m), np.diff(bounds))
+                row = rows[first : first + m]
                 place = _lookup(words, tokens)
                 known = place >= 0
                 base = np.bincount(of[known], word_log[place[known]], m).astype(float)
-                own, joined = np.zeros(m), [(of[~known], tokens[~known])]
+                own, there = np.zeros(m), np.ones(len(tokens), bool)
+                held.append((row[of[~known]], tokens[~known]))
                 for n, (at, keys) in enumerate(_sequences(tokens, bounds, most)):
+                    if n == most - 1:  # of the longest, only those that begin with a state are in a table
+                        at = at[there[at - 1]]
+                    at = at[_in_slots(slots, keys[at])]
+                    there = np.zeros(len(tokens), bool)
+                    there[at] = True
                     key = keys[at].view(np.int64)
                     found = _lookup(hot, key)
                     inside = found >= 0
                     own += np.bincount(of[at[inside]], hot_value[found[inside]], m)
                     if n:  # single words that are not hot are joined anyway
-                        cold = ~inside & _in_slots(slots, keys[at])
-                        joined.append((of[at[cold]], key[cold]))
-                text, key = (np.concatenate(x) for x in zip(*joined, strict=True))
-                order = np.argsort(text, kind="stable")
+                        held.append((row[of[at[~inside]]], key[~inside]))
+                lists = pa.nulls(m, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, m), batch.column(1).slice(first, m), pa.array(np.diff(bounds)), pa.array(np.bincount(of[known], minlength=m)), pa.array(base), pa.array(base + own),
-                     pa.ListArray.from_arrays(pa.array(np.searchsorted(text[order], np.arange(m + 1)).astype(np.int32)), pa.array(key[order]))],
-                    ["row", "doc_id", "n", "known", "base", "score", "keys"])
+                    [pa.array((row % buckets).astype(np.int32)), lists, lists, pa.array(row), batch.column(1).slice(first, m), pa.array(np.diff(bounds)), pa.array(np.bincount(of[known], minlength=m)), pa.array(base), pa.array(base + own)],
+                    ["bucket", "rows", "keys", *_PARTS])
+                size += len(tokens)
+                if size > _HELD:
+                    yield asked(held)
+                    held, size = [(none, none)], 0
+        yield asked(held)
+    return run
+
+
+def _deal(buckets: int):
+    """Lists of a table ``(key, c, v)`` by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def dealt() -> pa.RecordBatch:
+            key, c, v = (np.concatenate(x) for x in zip(*held, strict=True))
+            return pa.RecordBatch.from_arrays(_dealt(_bucket(key, buckets), key, c, v), ["bucket", "keys", "c", "v"])
+
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        held, size = [none], 0
+        for batch in batches:
+            held.append(tuple(x.to_numpy() for x in batch.columns))
+            size += batch.num_rows
+            if size > _HELD // 2:
+                yield dealt()
+                held, size = [none], 0
+        yield dealt()
+    return run
+
+
+def _in_bucket(table: pa.Table, unit: float) -> tuple[np.ndarray, ...]:
+    """What a bucket's sequences add to texts: numbers of texts, logarithms of rare words, how many of them are known, and values of the tree."""
+    row, key = (_listed(table.filter(table.column("rows").is_valid()).column(name)) for name in ("rows", "keys"))
+    tree = table.filter(table.column("c").is_valid())
+    keys, c, v = (_listed(tree.column(name), t) for name, t in (("keys", np.int64), ("c", np.int64), ("v", float)))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    # a sequence may be a word, a state and a next word
+    c, v = (np.add.reduceat(x[order], first) if len(first) else x for x in (c, v))
+    found = _lookup(keys[first], key)
+    row, found = row[found >= 0], found[found >= 0]
+    return _summed([(row, np.where(c > 0, np.log10((c + 1) / unit), 0.0)[found], (c > 0)[found], v[found])])
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Sums by the first column."""
+    row, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
+    rows, of = np.unique(row, return_inverse=True)
+    return rows, *[np.bincount(of, x, len(rows)).astype(float) for x in values]
+
+
+def _fetch(unit: float):
+    """From rows in the order of buckets: the texts, and what the buckets add to them."""
+    sums = ["rare", "rare_known", "v"]
+
+    def fetched(parts: list[tuple[np.ndarray, ...]], types: list[pa.DataType]) -> pa.RecordBatch:
+        row, rare, known, v = _summed(parts)
+        return pa.RecordBatch.from_arrays([pa.array(row), *[pa.nulls(len(row), t) for t in types], pa.array(rare), pa.array(known.astype(np.int64)), pa.array(v)], [*_PARTS, *sums])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, parts, size, types = None, [], [], 0, []
+        for batch in batches:
+            texts = batch.filter(batch.column("row").is_valid())
+            m, types = texts.num_rows, [batch.schema.field(p).type for p in _PARTS[1:]]
+            yield pa.RecordBatch.from_arrays([*[texts.column(p) for p in _PARTS], pa.array(np.zeros(m)), pa.array(np.zeros(m, np.int64)), pa.array(np.zeros(m))], [*_PARTS, *sums])
+            lists = batch.filter(batch.column("keys").is_valid()).select(["bucket", "rows", "keys", "c", "v"])
+            bucket = lists.column("bucket").to_numpy()
+            cuts = np.r_[np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1)), len(bucket)]
+            for at, end in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and bucket[at] != now:
+                    parts.append(_in_bucket(pa.Table.from_batches(held), unit))
+                    held, size = [], size + len(parts[-1][0])
+                    if size > _HELD:
+                        parts = [_summed(parts)]
+                        size = len(parts[0][0])
+                        if size > _HELD // 2:
+                            yield fetched(parts, types)
+                            parts, size = [], 0
+                now = bucket[at]
+                held.append(lists.slice(at, end - at))
+        if held:
+            parts.append(_in_bucket(pa.Table.from_batches(held), unit))
+        if parts:
+            yield fetched(parts, types)
     return run
 
 
@@ -332,11 +478,33 @@ def train(texts: DataFrame, max_depth: int, min_word: float, min_context: float,
     return tree, counts, total, distinct
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of an action are removed as it ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _removed(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)  # noqa: SLF001
+
+
+def _buckets(total: int) -> int:
+    return PARTS * -(-max(total, 1) // (PARTS * BUCKET_TOKENS))
+
+
 def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, max_depth: int = MAX_DEPTH, min_word: float = MIN_WORD, min_context: float = MIN_CONTEXT,
          min_entry: float = MIN_ENTRY) -> list[DataFrame]:
     """The whole tree as tables ``(key, n, v)``: what each occurrence of a word sequence, seen ``n`` times, adds to a text's log10 probability."""
@@ -345,10 +513,13 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, max_dep
     level = counts.where(F.col("c") >= max(1, min_word * total)).select("key", "c", F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1))).alias("lp"))
     values, seen = [], None
     for depth in range(1, max_depth + 1 if total else 1):
-        counted = texts.mapInArrow(_count_sequences(depth + 1, seen), "prefix long, suffix long, c long").groupBy("prefix", "suffix").agg(F.sum("c").alias("c"))
+        counted = texts.mapInArrow(_count_sequences(depth + 1, seen, _buckets(total)), "bucket int, prefix array<long>, suffix array<long>, c array<long>")
+        counted = counted.groupBy("bucket").applyInArrow(_add_up(max(2, min_entry * total)), "prefix long, suffix long, c long")
+        counted = _stored(counted, f"{path}/counted{depth}")
         contexts = level.where(F.col("c") >= min_context * total).select(F.col("key").alias("prefix"), F.col("c").alias("m"))
-        nexts = counted.where(F.col("c") >= max(2, min_entry * total)).join(contexts, "prefix").join(level.select(F.col("key").alias("suffix"), F.col("lp").alias("shorter")), "suffix")
+        nexts = counted.join(contexts, "prefix").join(level.select(F.col("key").alias("suffix"), F.col("lp").alias("shorter")), "suffix")
         nexts = _stored(nexts.select("prefix", "suffix", "c", "m", "shorter"), f"{path}/nexts{depth}")
+        _removed(spark, f"{path}/counted{depth}")
         if seen is not None:
             seen.unpersist()
         p, q = (F.col("c") - DISCOUNT) / F.col("m"), F.pow(F.lit(10.0), F.col("shorter"))
@@ -362,7 +533,9 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, max_dep
         grown = nexts.join(states.select("prefix", "rest"), "prefix", "inner" if last else "left")
         lp = F.when(F.col("rest").isNotNull(), F.log10(p)).otherwise(F.col("shorter"))
         grown = grown.select("prefix", "suffix", "c", lp.alias("lp"), (lp - F.col("rest") - F.col("shorter")).alias("v"))
-        level = _stored(grown.mapInArrow(_with_key, "key long, c long, lp double, v double"), f"{path}/level{depth}")
+        level = grown.mapInArrow(_with_key, "key long, c long, lp double, v double")
+        level = _stored(level.drop("lp") if last else level, f"{path}/level{depth}")
+        _removed(spark, f"{path}/nexts{depth}")
         values += [states.select(F.col("prefix").alias("key"), F.col("m").alias("n"), F.col("rest").alias("v")), level.where("v IS NOT NULL").select("key", F.col("c").alias("n"), "v")]
         if not last:
             seen = spark.sparkContext.broadcast(_slots([level]))
@@ -382,26 +555,23 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     texts = rows.where(~_held_out(F.col("doc_id"))).select("text")
-    counts, total, distinct = _word_counts(texts)
-    values, unit, often = grow(texts, counts, total, distinct, max_depth, **shares), float(total + distinct + 1), max(1, hot * total)
-    none = counts.where("false").select("key", F.col("c").alias("n"), F.lit(0.0).alias("v"))
-    values = reduce(lambda a, b: a.unionByName(b), values, none)
-    words, c = _collected(counts.where(F.col("c") >= often))
-    # a sequence is a state, a next word or both, seen the same number of times
-    held = values.where(F.col("n") >= often).groupBy("key").agg(F.sum("v").alias("c")).orderBy("key").toArrow()
-    cold = values.where(F.col("n") < often)
-    shared = spark.sparkContext.broadcast((words, np.log10((c + 1) / unit), held.column("key").to_numpy(), held.column("c").to_numpy(), _slots([cold])))
-    scored = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-        _score(shared, max_depth + 1), "row long, doc_id long, n long, known long, base double, score double, keys array<long>")
-    parts = ("doc_id", "n", "known", "base", "score")
-    # one row for each sequence to fetch; the first carries what is known of the document so far
-    each = scored.select("row", *parts, F.posexplode_outer("keys").alias("i", "token")).select(
-        "row", "token", *[F.when(F.coalesce("i", F.lit(0)) == 0, F.col(p)).alias(p) for p in parts])
-    fetched = counts.where(F.col("c") < often).select("key", "c", F.lit(0.0).alias("v")).unionByName(cold.select("key", F.lit(None).cast("long").alias("c"), "v"))
-    fetched = fetched.groupBy("key").agg(F.sum("c").alias("c"), F.sum("v").alias("v"))
-    full = each.join(fetched, F.col("token") == F.col("key"), "left")
-    rare = F.log10((F.col("c") + 1) / F.lit(unit))
-    done = full.groupBy("row").agg(*[F.max(p).alias(p) for p in parts], F.coalesce(F.sum(rare), F.lit(0.0)).alias("rare"), F.count("c").alias("rare_known"), F.coalesce(F.sum("v"), F.lit(0.0)).alias("v"))
+    with _shuffles_removed(spark):
+        counts, total, distinct = _word_counts(texts)
+        values, unit, often = grow(texts, counts, total, distinct, max_depth, **shares), float(total + distinct + 1), max(1, hot * total)
+        none = counts.where("false").select("key", F.col("c").alias("n"), F.lit(0.0).alias("v"))
+        values = reduce(lambda a, b: a.unionByName(b), values, none)
+        words, c = _collected(counts.where(F.col("c") >= often))
+        # a sequence is a state, a next word or both, seen the same number of times
+        held = values.where(F.col("n") >= often).groupBy("key").agg(F.sum("v").alias("c")).orderBy("key").toArrow()
+        slots = _slots([values])
+    shared, buckets = spark.sparkContext.broadcast((words, np.log10((c + 1) / unit), held.column("key").to_numpy(), held.column("c").to_numpy(), slots)), _buckets(total)
+    asked = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+        _score(shared, max_depth + 1, buckets), f"bucket int, rows array<long>, keys array<long>, {_TEXT}")
+    table = counts.where(F.col("c") < often).select("key", "c", F.lit(0.0).alias("v")).unionByName(values.where(F.col("n") < often).select("key", F.lit(0).cast("long").alias("c"), "v"))
+    table = table.mapInArrow(_deal(buckets), "bucket int, keys array<long>, c array<long>, v array<double>")
+    both = asked.unionByName(table, allowMissingColumns=True).withColumn("part", F.floor(F.col("bucket") / (buckets // PARTS)))
+    full = both.repartition("part").sortWithinPartitions("part", "bucket").mapInArrow(_fetch(unit), f"{_TEXT}, rare double, rare_known long, v double")
+    done = full.groupBy("row").agg(*[F.max(p).alias(p) for p in _PARTS[1:]], *[F.sum(x).alias(x) for x in ("rare", "rare_known", "v")])
     rare = F.col("rare") - (F.col("n") - F.col("known") - F.col("rare_known")) * F.lit(float(np.log10(unit)))
     return done.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), F.col("n").alias("n_tokens"), (F.col("known") + F.col("rare_known")).alias("n_known"),
                        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + rare).alias("base_score"), (F.col("score") + rare + F.col("v")).alias("score"))
