@@ -3,7 +3,6 @@
 import math
 import random
 import re
-import tempfile
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -125,7 +124,8 @@ def test_rare_contexts_and_next_words_take_part(spark, params):
 
 def test_many_buckets_and_only_what_is_read_stays_on_disk(spark, talk, monkeypatch, tmp_path):
     """Tables that no later step reads, and shuffle files of tables already stored, made up half of the disk."""
-    shuffles = lambda: set(Path(tempfile.gettempdir()).glob("blockmgr-*/*/shuffle_*_0.data"))
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffles = lambda: {f for d in folders for f in Path(d).glob("*/shuffle_*_0.data")}
     before = shuffles()
     monkeypatch.setattr(pst, "BUCKET_TOKENS", 100)
     monkeypatch.setattr(pst, "scratch_path", lambda spark, name: str(tmp_path / "tree"))

@@ -47,7 +47,7 @@ DISCOUNT = 0.75
 #: What makes up this share of all tokens is held in memory rather than joined.
 HOT = 2.0**-20
 #: There is a bucket for so many tokens of the training texts, in a fixed number of parts: a text gets one sum from each part.
-BUCKET_TOKENS, PARTS = 4_000_000, 32
+BUCKET_TOKENS, PARTS = 1_000_000, 32
 _SLOT_BITS = 27
 #: Hash of the token that ends a text.
 END = int(salt(31).view(np.int64))
@@ -355,19 +355,23 @@ def _score(shared, most: int, buckets: int):
                     [pa.array((row % buckets).astype(np.int32)), lists, lists, pa.array(row), batch.column(1).slice(first, m), pa.array(np.diff(bounds)), pa.array(np.bincount(of[known], minlength=m)), pa.array(base), pa.array(base + own)],
                     ["bucket", "rows", "keys", *_PARTS])
                 size += len(tokens)
-                if size > _HELD:
+                if size > _HELD // 2:
                     yield asked(held)
                     held, size = [(none, none)], 0
         yield asked(held)
     return run
 
 
+#: Texts and the sequences they ask for; sequences of the tree, counts and values.
+_LISTS = ["rows", "keys", "tree", "c", "v"]
+
+
 def _deal(buckets: int):
     """Lists of a table ``(key, c, v)`` by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def dealt() -> pa.RecordBatch:
             key, c, v = (np.concatenate(x) for x in zip(*held, strict=True))
-            return pa.RecordBatch.from_arrays(_dealt(_bucket(key, buckets), key, c, v), ["bucket", "keys", "c", "v"])
+            return pa.RecordBatch.from_arrays(_dealt(_bucket(key, buckets), key, c, v), ["bucket", "tree", "c", "v"])
 
         none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         held, size = [none], 0
@@ -383,9 +387,7 @@ def _deal(buckets: int):
 
 def _in_bucket(table: pa.Table, unit: float) -> tuple[np.ndarray, ...]:
     """What a bucket's sequences add to texts: numbers of texts, logarithms of rare words, how many of them are known, and values of the tree."""
-    row, key = (_listed(table.filter(table.column("rows").is_valid()).column(name)) for name in ("rows", "keys"))
-    tree = table.filter(table.column("c").is_valid())
-    keys, c, v = (_listed(tree.column(name), t) for name, t in (("keys", np.int64), ("c", np.int64), ("v", float)))
+    row, key, keys, c, v = (_listed(table.column(name), float if name == "v" else np.int64) for name in _LISTS)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
@@ -417,8 +419,7 @@ def _fetch(unit: float):
             texts = batch.filter(batch.column("row").is_valid())
             m, types = texts.num_rows, [batch.schema.field(p).type for p in _PARTS[1:]]
             yield pa.RecordBatch.from_arrays([*[texts.column(p) for p in _PARTS], pa.array(np.zeros(m)), pa.array(np.zeros(m, np.int64)), pa.array(np.zeros(m))], [*_PARTS, *sums])
-            lists = batch.filter(batch.column("keys").is_valid()).select(["bucket", "rows", "keys", "c", "v"])
-            bucket = lists.column("bucket").to_numpy()
+            bucket, lists = batch.column("bucket").to_numpy(), batch.select(_LISTS)
             cuts = np.r_[np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1)), len(bucket)]
             for at, end in zip(cuts[:-1], cuts[1:], strict=True):
                 if held and bucket[at] != now:
@@ -568,7 +569,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
         _score(shared, max_depth + 1, buckets), f"bucket int, rows array<long>, keys array<long>, {_TEXT}")
     table = counts.where(F.col("c") < often).select("key", "c", F.lit(0.0).alias("v")).unionByName(values.where(F.col("n") < often).select("key", F.lit(0).cast("long").alias("c"), "v"))
-    table = table.mapInArrow(_deal(buckets), "bucket int, keys array<long>, c array<long>, v array<double>")
+    table = table.mapInArrow(_deal(buckets), "bucket int, tree array<long>, c array<long>, v array<double>")
     both = asked.unionByName(table, allowMissingColumns=True).withColumn("part", F.floor(F.col("bucket") / (buckets // PARTS)))
     full = both.repartition("part").sortWithinPartitions("part", "bucket").mapInArrow(_fetch(unit), f"{_TEXT}, rare double, rare_known long, v double")
     done = full.groupBy("row").agg(*[F.max(p).alias(p) for p in _PARTS[1:]], *[F.sum(x).alias(x) for x in ("rare", "rare_known", "v")])
