@@ -299,6 +299,36 @@ def test_short_items_match_word_for_word(spark, limit):
     assert got == {(1, 1, 3, 3, 2), (2, 2, 7, 7, 0), (2, 6, 7, 8, 0), (3, 6, 6, 8, 0), (4, 3, 1, 1, 0), (None, 3, 1, 1, 0)}
 
 
+def plan_nodes(plan):
+    """All nodes of a plan that ran."""
+    name = plan.nodeName()
+    inner = [plan.executedPlan()] if name.startswith("AdaptiveSparkPlan") else [plan.plan()] if name.endswith("QueryStage") else []
+    kids = plan.children()
+    for p in inner + [kids.apply(i) for i in range(kids.size())]:
+        yield from plan_nodes(p)
+    yield plan
+
+
+@pytest.mark.parametrize("limit", [decontam.MAX_BROADCAST_TOKENS, -1])
+def test_many_items_and_long_documents_in_little_memory(spark, limit):
+    rng = random.Random(4)
+    w = lambda n: [f"w{rng.randrange(30000)}" for _ in range(n)]
+    items = [(i, " ".join(w(40))) for i in range(1500)] + [(2000, " ".join(w(700))), (2001, "a short one here")]
+    items += [(3000 + i, items[7][1].upper()) for i in range(50)] + [(8, items[9][1]), (None, items[10][1]), (None, items[10][1])]
+    part = lambda i, a, b: items[i][1].split()[a:b]
+    rows = [(0, w(1000) + part(7, 3, 30) + w(50)), (1, part(9, 0, 20) + w(2000) + part(10, 20, 40)), (2, w(63) + part(1500, 180, 200) + w(44) + part(1500, 640, 660)), (3, w(3000)), (4, w(126) + ["a", "short", "one", "here"] + w(3))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(2)
+    got = decontam.leaks(df, spark.createDataFrame(items, "item_id long, text string"), max_broadcast_tokens=limit)
+    found = {(r["doc_id"], r["item_id"]): (r["matched"], r["stretch"]) for r in got.collect()}
+    assert found == {(0, i): (13, 13) for i in [7, *range(3000, 3050)]} | {(1, i): (13, 13) for i in (8, 9, 10, None)} | {(2, 2000): (13, 13), (4, 2001): (4, 4)}
+    assert got.where("doc_id = 4").first()["doc_start"] == 126 and got.where("doc_id = 0").first()["doc_start"] == 997  # ten of 13 are equal from here
+    nodes = list(plan_nodes(got._jdf.queryExecution().executedPlan()))
+    sent = [p.metrics().apply("dataSize").value() for p in nodes if p.nodeName() == "BroadcastExchange"]
+    assert sent and max(sent) < 8 << 20  # the keys alone would be 360,000 rows
+    rows_out = [p.metrics().apply("shuffleRecordsWritten").value() for p in nodes if p.nodeName() == "Exchange" and "doc_id" in p.output().mkString()]
+    assert rows_out and max(rows_out) < 20_000  # of 41,000 windows
+
+
 def test_items_too_short_to_be_evidence(spark, docs, corpus):
     items = spark.createDataFrame([(1, "The"), (2, "who wrote it"), (3, "who wrote it then"), (4, ""), (5, None)], "item_id long, text string")
     rows = spark.createDataFrame([(1, "the end"), (2, "Who wrote it? The cat."), (3, "and who wrote it, then?")], "doc_id long, text string")
