@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vitrina import schemas as SC
@@ -150,3 +151,23 @@ def test_many_bundles_in_one_listing_and_few_tasks(spark, tmp_dir):
         assert {r["id"]: r["content"] for r in df.collect()} == {f"b{i}": f"of {i}" for i in range(n)}
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_bundles_are_listed_and_read_without_the_driver(spark, tmp_dir):
+    root = f"{tmp_dir}/a folder"
+    os.makedirs(f"{root}/sub.md")
+    bytes_of = {"a.md": b"\xef\xbb\xbfa\r\n", "b+c%2Fd e.md": b"\xff\xfe\n", "\u00e9.md": b"x" * 5_000_000, "empty.md": b"", ".h.md": b"x", "_h.md": b"x", "_k=v.md": b"x", "c.txt": b"x", "sub.md/d.md": b"x"}
+    for name, data in bytes_of.items():
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(data)
+    df = RD.read_bundles(spark, f"{root}/*.md")
+    whole = spark.read.option("pathGlobFilter", "*.md").text(root, wholetext=True)  # Spark's own reader of the same folder
+    got = df.selectExpr("id", "hex(cast(content AS binary)) AS h").collect()
+    assert sorted(r["h"] for r in got) == sorted(r["h"] for r in whole.selectExpr("hex(cast(value AS binary)) AS h").collect())
+    assert {r["id"]: r["h"] for r in got} == {"a": bytes_of["a.md"].hex().upper(), "b+c/d e": "FFFE0A", "_k=v": "78", "\u00e9": "78" * 5_000_000}
+    listed = df._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().location()
+    assert listed.inputFiles().__len__() <= 2  # the table of names; the files themselves are not among the driver's
+    assert {r["id"] for r in RD.read_bundles(spark, f"{root}/[!b].md").collect()} == {"a", "\u00e9"}
+    assert RD.read_bundles(spark, f"{root}/no*.md").count() == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        RD.read_bundles(spark, f"{tmp_dir}/none/*.md")

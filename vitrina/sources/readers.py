@@ -8,12 +8,18 @@ unreadable records to a quarantine column instead of failing the job.
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrina import schemas as SC
+from vitrina.session import scratch_path, ship_package
+from vitrina.sources.files import names_in, opened
 from vitrina.sources.large_json import cut_files
 
 CORRUPT = "_corrupt_record"
@@ -86,25 +92,83 @@ def read_tables(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*keep, op.alias("op_id"))
 
 
-#: Tasks for each core, at most, that read bundles.
+#: Tasks for each core, at most, that read bundles; the files of a task, if there are fewer tasks; files and bytes of a batch.
 BUNDLE_TASKS = 16
+BUNDLES_A_TASK = 500
+_BATCH_FILES, _BATCH_BYTES = 1000, 4 << 20
+
+
+def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """``name``: the files of a folder that match a pattern, listed now, in a task, into a table: the driver sees none of them."""
+    ship_package(spark)
+    regex = spark._jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern()  # noqa: SLF001
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in it:
+            pass
+        # as Spark's readers: hidden files are none
+        wanted = (f for f in names_in(folder) if re.fullmatch(regex, f, re.DOTALL) and not (f[0] == "." or f[0] == "_" and "=" not in f))
+        while some := list(islice(wanted, 10_000)):
+            yield pa.RecordBatch.from_pydict({"name": pa.array(some, pa.string())})
+
+    path = scratch_path(spark, f"listing-{uuid.uuid4().hex}")
+    spark.range(0, 1, 1, 1).mapInArrow(run, "name string").write.parquet(path)
+    return spark.read.schema("name string").parquet(path)
+
+
+def _read_listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """``name, value``: files of a folder, read as a table of their names says; empty files are left out, as by Spark's readers."""
+    names = _listed(spark, folder, pattern)
+    tasks = min(max(-(-names.count() // BUNDLES_A_TASK), 1), BUNDLE_TASKS * spark.sparkContext.defaultParallelism)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = opened(folder)
+        batch = lambda: pa.RecordBatch.from_pydict({"name": pa.array(found, pa.string()), "value": pa.array(data, pa.binary())})
+        found, data, size = [], [], 0
+        for name in (n for b in it for n in b.column(0).to_pylist()):
+            with filesystem.open_input_stream(f"{base.rstrip('/')}/{name}", compression=None) as stream:
+                value = stream.read()
+            if value:
+                found.append(name)
+                data.append(value)
+                size += len(value)
+            if len(found) >= _BATCH_FILES or size >= _BATCH_BYTES:
+                yield batch()
+                found, data, size = [], [], 0
+        if found:
+            yield batch()
+
+    return names.repartition(tasks, "name").mapInArrow(run, "name string, value binary").select("name", F.col("value").cast("string").alias("value"))
+
+
+def _folder(spark: SparkSession, folder: str) -> str | None:
+    """The whole name of a folder that tasks can list and open by themselves, or None."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    full = fs.makeQualified(path).toString()
+    try:
+        opened(full)
+    except (OSError, ValueError):  # a store that only Spark reads
+        return None
+    return full if fs.exists(path) and fs.getFileStatus(path).isDirectory() else None
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     """Markdown bundles, one row per file: ``(id = file stem, content)`` (S3); ``%XX`` in a stem stands for a character.
 
-    ``folder/pattern`` is read as one listing of the folder: as a pattern of paths, every file would be looked up
-    by itself.  Spark packs few small files into a partition; a task takes many such partitions.
+    ``folder/pattern``, the pattern ending in ``.md``, is listed once and now, by a task that writes the names
+    to a table; tasks that read this table open the files.  Neither names nor files come to the driver,
+    however many there are.  Other paths, and folders in stores that only Spark reads, are listed by Spark, on the driver.
     """
     folder, _, pattern = path.rpartition("/")
-    if re.search(r"[*?\[{]", pattern) and folder and not re.search(r"[*?\[{\\]", folder):
-        df = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
-    else:
-        df = spark.read.text(path, wholetext=True)
-    df = df.select(F.col("_metadata.file_name").alias("name"), "value").coalesce(BUNDLE_TASKS * spark.sparkContext.defaultParallelism)
+    plain = lambda name: F.when(name.contains("%"), F.url_decode(F.regexp_replace(name, r"\+", "%2B"))).otherwise(name)  # noqa: E731  a plus is a plus
     stem = F.regexp_replace(F.col("name"), r"\.md$", "")
-    decode = lambda c: F.when(c.contains("%"), F.url_decode(F.regexp_replace(c, r"\+", "%2B"))).otherwise(c)  # noqa: E731  a plus is a plus
-    return df.select(decode(decode(stem)).alias("id"), F.col("value").alias("content"))  # the name comes as part of a URI
+    one = bool(re.search(r"[*?\[{]", pattern) and folder and not re.search(r"[*?\[{\\]", folder))
+    if one and pattern.endswith(".md") and (full := _folder(spark, folder)):
+        return _read_listed(spark, full, pattern).select(plain(stem).alias("id"), F.col("value").alias("content"))
+    df = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True) if one else spark.read.text(path, wholetext=True)
+    df = df.select(F.col("_metadata.file_name").alias("name"), "value").coalesce(BUNDLE_TASKS * spark.sparkContext.defaultParallelism)
+    return df.select(plain(plain(stem)).alias("id"), F.col("value").alias("content"))  # the name comes as part of a URI
 
 
 #: Documents up to this size are read as one record; larger ones are cut into small documents while they are read.
