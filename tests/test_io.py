@@ -171,3 +171,7 @@ def test_bundles_are_listed_and_read_without_the_driver(spark, tmp_dir):
     assert RD.read_bundles(spark, f"{root}/no*.md").count() == 0
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         RD.read_bundles(spark, f"{tmp_dir}/none/*.md")
+    os.makedirs(f"{tmp_dir}/parts/k=1")
+    with open(f"{tmp_dir}/parts/k=1/c.md", "w") as f:
+        f.write("x")
+    assert [tuple(r) for r in RD.read_bundles(spark, f"{tmp_dir}/parts/*.md").collect()] == [("c", "x")]

@@ -24,8 +24,8 @@ def blocks_of(path: str, block: int = BLOCK) -> Iterator[bytes]:
             yield data
 
 
-def names_in(path: str) -> Iterator[str]:
-    """Names of the files that lie directly in a folder.
+def entries_in(path: str) -> Iterator[tuple[str, bool]]:
+    """Names of the files and folders that lie directly in a folder, and whether each is a file.
 
     A local folder is listed as a stream.  pyarrow lists others at once, in the memory of the one task that asks.
     """
@@ -33,6 +33,6 @@ def names_in(path: str) -> Iterator[str]:
     filesystem, folder = opened(path)
     if isinstance(filesystem, pafs.LocalFileSystem):
         with os.scandir(folder) as found:
-            yield from (f.name for f in found if f.is_file())
+            yield from ((f.name, f.is_file()) for f in found if f.is_file() or f.is_dir())
     else:
-        yield from (f.base_name for f in filesystem.get_file_info(pafs.FileSelector(folder)) if f.type == pafs.FileType.File)
+        yield from ((f.base_name, f.type == pafs.FileType.File) for f in filesystem.get_file_info(pafs.FileSelector(folder)))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from vitrina import schemas as SC
 from vitrina.session import scratch_path, ship_package
-from vitrina.sources.files import names_in, opened
+from vitrina.sources.files import entries_in, opened
 from vitrina.sources.large_json import cut_files
 
 CORRUPT = "_corrupt_record"
@@ -99,7 +99,9 @@ _BATCH_FILES, _BATCH_BYTES = 1000, 4 << 20
 
 
 def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """``name``: the files of a folder that match a pattern, listed now, in a task, into a table: the driver sees none of them."""
+    """``name``: the files of a folder that match a pattern, listed now, in a task, into a table: the driver sees none of them.
+
+    Folders named ``key=value`` are listed too, with a slash behind."""
     ship_package(spark)
     regex = spark._jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern()  # noqa: SLF001
 
@@ -107,7 +109,8 @@ def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
         for _ in it:
             pass
         # as Spark's readers: hidden files are none
-        wanted = (f for f in names_in(folder) if re.fullmatch(regex, f, re.DOTALL) and not (f[0] == "." or f[0] == "_" and "=" not in f))
+        wanted = (f if is_file else f"{f}/" for f, is_file in entries_in(folder)
+                  if (re.fullmatch(regex, f, re.DOTALL) if is_file else "=" in f) and not (f[0] == "." or f[0] == "_" and "=" not in f))
         while some := list(islice(wanted, 10_000)):
             yield pa.RecordBatch.from_pydict({"name": pa.array(some, pa.string())})
 
@@ -116,10 +119,13 @@ def _listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return spark.read.schema("name string").parquet(path)
 
 
-def _read_listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """``name, value``: files of a folder, read as a table of their names says; empty files are left out, as by Spark's readers."""
+def _read_listed(spark: SparkSession, folder: str, pattern: str) -> DataFrame | None:
+    """``name, value``: files of a folder, read as a table of their names says; empty files are left out, as by Spark's readers.  None if the folder is partitioned."""
     names = _listed(spark, folder, pattern)
-    tasks = min(max(-(-names.count() // BUNDLES_A_TASK), 1), BUNDLE_TASKS * spark.sparkContext.defaultParallelism)
+    n, parts = names.agg(F.count("name"), F.max(F.col("name").endswith("/"))).first()
+    if parts:
+        return None
+    tasks = min(max(-(-n // BUNDLES_A_TASK), 1), BUNDLE_TASKS * spark.sparkContext.defaultParallelism)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = opened(folder)
@@ -158,14 +164,14 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
 
     ``folder/pattern``, the pattern ending in ``.md``, is listed once and now, by a task that writes the names
     to a table; tasks that read this table open the files.  Neither names nor files come to the driver,
-    however many there are.  Other paths, and folders in stores that only Spark reads, are listed by Spark, on the driver.
+    however many there are.  Other paths, partitioned folders (``key=value``) and stores that only Spark reads are listed by Spark, on the driver.
     """
     folder, _, pattern = path.rpartition("/")
     plain = lambda name: F.when(name.contains("%"), F.url_decode(F.regexp_replace(name, r"\+", "%2B"))).otherwise(name)  # noqa: E731  a plus is a plus
     stem = F.regexp_replace(F.col("name"), r"\.md$", "")
     one = bool(re.search(r"[*?\[{]", pattern) and folder and not re.search(r"[*?\[{\\]", folder))
-    if one and pattern.endswith(".md") and (full := _folder(spark, folder)):
-        return _read_listed(spark, full, pattern).select(plain(stem).alias("id"), F.col("value").alias("content"))
+    if one and pattern.endswith(".md") and (full := _folder(spark, folder)) and (read := _read_listed(spark, full, pattern)) is not None:
+        return read.select(plain(stem).alias("id"), F.col("value").alias("content"))
     df = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True) if one else spark.read.text(path, wholetext=True)
     df = df.select(F.col("_metadata.file_name").alias("name"), "value").coalesce(BUNDLE_TASKS * spark.sparkContext.defaultParallelism)
     return df.select(plain(plain(stem)).alias("id"), F.col("value").alias("content"))  # the name comes as part of a URI
